@@ -31,10 +31,11 @@ def term_months(c: Column) -> Column:
 
 
 def emp_length_numeric(c: Column) -> Column:
-    """Employment-length text to 0..10; values outside the map -> NULL."""
+    """Employment-length text to 0.0..10.0 (a double, as a mapped column with
+    gaps is); values outside the map -> NULL."""
     pairs = []
     for k, v in EMP_LENGTH_MAP.items():
-        pairs += [F.lit(k), F.lit(v)]
+        pairs += [F.lit(k), F.lit(float(v))]
     return F.try_element_at(F.create_map(*pairs), c)
 
 

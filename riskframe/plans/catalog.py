@@ -21,13 +21,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def round6(c):
+    """Half-up to 6 decimals with plain IEEE steps (same in the oracle), so
+    exact ties such as 4.0140625 round identically in both engines."""
+    return F.when(F.abs(c) < 1e12, F.floor(c * 1e6 + 0.5) / 1e6).otherwise(c)
+
+
 def checked(df: DataFrame) -> DataFrame:
     """Round doubles to 6 decimals, dates/timestamps to ISO text."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, 6)
+            c = round6(c)
         elif isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
@@ -112,3 +118,154 @@ def q_classification(spark, sf):
 def q_evaluation(spark, sf):
     """The full evaluation row."""
     return metrics.evaluate(tables.scored(spark, sf))
+
+
+# --- cleaning, labels, split -----------------------------------------------------
+
+from riskframe.operators import clean as _clean  # noqa: E402
+from riskframe.operators import encode as _enc  # noqa: E402
+from riskframe.operators import label as _label  # noqa: E402
+from riskframe.operators.features import engineer_features  # noqa: E402
+from riskframe.schema import FEATURES, TARGET  # noqa: E402
+
+
+@register("clean_loans")
+def q_clean_loans(spark, sf):
+    """Percent, month, tenure and term parsing."""
+    df = engineer_features(_clean.clean_loans(tables.loans(spark, sf)))
+    return df.select("id", "int_rate", "revol_util", "issue_d", "earliest_cr_line",
+                     "emp_length_numeric", "term_months")
+
+
+@register("date_parts")
+def q_date_parts(spark, sf):
+    """Issue year and month replace the issue date."""
+    return _clean.date_parts(_clean.clean_loans(tables.loans(spark, sf))).select(
+        "id", "issue_d_year", "issue_d_month")
+
+
+@register("narrow_types")
+def q_narrow_types(spark, sf):
+    """Integral columns narrowed to the smallest fitting type."""
+    df = _clean.narrow_types(tables.loans(spark, sf).select("id", "member_id"))
+    t = dict(df.dtypes)
+    return df.select(F.col("id").cast("long"), F.col("member_id").cast("long"),
+                     F.lit(t["id"]).alias("id_type"), F.lit(t["member_id"]).alias("member_id_type"))
+
+
+@register("labelled_loans")
+def q_labelled(spark, sf):
+    """Status label over the six listed statuses."""
+    return _label.label_loans(tables.loans(spark, sf)).select("id", "loan_status", TARGET)
+
+
+@register("engineered_features")
+def q_engineered(spark, sf):
+    """Ratio and credit-age features."""
+    return frames.engineered_loans(spark, sf).select(
+        "id", "payment_to_income", "credit_utilization", "credit_age_months", "loan_to_income")
+
+
+@register("temporal_split")
+def q_temporal_split(spark, sf):
+    """Train / val / test by issue date."""
+    return frames.split_loans(spark, sf).select("id", "split")
+
+
+@register("split_summary")
+def q_split_summary(spark, sf):
+    """A5: rows and date range per split."""
+    return _label.split_summary(frames.split_loans(spark, sf))
+
+
+@register("dataset_overview")
+def q_dataset_overview(spark, sf):
+    """A4: rows, features, positive rate per split."""
+    return _label.dataset_overview(frames.split_loans(spark, sf))
+
+
+@register("demographic_proxies")
+def q_proxies(spark, sf):
+    """Income quartile, state level, purpose type, credit maturity."""
+    return frames.audit_frame(spark, sf).select(
+        "id", "income_quartile", "state_income_level", "loan_purpose_type", "credit_maturity")
+
+
+# --- projections ---------------------------------------------------------------------
+
+@register("origination_projection")
+def q_origination(spark, sf):
+    """Origination-time columns only."""
+    return _enc.origination_projection(tables.loans(spark, sf))
+
+
+@register("leakage_projection")
+def q_leakage(spark, sf):
+    """Target, identifiers and leakage columns dropped."""
+    return _enc.leakage_projection(frames.engineered_loans(spark, sf))
+
+
+@register("feature_kinds")
+def q_feature_kinds(spark, sf):
+    """Categorical (text or < 20 distinct) versus numeric."""
+    return _enc.feature_kinds(_enc.leakage_projection(frames.engineered_loans(spark, sf)))
+
+
+@register("complete_cases")
+def q_complete_cases(spark, sf):
+    """Complete-case filter report over features and target."""
+    df = frames.engineered_loans(spark, sf)
+    feats = _enc.leakage_projection(df).columns + [TARGET]
+    return _enc.complete_case_report(df, feats)
+
+
+@register("aligned_features")
+def q_aligned(spark, sf):
+    """Model column order, missing columns as 0."""
+    return _enc.align_features(frames.engineered_loans(spark, sf), FEATURES)
+
+
+# --- fairness tail and metric extras ---------------------------------------------------
+
+@register("parity_gaps")
+def q_parity_gaps(spark, sf):
+    """|reference - group| for six metrics."""
+    return fairness.parity_gaps(fairness.group_metrics(frames.audit_frame(spark, sf)))
+
+
+@register("fairness_summary")
+def q_fairness_summary(spark, sf):
+    """Max gaps, flagged comparisons, recommendations."""
+    s = fairness.fairness_summary(
+        fairness.parity_gaps(fairness.group_metrics(frames.audit_frame(spark, sf))))
+    return s.select("max_tpr_gap", "max_fpr_gap", "max_ppv_gap", "n_problematic",
+                    F.concat_ws(";", F.transform("problematic_groups", lambda p: F.concat_ws(
+                        "/", p["grouping_var"], p["comparison"], p["metric"]))).alias("problematic"),
+                    F.concat_ws(" | ", "recommendations").alias("recommendations"))
+
+
+@register("threshold_sweep")
+def q_threshold_sweep(spark, sf):
+    """Tpr, fpr, ppv, positive rate at thresholds 0.1..0.8 per group."""
+    return fairness.threshold_sweep(frames.audit_frame(spark, sf),
+                                    groupings=["income_quartile", "credit_maturity"])
+
+
+@register("class_weights")
+def q_class_weights(spark, sf):
+    """n_neg / n_pos weight on positives."""
+    return (metrics.class_weights(tables.scored(spark, sf)).groupBy("label")
+            .agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight")))
+
+
+@register("quick_evaluation")
+def q_quick(spark, sf):
+    """AUCs, accuracy, positive rate."""
+    return metrics.quick_evaluation(tables.scored(spark, sf))
+
+
+@register("performance_band")
+def q_band(spark, sf):
+    """F8: band by ROC-AUC and retrain switch."""
+    return metrics.performance_band(metrics.evaluate(tables.scored(spark, sf))).select(
+        "roc_auc", "performance_level", "needs_retraining")

@@ -32,7 +32,7 @@ eng AS (
     CASE emp_length WHEN '< 1 year' THEN 0 WHEN '1 year' THEN 1 WHEN '2 years' THEN 2
       WHEN '3 years' THEN 3 WHEN '4 years' THEN 4 WHEN '5 years' THEN 5 WHEN '6 years' THEN 6
       WHEN '7 years' THEN 7 WHEN '8 years' THEN 8 WHEN '9 years' THEN 9 WHEN '10+ years' THEN 10
-    END AS emp_length_numeric,
+    END::DOUBLE AS emp_length_numeric,
     TRY_CAST(NULLIF(regexp_extract(term, '[0-9]+', 0), '') AS DOUBLE) AS term_months
   FROM cleaned)"""
 
@@ -148,7 +148,7 @@ cls AS (
 
 
 def r6(*cols: str) -> str:
-    return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+    return ", ".join(f"(CASE WHEN abs({c}) < 1e12 THEN floor(({c}) * 1e6 + 0.5) / 1e6 ELSE ({c}) END) AS {c}" for c in cols)
 
 
 def sql(*ctes: str, final: str) -> str:
@@ -172,24 +172,24 @@ ORACLE["group_metrics"] = sql(
           f"{r6('base_rate', 'positive_rate', 'tpr', 'tnr', 'fpr', 'fnr', 'ppv', 'npv', 'mean_prediction', 'auc')} "
           f"FROM gm")
 
-ORACLE["roc_auc"] = sql(RANK_AUC, final="SELECT round(roc_auc, 6) AS roc_auc FROM auc")
-ORACLE["pr_auc"] = sql(CUM, PR_AUC, final="SELECT round(pr_auc, 6) AS pr_auc FROM pra")
-ORACLE["ks"] = sql(CUM, KS, final="SELECT round(ks_statistic, 6) AS ks_statistic FROM ks")
+ORACLE["roc_auc"] = sql(RANK_AUC, final="SELECT (CASE WHEN abs(roc_auc) < 1e12 THEN floor((roc_auc) * 1e6 + 0.5) / 1e6 ELSE (roc_auc) END) AS roc_auc FROM auc")
+ORACLE["pr_auc"] = sql(CUM, PR_AUC, final="SELECT (CASE WHEN abs(pr_auc) < 1e12 THEN floor((pr_auc) * 1e6 + 0.5) / 1e6 ELSE (pr_auc) END) AS pr_auc FROM pra")
+ORACLE["ks"] = sql(CUM, KS, final="SELECT (CASE WHEN abs(ks_statistic) < 1e12 THEN floor((ks_statistic) * 1e6 + 0.5) / 1e6 ELSE (ks_statistic) END) AS ks_statistic FROM ks")
 ORACLE["roc_points"] = sql(CUM, """
 lc AS (SELECT *, row_number() OVER (ORDER BY score DESC) AS rn,
               lead(tp) OVER (ORDER BY score DESC) AS ntp, lead(fp) OVER (ORDER BY score DESC) AS nfp
        FROM cum)""", final="""
-SELECT round(score, 6) AS threshold, round(cfp / N, 6) AS fpr, round(ctp / P, 6) AS tpr FROM lc
+SELECT (CASE WHEN abs(score) < 1e12 THEN floor((score) * 1e6 + 0.5) / 1e6 ELSE (score) END) AS threshold, (CASE WHEN abs(cfp / N) < 1e12 THEN floor((cfp / N) * 1e6 + 0.5) / 1e6 ELSE (cfp / N) END) AS fpr, (CASE WHEN abs(ctp / P) < 1e12 THEN floor((ctp / P) * 1e6 + 0.5) / 1e6 ELSE (ctp / P) END) AS tpr FROM lc
 WHERE rn = 1 OR ntp IS NULL OR ntp <> tp OR nfp <> fp
 UNION ALL SELECT CAST('Infinity' AS DOUBLE), 0.0, 0.0""")
 ORACLE["pr_points"] = sql(CUM, final="""
-SELECT round(score, 6) AS threshold, round(ctp / (ctp + cfp), 6) AS precision, round(ctp / P, 6) AS recall
+SELECT (CASE WHEN abs(score) < 1e12 THEN floor((score) * 1e6 + 0.5) / 1e6 ELSE (score) END) AS threshold, (CASE WHEN abs(ctp / (ctp + cfp)) < 1e12 THEN floor((ctp / (ctp + cfp)) * 1e6 + 0.5) / 1e6 ELSE (ctp / (ctp + cfp)) END) AS precision, (CASE WHEN abs(ctp / P) < 1e12 THEN floor((ctp / P) * 1e6 + 0.5) / 1e6 ELSE (ctp / P) END) AS recall
 FROM cum UNION ALL SELECT CAST(NULL AS DOUBLE), 1.0, 0.0""")
 ORACLE["calibration_bins"] = sql("""
 cb AS (SELECT greatest(CAST(ceil(score * 10) AS INTEGER) - 1, 0) AS bin, score, label FROM scored)""",
-    final="SELECT bin, count(*) AS n, round(avg(score), 6) AS mean_predicted, "
-          "round(avg(label), 6) AS fraction_positive FROM cb GROUP BY bin")
-ORACLE["brier"] = sql(CONF, final="SELECT round(brier_score, 6) AS brier_score FROM conf")
+    final="SELECT bin, count(*) AS n, (CASE WHEN abs(avg(score)) < 1e12 THEN floor((avg(score)) * 1e6 + 0.5) / 1e6 ELSE (avg(score)) END) AS mean_predicted, "
+          "(CASE WHEN abs(avg(label)) < 1e12 THEN floor((avg(label)) * 1e6 + 0.5) / 1e6 ELSE (avg(label)) END) AS fraction_positive FROM cb GROUP BY bin")
+ORACLE["brier"] = sql(CONF, final="SELECT (CASE WHEN abs(brier_score) < 1e12 THEN floor((brier_score) * 1e6 + 0.5) / 1e6 ELSE (brier_score) END) AS brier_score FROM conf")
 ORACLE["confusion"] = sql(CONF, final="SELECT tn, fp, fn, tp FROM conf")
 ORACLE["classification_metrics"] = sql(
     CONF, final=f"SELECT tn, fp, fn, tp, {r6('accuracy', 'precision', 'recall', 'specificity', 'f1_score')} FROM cls")
@@ -197,3 +197,138 @@ ORACLE["evaluation"] = sql(
     CONF, RANK_AUC, CUM, PR_AUC, KS,
     final=f"SELECT n, tn, fp, fn, tp, {r6('positive_rate', 'brier_score', 'accuracy', 'precision', 'recall', 'specificity', 'f1_score', 'roc_auc', 'pr_auc', 'ks_statistic')} "
           f"FROM cls JOIN auc ON TRUE JOIN pra ON TRUE JOIN ks ON TRUE")
+
+
+def _iso(c: str) -> str:
+    return f"strftime({c}, '%Y-%m-%d') AS {c}"
+
+
+ORACLE["clean_loans"] = sql(*loans_clean(), final=(
+    f"SELECT id, {r6('int_rate', 'revol_util')}, {_iso('issue_d')}, {_iso('earliest_cr_line')}, "
+    f"emp_length_numeric, {r6('term_months')} FROM eng"))
+ORACLE["date_parts"] = sql(CLEANED.format(src="loans"), final=(
+    "SELECT id, CAST(year(issue_d) AS INTEGER) AS issue_d_year, "
+    "CAST(month(issue_d) AS INTEGER) AS issue_d_month FROM cleaned"))
+
+
+def _narrow(c: str) -> str:
+    return (f"CASE WHEN min({c}) OVER () >= -128 AND max({c}) OVER () <= 127 THEN 'tinyint' "
+            f"WHEN min({c}) OVER () >= -32768 AND max({c}) OVER () <= 32767 THEN 'smallint' "
+            f"WHEN min({c}) OVER () >= -2147483648 AND max({c}) OVER () <= 2147483647 THEN 'int' "
+            f"ELSE 'bigint' END AS {c}_type")
+
+
+ORACLE["narrow_types"] = sql("nt AS (SELECT id, member_id FROM loans)", final=(
+    f"SELECT CAST(id AS BIGINT) AS id, CAST(member_id AS BIGINT) AS member_id, "
+    f"{_narrow('id')}, {_narrow('member_id')} FROM nt"))
+ORACLE["labelled_loans"] = sql(*loans_clean(), LABELLED,
+                               final="SELECT id, loan_status, delinq_90dpd FROM labelled")
+ORACLE["engineered_features"] = sql(*loans_clean(), LABELLED, final=(
+    f"SELECT id, {r6('payment_to_income', 'credit_utilization', 'credit_age_months', 'loan_to_income')} "
+    f"FROM labelled"))
+ORACLE["temporal_split"] = sql(*loans_clean(), LABELLED, SPLIT, final="SELECT id, split FROM splitted")
+ORACLE["split_summary"] = sql(*loans_clean(), LABELLED, SPLIT, final=(
+    "SELECT split, count(*) AS n_rows, strftime(min(issue_d), '%Y-%m-%d') AS min_date, "
+    "strftime(max(issue_d), '%Y-%m-%d') AS max_date FROM splitted GROUP BY split"))
+# 18 loan columns + 6 engineered = 24 columns besides the target and split
+ORACLE["dataset_overview"] = sql(*loans_clean(), LABELLED, SPLIT, final=(
+    "SELECT split, count(*) AS n_rows, 24 AS n_features, (CASE WHEN abs(avg(delinq_90dpd)) < 1e12 THEN floor((avg(delinq_90dpd)) * 1e6 + 0.5) / 1e6 ELSE (avg(delinq_90dpd)) END) AS positive_rate, "
+    "CAST(sum(delinq_90dpd) AS BIGINT) AS n_positive FROM splitted GROUP BY split"))
+ORACLE["demographic_proxies"] = sql(*scored_clean(), PROXIES, final=(
+    "SELECT id, income_quartile, state_income_level, loan_purpose_type, credit_maturity FROM prox"))
+
+ORACLE["origination_projection"] = sql("o AS (SELECT 1)", final=(
+    "SELECT loan_amnt, term, int_rate, installment, emp_length, home_ownership, annual_inc, issue_d, "
+    "loan_status, purpose, addr_state, dti, earliest_cr_line, revol_bal, revol_util, total_rev_hi_lim "
+    "FROM loans"))
+_LEAK_NUM = ["loan_amnt", "installment", "annual_inc", "int_rate", "revol_util", "dti", "revol_bal",
+             "total_rev_hi_lim", "payment_to_income", "credit_utilization", "credit_age_months",
+             "loan_to_income", "term_months"]
+ORACLE["leakage_projection"] = sql(*loans_clean(), LABELLED, final=(
+    f"SELECT {r6(*_LEAK_NUM)}, term, emp_length, purpose, home_ownership, emp_length_numeric "
+    f"FROM labelled"))
+_KINDS = [(c, "double") for c in _LEAK_NUM] + [
+    ("term", "string"), ("emp_length", "string"), ("purpose", "string"),
+    ("home_ownership", "string"), ("emp_length_numeric", "double")]
+ORACLE["feature_kinds"] = sql(*loans_clean(), LABELLED, "fk AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, '{t}' AS dtype, count(DISTINCT {c}) AS n_distinct FROM labelled"
+    for c, t in _KINDS) + ")", final=(
+    "SELECT feature, dtype, n_distinct, CASE WHEN dtype = 'string' OR n_distinct < 20 "
+    "THEN 'categorical' ELSE 'numeric' END AS kind FROM fk"))
+_ALL_FEATS = [c for c, _ in _KINDS] + ["delinq_90dpd"]
+ORACLE["complete_cases"] = sql(*loans_clean(), LABELLED, final=(
+    "SELECT count(*) AS n_rows, count(*) FILTER (WHERE " + " AND ".join(
+        f"{c} IS NOT NULL" for c in _ALL_FEATS) + ") AS n_complete, "
+    "count(*) - count(*) FILTER (WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _ALL_FEATS)
+    + ") AS n_removed FROM labelled"))
+_PRESENT = {"term", "revol_util", "annual_inc", "int_rate", "dti", "purpose", "loan_amnt",
+            "installment", "addr_state", "revol_bal", "id", "emp_length", "home_ownership"}
+_FEATURES = ["sub_grade", "term", "home_ownership", "fico_range_low", "total_acc", "pub_rec",
+             "revol_util", "annual_inc", "int_rate", "dti", "purpose", "mort_acc", "loan_amnt",
+             "application_type", "installment", "verification_status", "pub_rec_bankruptcies",
+             "addr_state", "initial_list_status", "fico_range_high", "revol_bal", "id", "open_acc",
+             "emp_length", "time_to_earliest_cr_line", "issue_d_year", "issue_d_month"]
+_DOUBLES = {"revol_util", "annual_inc", "int_rate", "dti", "loan_amnt", "installment", "revol_bal"}
+ORACLE["aligned_features"] = sql(*loans_clean(), LABELLED, final="SELECT " + ", ".join(
+    (f"(CASE WHEN abs({c}) < 1e12 THEN floor(({c}) * 1e6 + 0.5) / 1e6 ELSE ({c}) END) AS {c}" if c in _DOUBLES else c) if c in _PRESENT else f"0 AS {c}"
+    for c in _FEATURES) + " FROM labelled")
+
+GROUP_RANK = """
+CASE grouping_var || '/' || group_value
+  WHEN 'income_quartile/Low' THEN 0 WHEN 'income_quartile/Medium-Low' THEN 1
+  WHEN 'income_quartile/Medium-High' THEN 2 WHEN 'income_quartile/High' THEN 3
+  WHEN 'state_income_level/High' THEN 0 WHEN 'state_income_level/Other' THEN 1
+  WHEN 'loan_purpose_type/Essential' THEN 0 WHEN 'loan_purpose_type/Discretionary' THEN 1
+  WHEN 'credit_maturity/New' THEN 0 WHEN 'credit_maturity/Developing' THEN 1
+  WHEN 'credit_maturity/Established' THEN 2 WHEN 'credit_maturity/Mature' THEN 3 ELSE 1000 END"""
+_PM = ["tpr", "tnr", "fpr", "ppv", "positive_rate", "mean_prediction"]
+GAPS = f"""
+grk AS (SELECT *, {GROUP_RANK} AS grank FROM gm),
+gref AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY grouping_var ORDER BY grank, group_value) AS rn
+                        FROM grk) WHERE rn = 1),
+gpairs AS (SELECT g.*, r.group_value AS reference_group, {', '.join(f'r.{m} AS r_{m}' for m in _PM)}
+           FROM grk g JOIN gref r ON g.grouping_var = r.grouping_var WHERE g.group_value <> r.group_value),
+gaps AS ({' UNION ALL '.join(
+    f"SELECT grouping_var, reference_group, group_value, reference_group || '_vs_' || group_value AS comparison, "
+    f"'{m}' AS metric, abs(r_{m} - {m}) AS gap FROM gpairs" for m in _PM)})"""
+ORACLE["parity_gaps"] = sql(*scored_clean(), PROXIES, LONG_GROUPS, GROUP_METRICS, GAPS, final=(
+    "SELECT grouping_var, reference_group, group_value, comparison, metric, (CASE WHEN abs(gap) < 1e12 THEN floor((gap) * 1e6 + 0.5) / 1e6 ELSE (gap) END) AS gap FROM gaps"))
+ORACLE["fairness_summary"] = sql(*scored_clean(), PROXIES, LONG_GROUPS, GROUP_METRICS, GAPS, """
+fs AS (SELECT coalesce(max(gap) FILTER (WHERE metric = 'tpr'), 0.0) AS max_tpr_gap,
+              coalesce(max(gap) FILTER (WHERE metric = 'fpr'), 0.0) AS max_fpr_gap,
+              coalesce(max(gap) FILTER (WHERE metric = 'ppv'), 0.0) AS max_ppv_gap,
+              count(*) FILTER (WHERE gap > 0.1) AS n_problematic,
+              coalesce(string_agg(CASE WHEN gap > 0.1 THEN grouping_var || '/' || comparison || '/' || metric END,
+                                  ';' ORDER BY grouping_var, comparison, metric), '') AS problematic
+       FROM gaps)""", final=(
+    f"SELECT {r6('max_tpr_gap', 'max_fpr_gap', 'max_ppv_gap')}, CAST(n_problematic AS INTEGER) AS n_problematic, "
+    "problematic, concat_ws(' | ', "
+    "CASE WHEN max_tpr_gap > 0.1 THEN 'Consider threshold adjustment to reduce True Positive Rate disparities' END, "
+    "CASE WHEN max_fpr_gap > 0.1 THEN 'Monitor False Positive Rate differences across groups' END, "
+    "CASE WHEN n_problematic > 0 THEN 'Implement bias mitigation techniques or post-processing adjustments' "
+    "ELSE 'Model shows acceptable fairness metrics across analyzed groups' END) AS recommendations FROM fs"))
+ORACLE["threshold_sweep"] = sql(*scored_clean(), PROXIES, LONG_GROUPS, """
+th AS (SELECT unnest([0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8]::DOUBLE[]) AS threshold),
+sw AS (SELECT grouping_var, group_value, threshold, count(*) AS n,
+         count(*) FILTER (WHERE score >= threshold AND label = 1) AS tp,
+         count(*) FILTER (WHERE score >= threshold AND label = 0) AS fp,
+         count(*) FILTER (WHERE score < threshold AND label = 1) AS fn,
+         count(*) FILTER (WHERE score < threshold AND label = 0) AS tn
+       FROM long JOIN th ON TRUE
+       WHERE grouping_var IN ('income_quartile', 'credit_maturity')
+       GROUP BY grouping_var, group_value, threshold)""", final=(
+    "SELECT grouping_var, group_value, threshold, "
+    "(CASE WHEN abs(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END) < 1e12 THEN floor((CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END) * 1e6 + 0.5) / 1e6 ELSE (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END) END) AS tpr, "
+    "(CASE WHEN abs(CASE WHEN fp + tn > 0 THEN fp / (fp + tn) ELSE 0 END) < 1e12 THEN floor((CASE WHEN fp + tn > 0 THEN fp / (fp + tn) ELSE 0 END) * 1e6 + 0.5) / 1e6 ELSE (CASE WHEN fp + tn > 0 THEN fp / (fp + tn) ELSE 0 END) END) AS fpr, "
+    "(CASE WHEN abs(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END) < 1e12 THEN floor((CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END) * 1e6 + 0.5) / 1e6 ELSE (CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END) END) AS ppv, "
+    "(CASE WHEN abs((tp + fp) / n) < 1e12 THEN floor(((tp + fp) / n) * 1e6 + 0.5) / 1e6 ELSE ((tp + fp) / n) END) AS positive_rate FROM sw"))
+ORACLE["class_weights"] = sql("""
+cw AS (SELECT count(*) FILTER (WHERE label = 0) / count(*) FILTER (WHERE label = 1) AS ratio FROM scored)""",
+    final=("SELECT label, count(*) AS n, (CASE WHEN abs(max(CASE WHEN label = 1 THEN ratio ELSE 1.0 END)) < 1e12 THEN floor((max(CASE WHEN label = 1 THEN ratio ELSE 1.0 END)) * 1e6 + 0.5) / 1e6 ELSE (max(CASE WHEN label = 1 THEN ratio ELSE 1.0 END)) END) AS weight "
+           "FROM scored JOIN cw ON TRUE GROUP BY label"))
+ORACLE["quick_evaluation"] = sql(CONF, RANK_AUC, CUM, PR_AUC, final=(
+    f"SELECT {r6('roc_auc', 'pr_auc', 'accuracy', 'positive_rate')} FROM cls JOIN auc ON TRUE JOIN pra ON TRUE"))
+ORACLE["performance_band"] = sql(RANK_AUC, final=(
+    "SELECT (CASE WHEN abs(roc_auc) < 1e12 THEN floor((roc_auc) * 1e6 + 0.5) / 1e6 ELSE (roc_auc) END) AS roc_auc, CASE WHEN roc_auc > 0.75 THEN 'Excellent' WHEN roc_auc > 0.65 THEN 'Good' "
+    "WHEN roc_auc > 0.55 THEN 'Fair' ELSE 'Poor' END AS performance_level, roc_auc < 0.7 AS needs_retraining "
+    "FROM auc"))
