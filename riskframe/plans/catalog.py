@@ -269,3 +269,97 @@ def q_band(spark, sf):
     """F8: band by ROC-AUC and retrain switch."""
     return metrics.performance_band(metrics.evaluate(tables.scored(spark, sf))).select(
         "roc_auc", "performance_level", "needs_retraining")
+
+
+# --- drift, monitoring, reports ---------------------------------------------------------
+
+from riskframe.operators import drift as _drift  # noqa: E402
+from riskframe.operators import reports as _reports  # noqa: E402
+from riskframe.schema import GROUPINGS  # noqa: E402
+
+DRIFT_NUMERIC = ["loan_amnt", "dti", "annual_inc"]
+DRIFT_TEXT = ["purpose", "home_ownership"]
+DRIFT_ALL = ["loan_amnt", "dti", "annual_inc", "int_rate", "purpose", "home_ownership", "not_a_column"]
+
+
+@register("histogram")
+def q_histogram(spark, sf):
+    """Equal-width bins over the reference range, both sides counted."""
+    ref, cur = frames.drift_pair(spark, sf)
+    return _drift.histograms(ref, cur, DRIFT_NUMERIC)
+
+
+@register("psi_numeric")
+def q_psi_numeric(spark, sf):
+    """PSI of numeric features."""
+    ref, cur = frames.drift_pair(spark, sf)
+    return _drift.psi_numeric(ref, cur, DRIFT_NUMERIC)
+
+
+@register("psi_categorical")
+def q_psi_categorical(spark, sf):
+    """PSI of categorical features with one-sided categories."""
+    ref, cur = frames.drift_pair(spark, sf)
+    return _drift.psi_categorical(ref, cur, DRIFT_TEXT)
+
+
+@register("psi_all")
+def q_psi_all(spark, sf):
+    """D3: PSI for a feature list, absent features skipped."""
+    ref, cur = frames.drift_pair(spark, sf)
+    return _drift.drift_metrics(ref, cur, DRIFT_ALL)
+
+
+def _monitor(spark, sf):
+    ref, cur = frames.drift_pair(spark, sf)
+    ref_metrics = metrics.quick_evaluation(ref).select("roc_auc", "pr_auc")
+    return _drift.performance_monitor(cur, ref_metrics)
+
+
+@register("performance_monitor")
+def q_monitor(spark, sf):
+    """Current versus reference AUCs, drift, alerts, advice."""
+    m = _monitor(spark, sf)
+    return m.select("current_roc_auc", "current_pr_auc", "reference_roc_auc", "reference_pr_auc",
+                    "auc_change", "pr_auc_change", "auc_drift", "pr_auc_drift", "auc_degradation",
+                    "pr_auc_degradation", F.concat_ws(" | ", "recommendations").alias("recommendations"))
+
+
+def _fairness_summary(spark, sf):
+    return fairness.fairness_summary(
+        fairness.parity_gaps(fairness.group_metrics(frames.audit_frame(spark, sf))))
+
+
+@register("governance_report")
+def q_governance(spark, sf):
+    """Drift, fairness and performance folded into one report row."""
+    ref, cur = frames.drift_pair(spark, sf)
+    g = _reports.governance_report(_drift.drift_metrics(ref, cur, DRIFT_ALL), _fairness_summary(spark, sf),
+                                   _monitor(spark, sf), "delinquency_model", "1", len(GROUPINGS))
+    return g.select("model_name", "model_version", "drift_detected",
+                    F.concat_ws(",", "high_drift_features").alias("high_drift_features"), "avg_psi",
+                    "current_roc_auc", "performance_stable", "max_disparity", "groups_analyzed",
+                    F.concat_ws(" | ", "action_items").alias("action_items"))
+
+
+@register("model_card")
+def q_model_card(spark, sf):
+    """Model card row (flattened; the nested form serialises with to_json)."""
+    overview = _label.dataset_overview(frames.split_loans(spark, sf))
+    feats = _enc.leakage_projection(frames.engineered_loans(spark, sf)).columns
+    card = _reports.model_card(overview, metrics.evaluate(tables.scored(spark, sf)), feats,
+                               "delinquency_model", "1", _fairness_summary(spark, sf), GROUPINGS)
+    return card.select(
+        F.col("model_details.name").alias("name"), F.col("model_details.version").alias("version"),
+        F.col("training_data.features").alias("n_features"),
+        F.col("training_data.split_sizes")["train"].alias("train_size"),
+        F.col("training_data.split_sizes")["val"].alias("val_size"),
+        F.col("training_data.split_sizes")["test"].alias("test_size"),
+        F.col("performance.test_metrics.roc_auc").alias("roc_auc"),
+        F.col("performance.test_metrics.pr_auc").alias("pr_auc"),
+        F.col("performance.test_metrics.ks_statistic").alias("ks_statistic"),
+        F.col("performance.test_metrics.brier_score").alias("brier_score"),
+        F.concat_ws(",", "technical_details.features").alias("features"),
+        F.col("fairness_metrics.max_tpr_gap").alias("max_tpr_gap"),
+        F.col("fairness_metrics.max_fpr_gap").alias("max_fpr_gap"),
+        F.concat_ws(",", "fairness_metrics.groups_analyzed").alias("groups_analyzed"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskframe.operators.clean import clean_loans
 from riskframe.operators.features import demographic_proxies, engineer_features
@@ -26,3 +27,10 @@ def audit_frame(spark: SparkSession, sf_dir: str, threshold: float = 0.5) -> Dat
     """Scored loans, cleaned and engineered, with the four proxies and ``pred``."""
     df = engineer_features(clean_loans(tables.scored(spark, sf_dir)))
     return apply_threshold(demographic_proxies(df), "score", threshold)
+
+
+def drift_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(reference, current): scored loans issued in the training period versus later."""
+    df = engineer_features(clean_loans(tables.scored(spark, sf_dir)))
+    in_ref = F.col("issue_d") <= F.lit(tables.FIXTURE_TRAIN_END).cast("date")
+    return df.where(in_ref), df.where(~in_ref)

@@ -332,3 +332,133 @@ ORACLE["performance_band"] = sql(RANK_AUC, final=(
     "SELECT (CASE WHEN abs(roc_auc) < 1e12 THEN floor((roc_auc) * 1e6 + 0.5) / 1e6 ELSE (roc_auc) END) AS roc_auc, CASE WHEN roc_auc > 0.75 THEN 'Excellent' WHEN roc_auc > 0.65 THEN 'Good' "
     "WHEN roc_auc > 0.55 THEN 'Fair' ELSE 'Poor' END AS performance_level, roc_auc < 0.7 AS needs_retraining "
     "FROM auc"))
+
+
+DRIFT_SRC = f"""
+src AS (SELECT *, CASE WHEN issue_d <= DATE '{FIXTURE_TRAIN_END}' THEN 'ref' ELSE 'cur' END AS side FROM eng)"""
+
+
+def _num_long(cols: list[str]) -> str:
+    return "hl AS (SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT side, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM src" for c in cols) + \
+        ") WHERE value IS NOT NULL AND NOT isnan(value))"
+
+
+HIST = """
+rng0 AS (SELECT feature, min(value) AS lo, max(value) AS hi FROM hl WHERE side = 'ref' GROUP BY feature),
+rng AS (SELECT feature, CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo,
+               CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi FROM rng0),
+hb AS (SELECT hl.feature, side, CAST(least(floor((value - lo) / ((hi - lo) / 10)), 9) AS INTEGER) AS bin
+       FROM hl JOIN rng ON hl.feature = rng.feature WHERE value >= lo AND value <= hi),
+grid AS (SELECT feature, CAST(unnest(range(0, 10)) AS INTEGER) AS bin FROM rng),
+hc AS (SELECT grid.feature, grid.bin, count(*) FILTER (WHERE hb.side = 'ref') AS rc,
+              count(*) FILTER (WHERE hb.side = 'cur') AS cc
+       FROM grid LEFT JOIN hb ON grid.feature = hb.feature AND grid.bin = hb.bin
+       GROUP BY grid.feature, grid.bin)"""
+
+PSI_NUM = """
+ht AS (SELECT feature, sum(rc) AS rn, sum(cc) AS cn FROM hc GROUP BY feature),
+pn AS (SELECT hc.feature, CASE WHEN rc = 0 THEN 1e-6 ELSE rc / rn END AS r,
+              CASE WHEN cc = 0 THEN 1e-6 ELSE cc / cn END AS c, cn
+       FROM hc JOIN ht ON hc.feature = ht.feature),
+psin AS (SELECT feature, CASE WHEN max(cn) > 0 THEN sum((c - r) * ln(c / r)) END AS psi FROM pn GROUP BY feature)"""
+
+
+def _cat_long(cols: list[str]) -> str:
+    return "cl AS (SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT side, '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM src" for c in cols) + \
+        ") WHERE value IS NOT NULL)"
+
+
+PSI_CAT = """
+rp AS (SELECT feature, value, count(*) / sum(count(*)) OVER (PARTITION BY feature) AS p
+       FROM cl WHERE side = 'ref' GROUP BY feature, value),
+cp AS (SELECT feature, value, count(*) / sum(count(*)) OVER (PARTITION BY feature) AS p
+       FROM cl WHERE side = 'cur' GROUP BY feature, value),
+pc0 AS (SELECT coalesce(rp.feature, cp.feature) AS feature, coalesce(rp.p, 1e-6) AS r, coalesce(cp.p, 1e-6) AS c
+        FROM rp FULL OUTER JOIN cp ON rp.feature = cp.feature AND rp.value = cp.value),
+psic AS (SELECT f.feature, CASE WHEN EXISTS (SELECT 1 FROM rp WHERE rp.feature = f.feature)
+                                 AND EXISTS (SELECT 1 FROM cp WHERE cp.feature = f.feature)
+                            THEN (SELECT sum((c - r) * ln(c / r)) FROM pc0 WHERE pc0.feature = f.feature) END AS psi
+         FROM (SELECT DISTINCT feature FROM pc0) f)"""
+
+_DN = ["loan_amnt", "dti", "annual_inc"]
+_DC = ["purpose", "home_ownership"]
+ORACLE["histogram"] = sql(*scored_clean(), DRIFT_SRC, _num_long(_DN), HIST,
+                          final="SELECT feature, bin, rc AS ref_count, cc AS cur_count FROM hc")
+ORACLE["psi_numeric"] = sql(*scored_clean(), DRIFT_SRC, _num_long(_DN), HIST, PSI_NUM,
+                            final=f"SELECT feature, {r6('psi')} FROM psin")
+ORACLE["psi_categorical"] = sql(*scored_clean(), DRIFT_SRC, _cat_long(_DC), PSI_CAT,
+                                final=f"SELECT feature, {r6('psi')} FROM psic")
+ORACLE["psi_all"] = sql(*scored_clean(), DRIFT_SRC, _num_long(_DN + ["int_rate"]), HIST, PSI_NUM,
+                        _cat_long(_DC), PSI_CAT, final=(
+    f"SELECT feature, 'numeric' AS kind, {r6('psi')} FROM psin "
+    f"UNION ALL SELECT feature, 'categorical' AS kind, {r6('psi')} FROM psic"))
+
+_SIDE_AUC = """
+{n}rk AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r
+       FROM src WHERE side = '{s}'),
+{n}auc AS (SELECT (sum(CASE WHEN label = 1 THEN r END) - sum(label) * (sum(label) + 1) / 2.0)
+               / (sum(label) * sum(1 - label)) AS roc_auc FROM {n}rk),
+{n}sc AS (SELECT score, sum(label) AS tp, sum(1 - label) AS fp FROM src WHERE side = '{s}' GROUP BY score),
+{n}cum AS (SELECT score, sum(tp) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS ctp,
+                  sum(fp) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cfp,
+                  (SELECT sum(tp) FROM {n}sc) AS P FROM {n}sc),
+{n}seq AS (SELECT ctp / P AS rec, ctp / (ctp + cfp) AS prec,
+                  lag(ctp / P, 1, 0.0) OVER (ORDER BY score DESC) AS prev_rec,
+                  lag(ctp / (ctp + cfp), 1, 1.0) OVER (ORDER BY score DESC) AS prev_prec FROM {n}cum),
+{n}pra AS (SELECT sum((rec - prev_rec) * (prec + prev_prec) / 2) AS pr_auc FROM {n}seq)"""
+MONITOR = (_SIDE_AUC.format(n="r_", s="ref") + "," + _SIDE_AUC.format(n="c_", s="cur") + """,
+mon0 AS (SELECT c_auc.roc_auc AS current_roc_auc, c_pra.pr_auc AS current_pr_auc,
+                r_auc.roc_auc AS reference_roc_auc, r_pra.pr_auc AS reference_pr_auc
+         FROM c_auc JOIN c_pra ON TRUE JOIN r_auc ON TRUE JOIN r_pra ON TRUE),
+mon AS (SELECT *, current_roc_auc - reference_roc_auc AS auc_change, current_pr_auc - reference_pr_auc AS pr_auc_change,
+               abs(current_roc_auc - reference_roc_auc) AS auc_drift, abs(current_pr_auc - reference_pr_auc) AS pr_auc_drift,
+               abs(current_roc_auc - reference_roc_auc) > 0.05 AS auc_degradation,
+               abs(current_pr_auc - reference_pr_auc) > 0.05 AS pr_auc_degradation FROM mon0)""")
+ORACLE["performance_monitor"] = sql(*scored_clean(), DRIFT_SRC, MONITOR, final=(
+    f"SELECT {r6('current_roc_auc', 'current_pr_auc', 'reference_roc_auc', 'reference_pr_auc', 'auc_change', 'pr_auc_change', 'auc_drift', 'pr_auc_drift')}, "
+    "auc_degradation, pr_auc_degradation, concat_ws(' | ', "
+    "CASE WHEN auc_degradation THEN printf('AUC degradation detected (%.3f). Consider model retraining.', auc_drift) END, "
+    "CASE WHEN pr_auc_degradation THEN printf('PR-AUC degradation detected (%.3f). Review model performance.', pr_auc_drift) END, "
+    "CASE WHEN NOT auc_degradation AND NOT pr_auc_degradation THEN 'Model performance is stable. Continue monitoring.' END"
+    ") AS recommendations FROM mon"))
+ORACLE["governance_report"] = sql(
+    *scored_clean(), DRIFT_SRC, _num_long(_DN + ["int_rate"]), HIST, PSI_NUM, _cat_long(_DC), PSI_CAT,
+    "psiall AS (SELECT feature, psi FROM psin UNION ALL SELECT feature, psi FROM psic)",
+    MONITOR, PROXIES, LONG_GROUPS, GROUP_METRICS, GAPS, """
+fs AS (SELECT coalesce(max(gap) FILTER (WHERE metric = 'tpr'), 0.0) AS max_tpr_gap,
+              count(*) FILTER (WHERE gap > 0.1) AS n_problematic FROM gaps),
+dq AS (SELECT coalesce(bool_or(psi > 0.2), false) AS drift_detected,
+              coalesce(string_agg(CASE WHEN psi > 0.2 THEN feature END, ',' ORDER BY feature), '') AS high_drift_features,
+              avg(psi) AS avg_psi FROM psiall),
+gov AS (SELECT dq.*, mon.current_roc_auc, NOT (mon.auc_degradation OR mon.pr_auc_degradation) AS performance_stable,
+               fs.max_tpr_gap AS max_disparity, fs.n_problematic FROM dq JOIN mon ON TRUE JOIN fs ON TRUE)""",
+    final=(
+        f"SELECT 'delinquency_model' AS model_name, '1' AS model_version, drift_detected, high_drift_features, "
+        f"{r6('avg_psi', 'current_roc_auc')}, performance_stable, {r6('max_disparity')}, 4 AS groups_analyzed, "
+        "CASE WHEN NOT drift_detected AND performance_stable AND n_problematic = 0 "
+        "THEN 'No immediate action required. Continue regular monitoring.' ELSE concat_ws(' | ', "
+        "CASE WHEN drift_detected THEN 'High data drift detected. Review feature distributions and consider retraining.' END, "
+        "CASE WHEN NOT performance_stable THEN 'Performance degradation detected. Investigate causes and retrain if necessary.' END, "
+        "CASE WHEN n_problematic > 0 THEN 'Fairness issues identified. Review model decisions for affected groups.' END) END "
+        "AS action_items FROM gov"))
+ORACLE["model_card"] = sql(
+    *loans_clean(), LABELLED, SPLIT, CONF, RANK_AUC, CUM, PR_AUC, KS,
+    "ov AS (SELECT split, count(*) AS n FROM splitted GROUP BY split)",
+    CLEANED.format(src="scored").replace("cleaned AS", "scleaned AS"),
+    ENGINEERED.replace("eng AS", "seng AS").replace("FROM cleaned", "FROM scleaned"),
+    PROXIES.replace("FROM eng", "FROM seng"), LONG_GROUPS, GROUP_METRICS, GAPS, """
+fs AS (SELECT coalesce(max(gap) FILTER (WHERE metric = 'tpr'), 0.0) AS max_tpr_gap,
+              coalesce(max(gap) FILTER (WHERE metric = 'fpr'), 0.0) AS max_fpr_gap FROM gaps)""",
+    final=(
+        "SELECT 'delinquency_model' AS name, '1' AS version, 18 AS n_features, "
+        "(SELECT n FROM ov WHERE split = 'train') AS train_size, (SELECT n FROM ov WHERE split = 'val') AS val_size, "
+        "(SELECT n FROM ov WHERE split = 'test') AS test_size, "
+        f"{r6('roc_auc', 'pr_auc', 'ks_statistic', 'brier_score')}, "
+        "'loan_amnt,installment,annual_inc,int_rate,revol_util,term,emp_length,purpose,home_ownership,dti,"
+        "revol_bal,total_rev_hi_lim,payment_to_income,credit_utilization,credit_age_months,loan_to_income,"
+        "emp_length_numeric,term_months' AS features, "
+        f"{r6('max_tpr_gap', 'max_fpr_gap')}, "
+        "'income_quartile,state_income_level,loan_purpose_type,credit_maturity' AS groups_analyzed "
+        "FROM conf JOIN auc ON TRUE JOIN pra ON TRUE JOIN ks ON TRUE JOIN fs ON TRUE"))
