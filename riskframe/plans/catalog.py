@@ -363,3 +363,76 @@ def q_model_card(spark, sf):
         F.col("fairness_metrics.max_tpr_gap").alias("max_tpr_gap"),
         F.col("fairness_metrics.max_fpr_gap").alias("max_fpr_gap"),
         F.concat_ws(",", "fairness_metrics.groups_analyzed").alias("groups_analyzed"))
+
+
+# --- explanation -------------------------------------------------------------------------
+
+from riskframe.operators import explain as _x  # noqa: E402
+from riskframe.schema import KEY_FEATURES  # noqa: E402
+
+
+@register("linear_contributions")
+def q_linear_contributions(spark, sf):
+    """X2(a): exact per-row, per-feature contributions of a logistic scorer."""
+    return frames.contributions(spark, sf)
+
+
+@register("global_importance")
+def q_global_importance(spark, sf):
+    """Mean |contribution| per feature, ranked (top 20)."""
+    return _x.global_importance(frames.contributions(spark, sf))
+
+
+@register("importance_described")
+def q_importance_described(spark, sf):
+    """Importance sorted with dictionary descriptions."""
+    return _x.describe_features(_x.global_importance(frames.contributions(spark, sf)),
+                                frames.dictionary(spark))
+
+
+@register("importance_topk")
+def q_importance_topk(spark, sf):
+    """O2: top 3 features with rank."""
+    return _x.top_k(_x.global_importance(frames.contributions(spark, sf)), 3)
+
+
+@register("risk_features")
+def q_risk_features(spark, sf):
+    """Risk-keyword features, first 5 by importance."""
+    return _x.risk_features(_x.global_importance(frames.contributions(spark, sf)))
+
+
+@register("dependence_pairs")
+def q_dependence(spark, sf):
+    """(value, contribution) of the first 3 key features, with int_rate alongside."""
+    keys = [f for f in KEY_FEATURES if f in frames.EXPLAIN_COEFS][:3]
+    return _x.dependence_pairs(frames.contributions(spark, sf), keys, interaction="int_rate")
+
+
+@register("waterfall")
+def q_waterfall(spark, sf):
+    """Waterfalls of the first three high-risk rows."""
+    c = frames.contributions(spark, sf)
+    scores = c.select("id", "probability", "logit").distinct()
+    top = _x.high_risk(scores, n=3).select("id")
+    return _x.waterfall(c.join(top, "id", "left_semi"))
+
+
+@register("counterfactuals")
+def q_counterfactuals(spark, sf):
+    """Up to three suggestions per row with texts and re-scored probability."""
+    return _x.counterfactuals(frames.contributions(spark, sf), coefs=frames.EXPLAIN_COEFS)
+
+
+@register("high_risk")
+def q_high_risk(spark, sf):
+    """First 10 rows scoring above 0.7."""
+    scores = _x.linear_scores(frames.explain_frame(spark, sf), frames.EXPLAIN_COEFS,
+                              frames.EXPLAIN_INTERCEPT)
+    return _x.high_risk(scores)
+
+
+@register("seeded_sample")
+def q_seeded_sample(spark, sf):
+    """100-row seeded sample (hash order; rows-only check)."""
+    return _x.seeded_sample(tables.scored(spark, sf), 100).select("id", "label", "score")

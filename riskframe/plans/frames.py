@@ -34,3 +34,48 @@ def drift_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     df = engineer_features(clean_loans(tables.scored(spark, sf_dir)))
     in_ref = F.col("issue_d") <= F.lit(tables.FIXTURE_TRAIN_END).cast("date")
     return df.where(in_ref), df.where(~in_ref)
+
+
+# --- fixed values: the literal logistic scorer used by the explanation fixtures ----
+EXPLAIN_COEFS = {
+    "int_rate": 0.08, "dti": 0.03, "annual_inc": -1e-05, "revol_util": 0.01,
+    "loan_to_income": 0.5, "credit_age_months": -0.002, "emp_length_numeric": -0.02,
+}
+EXPLAIN_INTERCEPT = -1.0
+
+# --- fixed values: data dictionary entries for the loan columns --------------------
+DICTIONARY = [
+    ("addr_state", "The state provided by the borrower in the loan application"),
+    ("annual_inc", "The self-reported annual income provided by the borrower during registration."),
+    ("dti", "A ratio calculated using the borrower’s total monthly debt payments on the total debt "
+            "obligations, excluding mortgage and the requested LC loan, divided by the borrower’s "
+            "self-reported monthly income."),
+    ("earliest_cr_line", "The month the borrower's earliest reported credit line was opened"),
+    ("emp_length", "Employment length in years. Possible values are between 0 and 10 where 0 means "
+                   "less than one year and 10 means ten or more years. "),
+    ("installment", "The monthly payment owed by the borrower if the loan originates."),
+    ("int_rate", "Interest Rate on the loan"),
+    ("issue_d", "The month which the loan was funded"),
+    ("loan_status", "Current status of the loan"),
+    ("purpose", "A category provided by the borrower for the loan request. "),
+    ("revol_bal", "Total credit revolving balance"),
+    ("revol_util", "Revolving line utilization rate, or the amount of credit the borrower is using "
+                   "relative to all available revolving credit."),
+    ("term", "The number of payments on the loan. Values are in months and can be either 36 or 60."),
+]
+
+
+def dictionary(spark: SparkSession) -> DataFrame:
+    """The loan-column slice of the data dictionary as a small table."""
+    return spark.createDataFrame(DICTIONARY, "feature string, description string")
+
+
+def explain_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored loans, cleaned and engineered, as the explanation input."""
+    return engineer_features(clean_loans(tables.scored(spark, sf_dir)))
+
+
+def contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact linear contributions of the fixture scorer for every scored loan."""
+    from riskframe.operators.explain import linear_contributions
+    return linear_contributions(explain_frame(spark, sf_dir), EXPLAIN_COEFS, EXPLAIN_INTERCEPT)

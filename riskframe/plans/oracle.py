@@ -147,8 +147,13 @@ cls AS (
   FROM conf)"""
 
 
+def round6(x: str) -> str:
+    """Half-up to 6 decimals by the same IEEE steps the Spark side takes."""
+    return f"(CASE WHEN abs({x}) < 1e12 THEN floor(({x}) * 1e6 + 0.5) / 1e6 ELSE ({x}) END)"
+
+
 def r6(*cols: str) -> str:
-    return ", ".join(f"(CASE WHEN abs({c}) < 1e12 THEN floor(({c}) * 1e6 + 0.5) / 1e6 ELSE ({c}) END) AS {c}" for c in cols)
+    return ", ".join(f"{round6(c)} AS {c}" for c in cols)
 
 
 def sql(*ctes: str, final: str) -> str:
@@ -462,3 +467,98 @@ fs AS (SELECT coalesce(max(gap) FILTER (WHERE metric = 'tpr'), 0.0) AS max_tpr_g
         f"{r6('max_tpr_gap', 'max_fpr_gap')}, "
         "'income_quartile,state_income_level,loan_purpose_type,credit_maturity' AS groups_analyzed "
         "FROM conf JOIN auc ON TRUE JOIN pra ON TRUE JOIN ks ON TRUE JOIN fs ON TRUE"))
+
+
+_COEFS = {"int_rate": 0.08, "dti": 0.03, "annual_inc": -1e-05, "revol_util": 0.01,
+          "loan_to_income": 0.5, "credit_age_months": -0.002, "emp_length_numeric": -0.02}
+
+
+def _lit(v: float) -> str:
+    return f"CAST('{v!r}' AS DOUBLE)"
+
+
+def _logit_sql(prefix: str) -> str:
+    z = "CAST('-1.0' AS DOUBLE)"
+    for f, b in _COEFS.items():
+        z = f"({z} + {_lit(b)} * {prefix}{f})"
+    return z
+
+
+CONTRIB = ("bgm AS (SELECT " + ", ".join(f"avg({f}) AS m_{f}" for f in _COEFS) + " FROM eng),\n"
+           "xf AS (SELECT id, " + ", ".join(f"coalesce({f}, m_{f}) AS {f}" for f in _COEFS) + ", "
+           + ", ".join(f"m_{f}" for f in _COEFS) + " FROM eng JOIN bgm ON TRUE),\n"
+           "xs AS (SELECT *, " + _logit_sql("") + " AS logit, " + _logit_sql("m_") + " AS base_value FROM xf),\n"
+           "contrib AS (" + " UNION ALL ".join(
+               f"SELECT id, '{f}' AS feature, {f} AS value, {_lit(b)} * ({f} - m_{f}) AS contribution, "
+               f"base_value, logit, 1.0 / (1.0 + exp(-logit)) AS probability FROM xs"
+               for f, b in _COEFS.items()) + ")")
+GIMP = """
+gimp AS (SELECT feature, avg(abs(contribution)) AS importance,
+                row_number() OVER (ORDER BY avg(abs(contribution)) DESC, feature) AS rank
+         FROM contrib GROUP BY feature)"""
+ORACLE["linear_contributions"] = sql(*scored_clean(), CONTRIB, final=(
+    f"SELECT id, feature, {r6('value', 'contribution', 'base_value', 'logit', 'probability')} FROM contrib"))
+ORACLE["global_importance"] = sql(*scored_clean(), CONTRIB, GIMP, final=(
+    f"SELECT feature, {r6('importance')}, CAST(rank AS INTEGER) AS rank FROM gimp WHERE rank <= 20"))
+_DICT = ("dict AS (SELECT * FROM (VALUES "
+         "('annual_inc', 'The self-reported annual income provided by the borrower during registration.'), "
+         "('dti', 'A ratio calculated using the borrower’s total monthly debt payments on the total debt "
+         "obligations, excluding mortgage and the requested LC loan, divided by the borrower’s "
+         "self-reported monthly income.'), "
+         "('int_rate', 'Interest Rate on the loan'), "
+         "('revol_util', 'Revolving line utilization rate, or the amount of credit the borrower is using "
+         "relative to all available revolving credit.'), "
+         "('emp_length', 'Employment length in years. Possible values are between 0 and 10 where 0 means "
+         "less than one year and 10 means ten or more years. ')) AS t(feature, description))")
+ORACLE["importance_described"] = sql(*scored_clean(), CONTRIB, GIMP, _DICT, final=(
+    f"SELECT g.feature, {r6('importance')}, CAST(rank AS INTEGER) AS rank, "
+    "coalesce(d.description, 'No description available') AS description "
+    "FROM gimp g LEFT JOIN dict d ON g.feature = d.feature WHERE rank <= 20"))
+ORACLE["importance_topk"] = sql(*scored_clean(), CONTRIB, GIMP, final=(
+    f"SELECT feature, {r6('importance')}, CAST(rank AS INTEGER) AS rank FROM gimp WHERE rank <= 3"))
+ORACLE["risk_features"] = sql(*scored_clean(), CONTRIB, GIMP, final=(
+    f"SELECT feature, {r6('importance')}, CAST(rank AS INTEGER) AS rank, CAST(risk_rank AS INTEGER) AS risk_rank "
+    "FROM (SELECT *, row_number() OVER (ORDER BY rank) AS risk_rank FROM gimp WHERE rank <= 20 AND ("
+    "lower(feature) LIKE '%delinq%' OR lower(feature) LIKE '%dti%' OR lower(feature) LIKE '%revol_util%' "
+    "OR lower(feature) LIKE '%pub_rec%' OR lower(feature) LIKE '%inq%' OR lower(feature) LIKE '%fico%')) "
+    "WHERE risk_rank <= 5"))
+ORACLE["dependence_pairs"] = sql(*scored_clean(), CONTRIB, final=(
+    f"SELECT c.id, c.feature, {r6('c.value')}, {r6('c.contribution')}, {r6('i.value')} "
+    "FROM contrib c LEFT JOIN contrib i ON c.id = i.id AND i.feature = 'int_rate' "
+    "WHERE c.feature IN ('dti', 'revol_util', 'annual_inc')").replace(
+    "AS c.value", "AS value").replace("AS c.contribution", "AS contribution").replace(
+    "AS i.value", "AS interaction_value"))
+ORACLE["waterfall"] = sql(*scored_clean(), CONTRIB, """
+top3 AS (SELECT id FROM (SELECT DISTINCT id, probability, logit FROM contrib) WHERE probability > 0.7
+         ORDER BY logit DESC, id LIMIT 3),
+wf0 AS (SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY abs(contribution) DESC, feature) AS INTEGER)
+               AS position, feature, value, contribution FROM contrib WHERE id IN (SELECT id FROM top3)
+        UNION ALL SELECT DISTINCT id, 0, 'base_value', CAST(NULL AS DOUBLE), base_value FROM contrib
+        WHERE id IN (SELECT id FROM top3))""", final=(
+    "SELECT id, position, feature, " + r6("value", "contribution") + ", "
+    + round6("sum(contribution) OVER (PARTITION BY id ORDER BY position ROWS UNBOUNDED PRECEDING)")
+    + " AS cumulative FROM wf0"))
+_CF_TEXT = ("CASE feature WHEN 'dti' THEN printf('Reduce debt-to-income ratio from %.2f to %.2f', value, sug) "
+            "WHEN 'revol_util' THEN printf('Reduce credit utilization from %.1f%% to %.1f%%', value, sug) "
+            "WHEN 'annual_inc' THEN 'Increase annual income from $' || format('{:,.0f}', value) || ' to $' "
+            "|| format('{:,.0f}', sug) "
+            "WHEN 'delinq_2yrs' THEN printf('Reduce recent delinquencies (currently %.0f)', value) "
+            "ELSE printf('%s %s from %.2f to %.2f', CASE dir WHEN 'increase' THEN 'Increase' ELSE 'Decrease' END, "
+            "feature, value, sug) END")
+_CF_DELTA = "CASE feature " + " ".join(f"WHEN '{f}' THEN {_lit(b)}" for f, b in _COEFS.items()) + " ELSE 0.0 END"
+ORACLE["counterfactuals"] = sql(*scored_clean(), CONTRIB, f"""
+cr AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY abs(contribution) DESC, feature) AS ar FROM contrib),
+cf0 AS (SELECT *, CASE WHEN contribution > 0 THEN 'decrease' ELSE 'increase' END AS dir,
+               CASE WHEN contribution > 0 THEN value * {_lit(0.8)} ELSE value * {_lit(1.2)} END AS sug
+        FROM cr WHERE ar <= 6 AND NOT (contribution > 0 AND value <= 0)),
+cf1 AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ar) AS sr FROM cf0),
+cf AS (SELECT *, logit + sum(({_CF_DELTA}) * (sug - value)) OVER (PARTITION BY id) AS z FROM cf1 WHERE sr <= 3)""",
+    final=("SELECT id, CAST(sr AS INTEGER) AS suggestion_rank, feature, "
+           f"{round6('value')} AS current_value, {round6('sug')} AS suggested_value, dir AS change_direction, "
+           f"{round6('contribution')} AS shap_impact, {round6('abs(sug - value)')} AS change_magnitude, "
+           f"{_CF_TEXT} AS recommendation, {round6('probability')} AS current_probability, "
+           f"{round6('probability + ' + _lit(-0.1))} AS target_probability, "
+           f"{round6('1.0 / (1.0 + exp(-z))')} AS rescored_probability FROM cf"))
+ORACLE["high_risk"] = sql(*scored_clean(), CONTRIB, final=(
+    f"SELECT id, {r6('probability')} FROM (SELECT DISTINCT id, probability, logit FROM contrib) "
+    "WHERE probability > 0.7 ORDER BY logit DESC, id LIMIT 10"))
