@@ -436,3 +436,84 @@ def q_high_risk(spark, sf):
 def q_seeded_sample(spark, sf):
     """100-row seeded sample (hash order; rows-only check)."""
     return _x.seeded_sample(tables.scored(spark, sf), 100).select("id", "label", "score")
+
+
+# --- imputation and encoding ------------------------------------------------------------
+
+from riskframe.operators import profile as _prof  # noqa: E402
+from riskframe.plans import training as _train  # noqa: E402
+
+IMPUTE_NUMERIC = ["int_rate", "revol_util", "annual_inc", "dti", "payment_to_income",
+                  "credit_age_months", "loan_to_income"]
+ENCODE_TEXT = ["term", "emp_length", "loan_status", "purpose", "addr_state", "home_ownership"]
+FITTED_TEXT = ["emp_length", "purpose", "home_ownership", "term"]
+
+
+@register("median_imputed")
+def q_median_imputed(spark, sf):
+    """Train medians fill NULL numerics in every split."""
+    df = frames.split_loans(spark, sf)
+    med = _enc.fit_medians(df.where(F.col("split") == "train"), IMPUTE_NUMERIC)
+    return _enc.transform_medians(df, med, IMPUTE_NUMERIC).select("id", "split", *IMPUTE_NUMERIC)
+
+
+@register("unknown_filled")
+def q_unknown_filled(spark, sf):
+    """Categorical NULL -> 'Unknown'."""
+    return _enc.fill_unknown(frames.split_loans(spark, sf), ["emp_length", "purpose", "home_ownership"]) \
+        .select("id", "emp_length", "purpose", "home_ownership")
+
+
+@register("frame_encoded")
+def q_frame_encoded(spark, sf):
+    """Per-frame codes (rank among sorted distinct values, NULL -> -1)."""
+    return _enc.frame_encode(frames.engineered_loans(spark, sf), ENCODE_TEXT).select("id", *ENCODE_TEXT)
+
+
+@register("fitted_encoded")
+def q_fitted_encoded(spark, sf):
+    """Codes fitted on train, unseen -> code of 'Unknown'."""
+    return _enc.fitted_encode(frames.split_loans(spark, sf), FITTED_TEXT).select("id", "split", *FITTED_TEXT)
+
+
+@register("prepared")
+def q_prepared(spark, sf):
+    """Leakage drop, kinds from train, medians, codes."""
+    prepared, _ = _train.prepare(frames.split_loans(spark, sf))
+    return prepared
+
+
+# --- profiling ------------------------------------------------------------------------------
+
+def _profile(spark, sf):
+    return _prof.feature_profile(frames.engineered_loans(spark, sf), TARGET, frames.dictionary(spark))
+
+
+@register("feature_profile")
+def q_feature_profile(spark, sf):
+    """Per-column dtype, missing, distinct, moments, description."""
+    return _profile(spark, sf)
+
+
+@register("top_values")
+def q_top_values(spark, sf):
+    """A2: three most frequent values of each text column."""
+    return _prof.top_values(frames.engineered_loans(spark, sf).drop(TARGET))
+
+
+@register("missing_report")
+def q_missing_report(spark, sf):
+    """Features with missing values, most first."""
+    return _prof.missing_report(_profile(spark, sf))
+
+
+@register("top_missing")
+def q_top_missing(spark, sf):
+    """O3: five features with the highest missing share."""
+    return _prof.top_missing(_profile(spark, sf))
+
+
+@register("profile_summary")
+def q_profile_summary(spark, sf):
+    """Numeric versus categorical and missing counts."""
+    return _prof.profile_summary(_profile(spark, sf))

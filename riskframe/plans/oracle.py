@@ -500,16 +500,27 @@ ORACLE["linear_contributions"] = sql(*scored_clean(), CONTRIB, final=(
     f"SELECT id, feature, {r6('value', 'contribution', 'base_value', 'logit', 'probability')} FROM contrib"))
 ORACLE["global_importance"] = sql(*scored_clean(), CONTRIB, GIMP, final=(
     f"SELECT feature, {r6('importance')}, CAST(rank AS INTEGER) AS rank FROM gimp WHERE rank <= 20"))
-_DICT = ("dict AS (SELECT * FROM (VALUES "
-         "('annual_inc', 'The self-reported annual income provided by the borrower during registration.'), "
-         "('dti', 'A ratio calculated using the borrower’s total monthly debt payments on the total debt "
-         "obligations, excluding mortgage and the requested LC loan, divided by the borrower’s "
-         "self-reported monthly income.'), "
-         "('int_rate', 'Interest Rate on the loan'), "
-         "('revol_util', 'Revolving line utilization rate, or the amount of credit the borrower is using "
-         "relative to all available revolving credit.'), "
-         "('emp_length', 'Employment length in years. Possible values are between 0 and 10 where 0 means "
-         "less than one year and 10 means ten or more years. ')) AS t(feature, description))")
+_DICT_ROWS = [
+    ("addr_state", "The state provided by the borrower in the loan application"),
+    ("annual_inc", "The self-reported annual income provided by the borrower during registration."),
+    ("dti", "A ratio calculated using the borrower’s total monthly debt payments on the total debt "
+            "obligations, excluding mortgage and the requested LC loan, divided by the borrower’s "
+            "self-reported monthly income."),
+    ("earliest_cr_line", "The month the borrower's earliest reported credit line was opened"),
+    ("emp_length", "Employment length in years. Possible values are between 0 and 10 where 0 means "
+                   "less than one year and 10 means ten or more years. "),
+    ("installment", "The monthly payment owed by the borrower if the loan originates."),
+    ("int_rate", "Interest Rate on the loan"),
+    ("issue_d", "The month which the loan was funded"),
+    ("loan_status", "Current status of the loan"),
+    ("purpose", "A category provided by the borrower for the loan request. "),
+    ("revol_bal", "Total credit revolving balance"),
+    ("revol_util", "Revolving line utilization rate, or the amount of credit the borrower is using "
+                   "relative to all available revolving credit."),
+    ("term", "The number of payments on the loan. Values are in months and can be either 36 or 60."),
+]
+_DICT = ("dict AS (SELECT * FROM (VALUES " + ", ".join(
+    "('{}', '{}')".format(k, v.replace("'", "''")) for k, v in _DICT_ROWS) + ") AS t(feature, description))")
 ORACLE["importance_described"] = sql(*scored_clean(), CONTRIB, GIMP, _DICT, final=(
     f"SELECT g.feature, {r6('importance')}, CAST(rank AS INTEGER) AS rank, "
     "coalesce(d.description, 'No description available') AS description "
@@ -562,3 +573,110 @@ cf AS (SELECT *, logit + sum(({_CF_DELTA}) * (sug - value)) OVER (PARTITION BY i
 ORACLE["high_risk"] = sql(*scored_clean(), CONTRIB, final=(
     f"SELECT id, {r6('probability')} FROM (SELECT DISTINCT id, probability, logit FROM contrib) "
     "WHERE probability > 0.7 ORDER BY logit DESC, id LIMIT 10"))
+
+
+# --- imputation and encoding ------------------------------------------------------------------
+
+_IMP = ["int_rate", "revol_util", "annual_inc", "dti", "payment_to_income", "credit_age_months",
+        "loan_to_income"]
+ORACLE["median_imputed"] = sql(*loans_clean(), LABELLED, SPLIT,
+                               "med AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in _IMP)
+                               + " FROM splitted WHERE split = 'train')", final=(
+    "SELECT id, split, " + ", ".join(f"{round6(f'coalesce({c}, m_{c})')} AS {c}" for c in _IMP)
+    + " FROM splitted JOIN med ON TRUE"))
+ORACLE["unknown_filled"] = sql(*loans_clean(), LABELLED, SPLIT, final=(
+    "SELECT id, coalesce(emp_length, 'Unknown') AS emp_length, coalesce(purpose, 'Unknown') AS purpose, "
+    "coalesce(home_ownership, 'Unknown') AS home_ownership FROM splitted"))
+
+
+def _codes(src: str, cols: list[str], where: str = "") -> str:
+    return ",\n".join(
+        f"k_{c} AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code "
+        f"FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM {src} WHERE {c} IS NOT NULL {where}))"
+        for c in cols)
+
+
+_ENC = ["term", "emp_length", "loan_status", "purpose", "addr_state", "home_ownership"]
+ORACLE["frame_encoded"] = sql(*loans_clean(), LABELLED, _codes("labelled", _ENC), final=(
+    "SELECT id, " + ", ".join(f"coalesce(k_{c}.code, -1) AS {c}" for c in _ENC) + " FROM labelled "
+    + " ".join(f"LEFT JOIN k_{c} ON labelled.{c} = k_{c}.v" for c in _ENC)))
+
+
+def _fitted(src: str, cols: list[str], keep: str, numeric_src_cols: list[str] = ()) -> tuple[str, str]:
+    fe = (f"fe AS (SELECT {keep}, " + ", ".join(
+        f"coalesce(CAST({c} AS VARCHAR), 'Unknown') AS {c}" for c in cols)
+        + (", " + ", ".join(numeric_src_cols) if numeric_src_cols else "") + f" FROM {src})")
+    ks = _codes("fe", cols, "AND split = 'train'")
+    us = ",\n".join(f"u_{c} AS (SELECT coalesce(max(CASE WHEN v = 'Unknown' THEN code END), count(*)) AS u FROM k_{c})"
+                    for c in cols)
+    joins = " ".join(f"LEFT JOIN k_{c} ON fe.{c} = k_{c}.v JOIN u_{c} ON TRUE" for c in cols)
+    return f"{fe},\n{ks},\n{us}", joins
+
+
+_FIT = ["emp_length", "purpose", "home_ownership", "term"]
+_fit_ctes, _fit_joins = _fitted("splitted", _FIT, "id, split")
+ORACLE["fitted_encoded"] = sql(*loans_clean(), LABELLED, SPLIT, _fit_ctes, final=(
+    "SELECT fe.id, fe.split, " + ", ".join(f"CAST(coalesce(k_{c}.code, u_{c}.u) AS INTEGER) AS {c}" for c in _FIT)
+    + f" FROM fe {_fit_joins}"))
+
+_PREP_NUM = ["loan_amnt", "installment", "annual_inc", "int_rate", "revol_util", "dti", "revol_bal",
+             "total_rev_hi_lim", "payment_to_income", "credit_utilization", "credit_age_months",
+             "loan_to_income"]
+_PREP_CAT = ["term", "emp_length", "purpose", "home_ownership", "emp_length_numeric", "term_months"]
+_p_ctes, _p_joins = _fitted("splitted", _PREP_CAT, "id, split, delinq_90dpd", _PREP_NUM)
+ORACLE["prepared"] = sql(
+    *loans_clean(), LABELLED, SPLIT,
+    "pmed AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in _PREP_NUM)
+    + " FROM splitted WHERE split = 'train')", _p_ctes, final=(
+        "SELECT fe.id, fe.split, fe.delinq_90dpd, "
+        + ", ".join(f"{round6(f'coalesce(fe.{c}, m_{c})')} AS {c}" for c in _PREP_NUM) + ", "
+        + ", ".join(f"CAST(coalesce(k_{c}.code, u_{c}.u) AS INTEGER) AS {c}" for c in _PREP_CAT)
+        + f" FROM fe {_p_joins} JOIN pmed ON TRUE"))
+
+# --- profiling -------------------------------------------------------------------------------------
+
+_PROF_COLS = [("id", "bigint"), ("member_id", "bigint"), ("loan_amnt", "double"), ("installment", "double"),
+              ("annual_inc", "double"), ("int_rate", "double"), ("revol_util", "double"), ("term", "string"),
+              ("emp_length", "string"), ("issue_d", "date"), ("earliest_cr_line", "date"),
+              ("loan_status", "string"), ("purpose", "string"), ("addr_state", "string"),
+              ("home_ownership", "string"), ("dti", "double"), ("revol_bal", "double"),
+              ("total_rev_hi_lim", "double"), ("payment_to_income", "double"),
+              ("credit_utilization", "double"), ("credit_age_months", "double"),
+              ("loan_to_income", "double"), ("emp_length_numeric", "double"), ("term_months", "double")]
+_PROF_DICT = _DICT
+
+
+def _prof_row(c: str, t: str) -> str:
+    num = t in ("bigint", "double")
+    stats = (f"avg(CAST({c} AS DOUBLE)) AS mean, stddev_samp(CAST({c} AS DOUBLE)) AS std, "
+             f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max") if num else (
+        "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min, "
+        "CAST(NULL AS DOUBLE) AS max")
+    return (f"SELECT '{c}' AS feature_name, '{t}' AS dtype, {str(num).upper()} AS is_numeric, "
+            f"count(*) - count({c}) AS missing_count, (count(*) - count({c})) * 100.0 / count(*) AS missing_pct, "
+            f"count(DISTINCT {c}) AS unique_values, {stats} FROM labelled")
+
+
+PROFILE = ("prof0 AS (" + " UNION ALL ".join(_prof_row(c, t) for c, t in _PROF_COLS) + "),\n" + _PROF_DICT
+           + ",\nprof AS (SELECT p.*, coalesce(d.description, 'No description available') AS description "
+             "FROM prof0 p LEFT JOIN dict d ON p.feature_name = d.feature)")
+ORACLE["feature_profile"] = sql(*loans_clean(), LABELLED, PROFILE, final=(
+    "SELECT feature_name, dtype, is_numeric, missing_count, " + r6("missing_pct")
+    + ", unique_values, description, " + r6("mean", "std", "min", "max") + " FROM prof"))
+_TXT = [c for c, t in _PROF_COLS if t in ("string", "date")]
+ORACLE["top_values"] = sql(*loans_clean(), LABELLED, "tv AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM labelled" for c in _TXT) + "),\n"
+    "tc AS (SELECT feature, value, count(*) AS count FROM tv WHERE value IS NOT NULL GROUP BY feature, value)",
+    final=("SELECT feature, value, count, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER "
+           "(PARTITION BY feature ORDER BY count DESC, value) AS rank FROM tc) WHERE rank <= 3"))
+MISSING = """
+mr AS (SELECT feature_name, missing_count, missing_pct,
+              row_number() OVER (ORDER BY missing_pct DESC, feature_name) AS rank FROM prof WHERE missing_pct > 0)"""
+ORACLE["missing_report"] = sql(*loans_clean(), LABELLED, PROFILE, MISSING, final=(
+    f"SELECT feature_name, missing_count, {r6('missing_pct')}, CAST(rank AS INTEGER) AS rank FROM mr"))
+ORACLE["top_missing"] = sql(*loans_clean(), LABELLED, PROFILE, MISSING, final=(
+    f"SELECT feature_name, missing_count, {r6('missing_pct')}, CAST(rank AS INTEGER) AS rank FROM mr WHERE rank <= 5"))
+ORACLE["profile_summary"] = sql(*loans_clean(), LABELLED, PROFILE, final=(
+    "SELECT count(*) AS n_features, count(*) FILTER (WHERE missing_pct > 0) AS n_with_missing, "
+    "count(*) FILTER (WHERE is_numeric) AS n_numeric, count(*) FILTER (WHERE NOT is_numeric) AS n_categorical "
+    "FROM prof"))
