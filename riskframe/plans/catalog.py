@@ -517,3 +517,76 @@ def q_top_missing(spark, sf):
 def q_profile_summary(spark, sf):
     """Numeric versus categorical and missing counts."""
     return _prof.profile_summary(_profile(spark, sf))
+
+
+# --- models (rows-only checks; properties in tests) ---------------------------------------
+
+from riskframe.operators import model as _model  # noqa: E402
+
+
+def _model_frame(spark, sf):
+    prepared, meta = _train.prepare(frames.split_loans(spark, sf))
+    feats = [r["feature"] for r in meta.orderBy("position").collect()]
+    return _train.model_inputs(prepared, feats), feats
+
+
+@register("gbt_scored")
+def q_gbt_scored(spark, sf):
+    """Class-weighted boosted trees with early stopping; test scores."""
+    frame, _ = _model_frame(spark, sf)
+    m = _model.train_gbt(frame, {"maxIter": 100})
+    return _model.score(m, frame.where(F.col("split") == "test")).select("id", "label", "score")
+
+
+@register("bounded_lr_scored")
+def q_bounded_lr(spark, sf):
+    """M2: sign-bounded logistic regression; test scores."""
+    frame, feats = _model_frame(spark, sf)
+    m = _model.train_monotone_lr(frame, feats)
+    return _model.score(m, frame.where(F.col("split") == "test")).select("id", "label", "score")
+
+
+@register("isotonic_calibrated")
+def q_isotonic(spark, sf):
+    """M3: isotonic calibration fitted on validation scores, applied to test."""
+    frame, feats = _model_frame(spark, sf)
+    s = _model.score(_model.train_monotone_lr(frame, feats), frame.where(F.col("split") != "train"))
+    iso = _model.calibrate_isotonic(s.where(F.col("split") == "val"))
+    return iso.transform(s.where(F.col("split") == "test")).select("id", "label", "score", "calibrated")
+
+
+@register("sigmoid_calibrated")
+def q_sigmoid(spark, sf):
+    """M3: Platt calibration with smoothed targets, applied to test."""
+    frame, feats = _model_frame(spark, sf)
+    s = _model.score(_model.train_monotone_lr(frame, feats), frame.where(F.col("split") != "train"))
+    sig = _model.calibrate_sigmoid(s.where(F.col("split") == "val"))
+    return _model.apply_sigmoid(sig, s.where(F.col("split") == "test")).select("id", "label", "score", "calibrated")
+
+
+@register("model_importance")
+def q_model_importance(spark, sf):
+    """M5: tree importances per feature, ranked."""
+    frame, feats = _model_frame(spark, sf)
+    return _model.feature_importance(_model.train_gbt(frame, {"maxIter": 20}), feats)
+
+
+@register("cv_results")
+def q_cv_results(spark, sf):
+    """M6: 3-fold stratified grid search (ROC-AUC) over a bounded-LR grid."""
+    frame, feats = _model_frame(spark, sf)
+    train = _model.stratified_folds(frame.where(F.col("split") == "train"), 3)
+    lo, hi = _model.monotone_bounds(feats)
+    from pyspark.ml.classification import LogisticRegression
+    est = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=100,
+                             lowerBoundsOnCoefficients=lo, upperBoundsOnCoefficients=hi)
+    return _model.cv_results(_model.cross_validate(train, est, {"regParam": [0.01, 0.1]}), spark)
+
+
+@register("monotonicity_audit")
+def q_monotonicity(spark, sf):
+    """Decile mean scores against the expected direction."""
+    df = frames.explain_frame(spark, sf)
+    return _model.monotonicity_audit(df, ["dti", "annual_inc", "int_rate", "revol_util",
+                                          "payment_to_income", "loan_to_income", "credit_age_months",
+                                          "emp_length_numeric"])

@@ -680,3 +680,20 @@ ORACLE["profile_summary"] = sql(*loans_clean(), LABELLED, PROFILE, final=(
     "SELECT count(*) AS n_features, count(*) FILTER (WHERE missing_pct > 0) AS n_with_missing, "
     "count(*) FILTER (WHERE is_numeric) AS n_numeric, count(*) FILTER (WHERE NOT is_numeric) AS n_categorical "
     "FROM prof"))
+
+
+_MONO = {"dti": 1, "annual_inc": -1, "int_rate": 1, "revol_util": 1, "payment_to_income": 1,
+         "loan_to_income": 1, "credit_age_months": -1, "emp_length_numeric": -1}
+ORACLE["monotonicity_audit"] = sql(*scored_clean(), "ml AS (" + " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, {d} AS direction, CAST({f} AS DOUBLE) AS value, score FROM eng WHERE {f} IS NOT NULL"
+    for f, d in _MONO.items()) + "),\n"
+    "mc AS (SELECT feature, quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS q FROM ml GROUP BY feature),\n"
+    "mb AS (SELECT ml.feature, direction, score, (" + " + ".join(
+        f"CASE WHEN value > q[{i}] THEN 1 ELSE 0 END" for i in range(1, 10)) + ") AS bin "
+    "FROM ml JOIN mc ON ml.feature = mc.feature),\n"
+    "mm AS (SELECT feature, bin, max(direction) AS direction, avg(score) AS ms FROM mb GROUP BY feature, bin),\n"
+    "md AS (SELECT *, ms - lag(ms) OVER (PARTITION BY feature ORDER BY bin) AS d FROM mm)",
+    final=("SELECT feature, CAST(max(direction) AS INTEGER) AS direction, count(*) AS n_bins, "
+           "count(*) FILTER (WHERE d * direction < 0) AS violations, "
+           + round6("count(*) FILTER (WHERE d * direction < 0) / (count(*) - 1)") + " AS violation_rate "
+           "FROM md GROUP BY feature"))

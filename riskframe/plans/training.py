@@ -40,3 +40,11 @@ def prepare(df: DataFrame, target: str = TARGET, split_col: str = "split",
         [(f, kind[f], i, DIRECTIONS.get(f, 0)) for i, f in enumerate(feats)],
         "feature string, kind string, position int, direction int")
     return prepared, meta
+
+
+def model_inputs(prepared: DataFrame, meta_features: Sequence[str], target: str = TARGET) -> DataFrame:
+    """Assembled, weighted model frame, checkpointed into the shared folder
+    before the iterative fits (long lineage, many passes)."""
+    from riskframe.operators.model import model_frame
+    from riskframe.session import cut_lineage
+    return cut_lineage(model_frame(prepared, meta_features, target))
