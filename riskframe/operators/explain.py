@@ -216,3 +216,81 @@ def counterfactuals(contrib: DataFrame, key: str = "id", max_changes: int = 3,
         z = F.col("logit") + F.sum(step).over(wr)
         out = out.withColumn("rescored_probability", F.lit(1.0) / (F.lit(1.0) + F.exp(-z)))
     return out.drop("logit")
+
+
+def permutation_contributions(model, rows: DataFrame, background: DataFrame, features: Sequence[str],
+                              key: str = "id", n_permutations: int = 8, n_background: int = 50,
+                              seed: int = SAMPLE_SEED, positive_index: int = 1) -> DataFrame:
+    """Sampled permutation Shapley values of any Spark ML model (X2 b).
+
+    Each (row, permutation) draws one background row by a seeded hash: an
+    equi-join on the drawn index against a background sample of bounded size
+    ``n_background`` (never all row x background pairs). Along the permutation
+    the row's values replace the background's one feature at a time; all
+    ``F + 1`` coalitions of all rows are scored by one ``model.transform``, and
+    the step between consecutive coalitions (``lag`` inside the small
+    ``(row, permutation)`` window) is the feature's marginal contribution,
+    averaged over permutations. Per row the contributions add up to the mean
+    over its permutations of ``f(x) - f(z)``.
+
+    Returns ``key, feature, contribution, base_value, prediction``.
+    """
+    from pyspark.ml.functions import array_to_vector
+    feats = list(features)
+    nf = len(feats)
+    bg = seeded_sample(background, n_background, key, seed).select(
+        F.array(*[F.col(f).cast("double") for f in feats]).alias("_z"), F.col(key).alias("_bk"))
+    bg = bg.withColumn("_bidx", F.row_number().over(Window.orderBy(
+        F.xxhash64("_bk", F.lit(seed)), "_bk")) - 1).drop("_bk")     # n_background rows
+    x = rows.select(key, F.array(*[F.col(f).cast("double") for f in feats]).alias("_x"))
+    x = x.select(key, "_x", F.explode(F.sequence(F.lit(0), F.lit(n_permutations - 1))).alias("_p"))
+    nbg = bg.agg(F.count(F.lit(1))).scalar()
+    x = x.withColumn("_bidx", F.pmod(F.xxhash64(F.col(key), F.col("_p"), F.lit(seed)), nbg).cast("int"))
+    x = x.join(F.broadcast(bg), "_bidx", "inner")      # broadcast side: n_background rows
+    idx = F.sequence(F.lit(0), F.lit(nf - 1))
+    order = F.transform(F.array_sort(F.transform(idx, lambda i: F.struct(
+        F.xxhash64(F.col(key), F.col("_p"), i, F.lit(seed)).alias("h"), i.alias("i")))), lambda s: s["i"])
+    x = x.withColumn("_ord", order).withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(nf))))
+    mixed = F.transform(idx, lambda i: F.when(F.array_position("_ord", i) - 1 < F.col("_j"), F.col("_x")[i])
+                        .otherwise(F.col("_z")[i]))
+    x = x.withColumn("_features", array_to_vector(mixed))
+    pred = model.transform(x.withColumnRenamed("_features", "features").drop(*[c for c in ("features",) if c in x.columns]))
+    pred = pred.withColumn("_v", vector_to_array_col(F.col("probability"), positive_index))
+    w = Window.partitionBy(key, "_p").orderBy("_j")
+    steps = pred.select(key, "_p", "_j", "_v", F.when(F.col("_j") > 0, F.element_at("_ord", F.col("_j"))).alias("_fi"),
+                        (F.col("_v") - F.lag("_v").over(w)).alias("_step"),
+                        F.first("_v").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+                        .alias("_base"),
+                        F.last("_v").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+                        .alias("_full"))
+    names = F.array(*[F.lit(f) for f in feats])
+    contrib = (steps.where(F.col("_j") > 0).groupBy(key, "_fi")
+               .agg(F.avg("_step").alias("contribution"), F.avg("_base").alias("base_value"),
+                    F.avg("_full").alias("prediction")))
+    return contrib.select(key, F.element_at(names, F.col("_fi") + 1).alias("feature"), "contribution",
+                          "base_value", "prediction")
+
+
+def vector_to_array_col(v: Column, index: int) -> Column:
+    from pyspark.ml.functions import vector_to_array
+    return vector_to_array(v)[index]
+
+
+def explanation_report(model, data: DataFrame, features: Sequence[str], key: str = "id",
+                       sample_size: int = 1000, key_features: Sequence[str] = ("dti", "revol_util",
+                                                                               "annual_inc", "int_rate"),
+                       **kw) -> dict[str, DataFrame]:
+    """Sample -> contributions -> importance -> high-risk rows -> waterfalls
+    (first three) -> dependence pairs (first three key features present)."""
+    sample = seeded_sample(data, sample_size, key)
+    contrib = permutation_contributions(model, sample, data, features, key, **kw)
+    importance = global_importance(contrib)
+    scores = contrib.groupBy(key).agg(F.max("prediction").alias("probability"))
+    risky = high_risk(scores, key, "probability", order_by=None)
+    first3 = risky.orderBy(F.col("probability").desc(), F.col(key)).limit(3).select(key)
+    kf = [f for f in key_features if f in features][:3]
+    with_base = contrib.withColumn("value", F.lit(None).cast("double"))
+    return {"sample": sample, "contributions": contrib, "importance": importance,
+            "high_risk": risky,
+            "waterfalls": waterfall(with_base.join(first3, key, "left_semi"), key),
+            "dependence": dependence_pairs(with_base, kf, key), "key_features": kf}

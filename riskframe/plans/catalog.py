@@ -590,3 +590,50 @@ def q_monotonicity(spark, sf):
     return _model.monotonicity_audit(df, ["dti", "annual_inc", "int_rate", "revol_util",
                                           "payment_to_income", "loan_to_income", "credit_age_months",
                                           "emp_length_numeric"])
+
+
+# --- run log (metric rows from two evaluations of the data) -----------------------------
+
+from riskframe.sources import sinks as _sinks  # noqa: E402
+
+
+@register("run_log_best")
+def q_run_log_best(spark, sf):
+    """Metric rows per run and the best run per experiment by ROC-AUC."""
+    ref, cur = frames.drift_pair(spark, sf)
+    runs = []
+    for run_id, part in (("full", tables.scored(spark, sf)), ("recent", cur), ("early", ref)):
+        ev = metrics.quick_evaluation(part)
+        runs.append(ev.select(F.lit("delinquency").alias("experiment"), F.lit(run_id).alias("run_id"),
+                              F.explode(F.array(
+                                  F.struct(F.lit("roc_auc").alias("name"), F.col("roc_auc").alias("value")),
+                                  F.struct(F.lit("pr_auc").alias("name"), F.col("pr_auc").alias("value")))
+                              ).alias("_m")).select("experiment", "run_id", "_m.*"))
+    log = runs[0].unionByName(runs[1]).unionByName(runs[2])
+    return _sinks.best_runs(log)
+
+
+@register("permutation_contributions")
+def q_permutation(spark, sf):
+    """X2(b): sampled permutation Shapley values of a trained model on a seeded sample."""
+    frame, feats = _model_frame(spark, sf)
+    m = _model.train_monotone_lr(frame, feats)
+    cols = frame.select("id", "features", "split")
+    from pyspark.ml.functions import vector_to_array
+    arr = cols.select("id", "split", vector_to_array("features").alias("_a"))
+    wide = arr.select("id", "split", *[F.col("_a")[i].alias(f) for i, f in enumerate(feats)])
+    rows = _x.seeded_sample(wide.where(F.col("split") == "test"), 100)
+    return _x.permutation_contributions(m, rows, wide.where(F.col("split") == "train"), feats,
+                                        n_permutations=6, n_background=50)
+
+
+@register("explanation_report")
+def q_explanation_report(spark, sf):
+    """Importance table of the explanation report on a 200-row sample."""
+    frame, feats = _model_frame(spark, sf)
+    m = _model.train_monotone_lr(frame, feats)
+    from pyspark.ml.functions import vector_to_array
+    arr = frame.select("id", vector_to_array("features").alias("_a"))
+    wide = arr.select("id", *[F.col("_a")[i].alias(f) for i, f in enumerate(feats)])
+    rep = _x.explanation_report(m, wide, feats, sample_size=200, n_permutations=4, n_background=30)
+    return rep["importance"]

@@ -697,3 +697,11 @@ ORACLE["monotonicity_audit"] = sql(*scored_clean(), "ml AS (" + " UNION ALL ".jo
            "count(*) FILTER (WHERE d * direction < 0) AS violations, "
            + round6("count(*) FILTER (WHERE d * direction < 0) / (count(*) - 1)") + " AS violation_rate "
            "FROM md GROUP BY feature"))
+
+
+ORACLE["run_log_best"] = sql(*scored_clean(), DRIFT_SRC, RANK_AUC,
+                             _SIDE_AUC.format(n="r_", s="ref"), _SIDE_AUC.format(n="c_", s="cur"), """
+rl AS (SELECT 'full' AS run_id, roc_auc AS value FROM auc
+       UNION ALL SELECT 'recent', roc_auc FROM c_auc UNION ALL SELECT 'early', roc_auc FROM r_auc)""",
+    final=(f"SELECT 'delinquency' AS experiment, run_id, {r6('value')}, "
+           "CAST(row_number() OVER (ORDER BY value DESC, run_id) AS INTEGER) AS rank FROM rl"))
