@@ -25,16 +25,6 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score",
             .agg(F.sum(y).alias("tp"), F.sum(F.lit(1) - y).alias("fp")))
 
 
-def _with_totals(cum: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach class totals P, N (per key; as scalar subqueries with no key)."""
-    if keys:
-        tot = counts.groupBy(*keys).agg(F.sum("tp").alias("P"), F.sum("fp").alias("N"))
-        return cum.join(tot, keys, "inner")
-    tot = counts.agg(F.struct(F.sum("tp").alias("P"), F.sum("fp").alias("N")).alias("t")).scalar()
-    return (cum.withColumn("_tot", tot)
-            .withColumns({"P": F.col("_tot.P"), "N": F.col("_tot.N")}).drop("_tot"))
-
-
 def cumulative_counts(df: DataFrame, label: str = "label", score: str = "score",
                       keys: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS,
                       keep_bucket: bool = False) -> DataFrame:
@@ -42,8 +32,8 @@ def cumulative_counts(df: DataFrame, label: str = "label", score: str = "score",
     keys = list(keys)
     counts = score_counts(df, label, score, keys)
     cum = running_sums(counts, score, ["tp", "fp"], keys, descending=True,
-                       n_buckets=n_buckets, keep_bucket=keep_bucket)
-    return _with_totals(cum, counts, keys)
+                       n_buckets=n_buckets, keep_bucket=keep_bucket, totals=True)
+    return cum.withColumnsRenamed({"total_tp": "P", "total_fp": "N"})
 
 
 def _ratio(num: Column, den: Column) -> Column:

@@ -60,18 +60,23 @@ def with_bucket(df: DataFrame, value: str, keys: Sequence[str] = (),
 def running_sums(df: DataFrame, value: str, measures: Sequence[str],
                  keys: Sequence[str] = (), descending: bool = False,
                  n_buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_",
-                 keep_bucket: bool = False) -> DataFrame:
+                 keep_bucket: bool = False, totals: bool = False) -> DataFrame:
     """Inclusive running sums of ``measures`` over ``value`` order within ``keys``.
 
-    ``df`` has one row per ``(keys, value)``. Adds ``{prefix}{m}`` columns.
+    ``df`` has one row per ``(keys, value)``. Adds ``{prefix}{m}`` columns, and
+    with ``totals`` also ``total_{m}`` (the sum over the whole key), read off the
+    same small offsets window instead of a separate aggregation and join.
     """
     keys = list(keys)
     x = with_bucket(df, value, keys, n_buckets)
-    totals = x.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
+    t = x.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
     border = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     wb = Window.partitionBy(*keys).orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_bucket", *[
-        F.coalesce(F.sum(f"_t_{m}").over(wb), F.lit(0)).alias(f"_o_{m}") for m in measures])
+    cols = [F.coalesce(F.sum(f"_t_{m}").over(wb), F.lit(0)).alias(f"_o_{m}") for m in measures]
+    if totals:
+        wk = Window.partitionBy(*keys)
+        cols += [F.sum(f"_t_{m}").over(wk).alias(f"total_{m}") for m in measures]
+    offsets = t.select(*keys, "_bucket", *cols)
     vorder = F.col(value).desc() if descending else F.col(value).asc()
     w = (Window.partitionBy(*keys, "_bucket").orderBy(vorder)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -95,22 +100,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     if dict(df.dtypes).get(value) in ("double", "float"):
         keep = keep & ~F.isnan(F.col(value))
     counts = df.where(keep).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    cum = running_sums(counts, value, ["_n"], keys, n_buckets=n_buckets)
+    x = running_sums(counts, value, ["_n"], keys, n_buckets=n_buckets, totals=True)
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
-    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    # per key: target ranks (0-based) of the lower and upper neighbour of each prob
-    targets = sizes.select(*keys, F.transform(prob_arr, lambda p: F.struct(
-        p.alias("prob"),
-        F.floor((F.col("_total") - 1) * p).alias("lo"),
-        F.ceil((F.col("_total") - 1) * p).alias("hi"),
-        ((F.col("_total") - 1) * p - F.floor((F.col("_total") - 1) * p)).alias("frac"),
-    )).alias("_targets"))
-    if keys:
-        x = cum.join(targets, keys, "inner")
-        tcol = F.col("_targets")
-    else:
-        x = cum.withColumn("_targets", targets.select(F.col("_targets")).scalar())
-        tcol = F.col("_targets")
+    # per row (of its key): target ranks (0-based) of the lower and upper neighbour of each prob
+    n1 = F.col("total__n") - 1
+    x = x.withColumn("_targets", F.transform(prob_arr, lambda p: F.struct(
+        p.alias("prob"), F.floor(n1 * p).alias("lo"), F.ceil(n1 * p).alias("hi"),
+        (n1 * p - F.floor(n1 * p)).alias("frac"))))
+    tcol = F.col("_targets")
     before = F.col("cum__n") - F.col("_n")
     hit_structs = []
     for j in range(1, len(probs) + 1):
