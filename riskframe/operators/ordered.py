@@ -19,42 +19,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
-EDGE_ACCURACY = 10000
+DEFAULT_BUCKETS = 1024
+EDGE_ACCURACY = 100000
 
 
-def _edges(df: DataFrame, value: str, keys: list[str], n_buckets: int) -> DataFrame | Column:
+def _edges(df: DataFrame, value: str, n_buckets: int) -> Column:
+    """Global approximate quantile edges of the distinct values (one scalar
+    subquery, ``n_buckets - 1`` numbers). Per-key partitions reuse the global
+    edges: a (key, bucket) partition is a subset of its global bucket, so it
+    is bounded by about ``distinct values / n_buckets`` rows for every key."""
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    agg = F.percentile_approx(F.col(value), probs, EDGE_ACCURACY).alias("_edges")
-    if keys:
-        return df.groupBy(*keys).agg(agg)
-    return df.agg(agg).scalar()
+    return df.agg(F.percentile_approx(F.col(value), probs, EDGE_ACCURACY).alias("_edges")).scalar()
 
 
 def with_bucket(df: DataFrame, value: str, keys: Sequence[str] = (),
                 n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Add ``_bucket``: a monotone bucket number of ``value`` within ``keys``.
+    """Add ``_bucket``: the number of edges strictly below the value (monotone).
 
-    Bucket = number of edges strictly below the value, unrolled into
-    ``n_buckets - 1`` codegen comparisons (no higher-order function, so the
-    global case can read the edges as a scalar subquery, not a join).
+    Found by binary search (``ceil(log2 n_buckets)`` steps per row) over the
+    edges array, which is projected once as a column (the scalar subquery is
+    never repeated inside the expression).
     """
-    keys = list(keys)
-    edges = _edges(df, value, keys, n_buckets)
-    if keys:
-        # one edges row per key; AQE broadcasts it when measured small
-        x = df.join(edges, keys, "left")
-        edge_col = F.col("_edges")
-    else:
-        # the scalar subquery is projected once; the comparisons read the column
-        x = df.withColumn("_edges", edges)
-        edge_col = F.col("_edges")
+    x = df.withColumn("_edges", _edges(df, value, n_buckets))
+    steps = max(1, (n_buckets - 1).bit_length())
     v = F.col(value)
-    terms = [F.when(v > F.element_at(edge_col, i), 1).otherwise(0) for i in range(1, n_buckets)]
-    bucket = terms[0]
-    for t in terms[1:]:
-        bucket = bucket + t
-    return x.withColumn("_bucket", bucket).drop("_edges")
+
+    def step(acc, _):
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        below = (acc["lo"] < acc["hi"]) & (F.try_element_at(F.col("_edges"), mid + 1) < v)
+        below = F.coalesce(below, F.lit(False))
+        return F.struct(F.when(below, mid + 1).otherwise(acc["lo"]).alias("lo"),
+                        F.when(below, acc["hi"]).otherwise(mid).alias("hi"))
+
+    n_edges = F.coalesce(F.size("_edges"), F.lit(0))
+    init = F.struct(F.lit(0).alias("lo"), n_edges.alias("hi"))
+    search = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)
+    return x.withColumn("_bucket", search["lo"]).drop("_edges")
 
 
 def running_sums(df: DataFrame, value: str, measures: Sequence[str],
