@@ -637,3 +637,11 @@ def q_explanation_report(spark, sf):
     wide = arr.select("id", *[F.col("_a")[i].alias(f) for i, f in enumerate(feats)])
     rep = _x.explanation_report(m, wide, feats, sample_size=200, n_permutations=4, n_background=30)
     return rep["importance"]
+
+
+@register("importance_display")
+def q_importance_display(spark, sf):
+    """Printed top-15 importance lines with truncated descriptions."""
+    from riskframe.plans.evaluation import importance_lines
+    imp = _x.describe_features(_x.global_importance(frames.contributions(spark, sf)), frames.dictionary(spark))
+    return importance_lines(imp)

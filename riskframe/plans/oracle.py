@@ -705,3 +705,9 @@ rl AS (SELECT 'full' AS run_id, roc_auc AS value FROM auc
        UNION ALL SELECT 'recent', roc_auc FROM c_auc UNION ALL SELECT 'early', roc_auc FROM r_auc)""",
     final=(f"SELECT 'delinquency' AS experiment, run_id, {r6('value')}, "
            "CAST(row_number() OVER (ORDER BY value DESC, run_id) AS INTEGER) AS rank FROM rl"))
+
+
+ORACLE["importance_display"] = sql(*scored_clean(), CONTRIB, GIMP, _DICT, final=(
+    "SELECT CAST(rank AS INTEGER) AS rank, printf('%2d. %-25s (%6.3f) - %s...', rank, g.feature, importance, "
+    "substr(coalesce(d.description, 'No description available'), 1, 50)) AS line "
+    "FROM gimp g LEFT JOIN dict d ON g.feature = d.feature WHERE rank <= 15"))

@@ -43,3 +43,10 @@ def load_raw_loans(spark: SparkSession, path: str, schema: T.StructType | str,
     if path.endswith(".gz"):
         df = df.repartition(partitions or spark.sparkContext.defaultParallelism)
     return df
+
+
+def rename_dictionary(df: DataFrame) -> DataFrame:
+    """Raw dictionary columns to ``feature_name, description`` (when present)."""
+    return df.withColumnsRenamed({c: n for c, n in (("LoanStatNew", "feature_name"),
+                                                    ("Description", "description"),
+                                                    ("feature", "feature_name")) if c in df.columns})

@@ -162,3 +162,21 @@ def test_monitor_stream(spark):
     mon = spark.read.parquet(os.path.join(d, "out", "monitor")).first()
     assert mon["current_roc_auc"] is not None
     assert spark.read.parquet(os.path.join(d, "out", "drift")).first()["psi"] == pytest.approx(0.0)
+
+
+def test_evaluate_model_and_display(spark):
+    from riskframe.plans.evaluation import evaluate_model, importance_lines, preview
+    frame = _model_frame(spark)
+    m = model.train_monotone_lr(frame, ["dti", "annual_inc"])
+    raw = frame.select("id", "dti", "annual_inc", F.col("label").cast("int").alias("y"))
+    row = evaluate_model(m, raw, ["dti", "annual_inc"], "y").first()
+    assert 0.5 < row["roc_auc"] <= 1.0 and row["n_removed"] == 0
+    imp = spark.createDataFrame([("int_rate", 8.2854, 1, "Interest Rate on the loan")],
+                                "feature string, importance double, rank int, description string")
+    assert importance_lines(imp).first()["line"] == f"{1:2d}. {'int_rate':<25} ({8.2854:6.3f}) - Interest Rate on the loan..."
+    assert [r["id"] for r in preview(raw, 3, ["id"]).collect()] == [0, 1, 2]
+
+
+def test_dictionary_rename(spark):
+    df = spark.createDataFrame([("a", "b")], "LoanStatNew string, Description string")
+    assert files.rename_dictionary(df).columns == ["feature_name", "description"]
