@@ -157,3 +157,23 @@ def calibration_bins(df: DataFrame, label: str = "label", score: str = "score",
             .agg(F.count(F.lit(1)).alias("n"),
                  F.avg(F.col(score)).alias("mean_predicted"),
                  F.avg(F.col(label).cast("double")).alias("fraction_positive")))
+
+
+def curve_summary(df: DataFrame, label: str = "label", score: str = "score",
+                  keys: Sequence[str] = ()) -> DataFrame:
+    """``keys, roc_auc, pr_auc, ks_statistic`` from one cumulative table and
+    one aggregation (the three share every shuffle)."""
+    keys = list(keys)
+    c = cumulative_counts(df, label, score, keys)
+    auc_part = F.col("fp").cast("double") * (F.col("cum_tp") - F.col("tp") / 2.0)
+    prev_tp = F.col("cum_tp") - F.col("tp")
+    prev_fp = F.col("cum_fp") - F.col("fp")
+    prec = _precision(F.col("cum_tp"), F.col("cum_fp"))
+    prev_prec = F.when(prev_tp + prev_fp == 0, F.lit(1.0)).otherwise(_precision(prev_tp, prev_fp))
+    rec = _recall(F.col("cum_tp"), F.col("P"))
+    prev_rec = F.when(prev_tp + prev_fp == 0, F.lit(0.0)).otherwise(_recall(prev_tp, F.col("P")))
+    gap = _ratio(F.col("cum_tp"), F.col("P")) - _ratio(F.col("cum_fp"), F.col("N"))
+    return c.groupBy(*keys).agg(
+        _ratio(F.sum(auc_part), F.max("P") * F.max("N")).alias("roc_auc"),
+        F.sum((rec - prev_rec) * (prec + prev_prec) / 2.0).alias("pr_auc"),
+        F.greatest(F.max(gap), F.lit(0.0)).alias("ks_statistic"))

@@ -140,9 +140,8 @@ def performance_monitor(current: DataFrame, reference_metrics: DataFrame | None
     ``reference_metrics`` is a one-row table with ``roc_auc`` / ``pr_auc``
     (for example the best run of the run log); a missing one means zero drift.
     """
-    cur = curves.roc_auc(current, label, score).select(
-        F.col("roc_auc").alias("current_roc_auc"),
-        curves.pr_auc(current, label, score).select("pr_auc").scalar().alias("current_pr_auc"))
+    cur = curves.curve_summary(current, label, score).select(
+        F.col("roc_auc").alias("current_roc_auc"), F.col("pr_auc").alias("current_pr_auc"))
     if reference_metrics is not None:
         ref = reference_metrics.select(F.struct(
             F.col("roc_auc").alias("r"), F.col("pr_auc").alias("p")).alias("s")).scalar()

@@ -84,8 +84,7 @@ def evaluate(df: DataFrame, label: str = "label", score: str = "score",
     base = scored.agg(F.count(F.lit(1)).alias("n"),
                       F.avg(F.col(label).cast("double")).alias("positive_rate"),
                       F.avg(F.pow(F.col(score) - F.col(label).cast("double"), 2)).alias("brier_score"))
-    return _one_row_join(base, cls, curves.roc_auc(df, label, score), curves.pr_auc(df, label, score),
-                         curves.ks_statistic(df, label, score))
+    return _one_row_join(base, cls, curves.curve_summary(df, label, score))
 
 
 def quick_evaluation(df: DataFrame, label: str = "label", score: str = "score",
@@ -95,7 +94,7 @@ def quick_evaluation(df: DataFrame, label: str = "label", score: str = "score",
     acc = scored.agg(_safe(F.count_if(F.col("pred") == F.col(label)), F.count(F.lit(1)))
                      .alias("accuracy"),
                      F.avg(F.col(label).cast("double")).alias("positive_rate"))
-    return _one_row_join(acc, curves.roc_auc(df, label, score), curves.pr_auc(df, label, score))
+    return _one_row_join(acc, curves.curve_summary(df, label, score).select("roc_auc", "pr_auc"))
 
 
 def performance_band(metrics: DataFrame, auc_col: str = "roc_auc") -> DataFrame:
