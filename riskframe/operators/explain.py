@@ -59,10 +59,19 @@ def _filled(df: DataFrame, coefs: Mapping[str, float], key: str,
     return x, F.col("_mean")
 
 
-def linear_contributions(df: DataFrame, coefs: Mapping[str, float], intercept: float,
-                         key: str = "id", background: DataFrame | None = None) -> DataFrame:
-    """``key, feature, value, contribution, base_value, logit, probability``
-    (exact Shapley values of a linear model in log-odds)."""
+def _abs_order(a: Column, b: Column) -> Column:
+    """Comparator: larger |contribution| first, then feature name."""
+    aa, bb = F.abs(a["contribution"]), F.abs(b["contribution"])
+    return (F.when(aa > bb, -1).when(aa < bb, 1).when(a["feature"] < b["feature"], -1)
+            .when(a["feature"] > b["feature"], 1).otherwise(0))
+
+
+def linear_contribution_rows(df: DataFrame, coefs: Mapping[str, float], intercept: float,
+                             key: str = "id", background: DataFrame | None = None) -> DataFrame:
+    """One row per input row: ``key, base_value, logit, probability, contribs``
+    where ``contribs`` is the array of ``(feature, value, contribution)`` sorted
+    by |contribution| (ties by name). Per-row ordering happens inside the row,
+    so nothing is shuffled to rank a row's features."""
     x, _ = _filled(df, coefs, key, background)
     z = _logit(coefs, intercept, {f: F.col(f) for f in coefs})
     base = _logit(coefs, intercept, {f: F.col(f"_mean.{f}") for f in coefs})
@@ -71,8 +80,19 @@ def linear_contributions(df: DataFrame, coefs: Mapping[str, float], intercept: f
                       for f, b in coefs.items()])
     return x.select(key, base.alias("base_value"), z.alias("logit"),
                     (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("probability"),
-                    F.explode(items).alias("_c")).select(
-        key, "_c.feature", "_c.value", "_c.contribution", "base_value", "logit", "probability")
+                    F.array_sort(items, _abs_order).alias("contribs"))
+
+
+def linear_contributions(df: DataFrame, coefs: Mapping[str, float], intercept: float,
+                         key: str = "id", background: DataFrame | None = None) -> DataFrame:
+    """``key, feature, value, contribution, abs_rank, base_value, logit, probability``
+    (exact Shapley values of a linear model in log-odds; ``abs_rank`` orders a
+    row's features by |contribution|)."""
+    rows = linear_contribution_rows(df, coefs, intercept, key, background)
+    return rows.select(key, "base_value", "logit", "probability",
+                       F.posexplode("contribs").alias("_pos", "_c")).select(
+        key, "_c.feature", "_c.value", "_c.contribution", (F.col("_pos") + 1).alias("abs_rank"),
+        "base_value", "logit", "probability")
 
 
 def global_importance(contrib: DataFrame, top: int | None = 20) -> DataFrame:
@@ -121,7 +141,10 @@ def dependence_pairs(contrib: DataFrame, features: Sequence[str], key: str = "id
 
 
 def ordered_contributions(contrib: DataFrame, key: str = "id") -> DataFrame:
-    """Per row, features ranked by |contribution| (ties by name)."""
+    """Per row, features ranked by |contribution| (ties by name); a rank
+    already computed inside the row (``abs_rank``) is kept as is."""
+    if "abs_rank" in contrib.columns:
+        return contrib
     w = Window.partitionBy(key).orderBy(F.abs("contribution").desc(), F.col("feature"))
     return contrib.withColumn("abs_rank", F.row_number().over(w))
 
@@ -145,6 +168,29 @@ def waterfall(contrib: DataFrame, key: str = "id", max_display: int = 10) -> Dat
     return allr.withColumn("cumulative", F.sum("contribution").over(w)).drop("base_value")
 
 
+def waterfall_rows(rows: DataFrame, key: str = "id", max_display: int = 10) -> DataFrame:
+    """``waterfall`` on ``linear_contribution_rows`` output, inside each row:
+    base value, the ``max_display - 1`` largest contributions, the rest pooled,
+    running totals by ``aggregate`` over the row's own array (no window)."""
+    shown = F.slice("contribs", 1, max_display - 1)
+    rest = F.slice("contribs", max_display, 1 << 20)
+    pooled = F.when(F.size(rest) > 0, F.array(F.struct(
+        F.lit("other features").alias("feature"), F.lit(None).cast("double").alias("value"),
+        F.aggregate(rest, F.lit(0.0), lambda a, c: a + c["contribution"]).alias("contribution")))) \
+        .otherwise(F.array().cast("array<struct<feature:string,value:double,contribution:double>>"))
+    base = F.array(F.struct(F.lit("base_value").alias("feature"), F.lit(None).cast("double").alias("value"),
+                            F.col("base_value").alias("contribution")))
+    items = F.concat(base, shown, pooled)
+    steps = F.transform(items, lambda c, i: F.struct(
+        i.alias("position"), c["feature"].alias("feature"), c["value"].alias("value"),
+        c["contribution"].alias("contribution"),
+        F.aggregate(F.slice(items, 1, i + 1), F.lit(0.0), lambda a, e: a + e["contribution"])
+        .alias("cumulative")))
+    return rows.select(key, F.explode(steps).alias("_w")).select(
+        key, F.col("_w.position").alias("position"), "_w.feature", "_w.value", "_w.contribution",
+        "_w.cumulative")
+
+
 def high_risk(scores: DataFrame, key: str = "id", score: str = "probability",
               threshold: float = HIGH_RISK_SCORE, n: int = 10, order_by: str | None = "logit") -> DataFrame:
     """Rows scoring above ``threshold``: the first ``n`` by score (ties by key).
@@ -178,6 +224,39 @@ def _recommendation(feature: Column, cur: Column, sug: Column, direction: Column
     return expr.otherwise(F.format_string(CF_DEFAULT, F.initcap(direction), feature, *f2))
 
 
+def counterfactual_rows(rows: DataFrame, coefs: Mapping[str, float], key: str = "id",
+                        max_changes: int = 3, target_change: float = -0.1,
+                        categorical: Sequence[str] = ()) -> DataFrame:
+    """``counterfactuals`` on ``linear_contribution_rows`` output, computed inside
+    each row with array functions (no shuffle): the same rules, texts and
+    re-scored probability, one output row per kept suggestion."""
+    cand = F.slice("contribs", 1, 2 * max_changes)
+    cats = [F.lit(c) for c in categorical]
+    keep = F.filter(cand, lambda c: ~((c["contribution"] > 0) & (c["value"] <= 0))
+                    & (~F.array_contains(F.array(*cats), c["feature"]) if cats else F.lit(True)))
+    top = F.slice(keep, 1, max_changes)
+    sugg = F.transform(top, lambda c: F.struct(
+        c["feature"].alias("feature"), c["value"].alias("value"), c["contribution"].alias("contribution"),
+        F.when(c["contribution"] > 0, c["value"] * COUNTERFACTUAL_DECREASE)
+        .otherwise(c["value"] * COUNTERFACTUAL_INCREASE).alias("suggested"),
+        F.when(c["contribution"] > 0, F.lit("decrease")).otherwise(F.lit("increase")).alias("direction")))
+    cmap = F.create_map(*[v for f, b in coefs.items() for v in (F.lit(f), F.lit(float(b)))])
+    delta = F.aggregate(sugg, F.lit(0.0), lambda acc, s_: acc + F.coalesce(
+        cmap[s_["feature"]], F.lit(0.0)) * (s_["suggested"] - s_["value"]))
+    x = rows.select(key, "probability", (F.col("logit") + delta).alias("_z"),
+                    F.posexplode(sugg).alias("_pos", "_s"))
+    v, sug = F.col("_s.value"), F.col("_s.suggested")
+    return x.select(
+        key, (F.col("_pos") + 1).alias("suggestion_rank"), F.col("_s.feature").alias("feature"),
+        v.alias("current_value"), sug.alias("suggested_value"),
+        F.col("_s.direction").alias("change_direction"), F.col("_s.contribution").alias("shap_impact"),
+        F.abs(sug - v).alias("change_magnitude"),
+        _recommendation(F.col("_s.feature"), v, sug, F.col("_s.direction")).alias("recommendation"),
+        F.col("probability").alias("current_probability"),
+        (F.col("probability") + F.lit(float(target_change))).alias("target_probability"),
+        (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_z")))).alias("rescored_probability"))
+
+
 def counterfactuals(contrib: DataFrame, key: str = "id", max_changes: int = 3,
                     target_change: float = -0.1, categorical: Sequence[str] = (),
                     coefs: Mapping[str, float] | None = None) -> DataFrame:

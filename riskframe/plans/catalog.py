@@ -412,16 +412,18 @@ def q_dependence(spark, sf):
 @register("waterfall")
 def q_waterfall(spark, sf):
     """Waterfalls of the first three high-risk rows."""
-    c = frames.contributions(spark, sf)
-    scores = c.select("id", "probability", "logit").distinct()
-    top = _x.high_risk(scores, n=3).select("id")
-    return _x.waterfall(c.join(top, "id", "left_semi"))
+    rows = _x.linear_contribution_rows(frames.explain_frame(spark, sf), frames.EXPLAIN_COEFS,
+                                       frames.EXPLAIN_INTERCEPT)
+    top = _x.high_risk(rows, n=3).select("id")
+    return _x.waterfall_rows(rows.join(top, "id", "left_semi"))
 
 
 @register("counterfactuals")
 def q_counterfactuals(spark, sf):
     """Up to three suggestions per row with texts and re-scored probability."""
-    return _x.counterfactuals(frames.contributions(spark, sf), coefs=frames.EXPLAIN_COEFS)
+    rows = _x.linear_contribution_rows(frames.explain_frame(spark, sf), frames.EXPLAIN_COEFS,
+                                       frames.EXPLAIN_INTERCEPT)
+    return _x.counterfactual_rows(rows, frames.EXPLAIN_COEFS)
 
 
 @register("high_risk")

@@ -497,7 +497,9 @@ gimp AS (SELECT feature, avg(abs(contribution)) AS importance,
                 row_number() OVER (ORDER BY avg(abs(contribution)) DESC, feature) AS rank
          FROM contrib GROUP BY feature)"""
 ORACLE["linear_contributions"] = sql(*scored_clean(), CONTRIB, final=(
-    f"SELECT id, feature, {r6('value', 'contribution', 'base_value', 'logit', 'probability')} FROM contrib"))
+    f"SELECT id, feature, {r6('value', 'contribution', 'base_value', 'logit', 'probability')}, "
+    "CAST(row_number() OVER (PARTITION BY id ORDER BY abs(contribution) DESC, feature) AS INTEGER) AS abs_rank "
+    "FROM contrib"))
 ORACLE["global_importance"] = sql(*scored_clean(), CONTRIB, GIMP, final=(
     f"SELECT feature, {r6('importance')}, CAST(rank AS INTEGER) AS rank FROM gimp WHERE rank <= 20"))
 _DICT_ROWS = [

@@ -180,3 +180,23 @@ def test_evaluate_model_and_display(spark):
 def test_dictionary_rename(spark):
     df = spark.createDataFrame([("a", "b")], "LoanStatNew string, Description string")
     assert files.rename_dictionary(df).columns == ["feature_name", "description"]
+
+
+def test_row_form_matches_long_form(spark):
+    rng = np.random.default_rng(11)
+    rows = [(int(i), float(rng.normal()), float(rng.normal() * 3), float(abs(rng.normal())) if i % 4 else None)
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    coefs = {"a": 0.7, "b": -0.2, "c": 1.1}
+    r = explain.linear_contribution_rows(df, coefs, -0.5)
+    long = explain.linear_contributions(df, coefs, -0.5)
+    cf_row = sorted((x["id"], x["suggestion_rank"], x["feature"], round(x["rescored_probability"], 12))
+                    for x in explain.counterfactual_rows(r, coefs, max_changes=2).collect())
+    cf_long = sorted((x["id"], x["suggestion_rank"], x["feature"], round(x["rescored_probability"], 12))
+                     for x in explain.counterfactuals(long, max_changes=2, coefs=coefs).collect())
+    assert cf_row == cf_long
+    wf_row = sorted((x["id"], x["position"], x["feature"], round(x["cumulative"], 12))
+                    for x in explain.waterfall_rows(r, max_display=3).collect())
+    wf_long = sorted((x["id"], x["position"], x["feature"], round(x["cumulative"], 12))
+                     for x in explain.waterfall(long, max_display=3).collect())
+    assert wf_row == wf_long
