@@ -48,7 +48,9 @@ def histograms(reference: DataFrame, current: DataFrame, columns: Sequence[str],
     feature's reference range (last bin closed); current values outside the
     range are not counted. Every bin of the grid is present."""
     long = _sides(reference, current, columns, "double")
-    rng = numeric_ranges(long)    # one row per feature; AQE broadcasts it
+    # one row per listed feature (bound: len(columns), known here); a shuffle
+    # join on ``feature`` would put each feature's rows in one partition
+    rng = F.broadcast(numeric_ranges(long))
     binned = long.join(rng, "feature", "inner").select(
         "feature", "side", equal_width_bin(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin"))
     counts = (binned.where(F.col("bin").isNotNull()).groupBy("feature", "bin")
@@ -71,7 +73,7 @@ def psi_numeric(reference: DataFrame, current: DataFrame, columns: Sequence[str]
     falls inside the reference range."""
     h = histograms(reference, current, columns, bins)
     w = h.groupBy("feature").agg(F.sum("ref_count").alias("_rn"), F.sum("cur_count").alias("_cn"))
-    x = h.join(w, "feature", "inner")
+    x = h.join(F.broadcast(w), "feature", "inner")       # len(columns) rows
     r = F.col("ref_count") / F.col("_rn")
     c = F.try_divide(F.col("cur_count").cast("double"), F.col("_cn").cast("double"))
     r = F.when(r == 0, F.lit(epsilon)).otherwise(r)
@@ -96,7 +98,7 @@ def psi_categorical(reference: DataFrame, current: DataFrame, columns: Sequence[
     counts = long.groupBy("feature", "value").agg(
         F.count_if(F.col("side") == "ref").alias("_r"), F.count_if(F.col("side") == "cur").alias("_c"))
     tot = counts.groupBy("feature").agg(F.sum("_r").alias("_rn"), F.sum("_c").alias("_cn"))
-    x = counts.join(tot, "feature", "inner")
+    x = counts.join(F.broadcast(tot), "feature", "inner")   # len(columns) rows
     r = F.when(F.col("_r") == 0, F.lit(epsilon)).otherwise(F.try_divide(F.col("_r"), F.col("_rn")))
     c = F.when(F.col("_c") == 0, F.lit(epsilon)).otherwise(F.try_divide(F.col("_c"), F.col("_cn")))
     res = x.groupBy("feature").agg(F.sum(_psi_term(r, c)).alias("_psi"),
