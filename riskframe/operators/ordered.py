@@ -19,8 +19,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.session import cut_lineage
+
 DEFAULT_BUCKETS = 1024
-EDGE_ACCURACY = 100000
+EDGE_ACCURACY = 10000
 
 
 def _edges(df: DataFrame, value: str, n_buckets: int) -> Column:
@@ -60,7 +62,8 @@ def with_bucket(df: DataFrame, value: str, keys: Sequence[str] = (),
 def running_sums(df: DataFrame, value: str, measures: Sequence[str],
                  keys: Sequence[str] = (), descending: bool = False,
                  n_buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_",
-                 keep_bucket: bool = False, totals: bool = False) -> DataFrame:
+                 keep_bucket: bool = False, totals: bool = False,
+                 materialize: bool = True) -> DataFrame:
     """Inclusive running sums of ``measures`` over ``value`` order within ``keys``.
 
     ``df`` has one row per ``(keys, value)``. Adds ``{prefix}{m}`` columns, and
@@ -68,6 +71,10 @@ def running_sums(df: DataFrame, value: str, measures: Sequence[str],
     same small offsets window instead of a separate aggregation and join.
     """
     keys = list(keys)
+    if materialize:
+        # the distinct-value table feeds the edges subquery and the sums; write
+        # it once to the shared checkpoint folder instead of computing it twice
+        df = cut_lineage(df)
     x = with_bucket(df, value, keys, n_buckets)
     t = x.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
     border = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
