@@ -59,13 +59,6 @@ def _filled(df: DataFrame, coefs: Mapping[str, float], key: str,
     return x, F.col("_mean")
 
 
-def _abs_order(a: Column, b: Column) -> Column:
-    """Comparator: larger |contribution| first, then feature name."""
-    aa, bb = F.abs(a["contribution"]), F.abs(b["contribution"])
-    return (F.when(aa > bb, -1).when(aa < bb, 1).when(a["feature"] < b["feature"], -1)
-            .when(a["feature"] > b["feature"], 1).otherwise(0))
-
-
 def linear_contribution_rows(df: DataFrame, coefs: Mapping[str, float], intercept: float,
                              key: str = "id", background: DataFrame | None = None) -> DataFrame:
     """One row per input row: ``key, base_value, logit, probability, contribs``
@@ -75,12 +68,15 @@ def linear_contribution_rows(df: DataFrame, coefs: Mapping[str, float], intercep
     x, _ = _filled(df, coefs, key, background)
     z = _logit(coefs, intercept, {f: F.col(f) for f in coefs})
     base = _logit(coefs, intercept, {f: F.col(f"_mean.{f}") for f in coefs})
-    items = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("value"),
-                               (F.lit(float(b)) * (F.col(f) - F.col(f"_mean.{f}"))).alias("contribution"))
-                      for f, b in coefs.items()])
+    # sort key first so the native (codegen) struct ordering gives |c| desc, then name
+    items = F.array(*[F.struct(
+        (-F.abs(F.lit(float(b)) * (F.col(f) - F.col(f"_mean.{f}")))).alias("_k"), F.lit(f).alias("feature"),
+        F.col(f).alias("value"), (F.lit(float(b)) * (F.col(f) - F.col(f"_mean.{f}"))).alias("contribution"))
+        for f, b in coefs.items()])
+    ordered = F.transform(F.sort_array(items), lambda c: F.struct(
+        c["feature"].alias("feature"), c["value"].alias("value"), c["contribution"].alias("contribution")))
     return x.select(key, base.alias("base_value"), z.alias("logit"),
-                    (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("probability"),
-                    F.array_sort(items, _abs_order).alias("contribs"))
+                    (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("probability"), ordered.alias("contribs"))
 
 
 def linear_contributions(df: DataFrame, coefs: Mapping[str, float], intercept: float,

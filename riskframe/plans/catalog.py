@@ -647,3 +647,9 @@ def q_importance_display(spark, sf):
     from riskframe.plans.evaluation import importance_lines
     imp = _x.describe_features(_x.global_importance(frames.contributions(spark, sf)), frames.dictionary(spark))
     return importance_lines(imp)
+
+
+@register("frame_prepared")
+def q_frame_prepared(spark, sf):
+    """E5: per-frame preparation (date parts, per-frame codes and medians)."""
+    return _train.prepare_frame(frames.engineered_loans(spark, sf))

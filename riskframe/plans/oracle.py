@@ -713,3 +713,20 @@ ORACLE["importance_display"] = sql(*scored_clean(), CONTRIB, GIMP, _DICT, final=
     "SELECT CAST(rank AS INTEGER) AS rank, printf('%2d. %-25s (%6.3f) - %s...', rank, g.feature, importance, "
     "substr(coalesce(d.description, 'No description available'), 1, 50)) AS line "
     "FROM gimp g LEFT JOIN dict d ON g.feature = d.feature WHERE rank <= 15"))
+
+
+_FP_TEXT = ["term", "emp_length", "loan_status", "purpose", "addr_state", "home_ownership"]
+_FP_NUM = ["loan_amnt", "installment", "annual_inc", "int_rate", "revol_util", "dti", "revol_bal",
+           "total_rev_hi_lim", "payment_to_income", "credit_utilization", "credit_age_months",
+           "loan_to_income", "emp_length_numeric", "term_months"]
+ORACLE["frame_prepared"] = sql(
+    *loans_clean(), LABELLED, _codes("labelled", _FP_TEXT),
+    "fmed AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in _FP_NUM)
+    + ", quantile_cont(CAST(year(issue_d) AS INTEGER), 0.5) AS m_issue_d_year, "
+      "quantile_cont(CAST(month(issue_d) AS INTEGER), 0.5) AS m_issue_d_month FROM labelled)",
+    final=("SELECT id, member_id, " + ", ".join(f"{round6(f'coalesce({c}, m_{c})')} AS {c}" for c in _FP_NUM)
+           + ", " + ", ".join(f"coalesce(k_{c}.code, -1) AS {c}" for c in _FP_TEXT)
+           + ", strftime(earliest_cr_line, '%Y-%m-%d') AS earliest_cr_line, delinq_90dpd, "
+             "CAST(year(issue_d) AS INTEGER) AS issue_d_year, CAST(month(issue_d) AS INTEGER) AS issue_d_month "
+             "FROM labelled JOIN fmed ON TRUE "
+           + " ".join(f"LEFT JOIN k_{c} ON labelled.{c} = k_{c}.v" for c in _FP_TEXT)))

@@ -48,3 +48,18 @@ def model_inputs(prepared: DataFrame, meta_features: Sequence[str], target: str
     from riskframe.operators.model import model_frame
     from riskframe.session import cut_lineage
     return cut_lineage(model_frame(prepared, meta_features, target))
+
+
+def prepare_frame(df: DataFrame, target: str = TARGET, date_col: str = "issue_d") -> DataFrame:
+    """E5, the per-frame variant: date parts replace the date, every text column
+    becomes its rank among the frame's sorted values (NULL -> -1), every numeric
+    column's NULLs take the frame's own median; the target is left as is."""
+    from riskframe.operators.clean import date_parts
+    x = date_parts(df, date_col)
+    text = [c for c, t in x.dtypes if t == "string" and c != target]
+    x = encode.frame_encode(x, text, target)
+    nums = [c for c, t in x.dtypes if c != target and t in ("double", "float", "int", "bigint", "smallint",
+                                                              "tinyint") and c not in text]
+    if nums:
+        x = encode.transform_medians(x, encode.fit_medians(x, nums), nums)
+    return x
