@@ -16,6 +16,20 @@ from pyspark.sql import types as T
 from riskframe.operators import curves, fairness, metrics
 from riskframe.plans import frames
 from riskframe.sources import tables
+from riskframe.operators import clean as _clean
+from riskframe.operators import encode as _enc
+from riskframe.operators import label as _label
+from riskframe.operators.features import engineer_features
+from riskframe.schema import FEATURES, TARGET
+from riskframe.operators import drift as _drift
+from riskframe.operators import reports as _reports
+from riskframe.schema import GROUPINGS
+from riskframe.operators import explain as _x
+from riskframe.schema import KEY_FEATURES
+from riskframe.operators import profile as _prof
+from riskframe.plans import training as _train
+from riskframe.operators import model as _model
+from riskframe.sources import sinks as _sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,11 +136,6 @@ def q_evaluation(spark, sf):
 
 # --- cleaning, labels, split -----------------------------------------------------
 
-from riskframe.operators import clean as _clean  # noqa: E402
-from riskframe.operators import encode as _enc  # noqa: E402
-from riskframe.operators import label as _label  # noqa: E402
-from riskframe.operators.features import engineer_features  # noqa: E402
-from riskframe.schema import FEATURES, TARGET  # noqa: E402
 
 
 @register("clean_loans")
@@ -273,9 +282,6 @@ def q_band(spark, sf):
 
 # --- drift, monitoring, reports ---------------------------------------------------------
 
-from riskframe.operators import drift as _drift  # noqa: E402
-from riskframe.operators import reports as _reports  # noqa: E402
-from riskframe.schema import GROUPINGS  # noqa: E402
 
 DRIFT_NUMERIC = ["loan_amnt", "dti", "annual_inc"]
 DRIFT_TEXT = ["purpose", "home_ownership"]
@@ -367,8 +373,6 @@ def q_model_card(spark, sf):
 
 # --- explanation -------------------------------------------------------------------------
 
-from riskframe.operators import explain as _x  # noqa: E402
-from riskframe.schema import KEY_FEATURES  # noqa: E402
 
 
 @register("linear_contributions")
@@ -442,8 +446,6 @@ def q_seeded_sample(spark, sf):
 
 # --- imputation and encoding ------------------------------------------------------------
 
-from riskframe.operators import profile as _prof  # noqa: E402
-from riskframe.plans import training as _train  # noqa: E402
 
 IMPUTE_NUMERIC = ["int_rate", "revol_util", "annual_inc", "dti", "payment_to_income",
                   "credit_age_months", "loan_to_income"]
@@ -523,7 +525,6 @@ def q_profile_summary(spark, sf):
 
 # --- models (rows-only checks; properties in tests) ---------------------------------------
 
-from riskframe.operators import model as _model  # noqa: E402
 
 
 def _model_frame(spark, sf):
@@ -596,7 +597,6 @@ def q_monotonicity(spark, sf):
 
 # --- run log (metric rows from two evaluations of the data) -----------------------------
 
-from riskframe.sources import sinks as _sinks  # noqa: E402
 
 
 @register("run_log_best")

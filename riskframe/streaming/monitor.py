@@ -28,12 +28,9 @@ def monitor_stream(scored_stream: DataFrame, reference: DataFrame, reference_met
             return
         spark = batch.sparkSession
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        mon = performance_monitor(batch, reference_metrics, label, score).withColumn(
-            "batch_id", F.lit(batch_id))
-        mon.drop("recommendations").withColumn(
-            "recommendations", F.concat_ws(" | ", performance_monitor(batch, reference_metrics, label, score)
-                                           .select("recommendations").scalar())) \
-            .write.mode("overwrite").partitionBy("batch_id").parquet(os.path.join(out_dir, "monitor"))
+        mon = performance_monitor(batch, reference_metrics, label, score).withColumns({
+            "batch_id": F.lit(batch_id), "recommendations": F.concat_ws(" | ", "recommendations")})
+        mon.write.mode("overwrite").partitionBy("batch_id").parquet(os.path.join(out_dir, "monitor"))
         drift_metrics(reference, batch, features).withColumn("batch_id", F.lit(batch_id)) \
             .write.mode("overwrite").partitionBy("batch_id").parquet(os.path.join(out_dir, "drift"))
 

@@ -76,3 +76,22 @@ def test_histogram_last_bin_closed(spark):
     h = {r["bin"]: r["ref_count"] for r in drift.histograms(ref, ref, ["x"]).collect()}
     counts, _ = np.histogram(np.arange(11.0), bins=10)
     assert [h[i] for i in range(10)] == list(counts)
+
+
+def test_reports_serialise_and_handle_missing_fairness(spark):
+    from riskframe.operators import reports
+    drift_t = spark.createDataFrame([("a", 0.3), ("b", None), ("c", 0.1)], "feature string, psi double")
+    mon = spark.createDataFrame([(0.7, 0.8, True)], "current_roc_auc double, current_pr_auc double, "
+                                "performance_stable boolean")
+    g = reports.governance_report(drift_t, None, mon, "m", "1").first()
+    assert g["drift_detected"] and g["high_drift_features"] == ["a"]
+    assert g["avg_psi"] == pytest.approx(0.2) and g["max_disparity"] is None
+    assert g["action_items"] == [reports.ACT_DRIFT]
+    ov = spark.createDataFrame([("train", 10), ("test", 5)], "split string, n_rows long")
+    ev = spark.createDataFrame([(0.7, 0.6)], "roc_auc double, pr_auc double")
+    card = reports.model_card(ov, ev, ["f%d" % i for i in range(25)], "m", "1")
+    import json
+    js = json.loads(reports.to_json_row(card).first()["json"])
+    assert js["training_data"]["split_sizes"]["train"] == 10
+    assert len(js["technical_details"]["features"]) == 20
+    assert js["performance"]["test_metrics"]["roc_auc"] == 0.7
