@@ -73,10 +73,11 @@ def linear_contribution_rows(df: DataFrame, coefs: Mapping[str, float], intercep
         (-F.abs(F.lit(float(b)) * (F.col(f) - F.col(f"_mean.{f}")))).alias("_k"), F.lit(f).alias("feature"),
         F.col(f).alias("value"), (F.lit(float(b)) * (F.col(f) - F.col(f"_mean.{f}"))).alias("contribution"))
         for f, b in coefs.items()])
-    ordered = F.transform(F.sort_array(items), lambda c: F.struct(
-        c["feature"].alias("feature"), c["value"].alias("value"), c["contribution"].alias("contribution")))
+    # (the ``_k`` field stays in the elements: dropping it with a lambda costs more
+    # than the sort itself)
     return x.select(key, base.alias("base_value"), z.alias("logit"),
-                    (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("probability"), ordered.alias("contribs"))
+                    (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("probability"),
+                    F.sort_array(items).alias("contribs"))
 
 
 def linear_contributions(df: DataFrame, coefs: Mapping[str, float], intercept: float,
@@ -168,8 +169,10 @@ def waterfall_rows(rows: DataFrame, key: str = "id", max_display: int = 10) -> D
     """``waterfall`` on ``linear_contribution_rows`` output, inside each row:
     base value, the ``max_display - 1`` largest contributions, the rest pooled,
     running totals by ``aggregate`` over the row's own array (no window)."""
-    shown = F.slice("contribs", 1, max_display - 1)
-    rest = F.slice("contribs", max_display, 1 << 20)
+    plain = F.transform("contribs", lambda c: F.struct(
+        c["feature"].alias("feature"), c["value"].alias("value"), c["contribution"].alias("contribution")))
+    shown = F.slice(plain, 1, max_display - 1)
+    rest = F.slice(plain, max_display, 1 << 20)
     pooled = F.when(F.size(rest) > 0, F.array(F.struct(
         F.lit("other features").alias("feature"), F.lit(None).cast("double").alias("value"),
         F.aggregate(rest, F.lit(0.0), lambda a, c: a + c["contribution"]).alias("contribution")))) \
@@ -224,26 +227,33 @@ def counterfactual_rows(rows: DataFrame, coefs: Mapping[str, float], key: str =
                         max_changes: int = 3, target_change: float = -0.1,
                         categorical: Sequence[str] = ()) -> DataFrame:
     """``counterfactuals`` on ``linear_contribution_rows`` output, computed inside
-    each row with array functions (no shuffle): the same rules, texts and
-    re-scored probability, one output row per kept suggestion."""
-    cand = F.slice("contribs", 1, 2 * max_changes)
-    cats = [F.lit(c) for c in categorical]
-    keep = F.filter(cand, lambda c: ~((c["contribution"] > 0) & (c["value"] <= 0))
-                    & (~F.array_contains(F.array(*cats), c["feature"]) if cats else F.lit(True)))
-    top = F.slice(keep, 1, max_changes)
-    sugg = F.transform(top, lambda c: F.struct(
-        c["feature"].alias("feature"), c["value"].alias("value"), c["contribution"].alias("contribution"),
-        F.when(c["contribution"] > 0, c["value"] * COUNTERFACTUAL_DECREASE)
-        .otherwise(c["value"] * COUNTERFACTUAL_INCREASE).alias("suggested"),
-        F.when(c["contribution"] > 0, F.lit("decrease")).otherwise(F.lit("increase")).alias("direction")))
+    each row (no shuffle): the ``2 * max_changes`` candidates are unrolled into
+    plain column expressions (no per-row lambdas), with the same rules, texts
+    and re-scored probability; one output row per kept suggestion."""
     cmap = F.create_map(*[v for f, b in coefs.items() for v in (F.lit(f), F.lit(float(b)))])
-    delta = F.aggregate(sugg, F.lit(0.0), lambda acc, s_: acc + F.coalesce(
-        cmap[s_["feature"]], F.lit(0.0)) * (s_["suggested"] - s_["value"]))
+    kept_so_far = F.lit(0)
+    picks, delta = [], F.lit(0.0)
+    for i in range(1, 2 * max_changes + 1):
+        c = F.try_element_at(F.col("contribs"), F.lit(i))
+        ok = c.isNotNull() & ~((c["contribution"] > 0) & (c["value"] <= 0))
+        if categorical:
+            ok = ok & ~c["feature"].isin(list(categorical))
+        ok = F.coalesce(ok, F.lit(False))
+        kept_so_far = kept_so_far + F.when(ok, 1).otherwise(0)
+        take = ok & (kept_so_far <= max_changes)
+        sug = F.when(c["contribution"] > 0, c["value"] * COUNTERFACTUAL_DECREASE) \
+            .otherwise(c["value"] * COUNTERFACTUAL_INCREASE)
+        picks.append(F.when(take, F.struct(
+            kept_so_far.alias("rank"), c["feature"].alias("feature"), c["value"].alias("value"),
+            c["contribution"].alias("contribution"), sug.alias("suggested"),
+            F.when(c["contribution"] > 0, F.lit("decrease")).otherwise(F.lit("increase")).alias("direction"))))
+        delta = delta + F.when(take, F.coalesce(cmap[c["feature"]], F.lit(0.0)) * (sug - c["value"])) \
+            .otherwise(F.lit(0.0))
     x = rows.select(key, "probability", (F.col("logit") + delta).alias("_z"),
-                    F.posexplode(sugg).alias("_pos", "_s"))
+                    F.explode(F.array_compact(F.array(*picks))).alias("_s"))
     v, sug = F.col("_s.value"), F.col("_s.suggested")
     return x.select(
-        key, (F.col("_pos") + 1).alias("suggestion_rank"), F.col("_s.feature").alias("feature"),
+        key, F.col("_s.rank").alias("suggestion_rank"), F.col("_s.feature").alias("feature"),
         v.alias("current_value"), sug.alias("suggested_value"),
         F.col("_s.direction").alias("change_direction"), F.col("_s.contribution").alias("shap_impact"),
         F.abs(sug - v).alias("change_magnitude"),
