@@ -86,8 +86,11 @@ def linear_contributions(df: DataFrame, coefs: Mapping[str, float], intercept: f
     (exact Shapley values of a linear model in log-odds; ``abs_rank`` orders a
     row's features by |contribution|)."""
     rows = linear_contribution_rows(df, coefs, intercept, key, background)
+    # the array always has one element per coefficient; the outer form keeps the
+    # optimizer from inferring a size(contribs) > 0 filter and pushing the whole
+    # contribution expression down into the scan's join condition
     return rows.select(key, "base_value", "logit", "probability",
-                       F.posexplode("contribs").alias("_pos", "_c")).select(
+                       F.posexplode_outer("contribs").alias("_pos", "_c")).select(
         key, "_c.feature", "_c.value", "_c.contribution", (F.col("_pos") + 1).alias("abs_rank"),
         "base_value", "logit", "probability")
 
@@ -227,33 +230,31 @@ def counterfactual_rows(rows: DataFrame, coefs: Mapping[str, float], key: str =
                         max_changes: int = 3, target_change: float = -0.1,
                         categorical: Sequence[str] = ()) -> DataFrame:
     """``counterfactuals`` on ``linear_contribution_rows`` output, computed inside
-    each row (no shuffle): the ``2 * max_changes`` candidates are unrolled into
-    plain column expressions (no per-row lambdas), with the same rules, texts
-    and re-scored probability; one output row per kept suggestion."""
+    each row with array functions over at most ``2 * max_changes`` elements (no
+    shuffle): the same rules, texts and re-scored probability, one output row
+    per kept suggestion."""
+    cand = F.slice("contribs", 1, 2 * max_changes)
+    cats = [F.lit(c) for c in categorical]
+    keep = F.filter(cand, lambda c: ~((c["contribution"] > 0) & (c["value"] <= 0))
+                    & (~F.array_contains(F.array(*cats), c["feature"]) if cats else F.lit(True)))
+    top = F.slice(keep, 1, max_changes)
     cmap = F.create_map(*[v for f, b in coefs.items() for v in (F.lit(f), F.lit(float(b)))])
-    kept_so_far = F.lit(0)
-    picks, delta = [], F.lit(0.0)
-    for i in range(1, 2 * max_changes + 1):
-        c = F.try_element_at(F.col("contribs"), F.lit(i))
-        ok = c.isNotNull() & ~((c["contribution"] > 0) & (c["value"] <= 0))
-        if categorical:
-            ok = ok & ~c["feature"].isin(list(categorical))
-        ok = F.coalesce(ok, F.lit(False))
-        kept_so_far = kept_so_far + F.when(ok, 1).otherwise(0)
-        take = ok & (kept_so_far <= max_changes)
-        sug = F.when(c["contribution"] > 0, c["value"] * COUNTERFACTUAL_DECREASE) \
-            .otherwise(c["value"] * COUNTERFACTUAL_INCREASE)
-        picks.append(F.when(take, F.struct(
-            kept_so_far.alias("rank"), c["feature"].alias("feature"), c["value"].alias("value"),
-            c["contribution"].alias("contribution"), sug.alias("suggested"),
-            F.when(c["contribution"] > 0, F.lit("decrease")).otherwise(F.lit("increase")).alias("direction"))))
-        delta = delta + F.when(take, F.coalesce(cmap[c["feature"]], F.lit(0.0)) * (sug - c["value"])) \
-            .otherwise(F.lit(0.0))
-    x = rows.select(key, "probability", (F.col("logit") + delta).alias("_z"),
-                    F.explode(F.array_compact(F.array(*picks))).alias("_s"))
+    x = rows.select(key, "probability", "logit", top.alias("_top"))
+    sugg = F.transform("_top", lambda c: F.struct(
+        c["feature"].alias("feature"), c["value"].alias("value"), c["contribution"].alias("contribution"),
+        F.when(c["contribution"] > 0, c["value"] * COUNTERFACTUAL_DECREASE)
+        .otherwise(c["value"] * COUNTERFACTUAL_INCREASE).alias("suggested"),
+        F.when(c["contribution"] > 0, F.lit("decrease")).otherwise(F.lit("increase")).alias("direction")))
+    x = x.select(key, "probability", "logit", sugg.alias("_sugg"))
+    delta = F.aggregate("_sugg", F.lit(0.0), lambda acc, s_: acc + F.coalesce(
+        cmap[s_["feature"]], F.lit(0.0)) * (s_["suggested"] - s_["value"]))
+    # outer + explicit filter: same rows as posexplode, but no inferred
+    # size(_sugg) > 0 filter pushed down with the lambdas copied into the scan
+    x = x.select(key, "probability", (F.col("logit") + delta).alias("_z"),
+                 F.posexplode_outer("_sugg").alias("_pos", "_s")).where(F.col("_s").isNotNull())
     v, sug = F.col("_s.value"), F.col("_s.suggested")
     return x.select(
-        key, F.col("_s.rank").alias("suggestion_rank"), F.col("_s.feature").alias("feature"),
+        key, (F.col("_pos") + 1).alias("suggestion_rank"), F.col("_s.feature").alias("feature"),
         v.alias("current_value"), sug.alias("suggested_value"),
         F.col("_s.direction").alias("change_direction"), F.col("_s.contribution").alias("shap_impact"),
         F.abs(sug - v).alias("change_magnitude"),
