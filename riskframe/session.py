@@ -22,6 +22,7 @@ def get_spark(master: str | None = None, app: str = "riskframe",
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if master:
         builder = builder.master(master)
