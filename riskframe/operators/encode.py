@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.operators.ordered import exact_quantiles
+from riskframe.session import cut_lineage
 from riskframe.schema import EXCLUDED_COLUMNS, FEATURES, ORIGINATION_FEATURES, TARGET
 
 UNKNOWN = "Unknown"
@@ -199,7 +200,10 @@ def frame_encode(df: DataFrame, columns: Sequence[str] | None = None, target: st
     """Per-frame label encoding of every text column (NULL -> -1)."""
     cols = list(columns) if columns is not None else [
         c for c, t in df.dtypes if t == "string" and c != target]
-    return transform_codes(df, fit_codes(df, cols), cols, -1) if cols else df
+    if not cols:
+        return df
+    # the fitted table is joined once per column: fit once, keep it as a table
+    return transform_codes(df, cut_lineage(fit_codes(df, cols)), cols, -1)
 
 
 def fitted_encode(df: DataFrame, columns: Sequence[str], split_col: str = "split",
@@ -208,7 +212,8 @@ def fitted_encode(df: DataFrame, columns: Sequence[str], split_col: str = "split
     split, values unseen in the fit split map to the code of 'Unknown', which is
     appended after the fitted categories when the fit split had none."""
     filled = fill_unknown(df, columns)
-    codes = fit_codes(filled.where(F.col(split_col) == fit_split), columns)
+    # fitted once and kept as a (small) table: every column's join reads it
+    codes = cut_lineage(fit_codes(filled.where(F.col(split_col) == fit_split), columns))
     n_cat = codes.groupBy("feature").agg(
         F.count(F.lit(1)).alias("_n"),
         F.max(F.when(F.col("category") == UNKNOWN, F.col("code"))).alias("_unk"))
