@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.bins import equal_width_bin
 from riskframe.operators import curves
+from riskframe.session import cut_lineage
 from riskframe.schema import PERFORMANCE_DRIFT_THRESHOLD, PSI_BINS, PSI_EPSILON
 
 
@@ -71,7 +72,7 @@ def psi_numeric(reference: DataFrame, current: DataFrame, columns: Sequence[str]
     """``feature, psi``: sum over bins of (c - r) ln(c / r), zero shares set to
     ``epsilon``; NULL when either side has no values or no current value
     falls inside the reference range."""
-    h = histograms(reference, current, columns, bins)
+    h = cut_lineage(histograms(reference, current, columns, bins))    # features x bins rows, read twice
     w = h.groupBy("feature").agg(F.sum("ref_count").alias("_rn"), F.sum("cur_count").alias("_cn"))
     x = h.join(F.broadcast(w), "feature", "inner")       # len(columns) rows
     r = F.col("ref_count") / F.col("_rn")
@@ -95,8 +96,8 @@ def psi_categorical(reference: DataFrame, current: DataFrame, columns: Sequence[
     """``feature, psi`` over category shares; a category seen on one side only
     gets ``epsilon`` on the other (shares are not renormalised)."""
     long = _sides(reference, current, columns, "string")
-    counts = long.groupBy("feature", "value").agg(
-        F.count_if(F.col("side") == "ref").alias("_r"), F.count_if(F.col("side") == "cur").alias("_c"))
+    counts = cut_lineage(long.groupBy("feature", "value").agg(       # distinct categories, read twice
+        F.count_if(F.col("side") == "ref").alias("_r"), F.count_if(F.col("side") == "cur").alias("_c")))
     tot = counts.groupBy("feature").agg(F.sum("_r").alias("_rn"), F.sum("_c").alias("_cn"))
     x = counts.join(F.broadcast(tot), "feature", "inner")   # len(columns) rows
     r = F.when(F.col("_r") == 0, F.lit(epsilon)).otherwise(F.try_divide(F.col("_r"), F.col("_rn")))

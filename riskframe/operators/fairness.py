@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import curves
 from riskframe.operators.metrics import _safe
+from riskframe.session import cut_lineage
 from riskframe.schema import (GAP_THRESHOLD, GROUP_LABELS, GROUPINGS, MIN_AUC_GROUP_SIZE,
                               PARITY_METRICS, SWEEP_THRESHOLDS)
 
@@ -73,6 +74,9 @@ def parity_gaps(metrics: DataFrame, metric_names: Sequence[str] = PARITY_METRICS
     """``grouping_var, reference_group, group_value, comparison, metric, gap``:
     |reference - group| for each metric, the reference being the lowest-ordinal
     group of its grouping; groupings with fewer than two groups give no rows."""
+    # the (small) metrics table feeds both sides of the self-join: materialise it
+    # once so the source is not aggregated twice
+    metrics = cut_lineage(metrics)
     ranked = metrics.withColumn("_rank", group_rank(F.col("grouping_var"), F.col("group_value")))
     w = Window.partitionBy("grouping_var").orderBy("_rank", "group_value")
     ref = (ranked.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
