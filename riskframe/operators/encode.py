@@ -228,3 +228,12 @@ def fitted_encode(df: DataFrame, columns: Sequence[str], split_col: str = "split
                .withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.col("_u")).cast("int"))
                .drop(f"_cat_{c}", f"_code_{c}", "_u"))
     return out
+
+
+def in_set(df: DataFrame, column: str, members: DataFrame, member_col: str | None = None,
+           keep: bool = True) -> DataFrame:
+    """J3 with a table of members: ``left_semi`` keeps rows whose value is a
+    member, ``left_anti`` (``keep=False``) the others. No row of ``df`` is
+    duplicated, whatever the member table holds."""
+    m = members.select(F.col(member_col or column).alias("_member")).distinct()
+    return df.join(m, df[column] == m["_member"], "left_semi" if keep else "left_anti")

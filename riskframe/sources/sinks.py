@@ -58,3 +58,10 @@ def read_run_log(spark: SparkSession, base: str, table: str) -> DataFrame:
 def write_json_report(report: DataFrame, path: str) -> None:
     """One-row report (nested structs) as a JSON file, overwriting."""
     report.coalesce(1).write.mode("overwrite").json(path)
+
+
+def latest_runs(runs: DataFrame) -> DataFrame:
+    """``experiment, run_id, ts, model_type`` of the most recent run per experiment."""
+    w = Window.partitionBy("experiment").orderBy(F.col("ts").desc(), F.col("run_id").desc())
+    return (runs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+            .select("experiment", "run_id", "ts", "model_type"))

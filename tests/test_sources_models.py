@@ -200,3 +200,16 @@ def test_row_form_matches_long_form(spark):
     wf_long = sorted((x["id"], x["position"], x["feature"], round(x["cumulative"], 12))
                      for x in explain.waterfall(long, max_display=3).collect())
     assert wf_row == wf_long
+
+
+def test_latest_run_and_set_membership(spark):
+    base = tempfile.mkdtemp(prefix="rf-runs2-")
+    m = spark.createDataFrame([(0.7,)], "roc_auc double")
+    sinks.log_run(spark, base, "e", "gbt", {}, {}, m, run_id="r1")
+    sinks.log_run(spark, base, "e", "lr", {}, {}, m, run_id="r2")
+    runs = sinks.read_run_log(spark, base, "runs")
+    assert sinks.latest_runs(runs).count() == 1
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "v string")
+    members = spark.createDataFrame([("a",), ("a",), ("c",)], "v string")
+    assert sorted(r["v"] for r in encode.in_set(df, "v", members).collect()) == ["a", "c"]
+    assert sorted(str(r["v"]) for r in encode.in_set(df, "v", members, keep=False).collect()) == ["None", "b"]
