@@ -27,12 +27,15 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score",
 
 def cumulative_counts(df: DataFrame, label: str = "label", score: str = "score",
                       keys: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS,
-                      keep_bucket: bool = False) -> DataFrame:
-    """``keys, score, tp, fp, cum_tp, cum_fp, P, N`` in descending score order."""
+                      keep_bucket: bool = False, counted: bool = False) -> DataFrame:
+    """``keys, score, tp, fp, cum_tp, cum_fp, P, N`` in descending score order.
+
+    ``counted``: ``df`` already is a ``score_counts`` table (materialised)."""
     keys = list(keys)
-    counts = score_counts(df, label, score, keys)
+    counts = df if counted else score_counts(df, label, score, keys)
     cum = running_sums(counts, score, ["tp", "fp"], keys, descending=True,
-                       n_buckets=n_buckets, keep_bucket=keep_bucket, totals=True)
+                       n_buckets=n_buckets, keep_bucket=keep_bucket, totals=True,
+                       materialize=not counted)
     return cum.withColumnsRenamed({"total_tp": "P", "total_fp": "N"})
 
 
@@ -160,11 +163,12 @@ def calibration_bins(df: DataFrame, label: str = "label", score: str = "score",
 
 
 def curve_summary(df: DataFrame, label: str = "label", score: str = "score",
-                  keys: Sequence[str] = ()) -> DataFrame:
+                  keys: Sequence[str] = (), counted: bool = False) -> DataFrame:
     """``keys, roc_auc, pr_auc, ks_statistic`` from one cumulative table and
-    one aggregation (the three share every shuffle)."""
+    one aggregation (the three share every shuffle). ``counted``: ``df`` is a
+    materialised ``score_counts`` table."""
     keys = list(keys)
-    c = cumulative_counts(df, label, score, keys)
+    c = cumulative_counts(df, label, score, keys, counted=counted)
     auc_part = F.col("fp").cast("double") * (F.col("cum_tp") - F.col("tp") / 2.0)
     prev_tp = F.col("cum_tp") - F.col("tp")
     prev_fp = F.col("cum_fp") - F.col("fp")
@@ -177,3 +181,23 @@ def curve_summary(df: DataFrame, label: str = "label", score: str = "score",
         _ratio(F.sum(auc_part), F.max("P") * F.max("N")).alias("roc_auc"),
         F.sum((rec - prev_rec) * (prec + prev_prec) / 2.0).alias("pr_auc"),
         F.greatest(F.max(gap), F.lit(0.0)).alias("ks_statistic"))
+
+
+def count_metrics(counts: DataFrame, score: str = "score", keys: Sequence[str] = (),
+                  threshold: float = 0.5) -> DataFrame:
+    """Threshold and moment statistics from a ``score_counts`` table (no second
+    pass over the rows): ``keys, n, n_pos, positive_rate (labels), pred_rate,
+    tn, fp, fn, tp, mean_score, brier_score``; pred = score >= threshold."""
+    s_, tp, fp = F.col(score), F.col("tp"), F.col("fp")
+    hit = s_ >= F.lit(float(threshold))
+    n = tp + fp
+    g = counts.groupBy(*keys).agg(
+        F.sum(n).alias("n"), F.sum(tp).alias("n_pos"),
+        F.sum(F.when(hit, tp).otherwise(0)).alias("tp"), F.sum(F.when(hit, fp).otherwise(0)).alias("fp"),
+        F.sum(F.when(hit, 0).otherwise(tp)).alias("fn"), F.sum(F.when(hit, 0).otherwise(fp)).alias("tn"),
+        F.sum(s_ * n).alias("_ss"),
+        F.sum(tp * F.pow(s_ - 1.0, 2) + fp * F.pow(s_, 2)).alias("_sq"))
+    return g.select(*keys, "n", "n_pos", (F.col("n_pos") / F.col("n")).alias("positive_rate"),
+                    ((F.col("tp") + F.col("fp")) / F.col("n")).alias("pred_rate"), "tn", "fp", "fn", "tp",
+                    (F.col("_ss") / F.col("n")).alias("mean_score"),
+                    (F.col("_sq") / F.col("n")).alias("brier_score"))

@@ -44,11 +44,18 @@ def group_rank(grouping: Column, group: Column) -> Column:
 
 def group_metrics(df: DataFrame, groupings: Sequence[str] = GROUPINGS, label: str = "label",
                   score: str = "score", pred: str = "pred",
-                  min_auc_size: int = MIN_AUC_GROUP_SIZE) -> DataFrame:
+                  min_auc_size: int = MIN_AUC_GROUP_SIZE, threshold: float | None = None) -> DataFrame:
     """Per (grouping_var, group_value): size, base and positive rate, tpr, tnr,
     fpr, fnr, ppv, npv (0 on empty denominators), mean score, and AUC (NULL
     unless both classes are present and the group has more than
-    ``min_auc_size`` rows). NULL groups are excluded."""
+    ``min_auc_size`` rows). NULL groups are excluded.
+
+    With ``threshold`` (pred = score >= threshold) everything comes from one
+    materialised per-(group, score) count table: one pass over the rows for
+    both the threshold statistics and the AUC. Otherwise ``pred`` is read.
+    """
+    if threshold is not None:
+        return _group_metrics_counted(df, groupings, label, score, threshold, min_auc_size)
     long = long_groups(df, groupings, label, score, pred)
     y, p = F.col(label), F.col(pred)
     stats = long.groupBy(*KEYS).agg(
@@ -70,6 +77,27 @@ def group_metrics(df: DataFrame, groupings: Sequence[str] = GROUPINGS, label: st
                       F.when(both, F.col("roc_auc")).alias("auc"))
 
 
+def _group_metrics_counted(df: DataFrame, groupings: Sequence[str], label: str, score: str,
+                           threshold: float, min_auc_size: int) -> DataFrame:
+    long = long_groups(df, groupings, label, score)
+    counts = cut_lineage(curves.score_counts(long, label, score, KEYS))
+    st = curves.count_metrics(counts, score, KEYS, threshold)
+    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
+    st = st.select(*KEYS, F.col("n").alias("sample_size"), F.col("positive_rate").alias("base_rate"),
+                   F.col("pred_rate").alias("positive_rate"),
+                   _safe(tp, tp + fn).alias("tpr"), _safe(tn, tn + fp).alias("tnr"),
+                   _safe(fp, fp + tn).alias("fpr"), _safe(fn, fn + tp).alias("fnr"),
+                   _safe(tp, tp + fp).alias("ppv"), _safe(tn, tn + fn).alias("npv"),
+                   F.col("mean_score").alias("mean_prediction"), "n_pos")
+    auc = curves.curve_summary(counts, label, score, KEYS, counted=True).select(*KEYS, "roc_auc")
+    out = st.join(auc, KEYS, "left")
+    both = (F.col("n_pos") > 0) & (F.col("n_pos") < F.col("sample_size")) & \
+        (F.col("sample_size") > min_auc_size)
+    return out.select(*KEYS, "sample_size", "base_rate", "positive_rate", "tpr", "tnr", "fpr",
+                      "fnr", "ppv", "npv", "mean_prediction",
+                      F.when(both, F.col("roc_auc")).alias("auc"))
+
+
 def parity_gaps(metrics: DataFrame, metric_names: Sequence[str] = PARITY_METRICS) -> DataFrame:
     """``grouping_var, reference_group, group_value, comparison, metric, gap``:
     |reference - group| for each metric, the reference being the lowest-ordinal

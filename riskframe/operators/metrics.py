@@ -78,13 +78,16 @@ def _one_row_join(*frames: DataFrame) -> DataFrame:
 def evaluate(df: DataFrame, label: str = "label", score: str = "score",
              threshold: float = 0.5) -> DataFrame:
     """Full evaluation (A10/A11): roc_auc, pr_auc, ks_statistic, brier_score,
-    accuracy, precision, recall, specificity, f1_score, n, positive_rate."""
-    scored = apply_threshold(df, score, threshold)
-    cls = classification_metrics(scored, label, "pred")
-    base = scored.agg(F.count(F.lit(1)).alias("n"),
-                      F.avg(F.col(label).cast("double")).alias("positive_rate"),
-                      F.avg(F.pow(F.col(score) - F.col(label).cast("double"), 2)).alias("brier_score"))
-    return _one_row_join(base, cls, curves.curve_summary(df, label, score))
+    accuracy, precision, recall, specificity, f1_score, n, positive_rate.
+
+    One pass over the rows: a materialised per-score count table feeds both
+    the threshold statistics and the curves."""
+    from riskframe.session import cut_lineage
+    counts = cut_lineage(curves.score_counts(df, label, score))
+    cm = curves.count_metrics(counts, score, threshold=threshold)
+    base = cm.select("n", "tn", "fp", "fn", "tp", "positive_rate", "brier_score")
+    base = base.withColumns(rates(F.col("tn"), F.col("fp"), F.col("fn"), F.col("tp")))
+    return _one_row_join(base, curves.curve_summary(counts, label, score, counted=True))
 
 
 def quick_evaluation(df: DataFrame, label: str = "label", score: str = "score",

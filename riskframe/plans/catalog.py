@@ -69,7 +69,7 @@ def register(name: str):
 @register("group_metrics")
 def q_group_metrics(spark, sf):
     """A12 over the four proxy groupings of the scored loans (flagship)."""
-    return fairness.group_metrics(frames.audit_frame(spark, sf))
+    return fairness.group_metrics(frames.audit_frame(spark, sf), threshold=0.5)
 
 
 # --- curves and metrics on the scored table ---------------------------------------
@@ -239,14 +239,14 @@ def q_aligned(spark, sf):
 @register("parity_gaps")
 def q_parity_gaps(spark, sf):
     """|reference - group| for six metrics."""
-    return fairness.parity_gaps(fairness.group_metrics(frames.audit_frame(spark, sf)))
+    return fairness.parity_gaps(fairness.group_metrics(frames.audit_frame(spark, sf), threshold=0.5))
 
 
 @register("fairness_summary")
 def q_fairness_summary(spark, sf):
     """Max gaps, flagged comparisons, recommendations."""
     s = fairness.fairness_summary(
-        fairness.parity_gaps(fairness.group_metrics(frames.audit_frame(spark, sf))))
+        fairness.parity_gaps(fairness.group_metrics(frames.audit_frame(spark, sf), threshold=0.5)))
     return s.select("max_tpr_gap", "max_fpr_gap", "max_ppv_gap", "n_problematic",
                     F.concat_ws(";", F.transform("problematic_groups", lambda p: F.concat_ws(
                         "/", p["grouping_var"], p["comparison"], p["metric"]))).alias("problematic"),
@@ -333,7 +333,7 @@ def q_monitor(spark, sf):
 
 def _fairness_summary(spark, sf):
     return fairness.fairness_summary(
-        fairness.parity_gaps(fairness.group_metrics(frames.audit_frame(spark, sf))))
+        fairness.parity_gaps(fairness.group_metrics(frames.audit_frame(spark, sf), threshold=0.5)))
 
 
 @register("governance_report")

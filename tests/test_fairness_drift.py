@@ -95,3 +95,19 @@ def test_reports_serialise_and_handle_missing_fairness(spark):
     assert js["training_data"]["split_sizes"]["train"] == 10
     assert len(js["technical_details"]["features"]) == 20
     assert js["performance"]["test_metrics"]["roc_auc"] == 0.7
+
+
+def test_counted_group_metrics_equal_row_path(spark):
+    rng = np.random.default_rng(9)
+    rows = [(("A", "B", "C")[i % 3], int(rng.integers(0, 2)), float(np.round(rng.random(), 2))) for i in range(300)]
+    df = apply_threshold(spark.createDataFrame(rows, "income_quartile string, label int, score double"))
+    a = {r["group_value"]: r.asDict() for r in fairness.group_metrics(df, ["income_quartile"]).collect()}
+    b = {r["group_value"]: r.asDict() for r in
+         fairness.group_metrics(df, ["income_quartile"], threshold=0.5).collect()}
+    assert a.keys() == b.keys()
+    for g in a:
+        for k, v in a[g].items():
+            if isinstance(v, float):
+                assert b[g][k] == pytest.approx(v, abs=1e-12), (g, k)
+            else:
+                assert b[g][k] == v, (g, k)
