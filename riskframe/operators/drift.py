@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.bins import equal_width_bin
+from riskframe.functions.text import py_fixed
 from riskframe.operators import curves
 from riskframe.session import cut_lineage
 from riskframe.schema import PERFORMANCE_DRIFT_THRESHOLD, PSI_BINS, PSI_EPSILON
@@ -129,8 +130,8 @@ def drift_metrics(reference: DataFrame, current: DataFrame, features: Sequence[s
 
 
 # --- fixed values: monitoring texts ----------------------------------------------------
-MON_AUC = "AUC degradation detected (%.3f). Consider model retraining."
-MON_PR = "PR-AUC degradation detected (%.3f). Review model performance."
+MON_AUC = "AUC degradation detected (%s). Consider model retraining."
+MON_PR = "PR-AUC degradation detected (%s). Review model performance."
 MON_OK = "Model performance is stable. Continue monitoring."
 
 
@@ -162,8 +163,8 @@ def performance_monitor(current: DataFrame, reference_metrics: DataFrame | None
     x = x.withColumns({"auc_degradation": F.col("auc_drift") > threshold,
                        "pr_auc_degradation": F.col("pr_auc_drift") > threshold})
     recs = F.array_compact(F.array(
-        F.when(F.col("auc_degradation"), F.format_string(MON_AUC, F.col("auc_drift"))),
-        F.when(F.col("pr_auc_degradation"), F.format_string(MON_PR, F.col("pr_auc_drift"))),
+        F.when(F.col("auc_degradation"), F.format_string(MON_AUC, py_fixed(F.col("auc_drift"), 3))),
+        F.when(F.col("pr_auc_degradation"), F.format_string(MON_PR, py_fixed(F.col("pr_auc_drift"), 3))),
         F.when(~F.col("auc_degradation") & ~F.col("pr_auc_degradation"), F.lit(MON_OK))))
     return x.withColumns({"recommendations": recs,
                           "performance_stable": ~(F.col("auc_degradation") | F.col("pr_auc_degradation"))})
