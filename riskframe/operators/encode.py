@@ -48,13 +48,22 @@ def _is_numeric(dt: T.DataType) -> bool:
     return isinstance(dt, T.NumericType)
 
 
-def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def distinct_counts(df: DataFrame, columns: Sequence[str], exact: bool = True,
+                    rsd: float = 0.01) -> DataFrame:
     """``feature, n_distinct`` (NULLs not counted) via one long-form aggregation.
 
     A wide ``count(DISTINCT ..)`` per column expands every row once per column
     before a single shuffle; the long form first combines ``(feature, value)``
-    map-side, then counts values per feature.
+    map-side, then counts values per feature. ``exact=False`` uses mergeable
+    HyperLogLog sketches instead (one partial aggregate per task, no value
+    shuffle), relative error ``rsd``: the option for very wide or very
+    high-cardinality tables.
     """
+    if not exact:
+        row = df.agg(*[F.approx_count_distinct(F.col(c), rsd).alias(f"d{i}") for i, c in enumerate(columns)])
+        pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"d{i}").cast("long").alias("n_distinct"))
+                          for i, c in enumerate(columns)])
+        return row.select(F.explode(pairs).alias("_p")).select("_p.*")
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
                       for c in columns])
     long = df.select(F.explode(pairs).alias("_p")).select("_p.feature", "_p.value")
@@ -63,7 +72,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def feature_kinds(df: DataFrame, columns: Sequence[str] | None = None,
-                  max_distinct: int = CATEGORICAL_MAX_DISTINCT) -> DataFrame:
+                  max_distinct: int = CATEGORICAL_MAX_DISTINCT, exact: bool = True) -> DataFrame:
     """``feature, dtype, n_distinct, kind``: categorical when the column is a
     string or has fewer than ``max_distinct`` distinct values, else numeric."""
     columns = list(columns or df.columns)
@@ -71,7 +80,7 @@ def feature_kinds(df: DataFrame, columns: Sequence[str] | None = None,
     meta = df.sparkSession.createDataFrame(
         [(c, types[c].simpleString(), not _is_numeric(types[c])) for c in columns],
         "feature string, dtype string, is_text boolean")
-    counts = distinct_counts(df, columns)
+    counts = distinct_counts(df, columns, exact)
     k = meta.join(counts, "feature", "left").withColumn(
         "n_distinct", F.coalesce(F.col("n_distinct"), F.lit(0)).cast("long"))
     return k.select("feature", "dtype", "n_distinct", F.when(

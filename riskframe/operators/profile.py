@@ -26,7 +26,7 @@ def _numeric(dt: T.DataType) -> bool:
 
 
 def feature_profile(df: DataFrame, target: str = TARGET,
-                    dictionary: DataFrame | None = None) -> DataFrame:
+                    dictionary: DataFrame | None = None, exact: bool = True) -> DataFrame:
     """One row per column except ``target``: ``feature_name, dtype, is_numeric,
     missing_count, missing_pct, unique_values, description, mean, std, min, max``
     (sample std; moments NULL for non-numeric columns)."""
@@ -52,7 +52,7 @@ def feature_profile(df: DataFrame, target: str = TARGET,
         for i, f in enumerate(fields)])
     long = wide.select("_n", F.explode(rows).alias("_r")).select("_n", "_r.*")
     long = long.withColumn("missing_pct", F.col("missing_count") * 100.0 / F.col("_n")).drop("_n")
-    uniq = distinct_counts(df, [f.name for f in fields]).withColumnRenamed("feature", "feature_name")
+    uniq = distinct_counts(df, [f.name for f in fields], exact).withColumnRenamed("feature", "feature_name")
     out = long.join(uniq, "feature_name", "left").withColumn(
         "unique_values", F.coalesce(F.col("n_distinct"), F.lit(0)).cast("long")).drop("n_distinct")
     if dictionary is not None:

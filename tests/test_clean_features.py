@@ -69,3 +69,12 @@ def test_income_quartiles_interpolated(spark):
         expect = "Low" if v <= q1 else "Medium-Low" if v <= q2 else "Medium-High" if v <= q3 else "High"
         assert lab == expect
     assert not math.isnan(q2)
+
+
+def test_distinct_counts_exact_and_approx(spark):
+    from riskframe.operators.encode import distinct_counts
+    df = spark.range(0, 5000).select((F.col("id") % 37).alias("a"), (F.col("id") % 1000).cast("string").alias("b"))
+    ex = {r["feature"]: r["n_distinct"] for r in distinct_counts(df, ["a", "b"]).collect()}
+    ap = {r["feature"]: r["n_distinct"] for r in distinct_counts(df, ["a", "b"], exact=False).collect()}
+    assert ex == {"a": 37, "b": 1000}
+    assert abs(ap["a"] - 37) <= 2 and abs(ap["b"] - 1000) <= 50
