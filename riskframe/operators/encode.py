@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.operators.ordered import exact_quantiles
+from riskframe.operators.ordered import approx_quantiles, exact_quantiles
 from riskframe.session import cut_lineage
 from riskframe.schema import EXCLUDED_COLUMNS, FEATURES, ORIGINATION_FEATURES, TARGET
 
@@ -121,7 +121,7 @@ def align_features(df: DataFrame, expected: Sequence[str] = FEATURES) -> DataFra
 
 # --- imputation -------------------------------------------------------------------
 
-def fit_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def fit_medians(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """Fitted state ``feature, median``: exact interpolated medians, NULLs ignored.
 
     One long-form job for all columns; each feature's order statistics are
@@ -130,7 +130,8 @@ def fit_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
                       for c in columns])
     long = df.select(F.explode(pairs).alias("_p")).select("_p.feature", "_p.value")
-    q = exact_quantiles(long, "value", [0.5], keys=["feature"])
+    q = (exact_quantiles(long, "value", [0.5], keys=["feature"]) if exact
+         else approx_quantiles(long, "value", [0.5], keys=["feature"]))
     return q.select("feature", F.col("quantile").alias("median"))
 
 

@@ -140,3 +140,16 @@ def quantile_row(df: DataFrame, value: str, probs: Sequence[float]) -> DataFrame
     q = exact_quantiles(df, value, probs)
     return q.agg(*[F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(f"q{i}")
                    for i, p in enumerate(probs)])
+
+
+def approx_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (),
+                     accuracy: int = EDGE_ACCURACY) -> DataFrame:
+    """Same output as ``exact_quantiles`` from mergeable quantile sketches
+    (``percentile_approx``, rank error about 1 / accuracy): one partial
+    aggregate per task and key, for when exact order statistics are not needed."""
+    keys = list(keys)
+    agg = F.percentile_approx(F.col(value).cast("double"), [float(p) for p in probs], accuracy).alias("_q")
+    q = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(agg)
+    pairs = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("prob"), F.col("_q").alias("quantile"))
+    return q.select(*keys, F.explode(pairs).alias("_z")).select(
+        *keys, F.col("_z.prob").alias("prob"), F.col("_z.quantile").alias("quantile"))

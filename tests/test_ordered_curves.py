@@ -85,3 +85,12 @@ def test_calibration_bins_right_closed(spark):
     df = _frame(spark, [0, 1, 1, 0], [0.1, 0.1000001, 1.0, 0.0])
     b = {r["bin"]: r["n"] for r in curves.calibration_bins(df).collect()}
     assert b == {0: 2, 1: 1, 9: 1}
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    from riskframe.operators.ordered import approx_quantiles
+    df = spark.range(0, 20000).select((F.col("id") * 7 % 10007).cast("double").alias("v"))
+    ex = {r["prob"]: r["quantile"] for r in exact_quantiles(df, "v", [0.1, 0.5, 0.9]).collect()}
+    ap = {r["prob"]: r["quantile"] for r in approx_quantiles(df, "v", [0.1, 0.5, 0.9]).collect()}
+    for p in ex:
+        assert abs(ap[p] - ex[p]) <= 10007 * 2e-3
