@@ -36,7 +36,7 @@ def drift_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return df.where(in_ref), df.where(~in_ref)
 
 
-# --- fixed values: the literal logistic scorer used by the explanation fixtures ----
+# --- fixture values (our own): a literal logistic scorer for the explanation queries
 EXPLAIN_COEFS = {
     "int_rate": 0.08, "dti": 0.03, "annual_inc": -1e-05, "revol_util": 0.01,
     "loan_to_income": 0.5, "credit_age_months": -0.002, "emp_length_numeric": -0.02,
