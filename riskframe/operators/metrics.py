@@ -92,12 +92,14 @@ def evaluate(df: DataFrame, label: str = "label", score: str = "score",
 
 def quick_evaluation(df: DataFrame, label: str = "label", score: str = "score",
                      threshold: float = 0.5) -> DataFrame:
-    """The short form: roc_auc, pr_auc, accuracy, positive_rate."""
-    scored = apply_threshold(df, score, threshold)
-    acc = scored.agg(_safe(F.count_if(F.col("pred") == F.col(label)), F.count(F.lit(1)))
-                     .alias("accuracy"),
-                     F.avg(F.col(label).cast("double")).alias("positive_rate"))
-    return _one_row_join(acc, curves.curve_summary(df, label, score).select("roc_auc", "pr_auc"))
+    """The short form: roc_auc, pr_auc, accuracy, positive_rate (one pass: a
+    materialised per-score count table feeds the accuracy and the curves)."""
+    from riskframe.session import cut_lineage
+    counts = cut_lineage(curves.score_counts(df, label, score))
+    cm = curves.count_metrics(counts, score, threshold=threshold)
+    acc = cm.select(_safe(F.col("tp") + F.col("tn"), F.col("n")).alias("accuracy"), "positive_rate")
+    return _one_row_join(acc, curves.curve_summary(counts, label, score, counted=True)
+                         .select("roc_auc", "pr_auc"))
 
 
 def performance_band(metrics: DataFrame, auc_col: str = "roc_auc") -> DataFrame:
