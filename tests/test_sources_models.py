@@ -213,3 +213,18 @@ def test_latest_run_and_set_membership(spark):
     members = spark.createDataFrame([("a",), ("a",), ("c",)], "v string")
     assert sorted(r["v"] for r in encode.in_set(df, "v", members).collect()) == ["a", "c"]
     assert sorted(str(r["v"]) for r in encode.in_set(df, "v", members, keep=False).collect()) == ["None", "b"]
+
+
+def test_calibrate_dispatch_and_best_params(spark):
+    from pyspark.ml.classification import LogisticRegression
+    frame = _model_frame(spark)
+    s = model.score(model.train_monotone_lr(frame, ["dti", "annual_inc"]), frame)
+    for method in ("isotonic", "sigmoid"):
+        cal = model.calibrate(s.where("split = 'val'"), method)
+        out = model.apply_calibration(cal, s)
+        lo, hi = out.agg(F.min("calibrated"), F.max("calibrated")).first()
+        assert 0.0 <= lo <= hi <= 1.0
+    train = model.stratified_folds(frame.where("split = 'train'"), 3)
+    est = LogisticRegression(featuresCol="features", labelCol="label", maxIter=20)
+    cvm = model.cross_validate(train, est, {"regParam": [0.0, 10.0]}, parallelism=2)
+    assert model.best_params(cvm) == {"regParam": 0.0}
