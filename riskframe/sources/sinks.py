@@ -65,3 +65,14 @@ def latest_runs(runs: DataFrame) -> DataFrame:
     w = Window.partitionBy("experiment").orderBy(F.col("ts").desc(), F.col("run_id").desc())
     return (runs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
             .select("experiment", "run_id", "ts", "model_type"))
+
+
+def write_split_table(df: DataFrame, path: str, split_col: str = "split") -> None:
+    """Write a prepared table partitioned by split; readers that filter on the
+    split read only that directory (partition pruning)."""
+    df.write.mode("overwrite").partitionBy(split_col).parquet(path)
+
+
+def read_split(spark: SparkSession, path: str, split: str, split_col: str = "split") -> DataFrame:
+    """One split of a table written by ``write_split_table``."""
+    return spark.read.parquet(path).where(F.col(split_col) == split)

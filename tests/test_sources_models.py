@@ -228,3 +228,22 @@ def test_calibrate_dispatch_and_best_params(spark):
     est = LogisticRegression(featuresCol="features", labelCol="label", maxIter=20)
     cvm = model.cross_validate(train, est, {"regParam": [0.0, 10.0]}, parallelism=2)
     assert model.best_params(cvm) == {"regParam": 0.0}
+
+
+def test_split_partitioned_table_prunes(spark):
+    base = os.path.join(tempfile.mkdtemp(prefix="rf-split-"), "t")
+    df = spark.createDataFrame([(i, ("train", "val", "test")[i % 3]) for i in range(30)], "id int, split string")
+    sinks.write_split_table(df, base)
+    part = sinks.read_split(spark, base, "val")
+    assert part.count() == 10
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "val" in plan
+
+
+def test_score_falls_back_to_prediction(spark):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.regression import LinearRegression
+    frame = _model_frame(spark)
+    lr = LinearRegression(featuresCol="features", labelCol="label", maxIter=5).fit(frame)
+    out = model.score(PipelineModel(stages=[lr]), frame)
+    assert "score" in out.columns and "prediction" not in out.columns
