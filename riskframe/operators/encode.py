@@ -20,6 +20,15 @@ from riskframe.schema import EXCLUDED_COLUMNS, FEATURES, ORIGINATION_FEATURES, T
 
 UNKNOWN = "Unknown"
 CATEGORICAL_MAX_DISTINCT = 20
+BROADCAST_MAX_CATEGORIES = 2_000_000     # fitted code rows; beyond it, a shuffle join
+
+
+def _code_side(codes: DataFrame):
+    """Broadcast a fitted code table only behind a size check: it is
+    materialised, so counting it is cheap; above the bound the join stays a
+    (skew-aware, AQE) shuffle join."""
+    n = codes.count()
+    return (lambda d: F.broadcast(d)) if n <= BROADCAST_MAX_CATEGORIES else (lambda d: d)
 
 
 def origination_features(df: DataFrame, listed: Sequence[str] = ORIGINATION_FEATURES) -> list[str]:
@@ -195,11 +204,12 @@ def _rank_text(cats: DataFrame) -> DataFrame:
 def transform_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str],
                     missing_code: int | None = -1) -> DataFrame:
     """Replace each categorical column by its code (equi-join per column on the
-    fitted table; AQE broadcasts small code tables). Unmatched -> ``missing_code``."""
+    fitted table, broadcast behind a size check). Unmatched -> ``missing_code``."""
+    side = _code_side(codes)
     out = df
     for c in columns:
-        m = codes.where(F.col("feature") == c).select(
-            F.col("category").alias(f"_cat_{c}"), F.col("code").alias(f"_code_{c}"))
+        m = side(codes.where(F.col("feature") == c).select(
+            F.col("category").alias(f"_cat_{c}"), F.col("code").alias(f"_code_{c}")))
         out = (out.join(m, out[c].cast("string") == m[f"_cat_{c}"], "left")
                .withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.lit(missing_code)).cast("int"))
                .drop(f"_cat_{c}", f"_code_{c}"))
@@ -228,10 +238,11 @@ def fitted_encode(df: DataFrame, columns: Sequence[str], split_col: str = "split
         F.count(F.lit(1)).alias("_n"),
         F.max(F.when(F.col("category") == UNKNOWN, F.col("code"))).alias("_unk"))
     unknown = n_cat.select("feature", F.coalesce("_unk", "_n").cast("int").alias("unknown_code"))
+    side = _code_side(codes)
     out = filled
     for c in columns:
-        m = codes.where(F.col("feature") == c).select(
-            F.col("category").alias(f"_cat_{c}"), F.col("code").alias(f"_code_{c}"))
+        m = side(codes.where(F.col("feature") == c).select(
+            F.col("category").alias(f"_cat_{c}"), F.col("code").alias(f"_code_{c}")))
         u = unknown.where(F.col("feature") == c).select(F.col("unknown_code").alias("_u")).scalar()
         out = (out.join(m, out[c] == m[f"_cat_{c}"], "left")
                .withColumn("_u", u)
