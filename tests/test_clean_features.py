@@ -2,7 +2,6 @@
 
 import math
 
-import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators.clean import clean_loans, date_parts, narrow_types

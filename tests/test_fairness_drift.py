@@ -4,7 +4,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from riskframe.operators import drift, fairness
 from riskframe.operators.metrics import apply_threshold
