@@ -14,6 +14,7 @@ by value first (map-side combined), which also removes heavy single values.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,25 +39,27 @@ def with_bucket(df: DataFrame, value: str, keys: Sequence[str] = (),
                 n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Add ``_bucket``: the number of edges strictly below the value (monotone).
 
-    Found by binary search (``ceil(log2 n_buckets)`` steps per row) over the
-    edges array, which is projected once as a column (the scalar subquery is
-    never repeated inside the expression).
+    Two-level lookup in generated code, no per-row lambda: with blocks of
+    ``b = ceil(sqrt(n_buckets))`` edges, the coarse step counts the block
+    boundaries (every b-th edge) below the value, the fine step counts the
+    edges below it inside that one block: about ``2 * sqrt(n_buckets)`` flat
+    comparisons. The edges array (one scalar subquery) is projected once.
+    ``keys`` need no edges of their own: each (key, bucket) is a subset of
+    its global bucket.
     """
     x = df.withColumn("_edges", _edges(df, value, n_buckets))
-    steps = max(1, (n_buckets - 1).bit_length())
-    v = F.col(value)
-
-    def step(acc, _):
-        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        below = (acc["lo"] < acc["hi"]) & (F.try_element_at(F.col("_edges"), mid + 1) < v)
-        below = F.coalesce(below, F.lit(False))
-        return F.struct(F.when(below, mid + 1).otherwise(acc["lo"]).alias("lo"),
-                        F.when(below, acc["hi"]).otherwise(mid).alias("hi"))
-
-    n_edges = F.coalesce(F.size("_edges"), F.lit(0))
-    init = F.struct(F.lit(0).alias("lo"), n_edges.alias("hi"))
-    search = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)
-    return x.withColumn("_bucket", search["lo"]).drop("_edges")
+    v, edges = F.col(value), F.col("_edges")
+    n_edges = n_buckets - 1
+    block = max(1, math.isqrt(n_buckets - 1) + 1)
+    coarse = F.lit(0)
+    for b in range(1, n_edges // block + 1):
+        coarse = coarse + F.when(F.try_element_at(edges, F.lit(b * block)) < v, 1).otherwise(0)
+    x = x.withColumn("_c", coarse)
+    fine = F.lit(0)
+    for k in range(1, block):
+        below = F.try_element_at(edges, F.col("_c") * block + k) < v
+        fine = fine + F.when(F.coalesce(below, F.lit(False)), 1).otherwise(0)
+    return x.withColumn("_bucket", F.col("_c") * block + fine).drop("_edges", "_c")
 
 
 def running_sums(df: DataFrame, value: str, measures: Sequence[str],
