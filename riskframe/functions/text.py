@@ -35,5 +35,8 @@ def py_fixed(x: Column, decimals: int, grouping: bool = False) -> Column:
           .otherwise(F.pmod(n, F.lit(2.0)) == 1.0))
     m = F.when(up, n + 1.0).otherwise(n) / F.lit(c)
     body = F.format_string(f"%{',' if grouping else ''}.{decimals}f", m)
-    signed = F.when(x < 0, F.concat(F.lit("-"), body)).otherwise(body)
+    xd = x.cast("double")
+    # negative zero prints with a sign too; its Java text keeps the sign
+    negative = (xd < 0) | ((xd == 0) & F.format_string("%s", xd).startswith("-"))
+    signed = F.when(negative, F.concat(F.lit("-"), body)).otherwise(body)
     return F.when(x.isNull(), F.lit(None).cast("string")).otherwise(signed)
