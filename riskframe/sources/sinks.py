@@ -76,3 +76,10 @@ def write_split_table(df: DataFrame, path: str, split_col: str = "split") -> Non
 def read_split(spark: SparkSession, path: str, split: str, split_col: str = "split") -> DataFrame:
     """One split of a table written by ``write_split_table``."""
     return spark.read.parquet(path).where(F.col(split_col) == split)
+
+
+def run_metrics_row(metrics: DataFrame, run_id: str, names=("roc_auc", "pr_auc")) -> DataFrame:
+    """One logged run's metrics as one row (``roc_auc, pr_auc`` by default):
+    the reference input of ``drift.performance_monitor``."""
+    m = metrics.where(F.col("run_id") == run_id)
+    return m.agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names])

@@ -247,3 +247,15 @@ def test_score_falls_back_to_prediction(spark):
     lr = LinearRegression(featuresCol="features", labelCol="label", maxIter=5).fit(frame)
     out = model.score(PipelineModel(stages=[lr]), frame)
     assert "score" in out.columns and "prediction" not in out.columns
+
+
+def test_monitor_against_logged_run(spark):
+    from riskframe.operators import drift
+    base = tempfile.mkdtemp(prefix="rf-runs3-")
+    sinks.log_run(spark, base, "e", "gbt", {}, {},
+                  spark.createDataFrame([(0.9, 0.95)], "roc_auc double, pr_auc double"), run_id="best")
+    ref = sinks.run_metrics_row(sinks.read_run_log(spark, base, "metrics"), "best")
+    cur = spark.createDataFrame([(i % 2, (i % 10) / 10.0) for i in range(100)], "label int, score double")
+    mon = drift.performance_monitor(cur, ref).first()
+    assert mon["reference_roc_auc"] == pytest.approx(0.9)
+    assert mon["auc_degradation"] == (abs(mon["current_roc_auc"] - 0.9) > 0.05)
