@@ -24,3 +24,14 @@ def test_light_queries_run_at_smoke_scale(spark):
     q = entry.queries()
     for name in ("roc_points", "psi_all", "fairness_summary", "feature_profile", "counterfactuals"):
         assert q[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_every_sql_checked_query_runs_at_smoke_scale(spark):
+    q = entry.queries()
+    failures = []
+    for name in sorted(set(q) - ROWS_ONLY):
+        try:
+            q[name](spark, "/root/testdata/sf0.001").count()
+        except Exception as e:  # noqa: BLE001
+            failures.append((name, str(e)[:200]))
+    assert not failures, failures
