@@ -238,16 +238,17 @@ def fitted_encode(df: DataFrame, columns: Sequence[str], split_col: str = "split
         F.count(F.lit(1)).alias("_n"),
         F.max(F.when(F.col("category") == UNKNOWN, F.col("code"))).alias("_unk"))
     unknown = n_cat.select("feature", F.coalesce("_unk", "_n").cast("int").alias("unknown_code"))
+    # one scalar subquery for all columns: feature -> code of 'Unknown'
+    umap = unknown.agg(F.map_from_entries(F.collect_list(F.struct("feature", "unknown_code")))).scalar()
     side = _code_side(codes)
-    out = filled
+    out = filled.withColumn("_umap", umap)
     for c in columns:
         m = side(codes.where(F.col("feature") == c).select(
             F.col("category").alias(f"_cat_{c}"), F.col("code").alias(f"_code_{c}")))
-        u = unknown.where(F.col("feature") == c).select(F.col("unknown_code").alias("_u")).scalar()
         out = (out.join(m, out[c] == m[f"_cat_{c}"], "left")
-               .withColumn("_u", u)
-               .withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.col("_u")).cast("int"))
-               .drop(f"_cat_{c}", f"_code_{c}", "_u"))
+               .withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.col("_umap")[F.lit(c)]).cast("int"))
+               .drop(f"_cat_{c}", f"_code_{c}"))
+    out = out.drop("_umap")
     return out
 
 
