@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import exact, mixing, orcids, packing, quality, simhash, tokens
+from riskframe.llm import exact, hmm, license, mixing, orcids, packing, quality, simhash, substring, tokens
 from riskframe.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,17 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+@register("op3_hmm")
+def op3_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.scored_texts(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@register("op4_substring")
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = substring.without_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return x.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op5_exact")
 def op5_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(documents(spark, sf_dir).select("doc_id", "text"))
@@ -49,6 +60,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register("op7_license")
+def op7_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scanned(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 @register("op8_tokens")
 def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = documents(spark, sf_dir).select(

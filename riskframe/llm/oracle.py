@@ -43,3 +43,21 @@ grouped AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM docs G
 SELECT d.doc_id, g.keep_id, CAST(g.group_size AS BIGINT) AS group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256
 FROM docs d JOIN grouped g ON d.t = g.t
 """
+
+ORACLE["op4_substring"] = rf"""
+WITH docs AS (SELECT doc_id, coalesce(regexp_extract_all(text, '{_WORD}'), []) AS words FROM documents),
+windows AS (
+  SELECT doc_id, start, md5(array_to_string(list_slice(words, start, start + 49), ' ')) AS h
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS start FROM docs WHERE len(words) >= 50)),
+firsts AS (SELECT h, min(doc_id) AS first_doc FROM windows GROUP BY h),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(start, start + 50)) AS place
+  FROM windows JOIN firsts USING (h) WHERE doc_id > first_doc),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM docs),
+kept AS (
+  SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.place) AS text, count(*) AS n
+  FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place WHERE g.place IS NULL GROUP BY p.doc_id)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(len(d.words) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
