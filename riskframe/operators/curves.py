@@ -16,11 +16,17 @@ from pyspark.sql import functions as F
 from riskframe.operators.ordered import DEFAULT_BUCKETS, running_sums
 
 
+def valid_score(df: DataFrame, score: str) -> Column:
+    """The score, NaN as NULL (both are left out of every metric)."""
+    c = F.col(score)
+    return F.when(~F.isnan(c), c) if dict(df.dtypes).get(score) in ("double", "float") else c
+
+
 def score_counts(df: DataFrame, label: str = "label", score: str = "score",
                  keys: Sequence[str] = ()) -> DataFrame:
     """``keys, score, tp, fp``: positives and negatives at each distinct score."""
     y = F.col(label).cast("long")
-    return (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    return (df.where(valid_score(df, score).isNotNull() & F.col(label).isNotNull())
             .groupBy(*keys, score)
             .agg(F.sum(y).alias("tp"), F.sum(F.lit(1) - y).alias("fp")))
 
@@ -155,7 +161,7 @@ def calibration_bin(score: Column, n_bins: int = 10) -> Column:
 def calibration_bins(df: DataFrame, label: str = "label", score: str = "score",
                      n_bins: int = 10, keys: Sequence[str] = ()) -> DataFrame:
     """``keys, bin, n, mean_predicted, fraction_positive``; empty bins absent."""
-    return (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    return (df.where(valid_score(df, score).isNotNull() & F.col(label).isNotNull())
             .groupBy(*keys, calibration_bin(F.col(score), n_bins).alias("bin"))
             .agg(F.count(F.lit(1)).alias("n"),
                  F.avg(F.col(score)).alias("mean_predicted"),

@@ -118,7 +118,7 @@ def drift_metrics(reference: DataFrame, current: DataFrame, features: Sequence[s
     types = dict(reference.dtypes)
     text = [f for f in both if types[f] == "string"]
     nums = [f for f in both if types[f] != "string"]
-    parts = []
+    parts = [reference.sparkSession.createDataFrame([], "feature string, psi double, kind string")]
     if nums:
         parts.append(psi_numeric(reference, current, nums, bins).withColumn("kind", F.lit("numeric")))
     if text:

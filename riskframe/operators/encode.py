@@ -20,15 +20,6 @@ from riskframe.schema import EXCLUDED_COLUMNS, FEATURES, ORIGINATION_FEATURES, T
 
 UNKNOWN = "Unknown"
 CATEGORICAL_MAX_DISTINCT = 20
-BROADCAST_MAX_CATEGORIES = 2_000_000     # fitted code rows; beyond it, a shuffle join
-
-
-def _code_side(codes: DataFrame):
-    """Broadcast a fitted code table only behind a size check: it is
-    materialised, so counting it is cheap; above the bound the join stays a
-    (skew-aware, AQE) shuffle join."""
-    n = codes.count()
-    return (lambda d: F.broadcast(d)) if n <= BROADCAST_MAX_CATEGORIES else (lambda d: d)
 
 
 def origination_features(df: DataFrame, listed: Sequence[str] = ORIGINATION_FEATURES) -> list[str]:
@@ -187,11 +178,11 @@ def fit_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def _rank_text(cats: DataFrame) -> DataFrame:
     """Running count of categories per feature in binary string order.
 
-    Text is bucketed by ``(feature, first byte pair)``: a cheap monotone prefix
-    of the sort key, so ranking is split over many tasks with exact offsets.
+    Categories are range-partitioned by sampled edges of ``(feature,
+    category)``, so values that share a long prefix are split like any others;
+    the range is kept with the row (checkpoint) and offsets make ranks exact.
     """
-    prefix = F.substring(F.hex(F.encode(F.col("category"), "UTF-8")), 1, 4)
-    x = cats.withColumn("_bucket", prefix)
+    x = cut_lineage(cats.repartitionByRange("feature", "category").withColumn("_bucket", F.spark_partition_id()))
     totals = x.groupBy("feature", "_bucket").agg(F.count(F.lit(1)).alias("_t"))
     wb = Window.partitionBy("feature").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("feature", "_bucket", F.coalesce(F.sum("_t").over(wb), F.lit(0)).alias("_o"))
@@ -204,12 +195,11 @@ def _rank_text(cats: DataFrame) -> DataFrame:
 def transform_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str],
                     missing_code: int | None = -1) -> DataFrame:
     """Replace each categorical column by its code (equi-join per column on the
-    fitted table, broadcast behind a size check). Unmatched -> ``missing_code``."""
-    side = _code_side(codes)
+    fitted table; AQE broadcasts what it measures small). Unmatched -> ``missing_code``."""
     out = df
     for c in columns:
-        m = side(codes.where(F.col("feature") == c).select(
-            F.col("category").alias(f"_cat_{c}"), F.col("code").alias(f"_code_{c}")))
+        m = codes.where(F.col("feature") == c).select(
+            F.col("category").alias(f"_cat_{c}"), F.col("code").alias(f"_code_{c}"))
         out = (out.join(m, out[c].cast("string") == m[f"_cat_{c}"], "left")
                .withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.lit(missing_code)).cast("int"))
                .drop(f"_cat_{c}", f"_code_{c}"))
@@ -240,11 +230,10 @@ def fitted_encode(df: DataFrame, columns: Sequence[str], split_col: str = "split
     unknown = n_cat.select("feature", F.coalesce("_unk", "_n").cast("int").alias("unknown_code"))
     # one scalar subquery for all columns: feature -> code of 'Unknown'
     umap = unknown.agg(F.map_from_entries(F.collect_list(F.struct("feature", "unknown_code")))).scalar()
-    side = _code_side(codes)
     out = filled.withColumn("_umap", umap)
     for c in columns:
-        m = side(codes.where(F.col("feature") == c).select(
-            F.col("category").alias(f"_cat_{c}"), F.col("code").alias(f"_code_{c}")))
+        m = codes.where(F.col("feature") == c).select(
+            F.col("category").alias(f"_cat_{c}"), F.col("code").alias(f"_code_{c}"))
         out = (out.join(m, out[c] == m[f"_cat_{c}"], "left")
                .withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.col("_umap")[F.lit(c)]).cast("int"))
                .drop(f"_cat_{c}", f"_code_{c}"))

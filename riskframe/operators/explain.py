@@ -95,8 +95,9 @@ def linear_contributions(df: DataFrame, coefs: Mapping[str, float], intercept: f
         "base_value", "logit", "probability")
 
 
-def global_importance(contrib: DataFrame, top: int | None = 20) -> DataFrame:
-    """``feature, importance, rank``: mean |contribution| per feature, ranked."""
+def global_importance(contrib: DataFrame, top: int | None = None) -> DataFrame:
+    """``feature, importance, rank``: mean |contribution| per feature, ranked
+    (all features; ``top`` only for a report that shows so many)."""
     g = contrib.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("importance"))
     ranked = g.withColumn("rank", F.row_number().over(
         Window.orderBy(F.col("importance").desc(), F.col("feature"))))   # one row per feature
@@ -175,7 +176,7 @@ def waterfall_rows(rows: DataFrame, key: str = "id", max_display: int = 10) -> D
     plain = F.transform("contribs", lambda c: F.struct(
         c["feature"].alias("feature"), c["value"].alias("value"), c["contribution"].alias("contribution")))
     shown = F.slice(plain, 1, max_display - 1)
-    rest = F.slice(plain, max_display, 1 << 20)
+    rest = F.slice(plain, F.lit(max_display), F.greatest(F.size(plain), F.lit(0)))
     pooled = F.when(F.size(rest) > 0, F.array(F.struct(
         F.lit("other features").alias("feature"), F.lit(None).cast("double").alias("value"),
         F.aggregate(rest, F.lit(0.0), lambda a, c: a + c["contribution"]).alias("contribution")))) \

@@ -15,8 +15,9 @@ from riskframe.schema import PERFORMANCE_ADVICE_CUT, PERFORMANCE_BAND_FLOOR, PER
 
 def apply_threshold(df: DataFrame, score: str = "score", threshold: float = 0.5,
                     out: str = "pred") -> DataFrame:
-    """pred = 1 when score >= threshold (inclusive, one rule everywhere)."""
-    return df.withColumn(out, (F.col(score) >= F.lit(float(threshold))).cast("int"))
+    """pred = 1 when score >= threshold (inclusive, one rule everywhere); a NULL
+    or NaN score gives no prediction."""
+    return df.withColumn(out, (curves.valid_score(df, score) >= F.lit(float(threshold))).cast("int"))
 
 
 def class_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
@@ -62,8 +63,8 @@ def classification_metrics(df: DataFrame, label: str = "label", pred: str = "pre
 
 
 def brier_score(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """mean((p - y)^2)."""
-    return df.agg(F.avg(F.pow(F.col(score) - F.col(label).cast("double"), 2)).alias("brier_score"))
+    """mean((p - y)^2) over rows with a score."""
+    return df.agg(F.avg(F.pow(curves.valid_score(df, score) - F.col(label).cast("double"), 2)).alias("brier_score"))
 
 
 def _one_row_join(*frames: DataFrame) -> DataFrame:

@@ -38,7 +38,8 @@ def get_spark(master: str | None = None, app: str = "riskframe",
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a scratch folder set.
+    Only when the session names none and runs locally (tests) is a scratch
+    folder set; a cluster must name a folder that all executors share.
     Under Spark Connect (no SparkContext on the client) the server's
     ``spark.checkpoint.dir`` applies and nothing is set here.
     """
@@ -48,6 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="riskframe-ckpt-")
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():

@@ -1,9 +1,11 @@
 """CSV scans (S1-S3): data dictionary, pre-split train/test, raw loan file.
 
 Schemas are explicit (no inference pass over the data); dirty columns are
-read as text and parsed by ``operators.clean``. A gzip file is not
-splittable, so the raw scan is repartitioned right after reading and meant
-to be written once as Parquet.
+read as text and parsed by ``operators.clean``. Records may hold quoted line
+breaks and doubled quotes, so a file is read by one task unless the caller
+knows that it has no line breaks inside records (``line_breaks=False``); a
+gzip file cannot be split either way. Such scans are spread over partitions
+right after reading and meant to be written once as Parquet.
 """
 
 from __future__ import annotations
@@ -26,21 +28,26 @@ def load_data_dictionary(spark: SparkSession, path: str) -> DataFrame:
             .where(F.col("feature").isNotNull() & (F.col("feature") != "")))
 
 
+def _records(spark: SparkSession, path: str, schema: T.StructType | str, line_breaks: bool) -> DataFrame:
+    """CSV records with doubled quotes, and quoted line breaks unless ruled out."""
+    return (spark.read.schema(schema).option("header", True).option("multiLine", line_breaks)
+            .option("quote", '"').option("escape", '"').csv(path))
+
+
 def load_train_test(spark: SparkSession, train_path: str, test_path: str,
-                    schema: T.StructType | str) -> DataFrame:
+                    schema: T.StructType | str, line_breaks: bool = True) -> DataFrame:
     """Both files as one frame with a ``split`` column (train / test)."""
     def one(path: str, split: str) -> DataFrame:
-        return (spark.read.schema(schema).option("header", True).option("multiLine", False).csv(path)
-                .withColumn("split", F.lit(split)))
+        return _records(spark, path, schema, line_breaks).withColumn("split", F.lit(split))
     return one(train_path, "train").unionByName(one(test_path, "test"), allowMissingColumns=True)
 
 
 def load_raw_loans(spark: SparkSession, path: str, schema: T.StructType | str,
-                   partitions: int | None = None) -> DataFrame:
-    """Raw loan CSV (gzip by extension). A single gzip member is read by one
-    task, so the rows are spread over ``partitions`` right away."""
-    df = spark.read.schema(schema).option("header", True).option("multiLine", False).csv(path)
-    if path.endswith(".gz"):
+                   partitions: int | None = None, line_breaks: bool = True) -> DataFrame:
+    """Raw loan CSV (gzip by extension). A file that cannot be split is read by
+    one task, so the rows are spread over ``partitions`` right away."""
+    df = _records(spark, path, schema, line_breaks)
+    if line_breaks or path.endswith(".gz"):
         df = df.repartition(partitions or spark.sparkContext.defaultParallelism)
     return df
 
