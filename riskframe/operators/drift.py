@@ -1,14 +1,16 @@
 """Population drift (B6, D1-D3, J2) and performance monitoring.
 
-All features are handled by one long-form job: the reference and current
-frames are unpivoted to ``(side, feature, value)``, binned against the
-reference range of each feature, counted per ``(feature, side, bin)`` (map-side
-combined) and reduced to one PSI per feature. No per-feature loop, no
-collect.
+One frame holds both sides (a boolean marks the reference rows), so a source
+is scanned twice whatever the number of features: the first scan takes the
+reference ranges of all numeric features in one wide aggregation (read as one
+scalar subquery), the second counts every numeric bin and every category of
+all features and both sides in one long-form aggregation, combined before the
+shuffle. Totals and PSI terms come from that small table.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,116 +19,138 @@ from pyspark.sql import functions as F
 from riskframe.functions.bins import equal_width_bin
 from riskframe.functions.text import py_fixed
 from riskframe.operators import curves
-from riskframe.session import cut_lineage
 from riskframe.schema import PERFORMANCE_DRIFT_THRESHOLD, PSI_BINS, PSI_EPSILON
 
-
-def _long(df: DataFrame, columns: Sequence[str], side: str, as_type: str) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast(as_type).alias("value"))
-                      for c in columns])
-    x = df.select(F.lit(side).alias("side"), F.explode(pairs).alias("_p"))
-    x = x.select("side", "_p.feature", "_p.value").where(F.col("value").isNotNull())
-    if as_type == "double":
-        x = x.where(~F.isnan("value"))
-    return x
+#: marks the reference rows of a frame with both sides
+SIDE = "_is_reference"
+
+
+def both_sides(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Two populations as one frame with ``SIDE``."""
+    cols = list(dict.fromkeys(columns))
+    return (reference.select(*cols, F.lit(True).alias(SIDE))
+            .unionByName(current.select(*cols, F.lit(False).alias(SIDE))))
+
+
+def _number(df: DataFrame, c: str) -> Column:
+    """A feature as a double: dates as days, times as microseconds, NaN as NULL."""
+    kind, v = dict(df.dtypes)[c], F.col(f"`{c}`")
+    if kind == "date":
+        return F.unix_date(v).cast("double")
+    if kind.startswith("timestamp"):
+        return F.unix_micros(v.cast("timestamp")).cast("double")
+    v = v.cast("int").cast("double") if kind == "boolean" else v.cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def numeric_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: per feature a struct ``lo, hi`` of its reference values; a constant
+    feature is widened by 0.5 each side."""
+    wide = df.where(F.col(SIDE)).agg(*[f(_number(df, c)).alias(f"{n}{i}") for i, c in enumerate(columns)
+                                       for n, f in (("lo", F.min), ("hi", F.max))])
+    pairs = []
+    for i, c in enumerate(columns):
+        lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
+        half = F.when(lo == hi, 0.5).otherwise(0.0)
+        pairs.append(F.struct(F.lit(c).alias("feature"), (lo - half).alias("lo"), (hi + half).alias("hi")))
+    return wide.select(F.array(*pairs).alias("ranges"))
+
+
+def side_counts(df: DataFrame, numeric: Sequence[str], text: Sequence[str], bins: int = PSI_BINS) -> DataFrame:
+    """``feature, bin, value, ref_count, cur_count``: one row per bin of a numeric
+    feature (equal width over its reference range, last bin closed, values
+    outside not counted) or category of a text feature that occurs."""
+    none = F.lit(None)
+    entry = [F.struct(F.lit(c).alias("feature"), F.lit(i).alias("i"), _number(df, c).alias("number"),
+                      none.cast("string").alias("value")) for i, c in enumerate(numeric)]
+    entry += [F.struct(F.lit(c).alias("feature"), none.cast("int").alias("i"), none.cast("double").alias("number"),
+                       F.col(f"`{c}`").cast("string").alias("value")) for c in text]
+    long = df.select(SIDE, F.explode(F.array(*entry)).alias("_e")).select(SIDE, "_e.*")
+    if numeric:
+        r = F.get(F.col("_ranges"), F.col("i"))
+        long = long.withColumn("_ranges", numeric_ranges(df, numeric).scalar()).withColumn(
+            "bin", equal_width_bin(F.col("number"), r["lo"], r["hi"], bins))
+    else:
+        long = long.withColumn("bin", none.cast("int"))
+    return (long.where("bin is not null or value is not null").groupBy("feature", "bin", "value")
+            .agg(F.count_if(SIDE).alias("ref_count"), F.count_if(~F.col(SIDE)).alias("cur_count")))
 
 
-def _sides(reference: DataFrame, current: DataFrame, columns: Sequence[str], as_type: str) -> DataFrame:
-    return _long(reference, columns, "ref", as_type).unionByName(_long(current, columns, "cur", as_type))
+def side_histograms(df: DataFrame, columns: Sequence[str], bins: int = PSI_BINS) -> DataFrame:
+    """``feature, bin, ref_count, cur_count`` of a frame with ``SIDE``: every bin of the grid
+    of every feature that has reference values."""
+    counts = side_counts(df, columns, [], bins).drop("value")
+    ranged = numeric_ranges(df, columns).select(F.explode("ranges").alias("_r")).where("_r.lo is not null")
+    grid = ranged.select("_r.feature", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return (grid.join(counts, ["feature", "bin"], "left")
+            .select("feature", "bin", F.coalesce("ref_count", F.lit(0)).alias("ref_count"),
+                    F.coalesce("cur_count", F.lit(0)).alias("cur_count")))
 
 
-def numeric_ranges(long: DataFrame) -> DataFrame:
-    """Reference range per feature; a constant feature is widened by 0.5 each side."""
-    r = long.where(F.col("side") == "ref").groupBy("feature").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"))
-    same = F.col("lo") == F.col("hi")
-    return r.select("feature", F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-                    F.when(same, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
+def side_psi(df: DataFrame, numeric: Sequence[str], text: Sequence[str], bins: int = PSI_BINS,
+             epsilon: float = PSI_EPSILON) -> DataFrame:
+    """``feature, kind, psi`` of a frame with ``SIDE``: sum of (c - r) ln(c / r) over
+    bins or categories, a share of zero set to ``epsilon`` (shares are not
+    renormalised; bins empty on both sides add nothing). NULL when either side
+    has no value (numeric: none inside the reference range)."""
+    listed = [(c, "numeric") for c in numeric] + [(c, "categorical") for c in text]
+    out = df.sparkSession.createDataFrame(listed, "feature string, kind string")
+    if not listed:
+        return out.select("feature", "kind", F.lit(None).cast("double").alias("psi"))
+    counts = side_counts(df, numeric, text, bins)
+    a, b = F.col("ref_count").cast("double"), F.col("cur_count").cast("double")
+
+    def total(when: Column, value: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(when, value)), F.lit(0.0)).alias(name)
+    shared, new, gone = (a > 0) & (b > 0), a == 0, b == 0
+    one, log = F.lit(1.0), F.ln(b / a)
+    x = counts.groupBy("feature").agg(
+        F.sum(a).alias("all_a"), F.sum(b).alias("all_b"),
+        total(shared, a, "a"), total(shared, b, "b"), total(shared, a * log, "a_log"), total(shared, b * log, "b_log"),
+        total(new, one, "new"), total(new, b, "new_b"), total(new, F.ln(b), "new_log"), total(new, b * F.ln(b), "new_b_log"),
+        total(gone, one, "gone"), total(gone, a, "gone_a"), total(gone, F.ln(a), "gone_log"), total(gone, a * F.ln(a), "gone_a_log"))
+    # the sum over bins with shares a / A and b / B written out, so that counts are read once
+    A, B, eps, c = F.col("all_a"), F.col("all_b"), float(epsilon), F.col
+    log_a, log_b = F.ln(A) + math.log(eps), F.ln(B) + math.log(eps)
+    psi = (c("b_log") / B - c("a_log") / A + (c("b") / B - c("a") / A) * (F.ln(A) - F.ln(B))
+           + c("new_b_log") / B - c("new_b") / B * log_b - eps * c("new_log") + eps * c("new") * log_b
+           + c("gone_a_log") / A - c("gone_a") / A * log_a - eps * c("gone_log") + eps * c("gone") * log_a)
+    res = x.select("feature", F.when((A > 0) & (B > 0), psi).alias("psi"))
+    return out.join(F.broadcast(res), "feature", "left").select("feature", "kind", "psi")   # one row per listed feature
 
 
 def histograms(reference: DataFrame, current: DataFrame, columns: Sequence[str],
                bins: int = PSI_BINS) -> DataFrame:
-    """``feature, bin, ref_count, cur_count``: equal-width bins over each
-    feature's reference range (last bin closed); current values outside the
-    range are not counted. Every bin of the grid is present."""
-    long = _sides(reference, current, columns, "double")
-    # one row per listed feature (bound: len(columns), known here); a shuffle
-    # join on ``feature`` would put each feature's rows in one partition
-    rng = F.broadcast(numeric_ranges(long))
-    binned = long.join(rng, "feature", "inner").select(
-        "feature", "side", equal_width_bin(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin"))
-    counts = (binned.where(F.col("bin").isNotNull()).groupBy("feature", "bin")
-              .agg(F.count_if(F.col("side") == "ref").alias("ref_count"),
-                   F.count_if(F.col("side") == "cur").alias("cur_count")))
-    grid = rng.select("feature", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return (grid.join(counts, ["feature", "bin"], "left")
-            .select("feature", "bin", F.coalesce("ref_count", F.lit(0)).alias("ref_count"),
-                    F.coalesce("cur_count", F.lit(0)).alias("cur_count")))
-
-
-def _psi_term(r: Column, c: Column) -> Column:
-    return (c - r) * F.ln(c / r)
+    """``side_histograms`` of two frames."""
+    return side_histograms(both_sides(reference, current, columns), columns, bins)
 
 
 def psi_numeric(reference: DataFrame, current: DataFrame, columns: Sequence[str],
                 bins: int = PSI_BINS, epsilon: float = PSI_EPSILON) -> DataFrame:
-    """``feature, psi``: sum over bins of (c - r) ln(c / r), zero shares set to
-    ``epsilon``; NULL when either side has no values or no current value
-    falls inside the reference range."""
-    h = cut_lineage(histograms(reference, current, columns, bins))    # features x bins rows, read twice
-    w = h.groupBy("feature").agg(F.sum("ref_count").alias("_rn"), F.sum("cur_count").alias("_cn"))
-    x = h.join(F.broadcast(w), "feature", "inner")       # len(columns) rows
-    r = F.col("ref_count") / F.col("_rn")
-    c = F.try_divide(F.col("cur_count").cast("double"), F.col("_cn").cast("double"))
-    r = F.when(r == 0, F.lit(epsilon)).otherwise(r)
-    c = F.when(c == 0, F.lit(epsilon)).otherwise(c)
-    res = x.groupBy("feature").agg(
-        F.sum(_psi_term(r, c)).alias("_psi"), F.max("_cn").alias("_cn"))
-    present = _present(reference, current, columns)
-    out = present.join(res, "feature", "left")
-    return out.select("feature", F.when(F.col("_cn") > 0, F.col("_psi")).alias("psi"))
-
-
-def _present(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    spark = reference.sparkSession
-    return spark.createDataFrame([(c,) for c in columns], "feature string")
+    """``feature, psi`` of numeric features."""
+    return side_psi(both_sides(reference, current, columns), columns, [], bins, epsilon).drop("kind")
 
 
 def psi_categorical(reference: DataFrame, current: DataFrame, columns: Sequence[str],
                     epsilon: float = PSI_EPSILON) -> DataFrame:
     """``feature, psi`` over category shares; a category seen on one side only
-    gets ``epsilon`` on the other (shares are not renormalised)."""
-    long = _sides(reference, current, columns, "string")
-    counts = cut_lineage(long.groupBy("feature", "value").agg(       # distinct categories, read twice
-        F.count_if(F.col("side") == "ref").alias("_r"), F.count_if(F.col("side") == "cur").alias("_c")))
-    tot = counts.groupBy("feature").agg(F.sum("_r").alias("_rn"), F.sum("_c").alias("_cn"))
-    x = counts.join(F.broadcast(tot), "feature", "inner")   # len(columns) rows
-    r = F.when(F.col("_r") == 0, F.lit(epsilon)).otherwise(F.try_divide(F.col("_r"), F.col("_rn")))
-    c = F.when(F.col("_c") == 0, F.lit(epsilon)).otherwise(F.try_divide(F.col("_c"), F.col("_cn")))
-    res = x.groupBy("feature").agg(F.sum(_psi_term(r, c)).alias("_psi"),
-                                   F.max("_rn").alias("_rn"), F.max("_cn").alias("_cn"))
-    out = _present(reference, current, columns).join(res, "feature", "left")
-    return out.select("feature", F.when((F.col("_rn") > 0) & (F.col("_cn") > 0), F.col("_psi"))
-                      .alias("psi"))
+    gets ``epsilon`` on the other."""
+    return side_psi(both_sides(reference, current, columns), [], columns, epsilon=epsilon).drop("kind")
+
+
+def side_drift(df: DataFrame, features: Sequence[str], bins: int = PSI_BINS) -> DataFrame:
+    """``feature, kind, psi`` for every listed feature the frame has: text columns
+    by category shares, the rest by equal-width bins. An empty result if there is none."""
+    types = dict(df.dtypes)
+    have = [f for f in dict.fromkeys(features) if f in types]
+    return side_psi(df, [f for f in have if types[f] != "string"], [f for f in have if types[f] == "string"], bins)
 
 
 def drift_metrics(reference: DataFrame, current: DataFrame, features: Sequence[str],
                   bins: int = PSI_BINS) -> DataFrame:
-    """``feature, kind, psi`` for every listed feature present on both sides:
-    text columns by category shares, the rest by equal-width bins."""
+    """``side_drift`` of two frames, for the listed features both have."""
     both = [f for f in features if f in reference.columns and f in current.columns]
-    types = dict(reference.dtypes)
-    text = [f for f in both if types[f] == "string"]
-    nums = [f for f in both if types[f] != "string"]
-    parts = [reference.sparkSession.createDataFrame([], "feature string, psi double, kind string")]
-    if nums:
-        parts.append(psi_numeric(reference, current, nums, bins).withColumn("kind", F.lit("numeric")))
-    if text:
-        parts.append(psi_categorical(reference, current, text).withColumn("kind", F.lit("categorical")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("feature", "kind", "psi")
+    return side_drift(both_sides(reference, current, both), both, bins)
 
 
 # --- fixed values: monitoring texts ----------------------------------------------------
@@ -135,6 +159,16 @@ MON_PR = "PR-AUC degradation detected (%s). Review model performance."
 MON_OK = "Model performance is stable. Continue monitoring."
 
 
+def side_monitor(df: DataFrame, label: str = "label", score: str = "score",
+                 threshold: float = PERFORMANCE_DRIFT_THRESHOLD) -> DataFrame:
+    """``performance_monitor`` of a frame with ``SIDE``: both sides' curves in one pass."""
+    both = curves.curve_summary(df.select(SIDE, label, score), label, score, [SIDE])
+    pick = lambda side, c: F.max(F.when(F.col(SIDE) == side, F.col(c)))
+    row = both.agg(pick(False, "roc_auc").alias("current_roc_auc"), pick(False, "pr_auc").alias("current_pr_auc"),
+                   pick(True, "roc_auc").alias("reference_roc_auc"), pick(True, "pr_auc").alias("reference_pr_auc"))
+    return _monitor_row(row, threshold)
+
+
 def performance_monitor(current: DataFrame, reference_metrics: DataFrame | None = None,
                         label: str = "label", score: str = "score",
                         threshold: float = PERFORMANCE_DRIFT_THRESHOLD) -> DataFrame:
@@ -154,6 +188,11 @@ def performance_monitor(current: DataFrame, reference_metrics: DataFrame | None
     else:
         cur = cur.withColumns({"reference_roc_auc": F.lit(None).cast("double"),
                                "reference_pr_auc": F.lit(None).cast("double")})
+    return _monitor_row(cur, threshold)
+
+
+def _monitor_row(cur: DataFrame, threshold: float) -> DataFrame:
+    """Changes, alerts and advice from the four AUCs."""
     ref_auc = F.coalesce("reference_roc_auc", "current_roc_auc")
     ref_pr = F.coalesce("reference_pr_auc", "current_pr_auc")
     x = cur.withColumns({

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.operators.ordered import approx_quantiles, exact_quantiles
+from riskframe.operators.ordered import approx_quantiles, bracketed_quantiles
 from riskframe.session import cut_lineage
 from riskframe.schema import EXCLUDED_COLUMNS, FEATURES, ORIGINATION_FEATURES, TARGET
 
@@ -44,17 +44,14 @@ def leakage_projection(df: DataFrame, target: str = TARGET,
     return df.drop(*drop)
 
 
-def _is_numeric(dt: T.DataType) -> bool:
-    return isinstance(dt, T.NumericType)
-
-
 def distinct_counts(df: DataFrame, columns: Sequence[str], exact: bool = True,
                     rsd: float = 0.01) -> DataFrame:
     """``feature, n_distinct`` (NULLs not counted) via one long-form aggregation.
 
     A wide ``count(DISTINCT ..)`` per column expands every row once per column
-    before a single shuffle; the long form first combines ``(feature, value)``
-    map-side, then counts values per feature. ``exact=False`` uses mergeable
+    before a single shuffle; the long form (one per column type, values as they
+    are) first combines ``(feature, value)`` map-side, then counts values per
+    feature. ``exact=False`` uses mergeable
     HyperLogLog sketches instead (one partial aggregate per task, no value
     shuffle), relative error ``rsd``: the option for very wide or very
     high-cardinality tables.
@@ -64,21 +61,47 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], exact: bool = True,
         pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"d{i}").cast("long").alias("n_distinct"))
                           for i, c in enumerate(columns)])
         return row.select(F.explode(pairs).alias("_p")).select("_p.*")
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
-                      for c in columns])
-    long = df.select(F.explode(pairs).alias("_p")).select("_p.feature", "_p.value")
-    return (long.where(F.col("value").isNotNull()).select("feature", "value").distinct()
-            .groupBy("feature").agg(F.count(F.lit(1)).alias("n_distinct")))
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    parts = []
+    for kind in sorted({types[c] for c in columns}):
+        pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").alias("value"))
+                          for i, c in enumerate(columns) if types[c] == kind])
+        long = df.select(F.explode(pairs).alias("_p")).select("_p.i", "_p.value")
+        parts.append(long.where(F.col("value").isNotNull()).distinct().groupBy("i").agg(F.count(F.lit(1)).alias("n_distinct")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    names = F.array(*[F.lit(c) for c in columns])
+    return out.select(F.get(names, F.col("i")).alias("feature"), "n_distinct")
+
+
+def categorical_columns(df: DataFrame, columns: Sequence[str],
+                        max_distinct: int = CATEGORICAL_MAX_DISTINCT) -> list[str]:
+    """The categorical ones of ``columns`` (see ``feature_kinds``) without
+    counting every value: sketches settle all columns but those whose estimate
+    is near the limit, and only these are counted exactly."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    text = [c for c in columns if isinstance(types[c], T.StringType)]
+    rest = [c for c in columns if c not in text]
+    if not rest:
+        return text
+    row = df.agg(*[F.approx_count_distinct(F.col(c), 0.02).alias(f"d{i}") for i, c in enumerate(rest)]).first()
+    few = {c for i, c in enumerate(rest) if row[i] < 0.7 * max_distinct}
+    near = [c for i, c in enumerate(rest) if 0.7 * max_distinct <= row[i] < 1.5 * max_distinct]
+    if near:
+        few |= {r["feature"] for r in distinct_counts(df, near).where(F.col("n_distinct") < max_distinct).collect()}
+    return [c for c in columns if c in text or c in few]
 
 
 def feature_kinds(df: DataFrame, columns: Sequence[str] | None = None,
                   max_distinct: int = CATEGORICAL_MAX_DISTINCT, exact: bool = True) -> DataFrame:
-    """``feature, dtype, n_distinct, kind``: categorical when the column is a
-    string or has fewer than ``max_distinct`` distinct values, else numeric."""
+    """``feature, dtype, n_distinct, kind``: categorical when the column is text
+    or has fewer than ``max_distinct`` distinct values, else numeric (dates with
+    many values included, as listed)."""
     columns = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
     meta = df.sparkSession.createDataFrame(
-        [(c, types[c].simpleString(), not _is_numeric(types[c])) for c in columns],
+        [(c, types[c].simpleString(), isinstance(types[c], T.StringType)) for c in columns],
         "feature string, dtype string, is_text boolean")
     counts = distinct_counts(df, columns, exact)
     k = meta.join(counts, "feature", "left").withColumn(
@@ -124,14 +147,16 @@ def align_features(df: DataFrame, expected: Sequence[str] = FEATURES) -> DataFra
 def fit_medians(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """Fitted state ``feature, median``: exact interpolated medians, NULLs ignored.
 
-    One long-form job for all columns; each feature's order statistics are
-    bucketed, so a feature with billions of distinct values is not one task.
+    Two scans for all columns (``bracketed_quantiles``); only the values close
+    to a median are shuffled.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
-                      for c in columns])
-    long = df.select(F.explode(pairs).alias("_p")).select("_p.feature", "_p.value")
-    q = (exact_quantiles(long, "value", [0.5], keys=["feature"]) if exact
-         else approx_quantiles(long, "value", [0.5], keys=["feature"]))
+    if exact:
+        q = bracketed_quantiles(df, columns, [0.5])
+    else:
+        pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
+                          for c in columns])
+        long = df.select(F.explode(pairs).alias("_p")).select("_p.feature", "_p.value")
+        q = approx_quantiles(long, "value", [0.5], keys=["feature"])
     return q.select("feature", F.col("quantile").alias("median"))
 
 

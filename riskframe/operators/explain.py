@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.text import py_fixed
+from riskframe.session import cut_lineage
 from riskframe.schema import (COUNTERFACTUAL_DECREASE, COUNTERFACTUAL_INCREASE, HIGH_RISK_SCORE,
                               RISK_KEYWORDS)
 
@@ -23,12 +24,12 @@ SAMPLE_SEED = 42
 
 
 def seeded_sample(df: DataFrame, n: int, key: str = "id", seed: int = SAMPLE_SEED) -> DataFrame:
-    """Fixed-size sample: the ``n`` rows with the smallest seeded hash of ``key``.
+    """Fixed-size sample: the ``n`` rows with the smallest seeded md5 of ``key``.
 
     Stable under repartitioning and recomputation (unlike ``sample``); runs as
     a distributed top-n (partial top-n per task, then a merge of n rows each).
     """
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    return df.orderBy(F.md5(F.concat_ws("/", F.col(key).cast("string"), F.lit(str(seed)))), F.col(key)).limit(n)
 
 
 def _logit(coefs: Mapping[str, float], intercept: float, cols: Mapping[str, Column]) -> Column:
@@ -141,6 +142,19 @@ def dependence_pairs(contrib: DataFrame, features: Sequence[str], key: str = "id
     return out
 
 
+def dependence_rows(rows: DataFrame, features: Sequence[str], key: str = "id",
+                    interaction: str | None = None) -> DataFrame:
+    """``dependence_pairs`` on ``linear_contribution_rows`` output: value,
+    contribution and interaction value all come from the row's own array."""
+    of = lambda names: F.filter("contribs", lambda c: c["feature"].isin(*names))
+    cols = [key, of(list(features)).alias("_kept")]
+    if interaction:
+        cols.append(F.get(of([interaction]), F.lit(0))["value"].alias("interaction_value"))
+    # outer + filter: no inferred size(..) > 0 filter with the array copied into the scan
+    x = rows.select(*cols).select("*", F.explode_outer("_kept").alias("_c")).where(F.col("_c").isNotNull())
+    return x.select(key, "_c.feature", "_c.value", "_c.contribution", *(["interaction_value"] if interaction else []))
+
+
 def ordered_contributions(contrib: DataFrame, key: str = "id") -> DataFrame:
     """Per row, features ranked by |contribution| (ties by name); a rank
     already computed inside the row (``abs_rank``) is kept as is."""
@@ -320,7 +334,8 @@ def permutation_contributions(model, rows: DataFrame, background: DataFrame, fea
     averaged over permutations. Per row the contributions add up to the mean
     over its permutations of ``f(x) - f(z)``.
 
-    Returns ``key, feature, contribution, base_value, prediction``.
+    Returns ``key, feature, value, contribution, base_value, prediction``; ``value``
+    is the row's own value of the feature.
     """
     from pyspark.ml.functions import array_to_vector
     feats = list(features)
@@ -344,7 +359,7 @@ def permutation_contributions(model, rows: DataFrame, background: DataFrame, fea
     pred = model.transform(x.withColumnRenamed("_features", "features").drop(*[c for c in ("features",) if c in x.columns]))
     pred = pred.withColumn("_v", vector_to_array_col(F.col("probability"), positive_index))
     w = Window.partitionBy(key, "_p").orderBy("_j")
-    steps = pred.select(key, "_p", "_j", "_v", F.when(F.col("_j") > 0, F.element_at("_ord", F.col("_j"))).alias("_fi"),
+    steps = pred.select(key, "_p", "_j", "_v", "_x", F.when(F.col("_j") > 0, F.element_at("_ord", F.col("_j"))).alias("_fi"),
                         (F.col("_v") - F.lag("_v").over(w)).alias("_step"),
                         F.first("_v").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
                         .alias("_base"),
@@ -353,8 +368,8 @@ def permutation_contributions(model, rows: DataFrame, background: DataFrame, fea
     names = F.array(*[F.lit(f) for f in feats])
     contrib = (steps.where(F.col("_j") > 0).groupBy(key, "_fi")
                .agg(F.avg("_step").alias("contribution"), F.avg("_base").alias("base_value"),
-                    F.avg("_full").alias("prediction")))
-    return contrib.select(key, F.element_at(names, F.col("_fi") + 1).alias("feature"), "contribution",
+                    F.avg("_full").alias("prediction"), F.first(F.get("_x", F.col("_fi"))).alias("value")))
+    return contrib.select(key, F.element_at(names, F.col("_fi") + 1).alias("feature"), "value", "contribution",
                           "base_value", "prediction")
 
 
@@ -364,20 +379,23 @@ def vector_to_array_col(v: Column, index: int) -> Column:
 
 
 def explanation_report(model, data: DataFrame, features: Sequence[str], key: str = "id",
-                       sample_size: int = 1000, key_features: Sequence[str] = ("dti", "revol_util",
-                                                                               "annual_inc", "int_rate"),
-                       **kw) -> dict[str, DataFrame]:
-    """Sample -> contributions -> importance -> high-risk rows -> waterfalls
-    (first three) -> dependence pairs (first three key features present)."""
+                       sample_size: int = 1000, n_background: int = 100,
+                       key_features: Sequence[str] = ("dti", "revol_util", "annual_inc", "int_rate"),
+                       background: DataFrame | None = None, **kw) -> dict[str, DataFrame]:
+    """Sample -> contributions -> importance (all features) -> high-risk rows
+    -> waterfalls (first three) -> dependence pairs with the rows' own values
+    (first three key features present). ``sample_size`` and ``n_background`` bound
+    the work; ``background`` are the rows the model was trained on (default: ``data``)."""
     sample = seeded_sample(data, sample_size, key)
-    contrib = permutation_contributions(model, sample, data, features, key, **kw)
+    # every table below reads the contributions: score the coalitions once
+    contrib = cut_lineage(permutation_contributions(
+        model, sample, data if background is None else background, features, key, n_background=n_background, **kw))
     importance = global_importance(contrib)
     scores = contrib.groupBy(key).agg(F.max("prediction").alias("probability"))
     risky = high_risk(scores, key, "probability", order_by=None)
     first3 = risky.orderBy(F.col("probability").desc(), F.col(key)).limit(3).select(key)
     kf = [f for f in key_features if f in features][:3]
-    with_base = contrib.withColumn("value", F.lit(None).cast("double"))
     return {"sample": sample, "contributions": contrib, "importance": importance,
             "high_risk": risky,
-            "waterfalls": waterfall(with_base.join(first3, key, "left_semi"), key),
-            "dependence": dependence_pairs(with_base, kf, key), "key_features": kf}
+            "waterfalls": waterfall(contrib.join(first3, key, "left_semi"), key),
+            "dependence": dependence_pairs(contrib, kf, key), "key_features": kf}

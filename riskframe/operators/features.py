@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.bins import membership_label, quantile_labels, right_closed_bins
 from riskframe.functions.clean import emp_length_numeric, safe_ratio, term_months
-from riskframe.operators.ordered import approx_quantiles, exact_quantiles
+from riskframe.operators.ordered import approx_quantiles, bracketed_quantiles
 from riskframe.schema import (CREDIT_MATURITY_EDGES, CREDIT_MATURITY_LABELS, ESSENTIAL_PURPOSES,
                               HIGH_INCOME_STATES, INCOME_QUARTILE_LABELS)
 
@@ -42,10 +42,10 @@ def income_quartile(df: DataFrame, income_col: str = "annual_inc",
                     out_col: str = "income_quartile", exact: bool = True) -> DataFrame:
     """Quartile labels from exact interpolated quartiles of ``income_col``.
 
-    The three cuts are computed distributedly (``exact_quantiles``) and read
-    back as scalar subqueries: three numbers, no join.
+    The three cuts take two scans (``bracketed_quantiles``) and are read back as
+    one scalar subquery: three numbers, no join.
     """
-    q = (exact_quantiles(df, income_col, [0.25, 0.5, 0.75]) if exact
+    q = (bracketed_quantiles(df, [income_col], [0.25, 0.5, 0.75]) if exact
          else approx_quantiles(df, income_col, [0.25, 0.5, 0.75]))
     # one scalar subquery (the 3 sorted cuts), projected once as a column
     sq = q.agg(F.array_sort(F.collect_list(F.struct("prob", "quantile"))).alias("q")).scalar()

@@ -138,6 +138,62 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                       .alias("quantile"))
 
 
+def bracketed_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                        accuracy: int = EDGE_ACCURACY) -> DataFrame:
+    """Exact linear-interpolated quantiles of several columns in two scans.
+
+    Returns ``feature, prob, quantile`` (NULL and NaN ignored; a column without
+    values has no rows). The first scan brackets every target rank with
+    mergeable quantile sketches (rank error 1 / ``accuracy``). The second
+    counts the values between brackets as one row each, and only the few
+    values inside a bracket one by one; both are combined before the shuffle,
+    which therefore carries about ``6 / accuracy`` of the distinct values. The
+    running counts of that small table then pick the exact ones; a rank that
+    falls next to a bracket is the smallest or largest value counted there.
+    """
+    columns = list(columns)
+
+    def valid(c: str) -> Column:
+        v = F.col(c).cast("double")
+        return F.when(~F.isnan(v), v)
+    margin = 3.0 / accuracy
+    around = [q for p in probs for q in (max(0.0, p - margin), min(1.0, p + margin))]
+    # columns x probs x 2 numbers: the plan of the second scan
+    sketch = df.agg(*[F.percentile_approx(valid(c), around, accuracy).alias(f"e{i}")
+                      for i, c in enumerate(columns)]).first()
+    cells = []
+    for i, c in enumerate(columns):
+        if sketch[i] is None:
+            continue
+        v, cell, inside = valid(c), F.lit(0), F.lit(False)
+        for lo, hi in sorted(set(zip(sketch[i][0::2], sketch[i][1::2], strict=True))):
+            cell = cell + F.when(v >= F.lit(lo), 1).otherwise(0) + F.when(v > F.lit(hi), 1).otherwise(0)
+            inside = inside | v.between(F.lit(lo), F.lit(hi))
+        cells.append(F.struct(F.lit(c).alias("feature"), v.alias("value"), cell.alias("cell"), inside.alias("inside")))
+    if not cells:
+        return df.sparkSession.createDataFrame([], "feature string, prob double, quantile double")
+    long = df.select(F.explode(F.array(*cells)).alias("_p")).select("_p.*").where(F.col("value").isNotNull())
+    counts = long.groupBy("feature", F.when(~F.col("inside"), F.col("cell")).alias("_cell"),
+                          F.when(F.col("inside"), F.col("value")).alias("_val")).agg(
+        F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    x = running_sums(counts.drop("_cell", "_val"), "_lo", ["_n"], ["feature"], totals=True)
+    before, n1 = F.col("cum__n") - F.col("_n"), F.col("total__n") - 1
+    hits = []
+    for p in probs:
+        p = F.lit(float(p))
+        for kind, target in (("lo", F.floor(n1 * p)), ("hi", F.ceil(n1 * p))):
+            value = F.when(target == before, F.col("_lo")).when(target == F.col("cum__n") - 1, F.col("_hi")).when(
+                F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(
+                F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
+            hits.append(F.when((target >= before) & (target < F.col("cum__n")), F.struct(
+                p.alias("prob"), (n1 * p - F.floor(n1 * p)).alias("frac"), F.lit(kind).alias("kind"), value.alias("value"))))
+    picked = x.select("feature", F.explode(F.array_compact(F.array(*hits))).alias("_t")).select("feature", "_t.*")
+    both = picked.groupBy("feature", "prob").agg(
+        F.max(F.when(F.col("kind") == "lo", F.col("value"))).alias("_lo"),
+        F.max(F.when(F.col("kind") == "hi", F.col("value"))).alias("_hi"), F.max("frac").alias("_frac"))
+    return both.select("feature", "prob", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("quantile"))
+
+
 def quantile_row(df: DataFrame, value: str, probs: Sequence[float]) -> DataFrame:
     """One row ``q0, q1, ...`` of exact quantiles (for attaching as scalars)."""
     q = exact_quantiles(df, value, probs)

@@ -25,7 +25,7 @@ from riskframe.operators import drift as _drift
 from riskframe.operators import reports as _reports
 from riskframe.schema import GROUPINGS
 from riskframe.operators import explain as _x
-from riskframe.schema import KEY_FEATURES
+from riskframe.schema import HIGH_RISK_SCORE, KEY_FEATURES
 from riskframe.operators import profile as _prof
 from riskframe.plans import training as _train
 from riskframe.operators import model as _model
@@ -256,8 +256,7 @@ def q_fairness_summary(spark, sf):
 @register("threshold_sweep")
 def q_threshold_sweep(spark, sf):
     """Tpr, fpr, ppv, positive rate at thresholds 0.1..0.8 per group."""
-    return fairness.threshold_sweep(frames.audit_frame(spark, sf),
-                                    groupings=["income_quartile", "credit_maturity"])
+    return fairness.threshold_sweep(frames.audit_frame(spark, sf), groupings=GROUPINGS)
 
 
 @register("class_weights")
@@ -283,43 +282,40 @@ def q_band(spark, sf):
 # --- drift, monitoring, reports ---------------------------------------------------------
 
 
-DRIFT_NUMERIC = ["loan_amnt", "dti", "annual_inc"]
-DRIFT_TEXT = ["purpose", "home_ownership"]
-DRIFT_ALL = ["loan_amnt", "dti", "annual_inc", "int_rate", "purpose", "home_ownership", "not_a_column"]
+# every numeric and text feature of the frame
+DRIFT_NUMERIC = ["loan_amnt", "installment", "annual_inc", "int_rate", "revol_util", "dti", "revol_bal", "total_rev_hi_lim",
+                 "payment_to_income", "credit_utilization", "credit_age_months", "loan_to_income", "emp_length_numeric",
+                 "term_months"]
+DRIFT_TEXT = ["term", "emp_length", "purpose", "addr_state", "home_ownership", "loan_status"]
+DRIFT_ALL = [*DRIFT_NUMERIC, *DRIFT_TEXT, "not_a_column"]
 
 
 @register("histogram")
 def q_histogram(spark, sf):
     """Equal-width bins over the reference range, both sides counted."""
-    ref, cur = frames.drift_pair(spark, sf)
-    return _drift.histograms(ref, cur, DRIFT_NUMERIC)
+    return _drift.side_histograms(frames.drift_sides(spark, sf), DRIFT_NUMERIC)
 
 
 @register("psi_numeric")
 def q_psi_numeric(spark, sf):
     """PSI of numeric features."""
-    ref, cur = frames.drift_pair(spark, sf)
-    return _drift.psi_numeric(ref, cur, DRIFT_NUMERIC)
+    return _drift.side_psi(frames.drift_sides(spark, sf), DRIFT_NUMERIC, []).drop("kind")
 
 
 @register("psi_categorical")
 def q_psi_categorical(spark, sf):
     """PSI of categorical features with one-sided categories."""
-    ref, cur = frames.drift_pair(spark, sf)
-    return _drift.psi_categorical(ref, cur, DRIFT_TEXT)
+    return _drift.side_psi(frames.drift_sides(spark, sf), [], DRIFT_TEXT).drop("kind")
 
 
 @register("psi_all")
 def q_psi_all(spark, sf):
     """D3: PSI for a feature list, absent features skipped."""
-    ref, cur = frames.drift_pair(spark, sf)
-    return _drift.drift_metrics(ref, cur, DRIFT_ALL)
+    return _drift.side_drift(frames.drift_sides(spark, sf), DRIFT_ALL)
 
 
 def _monitor(spark, sf):
-    ref, cur = frames.drift_pair(spark, sf)
-    ref_metrics = metrics.quick_evaluation(ref).select("roc_auc", "pr_auc")
-    return _drift.performance_monitor(cur, ref_metrics)
+    return _drift.side_monitor(frames.drift_sides(spark, sf))
 
 
 @register("performance_monitor")
@@ -339,9 +335,9 @@ def _fairness_summary(spark, sf):
 @register("governance_report")
 def q_governance(spark, sf):
     """Drift, fairness and performance folded into one report row."""
-    ref, cur = frames.drift_pair(spark, sf)
-    g = _reports.governance_report(_drift.drift_metrics(ref, cur, DRIFT_ALL), _fairness_summary(spark, sf),
-                                   _monitor(spark, sf), "delinquency_model", "1", len(GROUPINGS))
+    sides = frames.drift_sides(spark, sf)
+    g = _reports.governance_report(_drift.side_drift(sides, DRIFT_ALL), _fairness_summary(spark, sf),
+                                   _drift.side_monitor(sides), "delinquency_model", "1", len(GROUPINGS))
     return g.select("model_name", "model_version", "drift_detected",
                     F.concat_ws(",", "high_drift_features").alias("high_drift_features"), "avg_psi",
                     "current_roc_auc", "performance_stable", "max_disparity", "groups_analyzed",
@@ -383,7 +379,7 @@ def q_linear_contributions(spark, sf):
 
 @register("global_importance")
 def q_global_importance(spark, sf):
-    """Mean |contribution| per feature, ranked (top 20)."""
+    """Mean |contribution| per feature, ranked."""
     return _x.global_importance(frames.contributions(spark, sf))
 
 
@@ -410,7 +406,9 @@ def q_risk_features(spark, sf):
 def q_dependence(spark, sf):
     """(value, contribution) of the first 3 key features, with int_rate alongside."""
     keys = [f for f in KEY_FEATURES if f in frames.EXPLAIN_COEFS][:3]
-    return _x.dependence_pairs(frames.contributions(spark, sf), keys, interaction="int_rate")
+    rows = _x.linear_contribution_rows(frames.explain_frame(spark, sf), frames.EXPLAIN_COEFS,
+                                       frames.EXPLAIN_INTERCEPT)
+    return _x.dependence_rows(rows, keys, interaction="int_rate")
 
 
 @register("waterfall")
@@ -418,8 +416,8 @@ def q_waterfall(spark, sf):
     """Waterfalls of the first three high-risk rows."""
     rows = _x.linear_contribution_rows(frames.explain_frame(spark, sf), frames.EXPLAIN_COEFS,
                                        frames.EXPLAIN_INTERCEPT)
-    top = _x.high_risk(rows, n=3).select("id")
-    return _x.waterfall_rows(rows.join(top, "id", "left_semi"))
+    top = rows.where(F.col("probability") > HIGH_RISK_SCORE).orderBy(F.col("logit").desc(), "id").limit(3)
+    return _x.waterfall_rows(top)
 
 
 @register("counterfactuals")
@@ -440,15 +438,17 @@ def q_high_risk(spark, sf):
 
 @register("seeded_sample")
 def q_seeded_sample(spark, sf):
-    """100-row seeded sample (hash order; rows-only check)."""
+    """100-row seeded sample (in md5 order)."""
     return _x.seeded_sample(tables.scored(spark, sf), 100).select("id", "label", "score")
 
 
 # --- imputation and encoding ------------------------------------------------------------
 
 
-IMPUTE_NUMERIC = ["int_rate", "revol_util", "annual_inc", "dti", "payment_to_income",
-                  "credit_age_months", "loan_to_income"]
+IMPUTE_NUMERIC = ["loan_amnt", "installment", "annual_inc", "int_rate", "revol_util", "dti", "revol_bal",
+                  "total_rev_hi_lim", "payment_to_income", "credit_utilization", "credit_age_months", "loan_to_income",
+                  "emp_length_numeric", "term_months"]
+FILL_TEXT = ["term", "emp_length", "loan_status", "purpose", "addr_state", "home_ownership"]
 ENCODE_TEXT = ["term", "emp_length", "loan_status", "purpose", "addr_state", "home_ownership"]
 FITTED_TEXT = ["emp_length", "purpose", "home_ownership", "term"]
 
@@ -464,8 +464,7 @@ def q_median_imputed(spark, sf):
 @register("unknown_filled")
 def q_unknown_filled(spark, sf):
     """Categorical NULL -> 'Unknown'."""
-    return _enc.fill_unknown(frames.split_loans(spark, sf), ["emp_length", "purpose", "home_ownership"]) \
-        .select("id", "emp_length", "purpose", "home_ownership")
+    return _enc.fill_unknown(frames.split_loans(spark, sf), FILL_TEXT).select("id", *FILL_TEXT)
 
 
 @register("frame_encoded")
@@ -574,6 +573,35 @@ def q_model_importance(spark, sf):
     return _model.feature_importance(_model.train_gbt(frame, {"maxIter": 20}), feats)
 
 
+@register("stratified_folds")
+def q_folds(spark, sf):
+    """M6: three folds balanced per class, dealt in md5 order."""
+    return _model.stratified_folds(tables.scored(spark, sf), 3).select("id", "label", "fold")
+
+
+@register("isotonic_points")
+def q_isotonic_points(spark, sf):
+    """M3: isotonic calibration of the fixture score (two decimals), at every fitted score."""
+    s = tables.scored(spark, sf).select("label", (F.floor(F.col("score") * 100) / 100).alias("score"))
+    iso = _model.calibrate_isotonic(s.withColumn("label", 1.0 - F.col("label")))
+    return iso.transform(s.select("score").distinct()).select("score", "calibrated")
+
+
+@register("evaluation_chain")
+def q_evaluation_chain(spark, sf):
+    """A10: complete cases, model columns, scores of a literal linear scorer, threshold, metrics."""
+    cols = list(frames.EXPLAIN_COEFS)
+    df = frames.explain_frame(spark, sf)
+    clean = _enc.complete_cases(df, [*cols, "label"])
+    aligned = _enc.align_features(clean, [*cols, "label"])
+    z = F.lit(frames.EXPLAIN_INTERCEPT)
+    for c, b in frames.EXPLAIN_COEFS.items():
+        z = z + F.lit(b) * F.col(c)
+    scored = aligned.select("label", (1.0 / (1.0 + F.exp(-z))).alias("score"))
+    removed = _enc.complete_case_report(df, [*cols, "label"]).select("n_removed").scalar()
+    return metrics.classification_metrics(metrics.apply_threshold(scored)).withColumn("n_removed", removed)
+
+
 @register("cv_results")
 def q_cv_results(spark, sf):
     """M6: 3-fold stratified grid search (ROC-AUC) over a bounded-LR grid."""
@@ -624,21 +652,44 @@ def q_permutation(spark, sf):
     from pyspark.ml.functions import vector_to_array
     arr = cols.select("id", "split", vector_to_array("features").alias("_a"))
     wide = arr.select("id", "split", *[F.col("_a")[i].alias(f) for i, f in enumerate(feats)])
-    rows = _x.seeded_sample(wide.where(F.col("split") == "test"), 100)
+    rows = _x.seeded_sample(wide.where(F.col("split") == "test"), 1000)
     return _x.permutation_contributions(m, rows, wide.where(F.col("split") == "train"), feats,
-                                        n_permutations=6, n_background=50)
+                                        n_permutations=4, n_background=100)
 
 
-@register("explanation_report")
-def q_explanation_report(spark, sf):
-    """Importance table of the explanation report on a 200-row sample."""
+def _explained(spark, sf):
+    """X7 on the listed sizes: 1000 test rows against 100 background rows of the training split."""
     frame, feats = _model_frame(spark, sf)
     m = _model.train_monotone_lr(frame, feats)
     from pyspark.ml.functions import vector_to_array
-    arr = frame.select("id", vector_to_array("features").alias("_a"))
-    wide = arr.select("id", *[F.col("_a")[i].alias(f) for i, f in enumerate(feats)])
-    rep = _x.explanation_report(m, wide, feats, sample_size=200, n_permutations=4, n_background=30)
-    return rep["importance"]
+    arr = frame.select("id", "split", vector_to_array("features").alias("_a"))
+    wide = arr.select("id", "split", *[F.col("_a")[i].alias(f) for i, f in enumerate(feats)])
+    return _x.explanation_report(m, wide.where(F.col("split") == "test"), feats, n_permutations=4,
+                                 background=wide.where(F.col("split") == "train"))
+
+
+@register("explanation_report")
+def q_explanation_report(spark, sf):
+    """Importance table of the explanation report."""
+    return _explained(spark, sf)["importance"]
+
+
+@register("explanation_high_risk")
+def q_explanation_high_risk(spark, sf):
+    """High-risk rows of the explained sample."""
+    return _explained(spark, sf)["high_risk"]
+
+
+@register("explanation_waterfalls")
+def q_explanation_waterfalls(spark, sf):
+    """Waterfalls of the three rows of highest risk."""
+    return _explained(spark, sf)["waterfalls"]
+
+
+@register("explanation_dependence")
+def q_explanation_dependence(spark, sf):
+    """Values and contributions of the key features."""
+    return _explained(spark, sf)["dependence"]
 
 
 @register("importance_display")

@@ -36,6 +36,13 @@ def drift_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return df.where(in_ref), df.where(~in_ref)
 
 
+def drift_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored loans with the mark of the reference period (rows without a month belong to neither side)."""
+    from riskframe.operators.drift import SIDE
+    df = engineer_features(clean_loans(tables.scored(spark, sf_dir)))
+    return df.withColumn(SIDE, F.col("issue_d") <= F.lit(tables.FIXTURE_TRAIN_END).cast("date")).where(F.col(SIDE).isNotNull())
+
+
 # --- fixture values (our own): a literal logistic scorer for the explanation queries
 EXPLAIN_COEFS = {
     "int_rate": 0.08, "dti": 0.03, "annual_inc": -1e-05, "revol_util": 0.01,

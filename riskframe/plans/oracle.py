@@ -320,7 +320,6 @@ sw AS (SELECT grouping_var, group_value, threshold, count(*) AS n,
          count(*) FILTER (WHERE score < threshold AND label = 1) AS fn,
          count(*) FILTER (WHERE score < threshold AND label = 0) AS tn
        FROM long JOIN th ON TRUE
-       WHERE grouping_var IN ('income_quartile', 'credit_maturity')
        GROUP BY grouping_var, group_value, threshold)""", final=(
     "SELECT grouping_var, group_value, threshold, "
     "(CASE WHEN abs(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END) < 1e12 THEN floor((CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END) * 1e6 + 0.5) / 1e6 ELSE (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END) END) AS tpr, "
@@ -387,15 +386,16 @@ psic AS (SELECT f.feature, CASE WHEN EXISTS (SELECT 1 FROM rp WHERE rp.feature =
                             THEN (SELECT sum((c - r) * ln(c / r)) FROM pc0 WHERE pc0.feature = f.feature) END AS psi
          FROM (SELECT DISTINCT feature FROM pc0) f)"""
 
-_DN = ["loan_amnt", "dti", "annual_inc"]
-_DC = ["purpose", "home_ownership"]
+_DN = ["loan_amnt", "installment", "annual_inc", "int_rate", "revol_util", "dti", "revol_bal", "total_rev_hi_lim",
+       "payment_to_income", "credit_utilization", "credit_age_months", "loan_to_income", "emp_length_numeric", "term_months"]
+_DC = ["term", "emp_length", "purpose", "addr_state", "home_ownership", "loan_status"]
 ORACLE["histogram"] = sql(*scored_clean(), DRIFT_SRC, _num_long(_DN), HIST,
                           final="SELECT feature, bin, rc AS ref_count, cc AS cur_count FROM hc")
 ORACLE["psi_numeric"] = sql(*scored_clean(), DRIFT_SRC, _num_long(_DN), HIST, PSI_NUM,
                             final=f"SELECT feature, {r6('psi')} FROM psin")
 ORACLE["psi_categorical"] = sql(*scored_clean(), DRIFT_SRC, _cat_long(_DC), PSI_CAT,
                                 final=f"SELECT feature, {r6('psi')} FROM psic")
-ORACLE["psi_all"] = sql(*scored_clean(), DRIFT_SRC, _num_long(_DN + ["int_rate"]), HIST, PSI_NUM,
+ORACLE["psi_all"] = sql(*scored_clean(), DRIFT_SRC, _num_long(_DN), HIST, PSI_NUM,
                         _cat_long(_DC), PSI_CAT, final=(
     f"SELECT feature, 'numeric' AS kind, {r6('psi')} FROM psin "
     f"UNION ALL SELECT feature, 'categorical' AS kind, {r6('psi')} FROM psic"))
@@ -429,7 +429,7 @@ ORACLE["performance_monitor"] = sql(*scored_clean(), DRIFT_SRC, MONITOR, final=(
     "CASE WHEN NOT auc_degradation AND NOT pr_auc_degradation THEN 'Model performance is stable. Continue monitoring.' END"
     ") AS recommendations FROM mon"))
 ORACLE["governance_report"] = sql(
-    *scored_clean(), DRIFT_SRC, _num_long(_DN + ["int_rate"]), HIST, PSI_NUM, _cat_long(_DC), PSI_CAT,
+    *scored_clean(), DRIFT_SRC, _num_long(_DN), HIST, PSI_NUM, _cat_long(_DC), PSI_CAT,
     "psiall AS (SELECT feature, psi FROM psin UNION ALL SELECT feature, psi FROM psic)",
     MONITOR, PROXIES, LONG_GROUPS, GROUP_METRICS, GAPS, """
 fs AS (SELECT coalesce(max(gap) FILTER (WHERE metric = 'tpr'), 0.0) AS max_tpr_gap,
@@ -501,7 +501,7 @@ ORACLE["linear_contributions"] = sql(*scored_clean(), CONTRIB, final=(
     "CAST(row_number() OVER (PARTITION BY id ORDER BY abs(contribution) DESC, feature) AS INTEGER) AS abs_rank "
     "FROM contrib"))
 ORACLE["global_importance"] = sql(*scored_clean(), CONTRIB, GIMP, final=(
-    f"SELECT feature, {r6('importance')}, CAST(rank AS INTEGER) AS rank FROM gimp WHERE rank <= 20"))
+    f"SELECT feature, {r6('importance')}, CAST(rank AS INTEGER) AS rank FROM gimp "))
 _DICT_ROWS = [
     ("addr_state", "The state provided by the borrower in the loan application"),
     ("annual_inc", "The self-reported annual income provided by the borrower during registration."),
@@ -526,12 +526,12 @@ _DICT = ("dict AS (SELECT * FROM (VALUES " + ", ".join(
 ORACLE["importance_described"] = sql(*scored_clean(), CONTRIB, GIMP, _DICT, final=(
     f"SELECT g.feature, {r6('importance')}, CAST(rank AS INTEGER) AS rank, "
     "coalesce(d.description, 'No description available') AS description "
-    "FROM gimp g LEFT JOIN dict d ON g.feature = d.feature WHERE rank <= 20"))
+    "FROM gimp g LEFT JOIN dict d ON g.feature = d.feature "))
 ORACLE["importance_topk"] = sql(*scored_clean(), CONTRIB, GIMP, final=(
     f"SELECT feature, {r6('importance')}, CAST(rank AS INTEGER) AS rank FROM gimp WHERE rank <= 3"))
 ORACLE["risk_features"] = sql(*scored_clean(), CONTRIB, GIMP, final=(
     f"SELECT feature, {r6('importance')}, CAST(rank AS INTEGER) AS rank, CAST(risk_rank AS INTEGER) AS risk_rank "
-    "FROM (SELECT *, row_number() OVER (ORDER BY rank) AS risk_rank FROM gimp WHERE rank <= 20 AND ("
+    "FROM (SELECT *, row_number() OVER (ORDER BY rank) AS risk_rank FROM gimp WHERE ("
     "lower(feature) LIKE '%delinq%' OR lower(feature) LIKE '%dti%' OR lower(feature) LIKE '%revol_util%' "
     "OR lower(feature) LIKE '%pub_rec%' OR lower(feature) LIKE '%inq%' OR lower(feature) LIKE '%fico%')) "
     "WHERE risk_rank <= 5"))
@@ -579,16 +579,17 @@ ORACLE["high_risk"] = sql(*scored_clean(), CONTRIB, final=(
 
 # --- imputation and encoding ------------------------------------------------------------------
 
-_IMP = ["int_rate", "revol_util", "annual_inc", "dti", "payment_to_income", "credit_age_months",
-        "loan_to_income"]
+_IMP = ["loan_amnt", "installment", "annual_inc", "int_rate", "revol_util", "dti", "revol_bal", "total_rev_hi_lim",
+        "payment_to_income", "credit_utilization", "credit_age_months", "loan_to_income", "emp_length_numeric", "term_months"]
 ORACLE["median_imputed"] = sql(*loans_clean(), LABELLED, SPLIT,
                                "med AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in _IMP)
                                + " FROM splitted WHERE split = 'train')", final=(
     "SELECT id, split, " + ", ".join(f"{round6(f'coalesce({c}, m_{c})')} AS {c}" for c in _IMP)
     + " FROM splitted JOIN med ON TRUE"))
 ORACLE["unknown_filled"] = sql(*loans_clean(), LABELLED, SPLIT, final=(
-    "SELECT id, coalesce(emp_length, 'Unknown') AS emp_length, coalesce(purpose, 'Unknown') AS purpose, "
-    "coalesce(home_ownership, 'Unknown') AS home_ownership FROM splitted"))
+    "SELECT id, " + ", ".join(f"coalesce({c}, 'Unknown') AS {c}" for c in
+                              ("term", "emp_length", "loan_status", "purpose", "addr_state", "home_ownership"))
+    + " FROM splitted"))
 
 
 def _codes(src: str, cols: list[str], where: str = "") -> str:
@@ -730,3 +731,33 @@ ORACLE["frame_prepared"] = sql(
              "CAST(year(issue_d) AS INTEGER) AS issue_d_year, CAST(month(issue_d) AS INTEGER) AS issue_d_month "
              "FROM labelled JOIN fmed ON TRUE "
            + " ".join(f"LEFT JOIN k_{c} ON labelled.{c} = k_{c}.v" for c in _FP_TEXT)))
+
+
+# --- samples, folds, calibration, the evaluation chain ----------------------------------------------
+
+ORACLE["seeded_sample"] = sql("s AS (SELECT id, label, score FROM scored)", final=(
+    "SELECT id, label, score FROM s ORDER BY md5(CAST(id AS VARCHAR) || '/42'), id LIMIT 100"))
+ORACLE["stratified_folds"] = sql("s AS (SELECT id, label FROM scored)", final=(
+    "SELECT id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY md5(CAST(id AS VARCHAR) || '/42'), id) - 1) % 3 "
+    "AS INTEGER) AS fold FROM s"))
+# greatest mean of a range that ends at or after the score, over the smallest that begin before it
+ORACLE["isotonic_points"] = sql("""
+g AS (SELECT floor(score * 100) / 100 AS score, sum(1.0 - label) AS y, count(*) AS w FROM scored GROUP BY 1),
+c AS (SELECT score, row_number() OVER (ORDER BY score) AS k, sum(y) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING) AS cy,
+             sum(w) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING) AS cw, y, w FROM g),
+m AS (SELECT a.k AS i, b.k AS j, (b.cy - a.cy + a.y) / (b.cw - a.cw + a.w) AS mean FROM c a JOIN c b ON a.k <= b.k),
+lo AS (SELECT m.i, c.k, min(m.mean) AS mean FROM c JOIN m ON m.i <= c.k AND m.j >= c.k GROUP BY m.i, c.k),
+iso AS (SELECT k, max(mean) AS calibrated FROM lo GROUP BY k)""", final=(
+    f"SELECT {r6('score', 'calibrated')} FROM c JOIN iso ON c.k = iso.k"))
+_CHAIN = list(_COEFS)
+ORACLE["evaluation_chain"] = sql(*scored_clean(), "good AS (SELECT * FROM eng WHERE label IS NOT NULL AND "
+    + " AND ".join(f"{c} IS NOT NULL" for c in _CHAIN) + ")",
+    "ps AS (SELECT label, 1.0 / (1.0 + exp(-(-1.0 + " + " + ".join(f"{_lit(b)} * {c}" for c, b in _COEFS.items())
+    + "))) AS score FROM good)", """
+cf AS (SELECT count(*) FILTER (WHERE label = 0 AND score < 0.5) AS tn, count(*) FILTER (WHERE label = 0 AND score >= 0.5) AS fp,
+              count(*) FILTER (WHERE label = 1 AND score < 0.5) AS fn, count(*) FILTER (WHERE label = 1 AND score >= 0.5) AS tp FROM ps)""",
+    final=("SELECT tn, fp, fn, tp, " + r6("accuracy", "precision", "recall", "specificity", "f1_score") + ", n_removed FROM ("
+           "SELECT *, (tp + tn) / (tp + tn + fp + fn) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision, "
+           "coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(tn / nullif(tn + fp, 0), 0) AS specificity, "
+           "coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1_score, "
+           "(SELECT count(*) FROM eng) - (SELECT count(*) FROM good) AS n_removed FROM cf)"))

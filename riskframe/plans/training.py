@@ -20,13 +20,12 @@ def prepare(df: DataFrame, target: str = TARGET, split_col: str = "split",
     Returns ``(prepared, metadata)``: the prepared frame keeps ``keep``
     columns, the split and the target; metadata is ``feature, kind, position,
     direction`` (monotone direction from the fixed table, 0 if none). The
-    kinds table (one row per feature) is the only thing read back to the
-    driver: it decides which columns get which transform.
+    kinds (one per feature) are the only thing read back to the driver: they
+    decide which columns get which transform.
     """
     feats = [c for c in df.columns if c not in {*excluded, target, split_col, *keep}]
-    kinds = encode.feature_kinds(df.where(F.col(split_col) == fit_split), feats).collect()
-    kind = {r["feature"]: r["kind"] for r in kinds}
-    cats = [c for c in feats if kind[c] == "categorical"]
+    cats = encode.categorical_columns(df.where(F.col(split_col) == fit_split), feats)
+    kind = {c: "categorical" if c in cats else "numeric" for c in feats}
     nums = [c for c in feats if kind[c] == "numeric"]
     x = df
     if nums:
