@@ -41,12 +41,15 @@ def prepare(df: DataFrame, target: str = TARGET, split_col: str = "split",
     return prepared, meta
 
 
-def model_inputs(prepared: DataFrame, meta_features: Sequence[str], target: str = TARGET) -> DataFrame:
+def model_inputs(prepared: DataFrame, meta_features: Sequence[str], target: str = TARGET,
+                 categorical: Sequence[str] = ()) -> DataFrame:
     """Assembled, weighted model frame, checkpointed into the shared folder
-    before the iterative fits (long lineage, many passes)."""
+    before the iterative fits (long lineage, many passes). ``categorical``: coded
+    columns that trees split as categories."""
     from riskframe.operators.model import model_frame
     from riskframe.session import cut_lineage
-    return cut_lineage(model_frame(prepared, meta_features, target))
+    frame = model_frame(prepared, meta_features, target, categorical=categorical)
+    return cut_lineage(frame).withMetadata("features", frame.schema["features"].metadata)
 
 
 def prepare_frame(df: DataFrame, target: str = TARGET, date_col: str = "issue_d") -> DataFrame:
@@ -76,7 +79,8 @@ def train_and_evaluate(split_df: DataFrame, target: str = TARGET, run_log: str |
     from riskframe.sources import sinks
     prepared, meta = prepare(split_df, target)
     feats = [r["feature"] for r in meta.orderBy("position").collect()]      # one row per feature
-    frame = model_inputs(prepared, feats, target)
+    coded = [r["feature"] for r in meta.where("kind = 'categorical' and direction = 0").collect()]
+    frame = model_inputs(prepared, feats, target, coded)
     gbt = model.train_gbt(frame, gbt_params)
     lr = model.train_monotone_lr(frame, feats, {f: d for f, d in zip(
         feats, [r["direction"] for r in meta.orderBy("position").collect()])})

@@ -200,3 +200,44 @@ def test_a_cluster_needs_a_shared_checkpoint_folder(spark, monkeypatch):
             def get(key, default=None): return default
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session())
+
+
+def _rounds_frame(spark, n=1200):
+    rng = np.random.default_rng(12)
+    x, k = rng.normal(size=n), rng.integers(0, 6, n)
+    y = (x + np.array([2.0, -2.0, 1.5, -1.5, 0.5, -0.5])[k] + rng.normal(size=n) > 0).astype(float)
+    split = np.where(np.arange(n) % 4 == 0, "val", "train")
+    df = spark.createDataFrame([(i, float(a), int(b), float(c), str(s)) for i, (a, b, c, s) in enumerate(zip(x, k, y, split))],
+                               "id long, x double, k int, y double, split string")
+    return model.model_frame(df, ["x", "k"], "y", categorical=["k"])
+
+
+def test_round_aucs_are_those_of_shorter_models(spark):
+    from pyspark.ml.classification import GBTClassifier
+    frame = _rounds_frame(spark)
+    est = GBTClassifier(weightCol="weight", maxDepth=2, seed=3)
+    train, val = frame.where("split = 'train'"), frame.where("split = 'val'")
+    got = {r["round"]: r["roc_auc"] for r in model.round_aucs(est.fit(train, {est.maxIter: 6}), val, every=2).collect()}
+    assert sorted(got) == [2, 4, 6]
+    for n in (2, 6):
+        scored = model.score(est.fit(train, {est.maxIter: n}), val)
+        assert got[n] == pytest.approx(curves.roc_auc(scored).first()["roc_auc"], abs=2e-3)
+
+
+def test_best_round_waits_for_the_patience():
+    aucs = [(1, 0.6), (2, 0.55), (3, 0.7), (4, 0.65), (5, 0.66), (6, 0.71)]
+    assert model.best_round(aucs, patience=2) == 3
+    assert model.best_round(aucs, patience=3) == 6
+    assert model.best_round([(1, None)], patience=3) == 0
+
+
+def test_coded_columns_are_categories_for_trees(spark):
+    frame = _rounds_frame(spark)
+    fitted = model.train_gbt(frame, {"maxIter": 8, "maxDepth": 2, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}, patience=5)
+    assert " in {" in "".join(t.toDebugString for t in fitted.stages[-1].trees)
+
+
+def test_tuning_uses_the_given_grid(spark):
+    frame = model.stratified_folds(_rounds_frame(spark, 400).where("split = 'train'"), 3)
+    cv = model.tune_gbt(frame, {"maxDepth": [1, 2]}, rounds=2, parallelism=2)
+    assert len(cv.avgMetrics) == 2 and math.prod(map(len, model.GRID_LEAFWISE.values())) == 81
