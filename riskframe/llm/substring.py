@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm import ragged
@@ -36,7 +36,7 @@ SLICE = 6 << 20
 #: repeated windows a task remembers
 REMEMBERED = 1 << 20
 
-PACKED = "bucket bigint, settled boolean, n bigint, owners binary, counts binary, first binary, hash binary"
+PACKED = "bucket bigint, settled boolean, ids binary, tags binary, counts binary, first binary, other binary"
 
 
 def planes(values: np.ndarray, dtype: str) -> bytes:
@@ -50,42 +50,60 @@ def unplanes(data: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
 
 
-def _pack(bucket: np.ndarray, settled: bool, owner: np.ndarray, first: np.ndarray, other: np.ndarray) -> Iterator[tuple]:
-    """A row per bucket. ``owner``: (entries, 2) ids and text hashes; ``first``: first
-    word of the window; ``other``: its hash, or for settled entries the number of windows in a row."""
+def _steps(values: np.ndarray) -> np.ndarray:
+    """The first value and the differences, modulo 2^64."""
+    v = values.astype(np.uint64)
+    return v - np.concatenate((np.zeros(1, np.uint64), v[:-1]))
+
+
+def _pack(bucket: np.ndarray, settled: bool, text: np.ndarray, ids: np.ndarray, tags: np.ndarray,
+          first: np.ndarray, other: np.ndarray) -> Iterator[tuple]:
+    """A row per bucket. ``text``: which of the texts (``ids``, ``tags``) an entry is of;
+    ``first``: first word of the window; ``other``: its hash, or for settled entries
+    the number of windows in a row."""
     order = np.argsort(bucket, kind="stable")
     cut = np.flatnonzero(np.diff(bucket[order])) + 1
     for rows in np.split(order, cut):
         if not len(rows):
             continue
-        own, at = owner[rows], first[rows]
-        new = np.concatenate(([True], (own[1:] != own[:-1]).any(axis=1)))
+        own, at = text[rows], first[rows]
+        new = np.concatenate(([True], own[1:] != own[:-1]))
         begin = np.flatnonzero(new)
         step = np.where(new, at, at - np.concatenate(([0], at[:-1])))
-        yield (int(bucket[rows[0]]), settled, len(rows), planes(own[begin].ravel(), "<i8"),
+        yield (int(bucket[rows[0]]), settled, planes(_steps(ids[own[begin]]), "<u8"), tags[own[begin]].astype("<i4").tobytes(),
                planes(np.diff(np.append(begin, len(rows))), "<u4"), planes(step, "<i8"), planes(other[rows], "<u8"))
 
 
-def _unpack(owners: bytes, counts: bytes, first: bytes, other: bytes):
-    own, n = unplanes(owners, "<i8").reshape(-1, 2), unplanes(counts, "<u4").astype(np.int64)
-    step = unplanes(first, "<i8")
-    total = np.cumsum(step)
-    begin = np.cumsum(n) - n
+def _unpack(ids: bytes, tags: bytes, counts: bytes, first: bytes, other: bytes):
+    """ids and tags of the texts; for each entry its text, first word and ``other``."""
+    id_ = np.cumsum(unplanes(ids, "<u8"), dtype=np.uint64).view(np.int64)
+    n, step = unplanes(counts, "<u4").astype(np.int64), unplanes(first, "<i8")
+    total, begin = np.cumsum(step), np.cumsum(n) - n
     at = total - np.repeat(total[begin] - step[begin], n)
-    return np.repeat(own, n, axis=0), at, unplanes(other, "<u8")
+    return id_, np.frombuffer(tags, "<i4"), np.repeat(np.arange(len(n), dtype=np.int32), n), at.astype(np.int32), unplanes(other, "<u8")
+
+
+def _joined(rows: list[tuple]):
+    """``_unpack`` of several rows as one."""
+    parts = [_unpack(*r) for r in rows]
+    shift = np.cumsum([0] + [len(p[0]) for p in parts])
+    out = [np.concatenate([p[i] for p in parts]) for i in range(5)]
+    out[2] = np.concatenate([p[2] + np.int32(k) for p, k in zip(parts, shift, strict=False)])
+    return out
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     names = [c.split()[0] for c in PACKED.split(", ")]
-    types = [pa.int64(), pa.bool_(), pa.int64()] + [pa.binary()] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+    types = [pa.int64(), pa.bool_()] + [pa.binary()] * 5
+    columns = zip(*rows, strict=True) if rows else [()] * 7
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
 
-def _runs(owner: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _runs(text: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Indices where a run of consecutive windows of one text begins, and its length."""
     if not len(first):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    new = np.concatenate(([True], (owner[1:] != owner[:-1]).any(axis=1) | (np.diff(first) != 1)))
+    new = np.concatenate(([True], (text[1:] != text[:-1]) | (np.diff(first) != 1)))
     begin = np.flatnonzero(new)
     return begin, np.diff(np.append(begin, len(first)))
 
@@ -95,7 +113,7 @@ def _window_rows(docs: DataFrame, width: int, n: int) -> DataFrame:
         sent, smallest = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            texts = batch.column(1).to_numpy(zero_copy_only=False)
+            tags = batch.column(1).to_numpy(zero_copy_only=False)
             for lo, hi, buf, offsets in ragged.slices(batch.column(2), SLICE):
                 starts, ends = ragged.spans(ragged.WORD[buf])
                 bounds = np.searchsorted(starts, offsets)
@@ -115,58 +133,63 @@ def _window_rows(docs: DataFrame, width: int, n: int) -> DataFrame:
                 often = (np.bincount(where) > 1) & ~known
                 sent, smallest = np.concatenate([sent, keys[often]]), np.concatenate([smallest, low[often]])
                 order = np.lexsort((smallest, sent))
-                sent, smallest = sent[order], smallest[order]
-                one = np.concatenate(([True], sent[1:] != sent[:-1]))
-                sent, smallest = (sent[one], smallest[one]) if one.sum() <= REMEMBERED else (sent[:0], smallest[:0])
-                owner = np.column_stack([doc, texts[lo:hi][text]])
-                word = first - bounds[text]
-                rows = list(_pack((h[~repeated] % np.uint64(n)).astype(np.int64), False, owner[~repeated],
+                sent, at = np.unique(sent[order], return_index=True)
+                smallest = smallest[order][at]
+                if len(sent) > REMEMBERED:
+                    sent, smallest = sent[:0], smallest[:0]
+                word, own, own_tags = first - bounds[text], ids[lo:hi], tags[lo:hi]
+                rows = list(_pack((h[~repeated] % np.uint64(n)).astype(np.int64), False, text[~repeated], own, own_tags,
                                   word[~repeated], h[~repeated]))
-                begin, length = _runs(owner[repeated], word[repeated])
-                own = owner[repeated][begin]
-                rows += _pack(_home(own, n), True, own, word[repeated][begin], length)
+                begin, length = _runs(text[repeated], word[repeated])
+                whose = text[repeated][begin]
+                rows += _pack(_home(own[whose], n), True, whose, own, own_tags, word[repeated][begin], length)
                 yield _batch(rows)
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), ragged.terminated("text").alias("text")).mapInArrow(run, PACKED)
+    return docs.select("doc_id", _tag().alias("tag"), ragged.terminated("text").alias("text")).mapInArrow(run, PACKED)
 
 
-def _home(owner: np.ndarray, n: int) -> np.ndarray:
+def _tag() -> Column:
+    """Tells apart the texts of rows that share an id."""
+    return F.xxhash64("text").bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+
+
+def _home(ids: np.ndarray, n: int) -> np.ndarray:
     """The bucket in which what is known of a document meets."""
-    return (ragged.mix(owner[:, 0].astype(np.uint64)) % np.uint64(n)).astype(np.int64)
+    return (ragged.mix(ids.astype(np.uint64)) % np.uint64(n)).astype(np.int64)
 
 
 def repeated_intervals(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """id, text_hash, starts, ends (arrays): maximal intervals of words to remove, of texts that have any."""
-    n = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """id, tag, starts, ends (arrays): maximal intervals of words to remove, of texts that have any."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    packed = ("ids", "tags", "counts", "first", "other")
 
     def settle(key: tuple, table: pa.Table) -> pa.Table:
         rows, open_ = [], []
-        for row in zip(*(table.column(c).to_pylist() for c in ("settled", "owners", "counts", "first", "hash")), strict=True):
-            owner, first, other = _unpack(*row[1:])
-            if row[0]:
-                rows += _pack(_home(owner, n), True, owner, first, other)
+        for settled, *row in zip(*(table.column(c).to_pylist() for c in ("settled", *packed)), strict=True):
+            if settled:
+                rows.append((key[0].as_py(), True, *row))
             else:
-                open_.append((owner, first, other))
+                open_.append(row)
         if open_:
-            owner, first, h = (np.concatenate(x) for x in zip(*open_, strict=True))
+            ids, tags, text, first, h = _joined(open_)
             open_.clear()
             order = np.argsort(h, kind="stable")
             begin = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
             low = np.empty(len(h), np.int64)
-            low[order] = np.repeat(np.minimum.reduceat(owner[order, 0], begin), np.diff(np.append(begin, len(h))))
-            again = np.flatnonzero(owner[:, 0] > low)
-            again = again[np.lexsort((first[again], owner[again, 1], owner[again, 0]))]
-            begin, length = _runs(owner[again], first[again])
-            rows += _pack(_home(owner[again][begin], n), True, owner[again][begin], first[again][begin], length)
-        return pa.Table.from_batches([_batch(rows)]) if rows else pa.schema(
-            [("bucket", pa.int64()), ("settled", pa.bool_()), ("n", pa.int64())]
-            + [(c, pa.binary()) for c in ("owners", "counts", "first", "hash")]).empty_table()
+            low[order] = np.repeat(np.minimum.reduceat(ids[text[order]], begin), np.diff(np.append(begin, len(h))))
+            again = np.flatnonzero(ids[text] > low)
+            again = again[np.lexsort((first[again], text[again]))]
+            begin, length = _runs(text[again], first[again])
+            whose = text[again][begin]
+            rows += _pack(_home(ids[whose], n), True, whose, ids, tags, first[again][begin], length)
+        return pa.Table.from_batches([_batch(rows)])
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:
-        parts = [_unpack(*row) for row in zip(*(table.column(c).to_pylist() for c in ("owners", "counts", "first", "hash")), strict=True)]
-        owner, first, length = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((first, owner[:, 1], owner[:, 0]))
-        owner, begin, end = owner[order], first[order], first[order] + length[order].astype(np.int64) - 1 + width
-        doc = np.concatenate(([0], np.cumsum((owner[1:] != owner[:-1]).any(axis=1))))
+        ids, tags, text, first, length = _joined(list(zip(*(table.column(c).to_pylist() for c in packed), strict=True)))
+        order = np.lexsort((first, tags[text], ids[text]))
+        id_, tag, begin = ids[text][order], tags[text][order], first[order].astype(np.int64)
+        end = begin + length[order].astype(np.int64) - 1 + width
+        doc = np.concatenate(([0], np.cumsum((id_[1:] != id_[:-1]) | (tag[1:] != tag[:-1]))))
         # ends of earlier intervals of the same document, as one running maximum
         far = int(end.max()) + 1
         reach = np.maximum.accumulate(end + doc * far) - doc * far
@@ -176,12 +199,12 @@ def repeated_intervals(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         of = np.flatnonzero(np.concatenate(([True], np.diff(doc[at]) > 0)))
         bounds = pa.array(np.append(of, len(at)).astype(np.int32))
         return pa.Table.from_arrays(
-            [pa.array(owner[at[of], 0]), pa.array(owner[at[of], 1]),
+            [pa.array(id_[at[of]]), pa.array(tag[at[of]]),
              pa.ListArray.from_arrays(bounds, pa.array(begin[at])), pa.ListArray.from_arrays(bounds, pa.array(reach[last]))],
-            ["id", "text_hash", "starts", "ends"])
+            ["id", "tag", "starts", "ends"])
 
     x = _window_rows(docs, width, n).groupBy("bucket").applyInArrow(settle, PACKED)
-    return x.groupBy("bucket").applyInArrow(merge, "id bigint, text_hash bigint, starts array<bigint>, ends array<bigint>")
+    return x.groupBy("bucket").applyInArrow(merge, "id bigint, tag int, starts array<bigint>, ends array<bigint>")
 
 
 def _kept(texts: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
@@ -216,10 +239,10 @@ def _kept(texts: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
 def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept (the words left, joined by one space)."""
     found = repeated_intervals(docs, width)
-    own = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("text_hash"), "text")
+    own = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), _tag().alias("tag"), "text")
 
     def run(texts: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
         return _kept(texts, starts, ends)
     cut = F.arrow_udf(run, "struct<n_words:bigint,n_removed:bigint,kept:string>").asNondeterministic()
-    return own.join(found, ["id", "text_hash"], "left").select(
+    return own.join(found, ["id", "tag"], "left").select(
         "doc_id", cut(ragged.terminated("text"), "starts", "ends").alias("c")).select("doc_id", "c.*")
