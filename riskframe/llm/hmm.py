@@ -316,7 +316,8 @@ def seeds(scored: DataFrame, prior: np.ndarray, k: int) -> Model:
     """First model: documents of one chunk that are far from one another (no count leaves out a text later)."""
     n = len(prior)
     emit = np.repeat(prior[:, None], k, axis=1)
-    for row in scored.orderBy("chunk").limit(1).select("train", "sizes", "symbols").collect():
+    first = scored.agg(F.min("chunk")).first()[0]
+    for row in scored.where(F.col("chunk") == first).select("train", "sizes", "symbols").collect():
         symbols, sizes = _training(row.asDict())
         text = np.repeat(np.arange(len(sizes)), sizes)
         near = np.where(sizes >= min(50, int(np.median(sizes))) if len(sizes) else [], 0.0, np.inf)
