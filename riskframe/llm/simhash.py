@@ -77,7 +77,7 @@ def majority(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     full = np.flatnonzero(n > 0)
     if len(full):
         bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = np.add.reduceat(bits, bounds[full], axis=0, dtype=np.int64)
+        ones = np.add.reduceat(bits, bounds[full], axis=0, dtype=np.int32)
         set_bits = np.packbits(ones * 2 > n[full, None], axis=1, bitorder="little")
         out[full] = np.ascontiguousarray(set_bits).view("<u8").ravel()
     return out
@@ -107,7 +107,8 @@ def fingerprint(text: Column | str, shingle: int = SHINGLE) -> Column:
     def run(texts: pa.Array) -> pa.Array:
         parts = [slice_fingerprints(buf, offsets, shingle) for _, _, buf, offsets in ragged.slices(texts)]
         return pa.array((np.concatenate(parts) if parts else np.zeros(0, np.uint64)).view(np.int64))
-    return F.arrow_udf(run, "bigint")(ragged.terminated(text))
+    # as nondeterministic: no filter on it is pushed below, so it runs once per row
+    return F.arrow_udf(run, "bigint").asNondeterministic()(ragged.terminated(text))
 
 
 def _blocks(bits: list[int], n: int) -> list[list[int]]:
@@ -151,7 +152,9 @@ def star_of(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
 def links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(u, v), u > v: links that connect all distinct fingerprints at ``max_bits`` or fewer bits."""
     masks = block_masks(max_bits)
-    groups = cut_lineage(_grouped(fingerprints.select("fp").distinct(), masks))
+    # a fingerprint is a few bytes here and a row per mask below: spread them before
+    partitions = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = cut_lineage(_grouped(fingerprints.select("fp").distinct().repartition(partitions, "fp"), masks))
     finer = None
     for t, mask in enumerate(masks):
         free = [b for b in range(64) if b not in mask]
