@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from riskframe.llm.license import PHRASES, SPAN, TEMPLATES, needed
+
 ORACLE: dict[str, str] = {}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -61,3 +63,46 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(len(d.words) - co
   sha256(coalesce(k.text, '')) AS kept_sha256
 FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
+
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _phrase(phrase: str) -> str:
+    return " AND ".join(f"w{i} = '{w}'" for i, w in enumerate(phrase.split()))
+
+
+_TEMPLATES = ", ".join(f"({t}, '{label}', '{w}', {len(set(text.split()))}, {needed(len(set(text.split())))})"
+                       for t, (label, text) in enumerate(TEMPLATES) for w in sorted(set(text.split())))
+_CASES = " ".join(f"WHEN {_phrase(p)} THEN '{label}'" for p, label in PHRASES.items())
+ORACLE["op7_license"] = rf"""
+WITH docs AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
+listed AS (SELECT doc_id, regexp_extract_all(t, '{_ALNUM}') AS words FROM docs),
+placed AS (SELECT doc_id, unnest(words) AS w0, unnest(range(0, len(words))) AS i FROM listed),
+sequences AS (
+  SELECT *, lead(w0, 1) OVER place AS w1, lead(w0, 2) OVER place AS w2, lead(w0, 3) OVER place AS w3
+  FROM placed WINDOW place AS (PARTITION BY doc_id ORDER BY i)),
+base AS (SELECT doc_id, i, CASE {_CASES} END AS label FROM sequences),
+based AS (
+  SELECT doc_id, count(*) AS n, min(i) AS first_word, max(i) AS last_word FROM base WHERE label IS NOT NULL GROUP BY doc_id),
+templates(t, label, word, n, need) AS (VALUES {_TEMPLATES}),
+lines AS (
+  SELECT doc_id, unnest(string_split(t, chr(10))) AS line, unnest(range(0, len(string_split(t, chr(10))))) AS k FROM docs),
+line_lists AS (SELECT doc_id, k, regexp_extract_all(line, '{_ALNUM}') AS words FROM lines),
+line_words AS (SELECT doc_id, k, unnest(words) AS word, unnest(range(0, len(words))) AS i FROM line_lists),
+blocks AS (
+  SELECT doc_id, k, i // {SPAN // 2} AS part, word FROM line_words
+  UNION ALL SELECT doc_id, k, i // {SPAN // 2} - 1, word FROM line_words WHERE i >= {SPAN // 2}),
+shared_words AS (
+  SELECT b.doc_id, b.k, b.part, t.t, t.label, count(DISTINCT b.word) AS shared, max(t.n) AS n, max(t.need) AS need
+  FROM blocks b JOIN templates t ON b.word = t.word GROUP BY b.doc_id, b.k, b.part, t.t, t.label),
+scores AS (SELECT doc_id, max(shared / n) AS score FROM shared_words WHERE shared >= need GROUP BY doc_id),
+found AS (SELECT DISTINCT doc_id, label FROM shared_words WHERE shared >= need),
+own AS (SELECT DISTINCT doc_id, label FROM base WHERE label IS NOT NULL),
+own_text AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM own GROUP BY doc_id),
+all_text AS (
+  SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT * FROM own UNION SELECT * FROM found) GROUP BY doc_id)
+SELECT l.doc_id, CAST(len(l.words) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base, b.first_word, b.last_word,
+  coalesce(o.labels, '') AS base_labels, coalesce(a.labels, '') AS labels, CAST(coalesce(s.score, 0.0) AS DOUBLE) AS score
+FROM listed l LEFT JOIN based b ON l.doc_id = b.doc_id LEFT JOIN own_text o ON l.doc_id = o.doc_id
+  LEFT JOIN all_text a ON l.doc_id = a.doc_id LEFT JOIN scores s ON l.doc_id = s.doc_id
+"""

@@ -17,7 +17,7 @@ from riskframe.llm import exact, hmm, license, mixing, orcids, packing, quality,
 
 
 def multiset(rows):
-    return collections.Counter(tuple(r) for r in rows)
+    return collections.Counter(repr(tuple(r)) for r in rows)
 
 
 # mixing
