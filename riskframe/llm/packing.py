@@ -101,15 +101,16 @@ def encoded(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
                 ids, view = ids.astype("<u4"), memoryview(ids.astype("<u4").view(np.uint8))
                 out = []
                 for doc, a, b in zip(batch.column(0)[lo:hi].to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
-                    whole = (doc, zlib.crc32(view[4 * a:4 * b]))
+                    crc = zlib.crc32(view[4 * a:4 * b])
+                    whole = hash((doc, crc))
                     seen[whole] += 1
-                    salt = seen[whole] // TOGETHER * (1 << 32) + whole[1]
+                    salt = (seen[whole] // TOGETHER << 32) + crc
                     for s in range(a, b, capacity):
                         n = min(capacity, b - s)
                         part = view[4 * s:4 * (s + n)]
                         full = n == capacity
                         out.append((doc, s - a, n, zlib.crc32(part) if full else 0, b - a, None if full else bytes(part), salt))
-                if len(seen) > 200_000:
+                if len(seen) > 50_000:
                     seen = Counter({k: v for k, v in seen.items() if v > 1})
                 columns = list(zip(*out, strict=True))
                 types = [pa.int64()] * 5 + [pa.binary(), pa.int64()]
@@ -140,6 +141,7 @@ def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
             i = rest[d]
             out.append((cols["doc_id"][i], cols["start"][i] + start, n, zlib.crc32(cols["ids"][i][4 * start:4 * (start + n)]),
                         cols["doc_tokens"][i], base + s, offset))
+        ragged.give_back()
         names = [c.split()[0] for c in PIECES.split(", ")]
         return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names)
     return x.groupBy("pack").applyInArrow(run, PIECES)

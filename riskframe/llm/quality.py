@@ -57,14 +57,14 @@ def slice_counts(buf: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     view = ragged.lanes(buf)
     counts = {
         "n_words": np.diff(bounds),
-        "word_chars": ragged.sums(mask & ((buf & 0xC0) != 0x80), offsets),
-        "n_symbols": ragged.sums(_SYMBOL[buf], offsets),
-        "n_upper": ragged.sums(_UPPER[buf], offsets),
-        "n_digits": ragged.sums(_DIGIT[buf], offsets),
-        "n_exclaim": ragged.sums(buf == 0x21, offsets),
-        "n_pipes": ragged.sums(buf == 0x7C, offsets),
-        "n_stops": ragged.sums((buf == 0x2E) | (buf == 0x2C), offsets),
-        "n_lines": ragged.sums(buf == 0x0A, offsets),
+        "word_chars": ragged.sums(ends - starts, bounds) - ragged.counts((buf & 0xC0) == 0x80, offsets),
+        "n_symbols": ragged.counts(_SYMBOL[buf], offsets),
+        "n_upper": ragged.counts(_UPPER[buf], offsets),
+        "n_digits": ragged.counts(_DIGIT[buf], offsets),
+        "n_exclaim": ragged.counts(buf == 0x21, offsets),
+        "n_pipes": ragged.counts(buf == 0x7C, offsets),
+        "n_stops": ragged.counts((buf == 0x2E) | (buf == 0x2C), offsets),
+        "n_lines": ragged.counts(buf == 0x0A, offsets),
     }
     ends_of_lines = np.flatnonzero(buf == 0x0A)
     line_start = np.concatenate(([0], ends_of_lines[:-1] + 1))
@@ -238,7 +238,12 @@ def verdicts(stats: DataFrame, forest: Forest) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, forest: Forest) -> DataFrame:
-    """The rows of ``docs`` that pass the base rules and the trees, all columns as they were."""
-    s = F.col("s")
-    x = docs.select(F.struct("*").alias("row"), statistics("text").alias("s"))
-    return x.where(~base_failed(s) & accepted(forest, s)).select("row.*")
+    """The rows of ``docs`` that pass the base rules and the trees, all columns as
+    they were. Counting and scoring share one pass through Python."""
+    def run(texts: pa.Array) -> pa.Array:
+        parts = [dict(zip(COUNTS, slice_counts(buf, offsets), strict=True)) for _, _, buf, offsets in ragged.slices(texts)]
+        kept = [(c["n_words"] >= MIN_WORDS) & (c["n_repeat_words"] * 100 <= c["n_words"] * MAX_REPEAT_PERCENT)
+                & (forest.margin(features(c)) >= 0) for c in parts]
+        return pa.array(np.concatenate(kept) if kept else np.zeros(0, bool))
+    good = F.arrow_udf(run, "boolean")
+    return docs.select(F.struct("*").alias("row")).where(good(ragged.terminated(F.col("row.text")))).select("row.*")

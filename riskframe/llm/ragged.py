@@ -13,14 +13,18 @@ the memory of the index arrays by the slice or the longest text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
+#: spans of more bytes than this are hashed one by one
+LONG = 64
 
 _M1, _M2, _M3 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 
@@ -64,6 +68,16 @@ def slices(column: pa.Array, slice_bytes: int = SLICE_BYTES) -> Iterator[tuple[i
         hi = max(lo + 1, int(np.searchsorted(at, at[lo] + slice_bytes, "right")) - 1)
         yield lo, min(hi, n), raw[at[lo]:at[min(hi, n)]], at[lo:min(hi, n) + 1] - at[lo]
         lo = hi
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: a worker that waits for its next task
+    should not hold what the last batch took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def spans(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,6 +98,11 @@ def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+def counts(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many of ``mask[offsets[i]:offsets[i + 1]]`` are true; for sparse masks."""
+    return np.diff(np.searchsorted(np.flatnonzero(mask), offsets))
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values with good avalanche."""
     h = h ^ (h >> np.uint64(33))
@@ -106,17 +125,20 @@ def lanes(buf: np.ndarray) -> np.ndarray:
 
 def span_hash(view: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """64-bit hashes of byte spans, eight bytes at a time over all spans at once
-    (spans of up to eight bytes and equal length never collide)."""
-    left = ends - starts
-    h = mix(left.astype(np.uint64) * _M3 + np.uint64(seed * 2 + 1))
-    h = mix(h ^ (view[starts] & _KEEP[np.minimum(left, 8)]))
-    rows, pos, left = np.flatnonzero(left > 8), None, left
-    if len(rows):
-        pos, left = starts[rows] + 8, left[rows] - 8
+    (spans of up to eight bytes and equal length never collide). The few spans
+    over ``LONG`` bytes are hashed one by one."""
+    size = ends - starts
+    h = mix(size.astype(np.uint64) * _M3 + np.uint64(seed * 2 + 1))
+    h = mix(h ^ (view[starts] & _KEEP[np.minimum(size, 8)]))
+    rows = np.flatnonzero((size > 8) & (size <= LONG))
+    pos, left = starts[rows] + 8, size[rows] - 8
     while len(rows):
         h[rows] = mix(h[rows] * _M3 ^ (view[pos] & _KEEP[np.minimum(left, 8)]))
         more = left > 8
         rows, pos, left = rows[more], pos[more] + 8, left[more] - 8
+    data = memoryview(view.base)
+    for i in np.flatnonzero(size > LONG).tolist():
+        h[i] ^= np.uint64(xxhash.xxh64_intdigest(data[starts[i]:ends[i]], seed))
     return h
 
 

@@ -7,8 +7,8 @@ them before.
 ``RankMerger`` counts tokens by rank-synchronous array merging: the symbols of
 all new pre-tokens lie in one ragged array, every round finds the lowest merge
 rank of each sequence and merges all its places at once, and what survives is
-counted. ``Codec`` gives ids: the tokenizers library encodes the distinct
-pre-tokens.
+counted. ``Codec`` gives ids: the tokenizers library's model encodes the
+distinct pre-tokens.
 
 The array rules cover ASCII and the letters U+00C0-U+00FF. A text with any
 other character, or that may hold a special token, is handed to the library
@@ -19,6 +19,7 @@ have no tokens.
 from __future__ import annotations
 
 import json
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from riskframe.llm import ragged
 
 VOCABULARY = "word_bpe_49k.json"
 #: distinct pre-tokens a task keeps before it starts afresh
-CACHE = 1_000_000
+CACHE = 400_000
 
 _CLASS = np.full(256, 3, np.uint8)  # 0 space, 1 letter, 2 digit, 3 other
 _CLASS[[0x20, *range(0x09, 0x0E)]] = 0
@@ -66,7 +67,7 @@ def pretokens(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     at = np.flatnonzero(cut)
     ends = np.append(at[1:], len(buf))
     token = kind[at] > 0
-    return low, at[token], ends[token], ragged.sums(odd, offsets) > 0
+    return low, at[token], ends[token], ragged.counts(odd, offsets) > 0
 
 
 def _distinct(low: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -75,6 +76,34 @@ def _distinct(low: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     return keys, first, where
 
 
+class Known:
+    """What a task has learnt: a number for each key, in arrays ordered by key."""
+
+    def __init__(self) -> None:
+        self.keys, self.values = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def look_up(self, keys: np.ndarray, learn) -> np.ndarray:
+        """Numbers of ordered distinct keys; ``learn(places)`` gives those of the new ones."""
+        at = np.searchsorted(self.keys, keys)
+        out = np.full(len(keys), -1, np.int64)
+        old = np.flatnonzero(at < len(self.keys))
+        old = old[self.keys[at[old]] == keys[old]]
+        out[old] = self.values[at[old]]
+        new = np.ones(len(keys), bool)
+        new[old] = False
+        new = np.flatnonzero(new)
+        if len(new):
+            out[new] = learn(new)
+            self.keys = np.insert(self.keys, at[new], keys[new])
+            self.values = np.insert(self.values, at[new], out[new])
+        return out
+
+
+#: each byte stands for one printable character: itself, or the next free one above 255
+_PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+CHARACTER = {b: chr(b) for b in _PLAIN} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+
+
 def library(path: str):
     import os
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -97,13 +126,9 @@ class RankMerger:
         self.pairs = np.array(sorted(table), np.int64)
         self.rank = np.array([table[p][0] for p in self.pairs.tolist()], np.int64)
         self.merged = np.array([table[p][1] for p in self.pairs.tolist()], np.int64)
-        # each byte stands for one printable character: itself, or the next free one above 255
-        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        rest = [b for b in range(256) if b not in plain]
-        char = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
-        self.inner = np.array([vocab[char[b]] for b in range(256)], np.int64)
-        self.last = np.array([vocab[char[b] + "</w>"] for b in range(256)], np.int64)
-        self.known: dict[int, int] = {}
+        self.inner = np.array([vocab[CHARACTER[b]] for b in range(256)], np.int64)
+        self.last = np.array([vocab[CHARACTER[b] + "</w>"] for b in range(256)], np.int64)
+        self.known = Known()
 
     def merge(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Symbols left of each sequence once no pair can merge."""
@@ -139,18 +164,17 @@ class RankMerger:
         """Tokens of each text of a slice."""
         low, starts, ends, odd = pretokens(buf, offsets)
         keys, first, where = _distinct(low, starts, ends)
-        if len(self.known) > CACHE:
-            self.known.clear()
-        names = keys.tolist()
-        new = np.array([i for i, k in enumerate(names) if k not in self.known], np.int64)
-        if len(new):
+        if len(self.known.keys) > CACHE:
+            self.known = Known()
+
+        def learn(new: np.ndarray) -> np.ndarray:
             a, sizes = starts[first[new]], (ends - starts)[first[new]]
             to = np.cumsum(sizes)
             place = np.arange(to[-1]) + np.repeat(a - (to - sizes), sizes)
             symbols = self.inner[low[place]]
             symbols[to - 1] = self.last[low[a + sizes - 1]]
-            self.known.update(zip(keys[new].tolist(), self.merge(symbols, sizes).tolist(), strict=True))
-        each = np.fromiter((self.known[k] for k in names), np.int64, len(names))
+            return self.merge(symbols, sizes)
+        each = self.known.look_up(keys, learn)
         out = ragged.sums(each[where], np.searchsorted(starts, offsets))
         for i in np.flatnonzero(odd):
             text = bytes(buf[offsets[i]:offsets[i + 1] - 1]).decode()
@@ -163,33 +187,36 @@ class Codec:
 
     def __init__(self, path: str):
         self.whole = library(path)
-        self.slot: dict[int, int] = {}
-        self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.model = self.whole.model
+        self.forget()
+
+    def forget(self) -> None:
+        self.slot, self.begin, self.ids = Known(), np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
-    def _learn(self, names: list[int], words: list[str]) -> None:
-        ids = [e.ids for e in self.whole.encode_batch(words, add_special_tokens=False)]
-        base = len(self.sizes)
-        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, ids), np.int64, len(ids))])
-        flat = np.fromiter((i for e in ids for i in e), np.uint32)
-        self.ids = np.concatenate([self.ids, flat])
-        self.slot.update(zip(names, range(base, base + len(names)), strict=True))
+    def learn(self, words: list[str]) -> np.ndarray:
+        """Slots of new pre-tokens (given by the characters of their bytes)."""
+        ids = [[t.id for t in self.model.tokenize(w)] for w in words]
+        slots = np.arange(len(self.begin) - 1, len(self.begin) - 1 + len(ids))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, sizes.sum())])
+        return slots
 
     def encode(self, buf: np.ndarray, offsets: np.ndarray, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice and the offsets of its texts; ``end`` is appended to each text."""
         low, starts, ends, odd = pretokens(buf, offsets)
         bounds = np.searchsorted(starts, offsets)
         keys, first, where = _distinct(low, starts, ends)
-        if len(self.slot) > CACHE:
-            self.slot, self.sizes, self.ids = {}, self.sizes[:0], self.ids[:0]
-        names = keys.tolist()
-        new = [i for i, k in enumerate(names) if k not in self.slot]
-        if new:
-            data = low.tobytes()
-            a, b = starts[first[new]].tolist(), ends[first[new]].tolist()
-            self._learn(keys[new].tolist(), [data[x:y].decode(errors="replace") for x, y in zip(a, b, strict=True)])
-        slot = np.fromiter((self.slot[k] for k in names), np.int64, len(names))[where]
-        begin = np.concatenate(([0], np.cumsum(self.sizes)))[slot] if len(slot) else slot
-        size = self.sizes[slot]
+        if len(self.slot.keys) > CACHE:
+            self.forget()
+
+        def learn(new: np.ndarray) -> np.ndarray:
+            data = low.tobytes().decode("latin-1").translate(CHARACTER)
+            at = first[new]
+            return self.learn([data[x:y] for x, y in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+        slot = self.slot.look_up(keys, learn)[where]
+        begin = self.begin[slot]
+        size = self.begin[slot + 1] - begin
         n = np.concatenate(([0], np.cumsum(size)))
         flat = self.ids[np.arange(n[-1]) + np.repeat(begin - n[:-1], size)]
         at = n[bounds]
