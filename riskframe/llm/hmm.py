@@ -163,16 +163,40 @@ def symbols_of(counts: DataFrame, train_tokens: int) -> Symbols:
     order = np.argsort(words)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, tokens, distinct = 0, np.zeros(CLASSES, np.uint64), np.zeros(CLASSES, np.uint64)
+        total = np.zeros((CLASSES, 2))
         for batch in batches:
-            for k, a, b in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                n, tokens, distinct = n + k, tokens + _array(a, "<u8"), distinct + _array(b, "<u8")
-        yield _rows("n bigint, a binary, b binary", [(n, tokens.tobytes(), distinct.tobytes())])
-    rows = counts.where("kind = 'class'").select("n", "a", "b").mapInArrow(add, "n bigint, a binary, b binary").collect()
-    zero = np.zeros(CLASSES, np.uint64)
-    return Symbols(words[order], each[order].astype(np.int64),
-                   sum((_array(r["a"], "<u8") for r in rows), zero).astype(np.int64),
-                   sum((_array(r["b"], "<u8") for r in rows), zero).astype(np.int64), sum(r["n"] for r in rows), train_tokens)
+            for a, b in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+                total += np.column_stack([_array(a, "<u8"), _array(b, "<u8")])
+        yield _parts(total, "<f8")
+    classes = counts.where("kind = 'class'")
+    total = _total(classes.select("a", "b").mapInArrow(add, PARTS), (CLASSES, 2), "<f8")
+    return Symbols(words[order], each[order].astype(np.int64), total[:, 0].astype(np.int64), total[:, 1].astype(np.int64),
+                   classes.agg(F.sum("n")).first()[0] or 0, train_tokens)
+
+
+PARTS, BLOCKS, FAN_IN = "block bigint, salt bigint, sums binary", 64, 64
+
+
+def _parts(table: np.ndarray, dtype: str) -> pa.RecordBatch:
+    """A task's sums as blocks of rows."""
+    salt = TaskContext.get().partitionId() % FAN_IN
+    return _rows(PARTS, [(i, salt, rows.astype(dtype).tobytes()) for i, rows in enumerate(np.array_split(table, BLOCKS))])
+
+
+def _total(parts: DataFrame, shape: tuple[int, int], dtype: str) -> np.ndarray:
+    """Sums of all tasks' tables, block by block: first over the tasks of one salt,
+    then over the salts, so no group holds more than a share of the tasks. The
+    total, of bounded size, comes to the driver."""
+    def adding(kind: str):
+        def add(key: tuple, table: pa.Table) -> pa.Table:
+            sums = sum(_array(x, kind).astype("<f8") for x in table.column("sums").to_pylist())
+            return pa.Table.from_batches([_rows(PARTS, [(key[0].as_py(), 0, sums.tobytes())])])
+        return add
+    x = parts.groupBy("block", "salt").applyInArrow(adding(dtype), PARTS).groupBy("block").applyInArrow(adding("<f8"), PARTS)
+    out, places = np.zeros(shape), np.array_split(np.arange(shape[0]), BLOCKS)
+    for row in x.collect():
+        out[places[row["block"]]] = _array(row["sums"], "<f8").reshape(-1, shape[1])
+    return out
 
 
 def scored_chunks(coded: DataFrame, counts: DataFrame, table: Symbols) -> DataFrame:
@@ -267,14 +291,14 @@ def _symbol_sums(symbols: np.ndarray, states: np.ndarray, n: int) -> np.ndarray:
 def expected_counts(scored: DataFrame, model: Model, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected counts (start, move, emit) of one EM round over all training texts.
 
-    Every task adds up its own; blocks of symbols are summed across partitions.
+    Every task adds up its own; these tables are summed across partitions.
     ``whole``: a document is in one state throughout.
     """
     n, k = model.emit.shape
-    blocks = np.array_split(np.arange(n), 16)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros((n, k))
+        # one table: symbols, then the first states, then the moves from each state
+        total = np.zeros((n + 1 + k, k))
         log_emit = np.log(model.emit) if whole else None
         for batch in batches:
             for row in batch.to_pylist():
@@ -289,27 +313,13 @@ def expected_counts(scored: DataFrame, model: Model, whole: bool) -> tuple[np.nd
                     first, states = share.sum(axis=0), np.repeat(share, sizes, axis=0)
                 else:
                     _, first, moved, states = forward(model, symbols, sizes, backward=True)
-                    move += moved
-                start += first
-                emit += _symbol_sums(symbols, states, n)
-        rows = [(i, emit[b].astype("<f4").tobytes()) for i, b in enumerate(blocks)]
-        rows.append((-1, np.concatenate([start, move.ravel()]).tobytes()))
-        yield _rows("block bigint, sums binary", rows)
+                    total[n + 1:] += moved
+                total[n] += first
+                total[:n] += _symbol_sums(symbols, states, n)
+        yield _parts(total, "<f4")
 
-    def add(key: tuple, table: pa.Table) -> pa.Table:
-        kind = "<f8" if key[0].as_py() < 0 else "<f4"
-        total = sum(_array(x, kind).astype("<f8") for x in table.column("sums").to_pylist())
-        return pa.Table.from_batches([_rows("block bigint, sums binary", [(key[0].as_py(), total.tobytes())])])
-
-    parts = scored.select("train", "sizes", "symbols").mapInArrow(run, "block bigint, sums binary")
-    start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros((n, k))
-    for row in parts.groupBy("block").applyInArrow(add, "block bigint, sums binary").collect():
-        sums = _array(row["sums"], "<f8")
-        if row["block"] < 0:
-            start, move = sums[:k], sums[k:].reshape(k, k)
-        else:
-            emit[blocks[row["block"]]] = sums.reshape(-1, k)
-    return start, move, emit
+    total = _total(scored.select("train", "sizes", "symbols").mapInArrow(run, PARTS), (n + 1 + k, k), "<f4")
+    return total[n], total[n + 1:], total[:n]
 
 
 def seeds(scored: DataFrame, prior: np.ndarray, k: int) -> Model:
