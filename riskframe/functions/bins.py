@@ -55,6 +55,8 @@ def equal_width_bin(v: Column, lo: Column, hi: Column, bins: int) -> Column:
     def edge(i: Column) -> Column:
         return F.when(i >= F.lit(bins), hi).otherwise(i.cast("double") * step + lo)
 
-    idx = F.when(v < edge(idx), idx - 1).otherwise(idx)
-    idx = F.when((idx != F.lit(bins - 1)) & (v >= edge(idx + 1)), idx + 1).otherwise(idx)
-    return F.when((v >= lo) & (v <= hi), idx)
+    # at most one correction applies; written as two steps from the same index the
+    # expression stays small
+    down = F.when(v < edge(idx), 1).otherwise(0)
+    up = F.when((v >= edge(idx + 1)) & (idx != F.lit(bins - 1)), 1).otherwise(0)
+    return F.when((v >= lo) & (v <= hi), idx - down + up)

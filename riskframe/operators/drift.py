@@ -2,8 +2,7 @@
 
 One frame holds both sides (a boolean marks the reference rows), so a source
 is scanned twice whatever the number of features: the first scan takes the
-reference ranges of all numeric features in one wide aggregation (read as one
-scalar subquery), the second counts every numeric bin and every category of
+reference ranges of all numeric features in one wide aggregation, the second counts every numeric bin and every category of
 all features and both sides in one long-form aggregation, combined before the
 shuffle. Totals and PSI terms come from that small table.
 """
@@ -61,19 +60,22 @@ def side_counts(df: DataFrame, numeric: Sequence[str], text: Sequence[str], bins
     feature (equal width over its reference range, last bin closed, values
     outside not counted) or category of a text feature that occurs."""
     none = F.lit(None)
-    entry = [F.struct(F.lit(c).alias("feature"), F.lit(i).alias("i"), _number(df, c).alias("number"),
-                      none.cast("string").alias("value")) for i, c in enumerate(numeric)]
-    entry += [F.struct(F.lit(c).alias("feature"), none.cast("int").alias("i"), none.cast("double").alias("number"),
+    entry = [F.struct(F.lit(c).alias("feature"), _number(df, c).alias("number"), none.cast("string").alias("value"))
+             for c in numeric]
+    entry += [F.struct(F.lit(c).alias("feature"), none.cast("double").alias("number"),
                        F.col(f"`{c}`").cast("string").alias("value")) for c in text]
     long = df.select(SIDE, F.explode(F.array(*entry)).alias("_e")).select(SIDE, "_e.*")
     if numeric:
-        r = F.get(F.col("_ranges"), F.col("i"))
-        long = long.withColumn("_ranges", numeric_ranges(df, numeric).scalar()).withColumn(
-            "bin", equal_width_bin(F.col("number"), r["lo"], r["hi"], bins))
+        # one row per listed feature
+        ranges = numeric_ranges(df, numeric).select(F.explode("ranges").alias("_r")).select("_r.*")
+        long = long.join(F.broadcast(ranges), "feature", "left").withColumn(
+            "bin", equal_width_bin(F.col("number"), F.col("lo"), F.col("hi"), bins))
     else:
         long = long.withColumn("bin", none.cast("int"))
-    return (long.where("bin is not null or value is not null").groupBy("feature", "bin", "value")
-            .agg(F.count_if(SIDE).alias("ref_count"), F.count_if(~F.col(SIDE)).alias("cur_count")))
+    # values outside a range are dropped as one counted row: a filter before would compute every bin twice
+    counts = long.groupBy("feature", "bin", "value").agg(
+        F.count_if(SIDE).alias("ref_count"), F.count_if(~F.col(SIDE)).alias("cur_count"))
+    return counts.where("bin is not null or value is not null")
 
 
 def side_histograms(df: DataFrame, columns: Sequence[str], bins: int = PSI_BINS) -> DataFrame:
