@@ -1,9 +1,10 @@
 """License scans: exact set-similarity join of text blocks with license templates.
 
-A block is a line of the text; a line of more than ``SPAN`` words is cut into
-overlapping blocks of ``SPAN`` words, so any passage of half that length lies
-whole in one. A block matches a template if it holds at least ``THRESHOLD`` of
-the template's distinct words.
+A block is a line of the text, or ``SPAN`` words of it regardless of line feeds;
+a line of more than ``SPAN`` words and the whole text are cut into overlapping
+blocks of ``SPAN`` words, so any passage of half that length lies whole in one,
+also if it is wrapped over lines. A block matches a template if it holds at least
+``THRESHOLD`` of the template's distinct words.
 
 1. ``scan`` reads every whole text once: number of words, the places of the
    base phrases, and the blocks that pass the length filter, as sets of the
@@ -82,6 +83,19 @@ class Scanner:
         self.least = min(needed(len(s)) for s in sets)
         self.phrases = [(_hashes(p.split()), p, label) for p, label in PHRASES.items()]
 
+    def add_blocks(self, out: list[dict], text: np.ndarray, unit: np.ndarray, place: np.ndarray, number: np.ndarray) -> None:
+        """Adds the blocks that can match to their texts; ``place``: of a template word in its unit, a line or a text."""
+        part = place // (SPAN // 2)
+        # every word is in the block that begins in its half span, and in the one before
+        key = np.column_stack([text, unit, part, number])
+        key = np.unique(np.concatenate([key, (key - [0, 0, 1, 0])[part > 0]]), axis=0)
+        begin = np.flatnonzero(np.concatenate(([True], (np.diff(key[:, :3], axis=0) != 0).any(axis=1)))[:len(key)])
+        size = np.diff(np.append(begin, len(key)))
+        for a, n in zip(begin[size >= self.least].tolist(), size[size >= self.least].tolist(), strict=True):
+            words, blocks = key[a:a + n, 3].tolist(), out[key[a, 0]]["blocks"]
+            if words not in blocks[-2:]:
+                blocks.append(words)
+
     def slice(self, buf: np.ndarray, offsets: np.ndarray) -> list[dict]:
         low = ragged.LOWER[buf]
         starts, ends = ragged.spans(ragged.ALNUM[low])
@@ -112,15 +126,11 @@ class Scanner:
             line_ends = np.flatnonzero(buf == 0x0A)
             line = np.searchsorted(line_ends, starts[hit])
             line_first = np.searchsorted(starts, np.concatenate(([0], line_ends[:-1] + 1)))[line]
-            part = (hit - line_first) // (SPAN // 2)
-            # every word is in the block that begins in its half span, and in the one before
-            key = np.concatenate([np.column_stack([line, part, number]), np.column_stack([line, part - 1, number])[part > 0]])
-            key = np.unique(key, axis=0)
-            begin = np.flatnonzero(np.concatenate(([True], (np.diff(key[:, :2], axis=0) != 0).any(axis=1))))
-            size = np.diff(np.append(begin, len(key)))
-            for a, n in zip(begin[size >= self.least].tolist(), size[size >= self.least].tolist(), strict=True):
-                row = int(np.searchsorted(offsets, line_ends[key[a, 0]], "right")) - 1
-                out[row]["blocks"].append(key[a:a + n, 2].tolist())
+            text = np.searchsorted(bounds, hit, "right") - 1
+            self.add_blocks(out, text, line, hit - line_first, number)
+            # a text of one line has the blocks of that line
+            many = np.flatnonzero(np.diff(np.searchsorted(line_ends, offsets))[text] > 1)
+            self.add_blocks(out, text[many], text[many], (hit - bounds[text])[many], number[many])
         return out
 
 

@@ -338,6 +338,28 @@ def test_license_in_a_long_line(spark, empty):
     assert license.scanned(empty).collect() == []
 
 
+def test_license_wrapped_over_lines(spark):
+    """A notice over two and three lines, at the start of a text and at every place of a block."""
+    rows, want = [], {}
+    for t in (1, 3, 5, 8):
+        label, notice = license.TEMPLATES[t]
+        w = notice.split()
+        for n in (2, 3):
+            lines = [" * " + " ".join(x) for x in np.array_split(np.array(w), n)]
+            for before in (0, 1, 17, 31, 32, 40, 63, 64, 95):
+                head = [" ".join(f"w{i}" for i in range(before))] if before else []
+                d = len(rows)
+                rows.append((d, "\r\n".join([*head, *lines, "and so on"]).upper()))
+                want[d] = label
+    # the halves of a notice far apart, or in two documents, are none
+    w = license.TEMPLATES[3][1].split()
+    far = "\n".join(["x " * 40] * 3)
+    rows += [(1000, " ".join(w[:8]) + "\n" + far + "\n" + " ".join(w[8:])), (1001, " ".join(w[:8])), (1002, " ".join(w[8:]))]
+    got = {r.doc_id: r for r in license.scanned(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert all(label in got[d].labels.split(",") and got[d].score == 1.0 for d, label in want.items())
+    assert all(got[d].labels == "" and got[d].score == 0 for d in (1000, 1001, 1002))
+
+
 # token counts and ids
 
 def test_token_counts_equal_the_library(frames):
