@@ -12,7 +12,7 @@ it cover every word of every training text.
    dealt by hash; a bucket adds them up over all chunks and sends every chunk
    the total counts of its words. No vocabulary is ever in one place.
 3. ``write_scored``: chunks meet their counts: base score, known tokens, symbols.
-4. ``train``: EM. Two rounds treat a document as one state (these only break the
+4. ``train``: EM from texts far apart, picked by hash over all training texts. Two rounds treat a document as one state (these only break the
    symmetry), then ``ROUNDS`` Baum-Welch rounds run the scaled forward-backward
    recursion over all training texts; every task adds up its expected counts,
    which are then summed across partitions.
@@ -34,7 +34,7 @@ from uuid import uuid4
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm import ragged
@@ -47,6 +47,8 @@ CLASSES = 1 << 13
 #: symbol counts every state is smoothed with
 PRIOR = 500.0
 SLICE = 6 << 20
+#: hash ranges, and texts of each, that the first model is chosen from
+RANGES, PICKS = 32, 8
 HOLD_OUT, HELD = 7, 2
 #: stands for the end token among word hashes
 END = np.uint64(0)
@@ -322,23 +324,73 @@ def expected_counts(scored: DataFrame, model: Model, whole: bool) -> tuple[np.nd
     return total[n], total[n + 1:], total[:n]
 
 
+def candidates(scored: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Symbols and how often of at most ``RANGES * PICKS`` distinct training texts of the whole table, whatever
+    its order and partitions: the smallest ``PICKS`` hashes of each hash range. Fewer texts than ``PICKS`` are all there."""
+    def bags(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        symbols, sizes = _training(row)
+        at = np.cumsum(sizes) - sizes
+        # order does not count: texts of the same symbols give the same state
+        h = ragged.mix(np.add.reduceat(ragged.mix(symbols.astype(np.uint64) + np.uint64(1)), at)) if len(at) else np.zeros(0, np.uint64)
+        return symbols, sizes, at, h.view(np.int64)
+
+    def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = np.zeros((0, 2), np.int64)
+        for batch in batches:
+            for row in batch.to_pylist():
+                h = bags(row)[3]
+                both = np.concatenate([best, np.column_stack([h, np.full(len(h), row["chunk"])])])
+                best = both[np.unique(both[:, 0], return_index=True)[1]]
+                part = best[:, 0] >> np.int64(64 - RANGES.bit_length() + 1)
+                begin = np.searchsorted(part, part)
+                best = best[np.arange(len(best)) - begin < PICKS]
+        yield _rows("part bigint, hash bigint, chunk bigint",
+                    [(h >> (64 - RANGES.bit_length() + 1), h, c) for h, c in best.tolist()])
+
+    found = scored.select("chunk", "train", "sizes", "symbols").mapInArrow(smallest, "part bigint, hash bigint, chunk bigint")
+    place = Window.partitionBy("part").orderBy("hash")
+    kept = (found.groupBy("part", "hash").agg(F.min("chunk").alias("chunk"))
+            .withColumn("place", F.row_number().over(place)).where(F.col("place") <= PICKS).collect())
+    wanted = np.array(sorted(r["hash"] for r in kept), np.int64)
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                symbols, sizes, at, h = bags(row)
+                out = []
+                for i in np.flatnonzero(np.isin(h, wanted)).tolist():
+                    bag, n = np.unique(symbols[at[i]:at[i] + sizes[i]], return_counts=True)
+                    out.append((int(h[i]), bag.astype("<u4").tobytes(), n.astype("<u4").tobytes()))
+                yield _rows("hash bigint, a binary, b binary", list({r[0]: r for r in out}.values()))
+
+    if not kept:
+        return []
+    rows = (scored.where(F.col("chunk").isin(sorted({r["chunk"] for r in kept}))).select("train", "sizes", "symbols")
+            .mapInArrow(texts, "hash bigint, a binary, b binary").groupBy("hash").agg(F.first("a").alias("a"), F.first("b").alias("b")).collect())
+    return [(_array(r["a"], "<u4").astype(np.int64), _array(r["b"], "<u4").astype(np.int64)) for r in sorted(rows, key=lambda r: r["hash"])]
+
+
 def seeds(scored: DataFrame, prior: np.ndarray, k: int) -> Model:
-    """First model: documents of one chunk that are far from one another (no count leaves out a text later)."""
-    n = len(prior)
+    """First model: training texts that are far from one another; states beyond the
+    number of distinct texts weigh the symbols by hash, so no two states are equal."""
     emit = np.repeat(prior[:, None], k, axis=1)
-    first = scored.agg(F.min("chunk")).first()[0]
-    for row in scored.where(F.col("chunk") == first).select("train", "sizes", "symbols").collect():
-        symbols, sizes = _training(row.asDict())
-        text = np.repeat(np.arange(len(sizes)), sizes)
-        near = np.where(sizes >= min(50, int(np.median(sizes))) if len(sizes) else [], 0.0, np.inf)
-        for s in range(min(k, len(sizes))):
-            pick = int(np.argmin(near))
-            share = np.bincount(symbols[text == pick], minlength=n) / sizes[pick]
+    bags = candidates(scored)
+    if bags:
+        sizes, ends = np.array([n.sum() for _, n in bags]), [len(x) for x, _ in bags]
+        symbols, counts, text = np.concatenate([x for x, _ in bags]), np.concatenate([n for _, n in bags]), np.repeat(np.arange(len(bags)), ends)
+        # short texts come after all others
+        near, short, left = np.zeros(len(bags)), sizes < min(50, int(np.median(sizes))), np.ones(len(bags), bool)
+        for s in range(min(k, len(bags))):
+            pool = np.flatnonzero(left & ~short) if (left & ~short).any() else np.flatnonzero(left)
+            pick = int(pool[np.argmin(near[pool])])
+            left[pick] = False
+            share = np.bincount(symbols[text == pick], counts[text == pick], len(prior)) / sizes[pick]
             emit[:, s] = 0.5 * prior + 0.5 * share
             # how much of a document's mass the picked one explains, on the scale of both
             gain = np.log(emit[:, s] / prior)
-            near = np.maximum(near, np.bincount(text, np.maximum(gain[symbols], 0), len(sizes)) / sizes)
-            near[pick] = np.inf
+            near = np.maximum(near, np.bincount(text, counts * np.maximum(gain[symbols], 0), len(sizes)) / sizes)
+        for s in range(len(bags), k):
+            emit[:, s] *= 0.75 + 0.5 * (ragged.mix(np.arange(len(prior), dtype=np.uint64) * np.uint64(k) + np.uint64(s)) % np.uint64(2))
     return Model(np.full(k, 1 / k), _sticky(k), emit / emit.sum(axis=0))
 
 
@@ -352,7 +404,8 @@ def train(scored: DataFrame, table: Symbols, k: int = STATES, rounds: int = ROUN
     model = seeds(scored, prior, k)
     for i in range(2 + rounds):
         start, move, emit = expected_counts(scored, model, whole=i < 2)
-        emit = emit + PRIOR * prior[:, None]
+        # a state that no text fell to keeps its emissions, or all such states would become equal
+        emit = np.where(emit.sum(axis=0) < 1, model.emit, emit + PRIOR * prior[:, None])
         start, move = start + 1, move + 50 * _sticky(k)
         model = Model(start / start.sum(), move / move.sum(axis=1, keepdims=True) if i >= 2 else _sticky(k), emit / emit.sum(axis=0))
     return model

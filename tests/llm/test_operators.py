@@ -183,6 +183,42 @@ def test_held_out_texts_score_above_the_base(small):
     assert row[0] > row[1]
 
 
+def _scored(df):
+    coded = hmm.chunks(df).cache()
+    n = coded.agg(F.sum("train_tokens")).first()[0]
+    counts = hmm.total_counts(coded, n).cache()
+    table = hmm.symbols_of(counts, n)
+    return hmm.scored_chunks(coded, counts, table).cache(), table
+
+
+def _distinct(model):
+    return len({c.tobytes() for c in np.round(model.emit.T / model.emit.max(), 12)})
+
+
+def test_hmm_seeds_come_from_the_whole_table(spark):
+    """Partitions in another order, with one, no or all training texts in the first, give the same first model."""
+    train, held = [i for i in range(600) if hmm.is_training(i)], [i for i in range(600) if not hmm.is_training(i)]
+    text = {i: " ".join(f"s{i % 12}w{(i * 7 + j * j) % 50}" for j in range(60 + i % 5)) for i in range(600)}
+    models = []
+    for first in (train[:1], held[:1], train[:300], [i for i in train if i % 12 == 0]):
+        parts = [first, [i for i in range(600) if i not in first]]
+        rdd = spark.sparkContext.parallelize([[(i, text[i]) for i in p] for p in parts], 2).flatMap(lambda p: p)
+        scored, table = _scored(spark.createDataFrame(rdd, "doc_id long, text string"))
+        models.append(hmm.seeds(scored, table.prior(), hmm.STATES))
+    assert all(np.allclose(m.emit, models[0].emit) for m in models) and _distinct(models[0]) == hmm.STATES
+    # texts of twelve kinds: no two states are seeded by one kind
+    own = models[0].emit / table.prior()[:, None]
+    assert len({int(i) for i in own.argmax(axis=0)}) == hmm.STATES
+
+
+@pytest.mark.parametrize("n", [1, 2, 5])
+def test_hmm_states_stay_distinct_with_few_texts(spark, n):
+    rows = [(i, " ".join(f"t{i}w{j % 40}" for j in range(200))) for i in [i for i in range(50) if hmm.is_training(i)][:n]] * 2
+    scored, table = _scored(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
+    assert _distinct(hmm.seeds(scored, table.prior(), hmm.STATES)) == hmm.STATES
+    assert _distinct(hmm.train(scored, table)) == hmm.STATES
+
+
 def test_hmm_without_rows_or_training_texts(empty, small):
     assert hmm.scored_texts(empty.select("doc_id", "text")).collect() == []
     held = small.where("pmod(crc32(cast(doc_id as string)), 7) = 2").select("doc_id", "text")
