@@ -538,7 +538,7 @@ def _model_frame(spark, sf):
 def q_gbt_scored(spark, sf):
     """Class-weighted boosted trees, rounds chosen by validation AUC; test scores."""
     frame, _ = _model_frame(spark, sf)
-    m = _model.train_gbt(frame, {"maxIter": 100})
+    m = _model.train_gbt(frame)
     return _model.score(m, frame.where(F.col("split") == "test")).select("id", "label", "score")
 
 
@@ -546,7 +546,7 @@ def q_gbt_scored(spark, sf):
 def q_gbt_depthwise_scored(spark, sf):
     """M1: the depth-wise variant; test scores."""
     frame, _ = _model_frame(spark, sf)
-    m = _model.train_gbt(frame, {**_model.GBT_DEPTHWISE, "maxIter": 40})
+    m = _model.train_gbt(frame, _model.GBT_DEPTHWISE)
     return _model.score(m, frame.where(F.col("split") == "test")).select("id", "label", "score")
 
 
@@ -580,7 +580,7 @@ def q_sigmoid(spark, sf):
 def q_model_importance(spark, sf):
     """M5: tree importances per feature, ranked."""
     frame, feats = _model_frame(spark, sf)
-    return _model.feature_importance(_model.train_gbt(frame, {"maxIter": 20}), feats)
+    return _model.feature_importance(_model.train_gbt(frame), feats)
 
 
 @register("stratified_folds")

@@ -237,6 +237,45 @@ def test_coded_columns_are_categories_for_trees(spark):
     assert " in {" in "".join(t.toDebugString for t in fitted.stages[-1].trees)
 
 
+@pytest.mark.parametrize(("peaks", "fits"), [([2], [4, 2]), ([3], [4, 8, 3]), ([3, 5, 6], [4, 8, 6]), ([3, 5, 7, 9], [4, 8, 9]), ([], [4, 8, 9])])
+def test_growing_fits_choose_the_round_of_the_whole_fit(spark, monkeypatch, peaks, fits):
+    """Fits grow until the patience runs out; AUC None (no peaks): no val rows."""
+    curve, asked = [(n, (n if n in peaks else 0) if peaks else None) for n in range(1, 10)], []
+
+    class Trees:
+        maxIter = "maxIter"
+
+        def __init__(self, **kw):
+            pass
+
+        def fit(self, train, params):
+            asked.append(params["maxIter"])
+            self.getNumTrees = params["maxIter"]
+            return self
+    monkeypatch.setattr(model, "GBTClassifier", Trees)
+    monkeypatch.setattr(model, "_max_bins", lambda frame: 32)
+    monkeypatch.setattr(model, "round_aucs", lambda m, val: spark.createDataFrame(curve[:m.getNumTrees], "round int, roc_auc double"))
+    curve = [(n, None if v is None else float(v)) for n, v in curve]
+    fitted = model.train_gbt(spark.createDataFrame([("train",)], "split string"), {"maxIter": 9}, patience=2)
+    assert fitted.stages[-1].getNumTrees == (model.best_round(curve, 2) or 9) and asked[:len(fits)] == fits
+
+
+@pytest.mark.parametrize("name", ["gbt_scored", "gbt_depthwise_scored", "model_importance"])
+def test_registered_trees_have_the_default_rounds(monkeypatch, name):
+    from riskframe.plans import catalog
+
+    class Called(Exception):
+        pass
+
+    def fit(frame, params=None, patience=model.PATIENCE):
+        raise Called({**model.GBT_DEFAULTS, **(params or {})}["maxIter"], patience)
+    monkeypatch.setattr(catalog, "_model_frame", lambda spark, sf: (None, []))
+    monkeypatch.setattr(model, "train_gbt", fit)
+    with pytest.raises(Called) as e:
+        catalog.QUERIES[name](None, "")
+    assert e.value.args == (1000, 100)
+
+
 def test_tuning_uses_the_given_grid(spark):
     frame = model.stratified_folds(_rounds_frame(spark, 400).where("split = 'train'"), 3)
     cv = model.tune_gbt(frame, {"maxDepth": [1, 2]}, rounds=2, parallelism=2)
