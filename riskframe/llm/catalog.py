@@ -1,4 +1,4 @@
-"""One query per operator over the whole ``documents`` table, with its digest columns."""
+"""One query per operator over its whole table, with its digest columns."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import exact, hmm, license, mixing, orcids, packing, quality, simhash, substring, tokens
+from riskframe.llm import (exact, hmm, license, merkle, mixing, negatives, orcids, packing, quality, simhash, substring,
+                           tokens, urls)
 from riskframe.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +86,34 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     forest = quality.fit(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.verdicts(stats, forest).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@register("op11_negatives")
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, label=label)
+
+
+#: rules of the url filter: verdict, host, path
+URL_RULES = [urls.Rule("block", "net", "/"), urls.Rule("allow", "example.net", "/en/"),
+             urls.Rule("block", "example.com", "/de/"), urls.Rule("allow", "org", "/fr/")]
+#: a domain whose first label has one of these words goes on the block list
+LISTED_WORDS = ["ads", "adult", "bets", "casino", "pills", "spam"]
+
+
+@register("op12_urls")
+def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    names = urls.corpus_domains(pages.select(urls.url_parts("url")[0].alias("host")))
+    out = urls.judged(pages, URL_RULES, urls.domains_with_words(names, LISTED_WORDS))
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+@register("op13_merkle")
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = merkle.proofs(documents(spark, sf_dir), F.replace("text", F.lit("\n"), F.lit("")),
+                        F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"),
+                      "folded_root", "verified")

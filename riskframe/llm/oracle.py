@@ -1,8 +1,10 @@
-"""DuckDB SQL of the queries that SQL can express, over the view ``documents``."""
+"""DuckDB SQL of the queries that SQL can express, over the driver's views."""
 
 from __future__ import annotations
 
+from riskframe.llm.catalog import LISTED_WORDS, URL_RULES
 from riskframe.llm.license import PHRASES, SPAN, TEMPLATES, needed
+from riskframe.llm.urls import MAX_DOMAIN
 
 ORACLE: dict[str, str] = {}
 
@@ -106,3 +108,102 @@ SELECT l.doc_id, CAST(len(l.words) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0)
 FROM listed l LEFT JOIN based b ON l.doc_id = b.doc_id LEFT JOIN own_text o ON l.doc_id = o.doc_id
   LEFT JOIN all_text a ON l.doc_id = a.doc_id LEFT JOIN scores s ON l.doc_id = s.doc_id
 """
+
+ORACLE["op11_negatives"] = """
+WITH used AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS own, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM used a JOIN used b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM scored WHERE own)
+  WHERE place <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS place
+  FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id
+  WHERE NOT n.own AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE place <= 5
+"""
+
+_RULES = " ".join(
+    f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.host + r.path}'"
+    for r in sorted(URL_RULES, key=lambda r: -len(r.host + r.path)))
+_VERDICTS = " ".join(f"WHEN '{r.host + r.path}' THEN '{r.verdict}'" for r in URL_RULES)
+_WORDS = ", ".join(f"'{w}'" for w in LISTED_WORDS)
+ORACLE["op12_urls"] = rf"""
+WITH parts AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)://([^/?#]*)([^?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages),
+ruled AS (SELECT *, CASE {_RULES} END AS rule, string_split(host, '.') AS labels FROM parts),
+listed AS (
+  SELECT *, len(list_filter(range(1, len(labels) + 1), lambda i:
+    len(array_to_string(labels[i:], '.')) <= {MAX_DOMAIN} AND list_has_any(string_split(labels[i], '-'), [{_WORDS}]))) > 0 AS hit
+  FROM ruled)
+SELECT page_id, host, path, rule, CASE rule {_VERDICTS} ELSE CASE WHEN hit THEN 'block' ELSE 'allow' END END AS verdict
+FROM listed
+"""
+
+
+def _leaf(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+# CRC-32 one bit at a time: the eight steps of a byte inside those over the bytes
+_CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda v, z: xor(v >> 1, (v & 1) * 3988292384::BIGINT)))"""
+ORACLE["op13_merkle"] = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, {_leaf("text")} AS leaf, {_leaf("replace(text, chr(10), '')")} AS other,
+    coalesce((xor({_CRC}, 4294967295::BIGINT)) % 2 = 0, false) AS tampered
+  FROM documents),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM docs),
+low AS (
+  SELECT tree, 0 AS level, pos, leaf AS digest, n AS size FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (size + 2) // 3
+  FROM low WHERE size > 1 GROUP BY tree, level, size, pos // 3),
+subroots AS (SELECT tree, level AS height, digest FROM low WHERE size = 1),
+high AS (
+  SELECT -1 AS tree, 0 AS level, tree AS pos, digest, (SELECT count(*) FROM subroots) AS size FROM subroots
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (size + 2) // 3
+  FROM high WHERE size > 1 GROUP BY tree, level, size, pos // 3),
+nodes AS (SELECT * FROM low UNION ALL SELECT * FROM high),
+beside AS (
+  SELECT a.tree, a.level, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.level = b.level AND a.pos // 3 = b.pos // 3
+  WHERE a.size > 1 GROUP BY a.tree, a.level, a.pos),
+numbered AS (SELECT *, row_number() OVER () AS id FROM placed),
+path AS (
+  SELECT d.id, b.level AS step, b.l, b.r
+  FROM numbered d JOIN beside b ON d.tree = b.tree AND d.pos // CAST(pow(3, b.level) AS BIGINT) = b.pos
+  UNION ALL
+  SELECT d.id, s.height + b.level, b.l, b.r
+  FROM numbered d JOIN subroots s ON d.tree = s.tree
+    JOIN beside b ON b.tree = -1 AND d.tree // CAST(pow(3, b.level) AS BIGINT) = b.pos),
+proofs AS (SELECT id, sha256(string_agg(l || r, '' ORDER BY step)) AS proof_sha256 FROM path GROUP BY id),
+folded AS (
+  SELECT id, 0 AS step, CASE WHEN tampered THEN other ELSE leaf END AS h FROM numbered
+  UNION ALL
+  SELECT f.id, f.step + 1, sha256(p.l || f.h || p.r) FROM folded f JOIN path p ON f.id = p.id AND f.step = p.step),
+final AS (SELECT id, max_by(h, step) AS folded_root FROM folded GROUP BY id)
+SELECT d.doc_id, d.leaf, s.digest AS subroot, t.digest AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+  f.folded_root, f.folded_root = t.digest AS verified
+FROM numbered d JOIN subroots s ON d.tree = s.tree JOIN final f ON d.id = f.id LEFT JOIN proofs p ON d.id = p.id
+  CROSS JOIN (SELECT digest FROM high WHERE size = 1) t
+"""
