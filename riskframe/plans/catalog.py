@@ -20,7 +20,7 @@ from riskframe.operators import clean as _clean
 from riskframe.operators import encode as _enc
 from riskframe.operators import label as _label
 from riskframe.operators.features import engineer_features
-from riskframe.schema import FEATURES, TARGET
+from riskframe.schema import DIRECTIONS, FEATURES, TARGET
 from riskframe.operators import drift as _drift
 from riskframe.operators import reports as _reports
 from riskframe.schema import GROUPINGS
@@ -28,7 +28,10 @@ from riskframe.operators import explain as _x
 from riskframe.schema import HIGH_RISK_SCORE, KEY_FEATURES
 from riskframe.operators import profile as _prof
 from riskframe.plans import training as _train
+from riskframe.operators import attributions as _attr
+from riskframe.operators import boosting as _boost
 from riskframe.operators import model as _model
+from riskframe.session import cut_lineage
 from riskframe.sources import sinks as _sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -534,20 +537,70 @@ def _model_frame(spark, sf):
     return _train.model_inputs(prepared, [r["feature"] for r in rows], categorical=coded), [r["feature"] for r in rows]
 
 
+_SHARED: dict[tuple, object] = {}
+
+
+def shared(spark, sf, what, make):
+    """A fit that several queries of one session read: made once per session and input folder."""
+    key = (spark.sparkContext.applicationId, sf, what)
+    if key not in _SHARED:
+        _SHARED[key] = make()
+    return _SHARED[key]
+
+
+def _tree_frame(spark, sf):
+    """Prepared loans with class weights as plain columns; the features and the coded ones without a direction."""
+    def make():
+        prepared, meta = _train.prepare(frames.split_loans(spark, sf))
+        rows = meta.orderBy("position").collect()        # one row per feature
+        x = prepared.withColumn("label", F.col(TARGET).cast("double"))
+        ratio = metrics.class_weights(x.where("split = 'train'"), "label").select(F.max("weight")).scalar()
+        x = x.withColumn("weight", F.when(F.col("label") == 1, ratio).otherwise(F.lit(1.0)))
+        return (cut_lineage(x), [r["feature"] for r in rows],
+                [r["feature"] for r in rows if r["kind"] == "categorical" and not r["direction"]])
+    return shared(spark, sf, "tree frame", make)
+
+
+def _trees(spark, sf, variant="leafwise"):
+    """All rounds of a trainer with its listed parameters, directions included."""
+    def make():
+        frame, feats, coded = _tree_frame(spark, sf)
+        return _boost.train(frame, feats, {"leafwise": _boost.LEAFWISE, "depthwise": _boost.DEPTHWISE}[variant], DIRECTIONS, coded)
+    return shared(spark, sf, variant, make)
+
+
+def _scored_test(spark, sf, variant):
+    test = _tree_frame(spark, sf)[0].where("split = 'test'")
+    return _boost.score(_boost.best(_trees(spark, sf, variant)), test).select("id", "label", "score")
+
+
 @register("gbt_scored")
 def q_gbt_scored(spark, sf):
-    """Class-weighted boosted trees, rounds chosen by validation AUC; test scores."""
-    frame, _ = _model_frame(spark, sf)
-    m = _model.train_gbt(frame)
-    return _model.score(m, frame.where(F.col("split") == "test")).select("id", "label", "score")
+    """Leaf-wise monotone trees, rounds chosen by validation AUC; test scores."""
+    return _scored_test(spark, sf, "leafwise")
 
 
 @register("gbt_depthwise_scored")
 def q_gbt_depthwise_scored(spark, sf):
-    """M1: the depth-wise variant; test scores."""
-    frame, _ = _model_frame(spark, sf)
-    m = _model.train_gbt(frame, _model.GBT_DEPTHWISE)
-    return _model.score(m, frame.where(F.col("split") == "test")).select("id", "label", "score")
+    """M1, M2: the depth-wise variant; test scores."""
+    return _scored_test(spark, sf, "depthwise")
+
+
+@register("tree_directions")
+def q_tree_directions(spark, sf):
+    """M2: every test row with every value of each directed feature, by both trainers' trees: steps against the direction."""
+    test = _tree_frame(spark, sf)[0].where("split = 'test'")
+    parts = [_boost.direction_sweep(_boost.best(_trees(spark, sf, v)), test, DIRECTIONS).select(
+        F.lit(v).alias("variant"), "feature", "direction", "n_rows", "violations") for v in ("leafwise", "depthwise")]
+    return parts[0].unionByName(parts[1])
+
+
+@register("tree_grid")
+def q_tree_grid(spark, sf):
+    """M6: all 81 points of the leaf-wise grid, 3 stratified folds, 100 rounds each, grown together."""
+    frame, feats, coded = _tree_frame(spark, sf)
+    train = _model.stratified_folds(frame.where("split = 'train'"), 3)
+    return _boost.tune(train, feats, _boost.GRID_LEAFWISE, directions=DIRECTIONS, categorical=coded)
 
 
 @register("bounded_lr_scored")
@@ -578,9 +631,8 @@ def q_sigmoid(spark, sf):
 
 @register("model_importance")
 def q_model_importance(spark, sf):
-    """M5: tree importances per feature, ranked."""
-    frame, feats = _model_frame(spark, sf)
-    return _model.feature_importance(_model.train_gbt(frame), feats)
+    """M5: summed split gains per feature, ranked."""
+    return _boost.importance(_boost.best(_trees(spark, sf)), spark)
 
 
 @register("stratified_folds")
@@ -614,7 +666,7 @@ def q_evaluation_chain(spark, sf):
 
 @register("cv_results")
 def q_cv_results(spark, sf):
-    """M6: 3-fold stratified grid search (ROC-AUC) over a bounded-LR grid."""
+    """3-fold stratified search (ROC-AUC) of two penalties of the bounded logistic regression."""
     frame, feats = _model_frame(spark, sf)
     train = _model.stratified_folds(frame.where(F.col("split") == "train"), 3)
     lo, hi = _model.monotone_bounds(feats)
@@ -663,19 +715,27 @@ def q_permutation(spark, sf):
     arr = cols.select("id", "split", vector_to_array("features").alias("_a"))
     wide = arr.select("id", "split", *[F.col("_a")[i].alias(f) for i, f in enumerate(feats)])
     rows = _x.seeded_sample(wide.where(F.col("split") == "test"), 1000)
-    return _x.permutation_contributions(m, rows, wide.where(F.col("split") == "train"), feats,
-                                        n_permutations=4, n_background=100)
+    return _x.permutation_contributions(m, rows, wide.where(F.col("split") == "train"), feats, n_background=100)
+
+
+#: rounds of the explained trees: as many as a point of the grid search has
+EXPLAINED_ROUNDS = 100
+
+
+@register("tree_contributions")
+def q_tree_contributions(spark, sf):
+    """Exact contributions of the leaf-wise trees for every test row."""
+    model = _boost.best(_trees(spark, sf))
+    return _attr.tree_contributions(model, _tree_frame(spark, sf)[0].where("split = 'test'"))
 
 
 def _explained(spark, sf):
-    """X7 on the listed sizes: 1000 test rows against 100 background rows of the training split."""
-    frame, feats = _model_frame(spark, sf)
-    m = _model.train_monotone_lr(frame, feats)
-    from pyspark.ml.functions import vector_to_array
-    arr = frame.select("id", "split", vector_to_array("features").alias("_a"))
-    wide = arr.select("id", "split", *[F.col("_a")[i].alias(f) for i, f in enumerate(feats)])
-    return _x.explanation_report(m, wide.where(F.col("split") == "test"), feats, n_permutations=4,
-                                 background=wide.where(F.col("split") == "train"))
+    """X7 on 1000 test rows: exact attributions of the leaf-wise trees after 100 rounds."""
+    def make():
+        model = _trees(spark, sf).first(EXPLAINED_ROUNDS)
+        return _x.explanation_report(model, _tree_frame(spark, sf)[0].where("split = 'test'"), model.binning.features,
+                                     contributions=lambda sample: _attr.tree_contributions(model, sample))
+    return shared(spark, sf, "explained", make)
 
 
 @register("explanation_report")

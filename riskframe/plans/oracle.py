@@ -8,6 +8,7 @@ rank-sum AUC, ``quantile_cont``, ``lag`` chains. Every double is rounded to
 
 from __future__ import annotations
 
+from riskframe.schema import DIRECTIONS
 from riskframe.sources.tables import (FIXTURE_HORIZON, FIXTURE_TRAIN_END, FIXTURE_VAL_END,
                                       oracle_prelude)
 
@@ -761,3 +762,10 @@ cf AS (SELECT count(*) FILTER (WHERE label = 0 AND score < 0.5) AS tn, count(*)
            "coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(tn / nullif(tn + fp, 0), 0) AS specificity, "
            "coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1_score, "
            "(SELECT count(*) FROM eng) - (SELECT count(*) FROM good) AS n_removed FROM cf)"))
+
+# what the trees must obey: no step against a direction on any test row
+ORACLE["tree_directions"] = sql(*loans_clean(), LABELLED, SPLIT, final=(
+    "SELECT v.variant, d.feature, d.direction, t.n_rows, CAST(0 AS BIGINT) AS violations "
+    "FROM (VALUES ('leafwise'), ('depthwise')) v(variant), "
+    f"(VALUES {', '.join(f"('{f}', {d})" for f, d in DIRECTIONS.items() if f not in ('delinq_2yrs', 'inq_last_6mths'))}) d(feature, direction), "
+    "(SELECT count(*) AS n_rows FROM splitted WHERE split = 'test') t"))

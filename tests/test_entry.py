@@ -3,7 +3,8 @@
 import __spark_entry__ as entry
 
 ROWS_ONLY = {"gbt_scored", "gbt_depthwise_scored", "bounded_lr_scored", "isotonic_calibrated",
-             "sigmoid_calibrated", "model_importance", "cv_results", "permutation_contributions",
+             "sigmoid_calibrated", "model_importance", "cv_results", "permutation_contributions", "tree_grid",
+             "tree_contributions",
              "explanation_report", "explanation_high_risk", "explanation_waterfalls", "explanation_dependence"}
 
 

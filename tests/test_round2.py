@@ -260,20 +260,21 @@ def test_growing_fits_choose_the_round_of_the_whole_fit(spark, monkeypatch, peak
     assert fitted.stages[-1].getNumTrees == (model.best_round(curve, 2) or 9) and asked[:len(fits)] == fits
 
 
-@pytest.mark.parametrize("name", ["gbt_scored", "gbt_depthwise_scored", "model_importance"])
-def test_registered_trees_have_the_default_rounds(monkeypatch, name):
+@pytest.mark.parametrize(("name", "variant"), [("gbt_scored", "LEAFWISE"), ("gbt_depthwise_scored", "DEPTHWISE"), ("model_importance", "LEAFWISE")])
+def test_registered_trees_have_the_listed_parameters(spark, monkeypatch, name, variant):
+    from riskframe.operators import boosting
     from riskframe.plans import catalog
 
     class Called(Exception):
         pass
 
-    def fit(frame, params=None, patience=model.PATIENCE):
-        raise Called({**model.GBT_DEFAULTS, **(params or {})}["maxIter"], patience)
-    monkeypatch.setattr(catalog, "_model_frame", lambda spark, sf: (None, []))
-    monkeypatch.setattr(model, "train_gbt", fit)
+    def fit(frame, feats, params, directions, coded, patience=boosting.PATIENCE):
+        raise Called(params, directions, patience)
+    monkeypatch.setattr(catalog, "_tree_frame", lambda spark, sf: (spark.range(1).withColumn("split", F.lit("test")), [], []))
+    monkeypatch.setattr(boosting, "train", fit)
     with pytest.raises(Called) as e:
-        catalog.QUERIES[name](None, "")
-    assert e.value.args == (1000, 100)
+        catalog.QUERIES[name](spark, "nowhere")
+    assert e.value.args == (getattr(boosting, variant), catalog.DIRECTIONS, 100) and e.value.args[0]["n_estimators"] == 1000
 
 
 def test_tuning_uses_the_given_grid(spark):
