@@ -649,6 +649,14 @@ def q_isotonic_points(spark, sf):
     return iso.transform(s.select("score").distinct()).select("score", "calibrated")
 
 
+@register("isotonic_fine")
+def q_isotonic_fine(spark, sf):
+    """M3: the same map fitted on about 3000 different scores, at every one of them."""
+    s = tables.scored(spark, sf).select((1.0 - F.col("label")).alias("label"),
+                                        (F.col("score") + (F.col("id") % 3) / F.lit(10000.0)).alias("score"))
+    return _model.calibrate_isotonic(s).transform(s.select("score").distinct()).select("score", "calibrated")
+
+
 @register("evaluation_chain")
 def q_evaluation_chain(spark, sf):
     """A10: complete cases, model columns, scores of a literal linear scorer, threshold, metrics."""

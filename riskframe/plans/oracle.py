@@ -742,14 +742,21 @@ ORACLE["stratified_folds"] = sql("s AS (SELECT id, label FROM scored)", final=(
     "SELECT id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY md5(CAST(id AS VARCHAR) || '/42'), id) - 1) % 3 "
     "AS INTEGER) AS fold FROM s"))
 # greatest mean of a range that ends at or after the score, over the smallest that begin before it
-ORACLE["isotonic_points"] = sql("""
-g AS (SELECT floor(score * 100) / 100 AS score, sum(1.0 - label) AS y, count(*) AS w FROM scored GROUP BY 1),
+
+
+def _isotonic(score: str) -> str:
+    return sql(f"""
+g AS (SELECT {score} AS score, sum(1.0 - label) AS y, count(*) AS w FROM scored GROUP BY 1),
 c AS (SELECT score, row_number() OVER (ORDER BY score) AS k, sum(y) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING) AS cy,
              sum(w) OVER (ORDER BY score ROWS UNBOUNDED PRECEDING) AS cw, y, w FROM g),
 m AS (SELECT a.k AS i, b.k AS j, (b.cy - a.cy + a.y) / (b.cw - a.cw + a.w) AS mean FROM c a JOIN c b ON a.k <= b.k),
-lo AS (SELECT m.i, c.k, min(m.mean) AS mean FROM c JOIN m ON m.i <= c.k AND m.j >= c.k GROUP BY m.i, c.k),
-iso AS (SELECT k, max(mean) AS calibrated FROM lo GROUP BY k)""", final=(
+lo AS (SELECT i, j, min(mean) OVER (PARTITION BY i ORDER BY j ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS mean FROM m),
+iso AS (SELECT j AS k, max(mean) AS calibrated FROM lo GROUP BY j)""", final=(
     f"SELECT {r6('score', 'calibrated')} FROM c JOIN iso ON c.k = iso.k"))
+
+
+ORACLE["isotonic_points"] = _isotonic("floor(score * 100) / 100")
+ORACLE["isotonic_fine"] = _isotonic("score + (id % 3) / 10000.0::DOUBLE")
 _CHAIN = list(_COEFS)
 ORACLE["evaluation_chain"] = sql(*scored_clean(), "good AS (SELECT * FROM eng WHERE label IS NOT NULL AND "
     + " AND ".join(f"{c} IS NOT NULL" for c in _CHAIN) + ")",

@@ -75,15 +75,15 @@ def train_and_evaluate(split_df: DataFrame, target: str = TARGET, run_log: str |
     scores on the validation split -> test evaluation -> run log.
 
     Returns the fitted models and the result tables (lazy DataFrames)."""
-    from riskframe.operators import metrics, model
+    from riskframe.operators import boosting, metrics, model
     from riskframe.sources import sinks
     prepared, meta = prepare(split_df, target)
     feats = [r["feature"] for r in meta.orderBy("position").collect()]      # one row per feature
     coded = [r["feature"] for r in meta.where("kind = 'categorical' and direction = 0").collect()]
     frame = model_inputs(prepared, feats, target, coded)
-    gbt = model.train_gbt(frame, gbt_params)
-    lr = model.train_monotone_lr(frame, feats, {f: d for f, d in zip(
-        feats, [r["direction"] for r in meta.orderBy("position").collect()])})
+    directions = {r["feature"]: r["direction"] for r in meta.collect()}
+    gbt = boosting.best(boosting.train(frame, feats, gbt_params, directions, coded))
+    lr = model.train_monotone_lr(frame, feats, directions)
     holdout = frame.where(F.col("split") != "train")
     scored = model.score(gbt, holdout)
     cal = model.calibrate(scored.where(F.col("split") == "val"), calibration)
@@ -99,8 +99,9 @@ def train_and_evaluate(split_df: DataFrame, target: str = TARGET, run_log: str |
     if run_log:
         sizes = {r["split"]: r["n"] for r in split_df.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
         sizes["n_features"] = len(feats)
-        for name, m in (("gbt", gbt), ("lr", lr)):
-            params = {p.name: v for p, v in m.stages[-1].extractParamMap().items()}
+        tree_params = {**boosting.LEAFWISE, **(gbt_params or {}), "rounds": len(gbt.trees)}
+        lr_params = {p.name: v for p, v in lr.stages[-1].extractParamMap().items()}
+        for name, m, params in (("gbt", gbt, tree_params), ("lr", lr, lr_params)):
             sinks.log_run(split_df.sparkSession, run_log, experiment, name, sizes, params,
                           results[name], model.feature_importance(m, feats))
     return {"models": {"gbt": gbt, "lr": lr, "calibration": cal}, "features": feats, **results}

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_train_and_evaluate_end_to_end(spark):
     out = train_and_evaluate(frames.split_loans(spark, SF), run_log=tempfile.mkdtemp(prefix="rf-log-"),
-                             gbt_params={"maxIter": 5})
+                             gbt_params={"n_estimators": 5})
     row = out["gbt"].first()
     assert row["n"] > 0 and (row["roc_auc"] is None or 0.0 <= row["roc_auc"] <= 1.0)
     lr = out["models"]["lr"].stages[-1].coefficients.toArray()

@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.operators import curves, drift, encode, explain, features, metrics, model, reports
+from riskframe.operators import boosting, curves, drift, encode, explain, features, metrics, model, reports
 from riskframe.operators.ordered import bracketed_quantiles
 from riskframe.session import checkpoint_dir
 from riskframe.sources import files
@@ -202,67 +202,15 @@ def test_a_cluster_needs_a_shared_checkpoint_folder(spark, monkeypatch):
         checkpoint_dir(Session())
 
 
-def _rounds_frame(spark, n=1200):
-    rng = np.random.default_rng(12)
-    x, k = rng.normal(size=n), rng.integers(0, 6, n)
-    y = (x + np.array([2.0, -2.0, 1.5, -1.5, 0.5, -0.5])[k] + rng.normal(size=n) > 0).astype(float)
-    split = np.where(np.arange(n) % 4 == 0, "val", "train")
-    df = spark.createDataFrame([(i, float(a), int(b), float(c), str(s)) for i, (a, b, c, s) in enumerate(zip(x, k, y, split))],
-                               "id long, x double, k int, y double, split string")
-    return model.model_frame(df, ["x", "k"], "y", categorical=["k"])
-
-
-def test_round_aucs_are_those_of_shorter_models(spark):
-    from pyspark.ml.classification import GBTClassifier
-    frame = _rounds_frame(spark)
-    est = GBTClassifier(weightCol="weight", maxDepth=2, seed=3)
-    train, val = frame.where("split = 'train'"), frame.where("split = 'val'")
-    got = {r["round"]: r["roc_auc"] for r in model.round_aucs(est.fit(train, {est.maxIter: 6}), val, every=2).collect()}
-    assert sorted(got) == [2, 4, 6]
-    for n in (2, 6):
-        scored = model.score(est.fit(train, {est.maxIter: n}), val)
-        assert got[n] == pytest.approx(curves.roc_auc(scored).first()["roc_auc"], abs=2e-3)
-
-
 def test_best_round_waits_for_the_patience():
     aucs = [(1, 0.6), (2, 0.55), (3, 0.7), (4, 0.65), (5, 0.66), (6, 0.71)]
-    assert model.best_round(aucs, patience=2) == 3
-    assert model.best_round(aucs, patience=3) == 6
-    assert model.best_round([(1, None)], patience=3) == 0
-
-
-def test_coded_columns_are_categories_for_trees(spark):
-    frame = _rounds_frame(spark)
-    fitted = model.train_gbt(frame, {"maxIter": 8, "maxDepth": 2, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}, patience=5)
-    assert " in {" in "".join(t.toDebugString for t in fitted.stages[-1].trees)
-
-
-@pytest.mark.parametrize(("peaks", "fits"), [([2], [4, 2]), ([3], [4, 8, 3]), ([3, 5, 6], [4, 8, 6]), ([3, 5, 7, 9], [4, 8, 9]), ([], [4, 8, 9])])
-def test_growing_fits_choose_the_round_of_the_whole_fit(spark, monkeypatch, peaks, fits):
-    """Fits grow until the patience runs out; AUC None (no peaks): no val rows."""
-    curve, asked = [(n, (n if n in peaks else 0) if peaks else None) for n in range(1, 10)], []
-
-    class Trees:
-        maxIter = "maxIter"
-
-        def __init__(self, **kw):
-            pass
-
-        def fit(self, train, params):
-            asked.append(params["maxIter"])
-            self.getNumTrees = params["maxIter"]
-            return self
-    monkeypatch.setattr(model, "GBTClassifier", Trees)
-    monkeypatch.setattr(model, "_max_bins", lambda frame: 32)
-    monkeypatch.setattr(model, "round_aucs", lambda m, val: spark.createDataFrame(curve[:m.getNumTrees], "round int, roc_auc double"))
-    curve = [(n, None if v is None else float(v)) for n, v in curve]
-    fitted = model.train_gbt(spark.createDataFrame([("train",)], "split string"), {"maxIter": 9}, patience=2)
-    assert fitted.stages[-1].getNumTrees == (model.best_round(curve, 2) or 9) and asked[:len(fits)] == fits
+    assert boosting.best_round(aucs, patience=2) == 3
+    assert boosting.best_round(aucs, patience=3) == 6
+    assert boosting.best_round([(1, None)], patience=3) == 0
 
 
 @pytest.mark.parametrize(("name", "variant"), [("gbt_scored", "LEAFWISE"), ("gbt_depthwise_scored", "DEPTHWISE"), ("model_importance", "LEAFWISE")])
 def test_registered_trees_have_the_listed_parameters(spark, monkeypatch, name, variant):
-    from riskframe.operators import boosting
     from riskframe.plans import catalog
 
     class Called(Exception):
@@ -275,9 +223,3 @@ def test_registered_trees_have_the_listed_parameters(spark, monkeypatch, name, v
     with pytest.raises(Called) as e:
         catalog.QUERIES[name](spark, "nowhere")
     assert e.value.args == (getattr(boosting, variant), catalog.DIRECTIONS, 100) and e.value.args[0]["n_estimators"] == 1000
-
-
-def test_tuning_uses_the_given_grid(spark):
-    frame = model.stratified_folds(_rounds_frame(spark, 400).where("split = 'train'"), 3)
-    cv = model.tune_gbt(frame, {"maxDepth": [1, 2]}, rounds=2, parallelism=2)
-    assert len(cv.avgMetrics) == 2 and math.prod(map(len, model.GRID_LEAFWISE.values())) == 81
