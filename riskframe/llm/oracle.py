@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riskframe.llm.catalog import LISTED_WORDS, URL_RULES
-from riskframe.llm.license import PHRASES, SPAN, TEMPLATES, needed
+from riskframe.llm.license import PHRASES, TEMPLATES, needed, span
 from riskframe.llm.urls import MAX_DOMAIN
 
 ORACLE: dict[str, str] = {}
@@ -73,7 +73,7 @@ def _phrase(phrase: str) -> str:
     return " AND ".join(f"w{i} = '{w}'" for i, w in enumerate(phrase.split()))
 
 
-_TEMPLATES = ", ".join(f"({t}, '{label}', '{w}', {len(set(text.split()))}, {needed(len(set(text.split())))})"
+_TEMPLATES = ", ".join(f"({t}, '{label}', '{w}', {len(set(text.split()))}, {needed(len(set(text.split())))}, {span(len(text.split())) // 2})"
                        for t, (label, text) in enumerate(TEMPLATES) for w in sorted(set(text.split())))
 _CASES = " ".join(f"WHEN {_phrase(p)} THEN '{label}'" for p, label in PHRASES.items())
 ORACLE["op7_license"] = rf"""
@@ -86,17 +86,17 @@ sequences AS (
 base AS (SELECT doc_id, i, CASE {_CASES} END AS label FROM sequences),
 based AS (
   SELECT doc_id, count(*) AS n, min(i) AS first_word, max(i) AS last_word FROM base WHERE label IS NOT NULL GROUP BY doc_id),
-templates(t, label, word, n, need) AS (VALUES {_TEMPLATES}),
+templates(t, label, word, n, need, half) AS (VALUES {_TEMPLATES}),
 lines AS (
   SELECT doc_id, unnest(string_split(t, chr(10))) AS line, unnest(range(0, len(string_split(t, chr(10))))) AS k FROM docs),
 line_lists AS (SELECT doc_id, k, regexp_extract_all(line, '{_ALNUM}') AS words FROM lines),
 line_words AS (SELECT doc_id, k, unnest(words) AS word, unnest(range(0, len(words))) AS i FROM line_lists),
-blocks AS (
-  SELECT doc_id, k, i // {SPAN // 2} AS part, word FROM line_words
-  UNION ALL SELECT doc_id, k, i // {SPAN // 2} - 1, word FROM line_words WHERE i >= {SPAN // 2}),
+units AS (SELECT doc_id, k, i, word FROM line_words UNION ALL SELECT doc_id, -1 AS k, i, w0 AS word FROM placed),
+hits AS (SELECT u.doc_id, u.k, u.i // t.half AS part, t.* FROM units u JOIN templates t ON u.word = t.word),
+blocks AS (SELECT * FROM hits UNION ALL SELECT * REPLACE (part - 1 AS part) FROM hits WHERE part > 0),
 shared_words AS (
-  SELECT b.doc_id, b.k, b.part, t.t, t.label, count(DISTINCT b.word) AS shared, max(t.n) AS n, max(t.need) AS need
-  FROM blocks b JOIN templates t ON b.word = t.word GROUP BY b.doc_id, b.k, b.part, t.t, t.label),
+  SELECT doc_id, k, part, t, label, count(DISTINCT word) AS shared, max(n) AS n, max(need) AS need
+  FROM blocks GROUP BY doc_id, k, part, t, label),
 scores AS (SELECT doc_id, max(shared / n) AS score FROM shared_words WHERE shared >= need GROUP BY doc_id),
 found AS (SELECT DISTINCT doc_id, label FROM shared_words WHERE shared >= need),
 own AS (SELECT DISTINCT doc_id, label FROM base WHERE label IS NOT NULL),

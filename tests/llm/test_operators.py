@@ -354,15 +354,16 @@ def test_license_base_and_labels(frames):
 def test_license_join_equals_all_pairs(spark):
     """Blocks around the threshold, against every template."""
     rng = np.random.default_rng(7)
-    vocabulary, sets = license.template_sets()
+    vocabulary, sets, spans = license.template_sets()
     blocks = []
     for i in range(400):
-        base = list(sets[rng.integers(len(sets))])
+        t = rng.integers(len(sets))
+        base = list(sets[t])
         keep = [w for w in base if rng.random() < 0.9] + rng.choice(len(vocabulary), rng.integers(0, 6)).tolist()
-        blocks.append((i, 0, sorted(set(map(int, keep)))))
-    got = license.matches(spark.createDataFrame(blocks, "row long, block int, words array<int>"))
-    want = {(i, license.TEMPLATES[t][0], len(set(w) & set(s)) / len(s)) for i, _, w in blocks for t, s in enumerate(sets)
-            if len(set(w) & set(s)) >= license.needed(len(s))}
+        blocks.append((i, 0, spans[t], sorted(set(map(int, keep)))))
+    got = license.matches(spark.createDataFrame(blocks, "row long, block int, span int, words array<int>"))
+    want = {(i, license.TEMPLATES[t][0], len(set(w) & set(s)) / len(s)) for i, _, x, w in blocks for t, s in enumerate(sets)
+            if spans[t] == x and len(set(w) & set(s)) >= license.needed(len(s))}
     assert {(r.row, r.label, r.score) for r in got.collect()} == want and want
 
 
@@ -374,6 +375,29 @@ def test_license_in_a_long_line(spark, empty):
     assert license.scanned(empty).collect() == []
 
 
+@pytest.mark.parametrize("n", [21, 50, 64, 100, 400])
+def test_license_templates_of_any_length(spark, n):
+    """A template of n words at every offset within its span, in one line and wrapped."""
+    rng = np.random.default_rng(n)
+    own = [f"t{i}" for i in rng.integers(0, 2 * n, n)]
+    templates, other = [("long", " ".join(own)), ("short", "alpha beta gamma")], [f"w{i}" for i in range(license.span(n) + 3)]
+    rows, step = [], 1 if n <= 50 else 7
+    for i in range(0, license.span(n) + 1, step):
+        rows.append((i, " ".join([*other[:i], *own, *other[:i % 5]])))
+        rows.append((10_000 + i, " ".join(other[:i]) + "\n" + "\n".join(" ".join(x) for x in np.array_split(np.array(own), 9)) + "\nend"))
+    # below the threshold: the words are there, but spread too far
+    far = " ".join(w + " x" * (2 * license.span(n) // n + 2) for w in own)
+    rows += [(-1, far), (-2, " ".join(own[:n // 2]))]
+    got = license.scanned(spark.createDataFrame(rows, "doc_id long, text string"), templates).collect()
+    assert {r.doc_id: r.labels for r in got} == {d: "" if d < 0 else "long" for d, _ in rows}
+    assert all(r.score == 1.0 for r in got if r.doc_id >= 0)
+
+
+def test_license_without_templates(spark):
+    got = license.scanned(spark.createDataFrame([(1, "Apache License")], "doc_id long, text string"), []).collect()
+    assert [(r.labels, r.score) for r in got] == [("apache", 0.0)]
+
+
 def test_license_wrapped_over_lines(spark):
     """A notice over two and three lines, at the start of a text and at every place of a block."""
     rows, want = [], {}
