@@ -1,16 +1,16 @@
 """Feature selection, imputation and encoding.
 
 Fitted state is a table, not a Python object: medians are ``(feature,
-median)`` rows and category codes are ``(feature, category, code)`` rows.
-Transform is a join against that state, so fit and transform both scale
-with the data and the state can be written next to the model.
+median)`` rows and category codes are ``(feature, category, code, n)`` rows.
+Transform is a bounded map plus at most one join against that state, so fit and
+transform both scale with the data and the state can be written next to the model.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -186,8 +186,8 @@ def fill_unknown(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 # --- label encoding ----------------------------------------------------------------
 
 def fit_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fitted state ``feature, category, code``: 0-based rank of each category
-    among the column's sorted distinct text values (NULLs not coded).
+    """Fitted state ``feature, category, code, n``: 0-based rank of each category
+    among the column's sorted distinct text values (NULLs not coded), and its rows.
 
     Ranks come from bucketed running counts over ``(feature, category)``, so a
     high-cardinality text column is not ranked inside one task.
@@ -195,9 +195,9 @@ def fit_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category"))
                       for c in columns])
     cats = (df.select(F.explode(pairs).alias("_p")).select("_p.feature", "_p.category")
-            .where(F.col("category").isNotNull()).select("feature", "category").distinct())
+            .where(F.col("category").isNotNull()).groupBy("feature", "category").agg(F.count(F.lit(1)).alias("n")))
     ranked = _rank_text(cats)
-    return ranked.select("feature", "category", (F.col("cum__one") - 1).cast("int").alias("code"))
+    return ranked.select("feature", "category", (F.col("cum__one") - 1).cast("int").alias("code"), "n")
 
 
 def _rank_text(cats: DataFrame) -> DataFrame:
@@ -217,18 +217,48 @@ def _rank_text(cats: DataFrame) -> DataFrame:
             .withColumn("cum__one", F.count(F.lit(1)).over(w) + F.col("_o")).drop("_bucket", "_o"))
 
 
+#: most frequent categories of a column that are looked up in a map instead of a join
+HEAVY = 64
+
+
+def lookup_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str], default: Callable[[str], Column]) -> DataFrame:
+    """Each column replaced by the code of its text, ``default(column)`` where it has none.
+
+    The ``HEAVY`` most frequent categories of every column are one scalar-subquery map, so
+    the values that would be hot join keys need no shuffle. The rare ones of all columns
+    are joined at once: ``(row, feature, category)`` meets the fitted table, one row per
+    row comes back. The wide table is exchanged once however many columns there are, and not at all
+    when no column has more than ``HEAVY`` categories.
+    """
+    codes = codes.where(F.col("feature").isin(list(columns)))
+    codes = codes if "n" in codes.columns else codes.withColumn("n", F.lit(1))
+    first = Window.partitionBy("feature").orderBy(F.col("n").desc(), "category")
+    heavy = (codes.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= HEAVY)
+             .groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("category", "code"))).alias("_m"))
+             .agg(F.map_from_entries(F.collect_list(F.struct("feature", "_m")))).scalar())
+    # one row per column at most
+    more = {r["feature"] for r in codes.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HEAVY).collect()}
+    rare = [c for c in columns if c in more]
+    text = lambda c: F.col(c).cast("string")
+    common = lambda c: F.col("_heavy")[c][text(c)]
+    x = df
+    if rare:
+        x = cut_lineage(x.withColumn("_row", F.monotonically_increasing_id()))     # both sides of the join read these numbers
+        left = F.array_compact(F.array(*[F.when(text(c).isNotNull() & common(c).isNull(), F.struct(
+            F.lit(c).alias("feature"), text(c).alias("category"))) for c in rare]))
+        pairs = x.withColumn("_heavy", heavy).select("_row", F.explode(left).alias("_p")).select("_row", "_p.feature", "_p.category")
+        found = (pairs.join(codes.select("feature", "category", "code"), ["feature", "category"]).groupBy("_row")
+                 .agg(F.map_from_entries(F.collect_list(F.struct("feature", "code"))).alias("_rare")))      # one entry per column at most
+        x = x.join(found, "_row", "left").drop("_row")
+    x = x.withColumn("_heavy", heavy)
+    x = x.withColumns({c: F.coalesce(common(c), *([F.col("_rare")[c]] if c in rare else []), default(c)).cast("int") for c in columns})
+    return x.drop("_heavy", "_rare")
+
+
 def transform_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str],
                     missing_code: int | None = -1) -> DataFrame:
-    """Replace each categorical column by its code (equi-join per column on the
-    fitted table; AQE broadcasts what it measures small). Unmatched -> ``missing_code``."""
-    out = df
-    for c in columns:
-        m = codes.where(F.col("feature") == c).select(
-            F.col("category").alias(f"_cat_{c}"), F.col("code").alias(f"_code_{c}"))
-        out = (out.join(m, out[c].cast("string") == m[f"_cat_{c}"], "left")
-               .withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.lit(missing_code)).cast("int"))
-               .drop(f"_cat_{c}", f"_code_{c}"))
-    return out
+    """Replace each categorical column by its code (``lookup_codes``). Unmatched -> ``missing_code``."""
+    return lookup_codes(df, codes, columns, lambda c: F.lit(missing_code))
 
 
 def frame_encode(df: DataFrame, columns: Sequence[str] | None = None, target: str = TARGET) -> DataFrame:
@@ -237,7 +267,7 @@ def frame_encode(df: DataFrame, columns: Sequence[str] | None = None, target: st
         c for c, t in df.dtypes if t == "string" and c != target]
     if not cols:
         return df
-    # the fitted table is joined once per column: fit once, keep it as a table
+    # the fitted table is read for the map, the counts and the join: fit once, keep it as a table
     return transform_codes(df, cut_lineage(fit_codes(df, cols)), cols, -1)
 
 
@@ -247,7 +277,7 @@ def fitted_encode(df: DataFrame, columns: Sequence[str], split_col: str = "split
     split, values unseen in the fit split map to the code of 'Unknown', which is
     appended after the fitted categories when the fit split had none."""
     filled = fill_unknown(df, columns)
-    # fitted once and kept as a (small) table: every column's join reads it
+    # fitted once and kept as a table: the map, the counts and the join read it
     codes = cut_lineage(fit_codes(filled.where(F.col(split_col) == fit_split), columns))
     n_cat = codes.groupBy("feature").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -255,15 +285,7 @@ def fitted_encode(df: DataFrame, columns: Sequence[str], split_col: str = "split
     unknown = n_cat.select("feature", F.coalesce("_unk", "_n").cast("int").alias("unknown_code"))
     # one scalar subquery for all columns: feature -> code of 'Unknown'
     umap = unknown.agg(F.map_from_entries(F.collect_list(F.struct("feature", "unknown_code")))).scalar()
-    out = filled.withColumn("_umap", umap)
-    for c in columns:
-        m = codes.where(F.col("feature") == c).select(
-            F.col("category").alias(f"_cat_{c}"), F.col("code").alias(f"_code_{c}"))
-        out = (out.join(m, out[c] == m[f"_cat_{c}"], "left")
-               .withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.col("_umap")[F.lit(c)]).cast("int"))
-               .drop(f"_cat_{c}", f"_code_{c}"))
-    out = out.drop("_umap")
-    return out
+    return lookup_codes(filled.withColumn("_umap", umap), codes, columns, lambda c: F.col("_umap")[F.lit(c)]).drop("_umap")
 
 
 def in_set(df: DataFrame, column: str, members: DataFrame, member_col: str | None = None,
