@@ -8,8 +8,9 @@ return full-precision typed columns.
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +32,8 @@ from riskframe.plans import training as _train
 from riskframe.operators import attributions as _attr
 from riskframe.operators import boosting as _boost
 from riskframe.operators import model as _model
-from riskframe.session import cut_lineage
+from riskframe.session import checkpoint_dir, cut_lineage
+from riskframe.sources import files as _files
 from riskframe.sources import sinks as _sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -713,6 +715,55 @@ def q_run_log_best(spark, sf):
     return _sinks.best_runs(log)
 
 
+def _scratch(spark, name):
+    """A new folder that all executors share."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid4().hex}"
+
+
+@register("run_log_replayed")
+def q_run_log_replayed(spark, sf):
+    """Three runs written to the log, one of them twice and one more cut off half-way; the best runs read back."""
+    base = _scratch(spark, "run-log")
+    ref, cur = frames.drift_pair(spark, sf)
+    for run_id, part in (("full", tables.scored(spark, sf)), ("recent", cur), ("early", ref), ("recent", cur)):
+        ev = metrics.quick_evaluation(part).select("roc_auc", "pr_auc")
+        _sinks.log_run(spark, base, "delinquency", "literal", {}, {"threshold": 0.5}, ev, run_id=run_id)
+    half = spark.createDataFrame([("roc_auc", 1.0)], "name string, value double")
+    _sinks._write(half, base, "metrics", "cut off", "delinquency", "half")
+    return _sinks.best_runs(_sinks.read_run_log(spark, base, "metrics"))
+
+
+@register("importance_logged")
+def q_importance_logged(spark, sf):
+    """Importances written with a run, twice, and as CSV; the three most important read back from both."""
+    base = _scratch(spark, "run-log")
+    imp = cut_lineage(_x.global_importance(frames.contributions(spark, sf)))
+    for _ in range(2):
+        _sinks.log_run(spark, base, "delinquency", "literal", {}, {}, spark.range(1).select(F.lit(1.0).alias("x")), imp, run_id="a")
+    _sinks.write_importance_csv(imp, f"{base}/csv")
+    text = spark.read.option("header", True).schema("feature string, importance double, rank int").csv(f"{base}/csv")
+    logged = _sinks.read_run_log(spark, base, "importance").select("feature", "importance")
+    rank = Window.orderBy(F.col("importance").desc(), "feature")       # one row per feature
+    both = logged.join(text.select("feature", F.col("importance").alias("_csv")), "feature").where("importance = _csv")
+    return both.select("feature", "importance", F.row_number().over(rank).alias("rank")).where("rank <= 3")
+
+
+@register("csv_round_trip")
+def q_csv_round_trip(spark, sf):
+    """Loans with quotes and line breaks in a text, written as CSV (plain and gzip) and scanned again."""
+    base = _scratch(spark, "csv")
+    note = F.when(F.col("id") % 50 == 0, F.concat(F.lit('said "no",\nthen '), F.col("purpose"))).when(
+        F.col("id") % 7 == 0, F.concat(F.lit('a "quoted", '), F.col("purpose")))
+    loans = tables.loans(spark, sf).select("id", "loan_amnt", "int_rate", "term", "emp_length", note.alias("note"))
+    schema = "id long, loan_amnt double, int_rate string, term string, emp_length string, note string"
+    for name, part in (("train", F.col("id") % 3 != 0), ("test", F.col("id") % 3 == 0)):
+        # line breaks in the files of some parts only
+        out = loans.where(part).repartition(4, (F.col("id") % 50 == 0).cast("int"), F.col("id") % 5)
+        out.write.option("header", True).option("quote", '"').option("escape", '"').option(
+            "compression", "gzip" if name == "test" else "none").option("ignoreLeadingWhiteSpace", False).csv(f"{base}/{name}")
+    return _files.load_train_test(spark, f"{base}/train", f"{base}/test", schema)
+
+
 @register("permutation_contributions")
 def q_permutation(spark, sf):
     """X2(b): sampled permutation Shapley values of a trained model on a seeded sample."""

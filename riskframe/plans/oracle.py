@@ -776,3 +776,11 @@ ORACLE["tree_directions"] = sql(*loans_clean(), LABELLED, SPLIT, final=(
     "FROM (VALUES ('leafwise'), ('depthwise')) v(variant), "
     f"(VALUES {', '.join(f"('{f}', {d})" for f, d in DIRECTIONS.items() if f not in ('delinq_2yrs', 'inq_last_6mths'))}) d(feature, direction), "
     "(SELECT count(*) AS n_rows FROM splitted WHERE split = 'test') t"))
+
+ORACLE["run_log_replayed"] = ORACLE["run_log_best"]
+ORACLE["importance_logged"] = ORACLE["importance_topk"]
+ORACLE["csv_round_trip"] = sql(final=f"""
+SELECT id, {r6("loan_amnt")}, int_rate, term, emp_length,
+  CASE WHEN id % 50 = 0 THEN 'said "no",' || chr(10) || 'then ' || purpose WHEN id % 7 = 0 THEN 'a "quoted", ' || purpose END AS note,
+  CASE WHEN id % 3 = 0 THEN 'test' ELSE 'train' END AS split
+FROM loans""")

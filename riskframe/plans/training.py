@@ -77,6 +77,7 @@ def train_and_evaluate(split_df: DataFrame, target: str = TARGET, run_log: str |
     Returns the fitted models and the result tables (lazy DataFrames)."""
     from riskframe.operators import boosting, metrics, model
     from riskframe.sources import sinks
+    split_df, sizes = sinks.written_with_sizes(split_df)
     prepared, meta = prepare(split_df, target)
     feats = [r["feature"] for r in meta.orderBy("position").collect()]      # one row per feature
     coded = [r["feature"] for r in meta.where("kind = 'categorical' and direction = 0").collect()]
@@ -97,7 +98,6 @@ def train_and_evaluate(split_df: DataFrame, target: str = TARGET, run_log: str |
             model.score(gbt, frame.where(F.col("split") == "test")), feats),
     }
     if run_log:
-        sizes = {r["split"]: r["n"] for r in split_df.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
         sizes["n_features"] = len(feats)
         tree_params = {**boosting.LEAFWISE, **(gbt_params or {}), "rounds": len(gbt.trees)}
         lr_params = {p.name: v for p, v in lr.stages[-1].extractParamMap().items()}
