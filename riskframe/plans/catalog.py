@@ -340,7 +340,7 @@ def _fairness_summary(spark, sf):
 @register("governance_report")
 def q_governance(spark, sf):
     """Drift, fairness and performance folded into one report row."""
-    sides = frames.drift_sides(spark, sf)
+    sides = cut_lineage(frames.drift_sides(spark, sf))       # read by the ranges, the bins and the monitor
     g = _reports.governance_report(_drift.side_drift(sides, DRIFT_ALL), _fairness_summary(spark, sf),
                                    _drift.side_monitor(sides), "delinquency_model", "1", len(GROUPINGS))
     return g.select("model_name", "model_version", "drift_detected",
@@ -349,13 +349,14 @@ def q_governance(spark, sf):
                     F.concat_ws(" | ", "action_items").alias("action_items"))
 
 
-@register("model_card")
-def q_model_card(spark, sf):
-    """Model card row (flattened; the nested form serialises with to_json)."""
+def _model_card(spark, sf):
     overview = _label.dataset_overview(frames.split_loans(spark, sf))
     feats = _enc.leakage_projection(frames.engineered_loans(spark, sf)).columns
-    card = _reports.model_card(overview, metrics.evaluate(tables.scored(spark, sf)), feats,
+    return _reports.model_card(overview, metrics.evaluate(tables.scored(spark, sf)), feats,
                                "delinquency_model", "1", _fairness_summary(spark, sf), GROUPINGS)
+
+
+def _flat_card(card):
     return card.select(
         F.col("model_details.name").alias("name"), F.col("model_details.version").alias("version"),
         F.col("training_data.features").alias("n_features"),
@@ -372,6 +373,20 @@ def q_model_card(spark, sf):
         F.concat_ws(",", "fairness_metrics.groups_analyzed").alias("groups_analyzed"))
 
 
+@register("model_card")
+def q_model_card(spark, sf):
+    """Model card row (flattened)."""
+    return _flat_card(_model_card(spark, sf))
+
+
+@register("model_card_json")
+def q_model_card_json(spark, sf):
+    """The nested card written as JSON and read back."""
+    path, card = _scratch(spark, "card"), _model_card(spark, sf)
+    _sinks.write_json_report(card, path)
+    return _flat_card(spark.read.schema(card.schema).json(path))
+
+
 # --- explanation -------------------------------------------------------------------------
 
 
@@ -748,6 +763,43 @@ def q_importance_logged(spark, sf):
     return both.select("feature", "importance", F.row_number().over(rank).alias("rank")).where("rank <= 3")
 
 
+@register("saved_models")
+def q_saved_models(spark, sf):
+    """Trees and logistic regression saved, loaded and run on the test rows: rows whose scores are the same."""
+    base, frame = _scratch(spark, "models"), _tree_frame(spark, sf)[0].where("split = 'test'")
+    trees = _boost.best(_trees(spark, sf))
+    _boost.save(trees, spark, f"{base}/trees")
+    vectors, feats = _model_frame(spark, sf)
+    lr = _model.train_monotone_lr(vectors, feats)
+    _model.save_model(lr, f"{base}/lr")
+    vectors = vectors.where("split = 'test'")
+    out = []
+    for name, before, after in (("trees", _boost.score(trees, frame), _boost.score(_boost.load(spark, f"{base}/trees"), frame)),
+                                ("lr", _model.score(lr, vectors), _model.score(_model.load_model(f"{base}/lr"), vectors))):
+        both = before.select("id", "score").join(after.select("id", F.col("score").alias("_again")), "id")
+        out.append(both.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("score") == F.col("_again")).alias("n_equal")))
+    return out[0].unionByName(out[1]).select("model", "n_rows", "n_equal")
+
+
+@register("dictionary_round_trip")
+def q_dictionary(spark, sf):
+    """Part names as dictionary keys (edge spaces, a missing name) with quoted, broken descriptions; scanned and renamed."""
+    path = _scratch(spark, "dictionary")
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    key = F.when(F.col("p_partkey") % 11 != 0, F.concat("p_name", F.lit("/"), "p_partkey", F.when(F.col("p_partkey") % 3 == 0, F.lit(" \u00a0")).otherwise("")))
+    text = F.concat(F.lit('type "'), "p_type", F.lit('",\nbrand '), "p_brand")
+    part.select(key.alias("LoanStatNew"), text.alias("Description")).write.option("header", True).option("quote", '"').option(
+        "escape", '"').option("ignoreTrailingWhiteSpace", False).csv(path)
+    return _files.rename_dictionary(_files.load_data_dictionary(spark, path))
+
+
+@register("preview")
+def q_preview(spark, sf):
+    """The first five loans by amount."""
+    from riskframe.plans.evaluation import preview
+    return preview(tables.loans(spark, sf).select("id", "loan_amnt", "purpose"), 5, ["loan_amnt", "id"])
+
+
 @register("csv_round_trip")
 def q_csv_round_trip(spark, sf):
     """Loans with quotes and line breaks in a text, written as CSV (plain and gzip) and scanned again."""

@@ -784,3 +784,10 @@ SELECT id, {r6("loan_amnt")}, int_rate, term, emp_length,
   CASE WHEN id % 50 = 0 THEN 'said "no",' || chr(10) || 'then ' || purpose WHEN id % 7 = 0 THEN 'a "quoted", ' || purpose END AS note,
   CASE WHEN id % 3 = 0 THEN 'test' ELSE 'train' END AS split
 FROM loans""")
+ORACLE["model_card_json"] = ORACLE["model_card"]
+ORACLE["saved_models"] = sql(*loans_clean(), LABELLED, SPLIT, final=(
+    "SELECT model, count(*) AS n_rows, count(*) AS n_equal FROM splitted, (VALUES ('trees'), ('lr')) m(model) WHERE split = 'test' GROUP BY model"))
+ORACLE["dictionary_round_trip"] = """
+SELECT p_name || '/' || p_partkey AS feature_name, 'type "' || p_type || '",' || chr(10) || 'brand ' || p_brand AS description
+FROM part WHERE p_partkey % 11 <> 0"""
+ORACLE["preview"] = sql(final=f"SELECT id, {r6('loan_amnt')}, purpose FROM loans ORDER BY loans.loan_amnt, id LIMIT 5")
