@@ -13,7 +13,7 @@ verified by the long digest, never by the short one alone.
 
 Defined results: equal means identical after lower-casing A-Z only; null counts
 as empty, so null and empty texts are one group; the largest ``doc_id`` stays
-(null ids are smallest); of rows that tie in text and id exactly one stays; an
+(null ids are smallest); of rows that tie in text and id exactly one stays, the same one on every run; an
 empty table gives an empty result; extra columns are kept by ``keep_one``.
 """
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.session import cut_lineage
@@ -93,6 +93,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
                        F.pmod(F.spark_partition_id(), F.lit(runs)).cast("long").alias("run"), *digests())
     winners = merge_runs(first_runs(rows), runs).select(*KEYS, "id.doc_id").select(*KEYS, *plain)
     own = docs.select(F.struct("*").alias("row"), *digests(), *plain)
-    one = Window.partitionBy(*KEYS, "id", "no_id").orderBy(F.lit(0))
-    return (own.join(winners, [*KEYS, "id", "no_id"]).withColumn("nth", F.row_number().over(one))
-            .where("nth = 1").select("row.*"))
+    # rows that tie in text and id: the smallest by a hash of all their columns, on every run the same
+    keys = [*KEYS, "id", "no_id"]
+    return own.join(winners, keys).groupBy(*keys).agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")

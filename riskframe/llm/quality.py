@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm import ragged
+from riskframe.session import cut_lineage
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
           "n_upper", "n_digits", "n_exclaim", "n_pipes", "n_stops", "n_lines")
@@ -199,24 +200,39 @@ def fit_forest(x: np.ndarray, y: np.ndarray, directions: Sequence[int], trees: i
     return Forest(np.array(all_f), np.array(all_t), np.array(all_v), base)
 
 
+def labelled_sample(labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
+    """``doc_id, quality``: the share of labelled ids, by hash, that gives about ``max_rows`` rows.
+    Of several labels of one id the smallest counts; null ids and labels are left out."""
+    known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    n = known.count()
+    if n > max_rows:
+        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 50)) < (max_rows << 50) // n)
+    return known
+
+
 def fit(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> Forest:
     """Fit the trees on a bounded sample of labelled documents.
 
-    ``stats``: doc_id and the counts; ``labels``: doc_id and quality (1: good).
-    The sample is the share of ids, by hash, that gives about ``max_rows`` rows;
-    only its counts (eleven numbers a row) come to the driver.
+    ``stats``: doc_id and the counts; ``labels``: doc_id and quality (1: good). Only the
+    counts of the sample (``labelled_sample``, eleven numbers a row) come to the driver;
+    of several documents with one id the smallest counts are used.
     """
-    known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    n = known.count()
-    if n > max_rows:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * max_rows / n))
-    rows = stats.dropDuplicates(["doc_id"]).join(known, "doc_id").orderBy("doc_id").toPandas()
+    one = stats.groupBy("doc_id").agg(F.min(F.struct(*COUNTS)).alias("s")).select("doc_id", "s.*")
+    rows = one.join(labelled_sample(labels, max_rows), "doc_id").orderBy("doc_id").toPandas()
     if rows["quality"].nunique() < 2:
         return ACCEPT_ALL
     x = features({c: rows[c].to_numpy() for c in COUNTS})
     return fit_forest(x, (rows["quality"].to_numpy() > 0).astype(float), list(FEATURES.values()))
 
 
+def fit_on(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> Forest:
+    """``fit`` from documents: only the sampled ones are counted."""
+    known = cut_lineage(labelled_sample(labels, max_rows))
+    # at most about max_rows ids, whatever the tables hold
+    some = docs.select("doc_id", "text").join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")
+    return fit(document_statistics(some), known, max_rows)
+
+
 def accepted(forest: Forest, s: Column) -> Column:
     """The trees' verdict (probability of a good document at least one half) on a counts struct."""
     def run(counts: pa.Array) -> pa.Array:

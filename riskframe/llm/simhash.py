@@ -26,7 +26,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm import ragged
@@ -225,10 +225,10 @@ def _rooted(rows: DataFrame, max_bits: int) -> tuple[DataFrame, DataFrame]:
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of every component (its smallest ``doc_id``), all columns as they were."""
+    """One row of every component (its smallest ``doc_id``; of rows that tie the smallest by a hash of
+    all their columns), all columns as they were."""
     rows = cut_lineage(docs.select("doc_id", fingerprint("text", shingle).alias("fp")))
     keys = ["no_id", "id", "fp"]
     winners = _rooted(rows, max_bits)[1].select("best.*").distinct()
     own = docs.select(F.struct("*").alias("row"), *_id(), fingerprint("text", shingle).alias("fp"))
-    one = Window.partitionBy(*keys).orderBy(F.lit(0))
-    return own.join(winners, keys).withColumn("nth", F.row_number().over(one)).where("nth = 1").select("row.*")
+    return own.join(winners, keys).groupBy(*keys).agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
