@@ -546,14 +546,6 @@ def q_profile_summary(spark, sf):
 
 
 
-def _model_frame(spark, sf):
-    """Features with a monotone direction keep their codes as numbers; other coded ones are categories."""
-    prepared, meta = _train.prepare(frames.split_loans(spark, sf))
-    rows = meta.orderBy("position").collect()
-    coded = [r["feature"] for r in rows if r["kind"] == "categorical" and not r["direction"]]
-    return _train.model_inputs(prepared, [r["feature"] for r in rows], categorical=coded), [r["feature"] for r in rows]
-
-
 _SHARED: dict[tuple, object] = {}
 
 
@@ -565,6 +557,21 @@ def shared(spark, sf, what, make):
     return _SHARED[key]
 
 
+def _model_frame(spark, sf):
+    """Assembled loans and their features; those with a monotone direction keep their codes as numbers, other coded ones are categories."""
+    def make():
+        prepared, meta = _train.prepare(frames.split_loans(spark, sf))
+        rows = meta.orderBy("position").collect()
+        coded = [r["feature"] for r in rows if r["kind"] == "categorical" and not r["direction"]]
+        return _train.model_inputs(prepared, [r["feature"] for r in rows], categorical=coded), [r["feature"] for r in rows]
+    return shared(spark, sf, "model frame", make)
+
+
+def _bounded_lr(spark, sf):
+    """The sign-bounded logistic regression."""
+    return shared(spark, sf, "bounded lr", lambda: _model.train_monotone_lr(*_model_frame(spark, sf)))
+
+
 def _tree_frame(spark, sf):
     """Prepared loans with class weights as plain columns; the features and the coded ones without a direction."""
     def make():
@@ -623,16 +630,16 @@ def q_tree_grid(spark, sf):
 @register("bounded_lr_scored")
 def q_bounded_lr(spark, sf):
     """M2: sign-bounded logistic regression; test scores."""
-    frame, feats = _model_frame(spark, sf)
-    m = _model.train_monotone_lr(frame, feats)
+    frame, _ = _model_frame(spark, sf)
+    m = _bounded_lr(spark, sf)
     return _model.score(m, frame.where(F.col("split") == "test")).select("id", "label", "score")
 
 
 @register("isotonic_calibrated")
 def q_isotonic(spark, sf):
     """M3: isotonic calibration fitted on validation scores, applied to test."""
-    frame, feats = _model_frame(spark, sf)
-    s = _model.score(_model.train_monotone_lr(frame, feats), frame.where(F.col("split") != "train"))
+    frame, _ = _model_frame(spark, sf)
+    s = _model.score(_bounded_lr(spark, sf), frame.where(F.col("split") != "train"))
     iso = _model.calibrate_isotonic(s.where(F.col("split") == "val"))
     return iso.transform(s.where(F.col("split") == "test")).select("id", "label", "score", "calibrated")
 
@@ -640,8 +647,8 @@ def q_isotonic(spark, sf):
 @register("sigmoid_calibrated")
 def q_sigmoid(spark, sf):
     """M3: Platt calibration with smoothed targets, applied to test."""
-    frame, feats = _model_frame(spark, sf)
-    s = _model.score(_model.train_monotone_lr(frame, feats), frame.where(F.col("split") != "train"))
+    frame, _ = _model_frame(spark, sf)
+    s = _model.score(_bounded_lr(spark, sf), frame.where(F.col("split") != "train"))
     sig = _model.calibrate_sigmoid(s.where(F.col("split") == "val"))
     return _model.apply_sigmoid(sig, s.where(F.col("split") == "test")).select("id", "label", "score", "calibrated")
 
@@ -769,8 +776,7 @@ def q_saved_models(spark, sf):
     base, frame = _scratch(spark, "models"), _tree_frame(spark, sf)[0].where("split = 'test'")
     trees = _boost.best(_trees(spark, sf))
     _boost.save(trees, spark, f"{base}/trees")
-    vectors, feats = _model_frame(spark, sf)
-    lr = _model.train_monotone_lr(vectors, feats)
+    vectors, lr = _model_frame(spark, sf)[0], _bounded_lr(spark, sf)
     _model.save_model(lr, f"{base}/lr")
     vectors = vectors.where("split = 'test'")
     out = []
@@ -820,7 +826,7 @@ def q_csv_round_trip(spark, sf):
 def q_permutation(spark, sf):
     """X2(b): sampled permutation Shapley values of a trained model on a seeded sample."""
     frame, feats = _model_frame(spark, sf)
-    m = _model.train_monotone_lr(frame, feats)
+    m = _bounded_lr(spark, sf)
     cols = frame.select("id", "features", "split")
     from pyspark.ml.functions import vector_to_array
     arr = cols.select("id", "split", vector_to_array("features").alias("_a"))

@@ -50,25 +50,21 @@ EXPLAIN_COEFS = {
 }
 EXPLAIN_INTERCEPT = -1.0
 
-# --- fixed values: data dictionary entries for the loan columns --------------------
+# --- fixture values (our own): descriptions of the loan columns
 DICTIONARY = [
-    ("addr_state", "The state provided by the borrower in the loan application"),
-    ("annual_inc", "The self-reported annual income provided by the borrower during registration."),
-    ("dti", "A ratio calculated using the borrower’s total monthly debt payments on the total debt "
-            "obligations, excluding mortgage and the requested LC loan, divided by the borrower’s "
-            "self-reported monthly income."),
-    ("earliest_cr_line", "The month the borrower's earliest reported credit line was opened"),
-    ("emp_length", "Employment length in years. Possible values are between 0 and 10 where 0 means "
-                   "less than one year and 10 means ten or more years. "),
-    ("installment", "The monthly payment owed by the borrower if the loan originates."),
-    ("int_rate", "Interest Rate on the loan"),
-    ("issue_d", "The month which the loan was funded"),
-    ("loan_status", "Current status of the loan"),
-    ("purpose", "A category provided by the borrower for the loan request. "),
-    ("revol_bal", "Total credit revolving balance"),
-    ("revol_util", "Revolving line utilization rate, or the amount of credit the borrower is using "
-                   "relative to all available revolving credit."),
-    ("term", "The number of payments on the loan. Values are in months and can be either 36 or 60."),
+    ("addr_state", "State of residence given by the applicant"),
+    ("annual_inc", "Yearly income as stated by the applicant, not verified"),
+    ("dti", "Monthly debt payments (without the mortgage and this loan) in per cent of the stated monthly income"),
+    ("earliest_cr_line", "Month in which the applicant's first credit line began"),
+    ("emp_length", "Years in employment, from below one year to ten or more"),
+    ("installment", "Monthly payment due on the loan"),
+    ("int_rate", "Yearly interest of the loan in per cent"),
+    ("issue_d", "Month in which the loan was paid out"),
+    ("loan_status", "Where the loan stands now"),
+    ("purpose", "What the applicant wants the money for"),
+    ("revol_bal", "Balance of all revolving credit lines"),
+    ("revol_util", "Used share of all revolving credit lines in per cent"),
+    ("term", "Number of monthly payments, 36 or 60"),
 ]
 
 

@@ -8,6 +8,7 @@ rank-sum AUC, ``quantile_cont``, ``lag`` chains. Every double is rounded to
 
 from __future__ import annotations
 
+from riskframe.plans.frames import DICTIONARY
 from riskframe.schema import DIRECTIONS
 from riskframe.sources.tables import (FIXTURE_HORIZON, FIXTURE_TRAIN_END, FIXTURE_VAL_END,
                                       oracle_prelude)
@@ -503,27 +504,8 @@ ORACLE["linear_contributions"] = sql(*scored_clean(), CONTRIB, final=(
     "FROM contrib"))
 ORACLE["global_importance"] = sql(*scored_clean(), CONTRIB, GIMP, final=(
     f"SELECT feature, {r6('importance')}, CAST(rank AS INTEGER) AS rank FROM gimp "))
-_DICT_ROWS = [
-    ("addr_state", "The state provided by the borrower in the loan application"),
-    ("annual_inc", "The self-reported annual income provided by the borrower during registration."),
-    ("dti", "A ratio calculated using the borrower’s total monthly debt payments on the total debt "
-            "obligations, excluding mortgage and the requested LC loan, divided by the borrower’s "
-            "self-reported monthly income."),
-    ("earliest_cr_line", "The month the borrower's earliest reported credit line was opened"),
-    ("emp_length", "Employment length in years. Possible values are between 0 and 10 where 0 means "
-                   "less than one year and 10 means ten or more years. "),
-    ("installment", "The monthly payment owed by the borrower if the loan originates."),
-    ("int_rate", "Interest Rate on the loan"),
-    ("issue_d", "The month which the loan was funded"),
-    ("loan_status", "Current status of the loan"),
-    ("purpose", "A category provided by the borrower for the loan request. "),
-    ("revol_bal", "Total credit revolving balance"),
-    ("revol_util", "Revolving line utilization rate, or the amount of credit the borrower is using "
-                   "relative to all available revolving credit."),
-    ("term", "The number of payments on the loan. Values are in months and can be either 36 or 60."),
-]
 _DICT = ("dict AS (SELECT * FROM (VALUES " + ", ".join(
-    "('{}', '{}')".format(k, v.replace("'", "''")) for k, v in _DICT_ROWS) + ") AS t(feature, description))")
+    "('{}', '{}')".format(k, v.replace("'", "''")) for k, v in DICTIONARY) + ") AS t(feature, description))")
 ORACLE["importance_described"] = sql(*scored_clean(), CONTRIB, GIMP, _DICT, final=(
     f"SELECT g.feature, {r6('importance')}, CAST(rank AS INTEGER) AS rank, "
     "coalesce(d.description, 'No description available') AS description "
