@@ -14,7 +14,8 @@ verified by the long digest, never by the short one alone.
 Defined results: equal means identical after lower-casing A-Z only; null counts
 as empty, so null and empty texts are one group; the largest ``doc_id`` stays
 (null ids are smallest); of rows that tie in text and id exactly one stays, the same one on every run; an
-empty table gives an empty result; extra columns are kept by ``keep_one``.
+empty table gives an empty result; texts of any length are digested whole;
+``keep_one`` carries extra columns inside a struct, so no name clashes.
 """
 
 from __future__ import annotations

@@ -12,16 +12,18 @@ it cover every word of every training text.
    dealt by hash; a bucket adds them up over all chunks and sends every chunk
    the total counts of its words. No vocabulary is ever in one place.
 3. ``write_scored``: chunks meet their counts: base score, known tokens, symbols.
-4. ``train``: EM from texts far apart, picked by hash over all training texts. Two rounds treat a document as one state (these only break the
-   symmetry), then ``ROUNDS`` Baum-Welch rounds run the scaled forward-backward
+4. ``train``: Baum-Welch from states that look like texts far apart, picked by hash over all
+   training texts. Every one of ``ROUNDS`` rounds runs the scaled forward-backward
    recursion over all training texts; every task adds up its expected counts,
    which are then summed across partitions.
 5. ``score``: the scaled forward recursion gives the exact likelihood of each text.
 
 Defined results: null counts as empty, an empty text is its end token alone;
 null ids hash as empty text (they train); repeated rows count as often as they
-occur; without training texts all counts are 0 and the model is uniform; an
-empty table gives an empty result.
+occur; very long texts are scored whole; of candidate texts that tie the smaller hash is
+taken first; without training texts all counts are 0 and the model is uniform; an
+empty table gives an empty result. Only doc_id and text are read, so extra
+columns of any name are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 from riskframe.llm import ragged
 from riskframe.session import checkpoint_dir
 
-STATES, ROUNDS, STAY = 8, 2, 0.98
+STATES, ROUNDS, STAY = 16, 2, 0.98
 #: a word with at least this share of the training tokens has a symbol of its own
 RARE = 2.0 ** -15
 CLASSES = 1 << 13
@@ -290,32 +292,23 @@ def _symbol_sums(symbols: np.ndarray, states: np.ndarray, n: int) -> np.ndarray:
     return np.column_stack([np.bincount(symbols, states[:, k], n) for k in range(states.shape[1])])
 
 
-def expected_counts(scored: DataFrame, model: Model, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected counts (start, move, emit) of one EM round over all training texts.
+def expected_counts(scored: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected counts (start, move, emit) of one Baum-Welch round over all training texts.
 
     Every task adds up its own; these tables are summed across partitions.
-    ``whole``: a document is in one state throughout.
     """
     n, k = model.emit.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # one table: symbols, then the first states, then the moves from each state
         total = np.zeros((n + 1 + k, k))
-        log_emit = np.log(model.emit) if whole else None
         for batch in batches:
             for row in batch.to_pylist():
                 symbols, sizes = _training(row)
                 if not len(sizes):
                     continue
-                if whole:
-                    at = np.cumsum(sizes) - sizes
-                    fit = np.add.reduceat(log_emit[symbols], at, axis=0) + np.log(model.start)
-                    share = np.exp(fit - fit.max(axis=1, keepdims=True))
-                    share /= share.sum(axis=1, keepdims=True)
-                    first, states = share.sum(axis=0), np.repeat(share, sizes, axis=0)
-                else:
-                    _, first, moved, states = forward(model, symbols, sizes, backward=True)
-                    total[n + 1:] += moved
+                _, first, moved, states = forward(model, symbols, sizes, backward=True)
+                total[n + 1:] += moved
                 total[n] += first
                 total[:n] += _symbol_sums(symbols, states, n)
         yield _parts(total, "<f4")
@@ -399,15 +392,15 @@ def _sticky(k: int) -> np.ndarray:
 
 
 def train(scored: DataFrame, table: Symbols, k: int = STATES, rounds: int = ROUNDS) -> Model:
-    """EM over all training texts: two rounds with a state per document, then Baum-Welch."""
+    """Baum-Welch over all training texts."""
     prior = table.prior()
     model = seeds(scored, prior, k)
-    for i in range(2 + rounds):
-        start, move, emit = expected_counts(scored, model, whole=i < 2)
+    for _ in range(rounds):
+        start, move, emit = expected_counts(scored, model)
         # a state that no text fell to keeps its emissions, or all such states would become equal
         emit = np.where(emit.sum(axis=0) < 1, model.emit, emit + PRIOR * prior[:, None])
         start, move = start + 1, move + 50 * _sticky(k)
-        model = Model(start / start.sum(), move / move.sum(axis=1, keepdims=True) if i >= 2 else _sticky(k), emit / emit.sum(axis=0))
+        model = Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
     return model
 
 

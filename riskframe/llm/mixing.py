@@ -20,7 +20,8 @@ runs inside one bucket.
 
 Defined results: null text has 0 words and is not taken; a null source is one
 source, ordered last; repeated rows are separate documents; an empty table or
-one without words gives targets of 0; extra columns are carried by ``mix``.
+one without words gives targets of 0; documents that tie in the shuffle order come by id and
+size; a very long text is one document. ``mix`` carries extra columns inside a struct, so no name clashes.
 """
 
 from __future__ import annotations

@@ -10,8 +10,9 @@ Every row holds where it starts in its file; the start in the whole table
 needs only the tokens of each file, read without touching the ids.
 
 Defined results: null and empty texts are the end id alone; null ids come
-first; repeated rows follow one another, equal ids in order of their text; an
-empty table gives no rows.
+first; repeated rows follow one another, equal ids in order of their text; a very long
+text is one row; an empty table gives no rows. Only doc_id and text are
+read, so extra columns of any name are ignored.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ Group sizes follow the bytes of the table (a token is a byte at least), so a
 group stays small at any scale, and repeated rows are dealt over groups too.
 
 Defined results: null and empty texts are documents of the end token alone;
-repeated rows are packed one by one; an empty table gives no pieces.
+repeated rows are packed one by one; very long texts are cut into pieces; documents of
+equal cost are taken in the order of their group's rows; an empty table gives no
+pieces. Only doc_id and text are read, so extra columns of any name are ignored.
 """
 
 from __future__ import annotations

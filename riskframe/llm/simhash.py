@@ -15,7 +15,9 @@
 Defined results: null and empty texts have fingerprint zero and are linked like
 any other; fewer words than a shingle count as one shingle; identical rows are
 one fingerprint; the component id is the smallest non-null ``doc_id`` in reach
-(null if there is none); an empty table gives an empty result.
+(null if there is none); texts of any length are hashed whole; an empty table gives
+an empty result. ``near_groups`` ignores extra columns, ``keep_one`` carries them
+inside a struct, so names like ``fp`` or ``id`` don't clash.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ Entries travel as packed arrays, about ten bytes a window.
 Defined results: a window is repeated if it also starts in a document with a
 smaller ``doc_id``; null ids are larger than all others and none is smaller than
 another; rows with equal id do not remove each other's words; null, empty and
-short texts lose nothing; an empty table gives an empty result.
+short texts lose nothing; texts of any length are read whole; an empty table gives an
+empty result. Only doc_id and text are read, so extra columns of any name are ignored.
 """
 
 from __future__ import annotations

@@ -12,8 +12,12 @@ distinct pre-tokens.
 
 The array rules cover ASCII and the letters U+00C0-U+00FF. A text with any
 other character, or that may hold a special token, is handed to the library
-whole, so results equal the library's for every text. Null and empty texts
-have no tokens.
+whole, so results equal the library's for every text.
+
+Defined results: null and empty texts have no tokens; very long texts are counted
+whole (a slice is never less than a text); every row is counted for itself, so
+repeated rows count alike and nothing ties; an empty table gives an empty result.
+Both take a text column, so other columns of any name stay as they are.
 """
 
 from __future__ import annotations
