@@ -35,6 +35,8 @@ from riskframe.llm import ragged
 from riskframe.session import cut_lineage
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
+#: spans of more bytes than this are hashed by the library
+LONG = 1024
 #: more distinct fingerprints than this in a group are grouped again
 SPLIT = 1024
 
@@ -47,18 +49,35 @@ def _rot(x: np.ndarray, r: int) -> np.ndarray:
 
 
 def xxh64(buf: np.ndarray, view: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = SEED) -> np.ndarray:
-    """XXH64 of byte spans: those under 32 bytes all at once, longer ones one by one."""
+    """XXH64 of byte spans, all at once; those over ``LONG`` bytes (few, each of a long word) one by one."""
     size = ends - starts
     h = (size.astype(np.uint64) + np.uint64(seed)) + _P5
-    rows, pos = np.flatnonzero(size >= 8), starts.copy()
+    pos = starts.copy()
+    striped = np.flatnonzero((size >= 32) & (size <= LONG))
+    if len(striped):
+        # four lanes of eight bytes a stripe
+        first = seed + np.array([int(_P1) + int(_P2), int(_P2), 0, -int(_P1)], object)
+        lane = np.repeat(np.array([int(x) % (1 << 64) for x in first], np.uint64)[:, None], len(striped), axis=1)
+        rows = np.arange(len(striped))
+        while len(rows):
+            at = pos[striped[rows]]
+            for i in range(4):
+                lane[i, rows] = _rot(lane[i, rows] + view[at + 8 * i] * _P2, 31) * _P1
+            pos[striped[rows]] += 32
+            rows = rows[ends[striped[rows]] - pos[striped[rows]] >= 32]
+        x = _rot(lane[0], 1) + _rot(lane[1], 7) + _rot(lane[2], 12) + _rot(lane[3], 18)
+        for i in range(4):
+            x = (x ^ (_rot(lane[i] * _P2, 31) * _P1)) * _P1 + _P4
+        h[striped] = x + size[striped].astype(np.uint64)
+    rows = np.flatnonzero((ends - pos >= 8) & (size <= LONG))
     while len(rows):
         h[rows] = _rot(h[rows] ^ (_rot(view[pos[rows]] * _P2, 31) * _P1), 27) * _P1 + _P4
         pos[rows] += 8
         rows = rows[ends[rows] - pos[rows] >= 8]
-    rows = np.flatnonzero(ends - pos >= 4)
+    rows = np.flatnonzero((ends - pos >= 4) & (size <= LONG))
     h[rows] = _rot(h[rows] ^ ((view[pos[rows]] & np.uint64(0xFFFFFFFF)) * _P1), 23) * _P2 + _P3
     pos[rows] += 4
-    rows = np.flatnonzero(ends > pos)
+    rows = np.flatnonzero((ends > pos) & (size <= LONG))
     while len(rows):
         h[rows] = _rot(h[rows] ^ ((view[pos[rows]] & np.uint64(0xFF)) * _P5), 11) * _P1
         pos[rows] += 1
@@ -67,7 +86,7 @@ def xxh64(buf: np.ndarray, view: np.ndarray, starts: np.ndarray, ends: np.ndarra
     h = (h ^ (h >> np.uint64(29))) * _P3
     h ^= h >> np.uint64(32)
     data = memoryview(np.ascontiguousarray(buf))
-    for i in np.flatnonzero(size >= 32):
+    for i in np.flatnonzero(size > LONG):
         h[i] = xxhash.xxh64_intdigest(data[starts[i]:ends[i]], seed=seed)
     return h
 

@@ -516,3 +516,14 @@ def test_crc_of_ranges():
     ids = np.array([1, 70_000, 3], np.uint32)
     assert ragged.crc32s(ids, np.array([0, 2, 2, 3])).tolist() == [
         zlib.crc32(ids[:2].tobytes()), 0, zlib.crc32(ids[2:].tobytes())]
+
+
+def test_xxh64_of_spans_of_every_length():
+    import xxhash
+    rng = np.random.default_rng(3)
+    buf = rng.integers(0, 256, 60_000).astype(np.uint8)
+    size = np.concatenate([np.arange(0, 300), np.arange(simhash.LONG - 40, simhash.LONG + 40), [9000]])
+    starts = rng.integers(0, 50_000, len(size))
+    got = simhash.xxh64(buf, ragged.lanes(buf), starts, starts + size)
+    data = buf.tobytes()
+    assert got.tolist() == [xxhash.xxh64_intdigest(data[a:a + n], seed=simhash.SEED) for a, n in zip(starts, size)]
