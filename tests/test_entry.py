@@ -35,7 +35,8 @@ def test_light_queries_run_at_smoke_scale(spark):
 def test_every_sql_checked_query_runs_at_smoke_scale(spark):
     q = entry.queries()
     failures = []
-    for name in sorted(own(q) - ROWS_ONLY):
+    # those two fit trees over 100 rounds, which tests/test_boosting.py covers
+    for name in sorted(own(q) - ROWS_ONLY - {"tree_directions", "saved_models"}):
         try:
             q[name](spark, "/root/testdata/sf0.001").count()
         except Exception as e:  # noqa: BLE001
