@@ -238,18 +238,22 @@ def _id() -> list[Column]:
 
 def _rooted(rows: DataFrame, max_bits: int) -> tuple[DataFrame, DataFrame]:
     """(fp, root) of every distinct fingerprint; (root, best): the smallest id of
-    each component, null ids last, and its fingerprint."""
-    own = rows.groupBy("fp").agg(F.min(F.struct(*_id(), "fp")).alias("own"))
+    each component, null ids last, with its fingerprint and ``key`` if the rows have one."""
+    own = rows.groupBy("fp").agg(F.min(F.struct(*_id(), "fp", *[c for c in ("key",) if c in rows.columns])).alias("own"))
     stars = components(links(own, max_bits)).withColumnsRenamed({"u": "fp", "v": "root"})
     rooted = cut_lineage(own.join(stars, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     return rooted.select("fp", "root"), rooted.groupBy("root").agg(F.min("own").alias("best"))
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of every component (its smallest ``doc_id``; of rows that tie the smallest by a hash of
-    all their columns), all columns as they were."""
-    rows = cut_lineage(docs.select("doc_id", fingerprint("text", shingle).alias("fp")))
-    keys = ["no_id", "id", "fp"]
-    winners = _rooted(rows, max_bits)[1].select("best.*").distinct()
-    own = docs.select(F.struct("*").alias("row"), *_id(), fingerprint("text", shingle).alias("fp"))
-    return own.join(winners, keys).groupBy(*keys).agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
+    """One row of every component (its smallest ``doc_id``; of rows that tie the smallest by fingerprint and
+    by a hash of all columns), all columns as they were. Texts are read by Python once:
+    the rows that stay are found again by id and that hash."""
+    own = docs.select(F.struct("*").alias("row"))
+    rows = cut_lineage(own.select("row.doc_id", fingerprint("row.text", shingle).alias("fp"), F.xxhash64("row").alias("key")))
+    keys = ["no_id", "id", "key"]
+    winners = _rooted(rows, max_bits)[1].select("best.no_id", "best.id", "best.key").distinct()
+    kept = own.select("row", F.col("row.doc_id").isNull().alias("no_id"), F.coalesce("row.doc_id", F.lit(0)).alias("id"),
+                      F.xxhash64("row").alias("key")).join(winners, keys)
+    # rows alike in all columns: one of them
+    return kept.groupBy(*keys).agg(F.any_value("row").alias("row")).select("row.*")
