@@ -260,13 +260,14 @@ def forward(model: Model, symbols: np.ndarray, sizes: np.ndarray, backward: bool
         alpha /= scale[:, None]
         log[:m] += np.log(scale)
         if backward:
-            kept.append(alpha)
+            kept.append(alpha.astype(np.float32))
             scales.append(scale)
     out = np.empty(len(sizes))
     out[order] = log
     if not backward:
         return out
-    states = np.empty((len(symbols), len(model.start)))
+    # single precision: these tables, tokens x states, are the largest a task holds
+    states = np.empty((len(symbols), len(model.start)), np.float32)
     move = np.zeros_like(model.move)
     beta = np.zeros((0, len(model.start)))
     for t in range(len(running) - 1, -1, -1):
