@@ -3,7 +3,10 @@
 import numpy as np
 import pytest
 
-from riskframe.operators import boosting
+from riskframe import session
+from riskframe.llm import orcids
+from riskframe.operators import boosting, model
+from riskframe.plans import training
 from tests.test_boosting import FEATURES, PLAIN, SCHEMA, _rows
 
 
@@ -48,3 +51,22 @@ def test_only_reaches_the_named_leaves():
     bins = np.array([[0, 1, 2, 3, 2]], np.uint8)
     assert tree.leaf(bins).tolist() == [1, 1, 3, 4, 3]
     assert [(i, r.tolist()) for i, r in tree.reach(bins, np.arange(5), [4])] == [(4, [3])]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_prepare_scans_a_written_frame(spark, monkeypatch):
+    monkeypatch.setattr(session, "FILE_ROWS", 100)
+    rows = [(i, "train" if i % 3 else "test", i % 2, None if i % 7 == 0 else float(i), None if i % 5 == 0 else f"c{i % 4}") for i in range(450)]
+    df = spark.createDataFrame(rows, "id bigint, split string, y int, amount double, kind string").coalesce(1)
+    got, meta = training.prepare(df, "y")
+    # one file would be one task's work in every scan
+    assert len(got.inputFiles()) == 5 and all("/written-" in f for f in got.inputFiles())
+    amounts = [r[3] for r in rows if r[1] == "train" and r[3] is not None]
+    want = {r[0]: (float(np.median(amounts)) if r[3] is None else r[3], 4 if r[4] is None else int(r[4][1])) for r in rows}
+    # 'Unknown' sorts before c0 to c3 in binary order
+    want = {k: (a, 0 if c == 4 else c + 1) for k, (a, c) in want.items()}
+    assert {r["id"]: (r["amount"], r["kind"]) for r in got.collect()} == want
+    assert [(r["feature"], r["kind"]) for r in meta.orderBy("position").collect()] == [("amount", "numeric"), ("kind", "categorical")]
