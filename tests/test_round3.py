@@ -70,3 +70,20 @@ def test_prepare_scans_a_written_frame(spark, monkeypatch):
     want = {k: (a, 0 if c == 4 else c + 1) for k, (a, c) in want.items()}
     assert {r["id"]: (r["amount"], r["kind"]) for r in got.collect()} == want
     assert [(r["feature"], r["kind"]) for r in meta.orderBy("position").collect()] == [("amount", "numeric"), ("kind", "categorical")]
+
+
+def test_folds_are_cut_from_a_written_frame(spark, monkeypatch):
+    seen = []
+
+    class Search:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, frame):
+            seen.append(frame)
+    monkeypatch.setattr(model, "CrossValidator", Search)
+    df = model.stratified_folds(spark.createDataFrame([(i, float(i % 2)) for i in range(50)], "id bigint, label double"), 3)
+    from pyspark.ml.classification import LogisticRegression
+    model.cross_validate(df, LogisticRegression(), {"regParam": [0.1]})
+    assert "Exchange" in _plan(df) and "Exchange" not in _plan(seen[0]) and "Window" not in _plan(seen[0])
+    assert sorted(map(tuple, seen[0].collect())) == sorted(map(tuple, df.collect()))
