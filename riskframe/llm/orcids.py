@@ -73,5 +73,5 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     files = rows.groupBy("file").agg(F.min("doc_id").alias("lowest"), F.sum("n_tokens").alias("total"))
     earlier = Window.orderBy("lowest", "file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     files = files.select("file", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"))
-    return rows.join(files, "file").select(
+    return rows.join(F.broadcast(files), "file").select(      # one row per file: the ids are not exchanged
         "doc_id", (F.col("before") + F.col("file_start")).alias("start"), "n_tokens", "ids")

@@ -87,3 +87,21 @@ def test_folds_are_cut_from_a_written_frame(spark, monkeypatch):
     model.cross_validate(df, LogisticRegression(), {"regParam": [0.1]})
     assert "Exchange" in _plan(df) and "Exchange" not in _plan(seen[0]) and "Window" not in _plan(seen[0])
     assert sorted(map(tuple, seen[0].collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_ids_are_not_exchanged_for_their_file(spark):
+    docs = spark.createDataFrame([(i, f"some text {i}") for i in range(40)], "doc_id bigint, text string")
+    folder = orcids.write(docs)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read = orcids.read(spark, folder)
+        assert "SortMergeJoin" not in _plan(read) and "BroadcastHashJoin" in _plan(read)
+        rows = read.orderBy("doc_id").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    at = 0
+    for r in rows:
+        assert r["start"] == at and len(r["ids"]) == r["n_tokens"]
+        at += r["n_tokens"]
+    assert len(rows) == 40
