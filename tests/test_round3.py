@@ -34,6 +34,30 @@ def test_subtrees_of_small_nodes_equal_scans(spark, monkeypatch, params):
     assert used[0] > used[1] > used[2] == 2 * len(whole.trees)
 
 
+def test_large_nodes_meet_and_only_their_own_rows_are_summed(monkeypatch):
+    node = lambda n: {"sums": np.array([0.0, 0.0, n])}
+    assert boosting._small(node(200_000), 1) and not boosting._small(node(200_000), 3) and not boosting._small(node(300_000), 1)
+    rng = np.random.default_rng(3)
+    bins, g = rng.integers(0, 9, (3, 600)).astype(np.uint8), rng.normal(size=600)
+    params = {**boosting.LEAFWISE, "num_leaves": 6, "min_child_samples": 5}
+    way, read, plain = boosting.Growing(params, np.arange(3), np.zeros(3), 10), [], boosting._add
+    monkeypatch.setattr(boosting, "_add", lambda total, bins, rows, *a: read.append(len(rows)) or plain(total, bins, rows, *a))
+    chosen = boosting._grow_all(way, bins, g, np.ones(600), np.zeros(3, bool))
+    assert len(chosen) == 5
+    assert sorted(read) == sorted(int(n["sums"][2]) for n in way.nodes if n["split"])
+    tree = way.tree(chosen)
+    sizes = np.bincount(tree.leaf(bins), minlength=len(tree.feature))
+    assert sizes[tree.feature < 0].tolist() == tree.cover[tree.feature < 0].tolist()
+
+
+def test_edges_share_one_column_of_probabilities(spark, monkeypatch):
+    seen, plain = [], boosting.F.percentile_approx
+    monkeypatch.setattr(boosting.F, "percentile_approx", lambda c, p, n: seen.append(p) or plain(c, p, n))
+    df = spark.createDataFrame(_rows(300, 7), SCHEMA)
+    assert len(boosting.fit_binning(df, FEATURES, ["code"]).edges) == len(FEATURES)
+    assert all(p is seen[0] and isinstance(p, boosting.Column) for p in seen)
+
+
 def test_chunks_are_dealt_over_the_cores(spark, monkeypatch):
     monkeypatch.setattr(boosting, "CHUNK_ROWS", 500)
     df = spark.createDataFrame(_rows(2000, 6), SCHEMA).coalesce(1)
